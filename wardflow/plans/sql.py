@@ -128,3 +128,49 @@ cte("raw", ("raw_seq",), f"""
     CASE WHEN o_orderkey % 13 = 2 THEN NULL ELSE {pick_sql(B.INSURANCE_VARIANTS, f"o_custkey % {len(B.INSURANCE_VARIANTS)}")} END AS insurance_type,
     CAST(coalesce(date_diff('day', _d, _next) <= 30, false) AS INTEGER) AS readmission_30_day
   FROM raw_seq""")
+
+
+# ---------------------------------------------------------------- cleaning
+def _clean_text_select(src: str, legacy: bool = False) -> str:
+    def t(c: str) -> str:
+        return f"trim(coalesce({c}, 'nan'))" if legacy else f"trim({c})"
+    return f"""
+  SELECT admission_key,
+    regexp_replace({t('patient_id')}, '[^\\w\\s]', '', 'g') AS patient_id,
+    age, {title_sql(t('gender'))} AS gender,
+    {t('admission_date')} AS admission_date,
+    length_of_stay, emergency_admission,
+    {t('diagnosis_codes')} AS diagnosis_codes,
+    previous_admissions,
+    {title_sql(t('insurance_type'))} AS insurance_type,
+    readmission_30_day
+  FROM {src}"""
+
+
+cte("texted", ("raw",), _clean_text_select("raw"))
+cte("std", ("texted",), f"""
+  SELECT admission_key, patient_id, age, {gender_sql('gender')} AS gender,
+    {parse_date_sql('admission_date')} AS admission_date, length_of_stay, emergency_admission,
+    diagnosis_codes, previous_admissions, {insurance_sql('insurance_type')} AS insurance_type,
+    readmission_30_day
+  FROM texted""")
+cte("los_bounds", ("std",), """
+  SELECT quantile_cont(length_of_stay, 0.01) AS lo, quantile_cont(length_of_stay, 0.99) AS hi FROM std""")
+cte("clipped", ("std", "los_bounds"), """
+  SELECT s.* REPLACE (CASE WHEN s.length_of_stay IS NULL THEN NULL
+                           ELSE least(greatest(s.length_of_stay, b.lo), b.hi) END AS length_of_stay)
+  FROM std s CROSS JOIN los_bounds b""")
+cte("clean_stats", ("clipped",), """
+  SELECT median(age) AS age_med, median(length_of_stay) AS los_med,
+         median(CAST(emergency_admission AS DOUBLE)) AS em_med,
+         (SELECT diagnosis_codes FROM clipped WHERE diagnosis_codes IS NOT NULL
+          GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS dx_mode
+  FROM clipped""")
+cte("clean", ("clipped", "clean_stats"), """
+  SELECT admission_key, patient_id, coalesce(age, age_med) AS age, gender, admission_date,
+    coalesce(length_of_stay, los_med) AS length_of_stay,
+    coalesce(CAST(emergency_admission AS DOUBLE), em_med) AS emergency_admission,
+    coalesce(diagnosis_codes, dx_mode) AS diagnosis_codes,
+    coalesce(previous_admissions, 0) AS previous_admissions,
+    insurance_type, readmission_30_day
+  FROM clipped CROSS JOIN clean_stats""")
