@@ -24,8 +24,10 @@ def texted(spark, sf):
 
 
 def standardized(spark, sf):
+    from wardflow.session import materialize
     df = texted(spark, sf)
-    return CLN.parse_date_columns(CLN.standardize_insurance_columns(CLN.standardize_gender_columns(df)))
+    return materialize(CLN.parse_date_columns(CLN.standardize_insurance_columns(CLN.standardize_gender_columns(df))),
+                       "standardised")
 
 
 def clipped(spark, sf):

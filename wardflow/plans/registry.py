@@ -6,7 +6,7 @@ import importlib
 
 from wardflow.plans.catalog import ORACLE, QUERIES
 
-_MODULES = ["q_cleaning"]
+_MODULES = ["q_cleaning", "q_features"]
 
 
 def _load() -> None:

@@ -174,3 +174,131 @@ cte("clean", ("clipped", "clean_stats"), """
     coalesce(previous_admissions, 0) AS previous_admissions,
     insurance_type, readmission_30_day
   FROM clipped CROSS JOIN clean_stats""")
+
+
+# ------------------------------------------------------------------ codes
+def dbl(v: float) -> str:
+    return f"CAST({v!r} AS DOUBLE)"
+
+
+def _code_values() -> str:
+    from wardflow.operators.codes import code_rows
+    return ", ".join(f"({o}, {lit(c)}, {lit(s)}, {lit(k)})" for o, c, s, k in code_rows())
+
+
+def _cond_values() -> str:
+    from wardflow.operators.codes import CONDITION_MAPPINGS
+    return ", ".join(f"({i}, {lit(c)}, {lit(m['description'])})" for i, (c, m) in enumerate(CONDITION_MAPPINGS.items()))
+
+
+cte("code_dim", (), f"  SELECT * FROM (VALUES {_code_values()}) v(ord, code, system, condition)")
+cte("cond_dim", (), f"  SELECT * FROM (VALUES {_cond_values()}) v(cond_ord, condition, description)")
+cte("tokens", ("clean",), """
+  SELECT admission_key, token FROM (
+    SELECT admission_key, upper(trim(unnest(string_split_regex(diagnosis_codes, '[;,|]')))) AS token FROM clean
+  ) WHERE token <> ''""")
+cte("tok_exact", ("tokens", "code_dim"), """
+  SELECT t.token, d.condition FROM (SELECT DISTINCT token FROM tokens) t JOIN code_dim d ON t.token = d.code""")
+cte("tok_loose", ("tokens", "code_dim"), """
+  SELECT t.token, arg_min(d.condition, d.ord) AS condition
+  FROM (SELECT DISTINCT token FROM tokens WHERE token NOT IN (SELECT code FROM code_dim)) t
+  JOIN code_dim d ON starts_with(t.token, split_part(d.code, '.', 1)) OR starts_with(d.code, split_part(t.token, '.', 1))
+  GROUP BY t.token""")
+cte("tok_map", ("tok_exact", "tok_loose"), "  SELECT * FROM tok_exact UNION ALL SELECT * FROM tok_loose")
+cte("cond_pairs", ("tokens", "tok_map"), """
+  SELECT DISTINCT k.admission_key, m.condition FROM tokens k JOIN tok_map m ON k.token = m.token""")
+
+
+def _flag_cols() -> list[str]:
+    from wardflow.operators.codes import CONDITIONS
+    return CONDITIONS
+
+
+cte("flags", ("cond_pairs",), "  SELECT admission_key, " + ", ".join(
+    f"max(CASE WHEN condition = '{c}' THEN 1 ELSE 0 END) AS has_{c}" for c in _flag_cols())
+    + " FROM cond_pairs GROUP BY admission_key")
+cte("coded", ("clean", "flags"), "  SELECT c.*, " + ", ".join(
+    f"coalesce(f.has_{c}, 0) AS has_{c}" for c in _flag_cols())
+    + " FROM clean c LEFT JOIN flags f ON c.admission_key = f.admission_key")
+
+
+# --------------------------------------------------------------- features
+def bins_sql(x: str, edges, labels, left: bool = False) -> str:
+    parts = []
+    for lo, hi, lab in zip(edges[:-1], edges[1:], labels):
+        lo_s = "'-inf'::DOUBLE" if lo == float("-inf") else dbl(float(lo))
+        hi_s = "'inf'::DOUBLE" if hi == float("inf") else dbl(float(hi))
+        cond = f"{x} >= {lo_s} AND {x} < {hi_s}" if left else f"{x} > {lo_s} AND {x} <= {hi_s}"
+        parts.append(f"WHEN {cond} THEN {lit(lab)}")
+    return "(CASE " + " ".join(parts) + " END)"
+
+
+def flag_sql(pred: str) -> str:
+    return f"CAST(coalesce({pred}, false) AS INTEGER)"
+
+
+def _risk_score_sql() -> str:
+    from wardflow.functions.clinical import RISK_WEIGHTS
+    expr = dbl(0.0)
+    for name, w in RISK_WEIGHTS:
+        expr = f"({expr} + {name} * {dbl(w)})"
+    return expr
+
+
+cte("hist", ("coded",), """
+  SELECT *, lag(admission_date) OVER (PARTITION BY patient_id ORDER BY admission_date ASC NULLS LAST, admission_key) AS _prev
+  FROM coded""")
+
+
+def _featured_pre() -> str:
+    from wardflow.functions import clinical as CL
+    days = ("CAST(CASE WHEN previous_admissions > 0 THEN coalesce(floor((epoch(admission_date) - epoch(_prev)) / 86400), 999) "
+            "ELSE 999 END AS DOUBLE)")
+    return f"""
+  SELECT * EXCLUDE (_prev) FROM (
+  SELECT *,
+    {bins_sql('clinical_risk_score', CL.RISK_EDGES, CL.RISK_LABELS)} AS risk_category,
+    CAST(coalesce(elderly = 1, false) OR coalesce(previous_admissions >= 3, false)
+         OR coalesce(comorbidity_count >= 3, false) OR coalesce(frequent_readmitter = 1, false) AS INTEGER) AS high_risk_patient
+  FROM (
+  SELECT *, {_risk_score_sql()} AS clinical_risk_score FROM (
+  SELECT *,
+    {flag_sql('comorbidity_count >= 3')} AS multiple_comorbidities,
+    {flag_sql('has_heart_disease + has_kidney_disease + has_diabetes >= 2')} AS high_risk_comorbidity,
+    {flag_sql('has_hypertension + has_heart_disease + has_diabetes >= 2')} AS cardiovascular_risk
+  FROM (
+  SELECT *,
+    {flag_sql('days_since_last_admission <= 30')} AS recent_admission,
+    {flag_sql('previous_admissions >= 2 AND days_since_last_admission <= 90')} AS frequent_readmitter,
+    CASE WHEN previous_admissions = 0 THEN 'First_Time' WHEN days_since_last_admission <= 30 THEN 'Recent_Return'
+         WHEN days_since_last_admission <= 90 THEN 'Short_Interval' WHEN days_since_last_admission <= 365 THEN 'Medium_Interval'
+         ELSE 'Long_Interval' END AS admission_pattern,
+    CASE WHEN admission_month IN (12, 1, 2) THEN 'Winter' WHEN admission_month IN (3, 4, 5) THEN 'Spring'
+         WHEN admission_month IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS admission_season,
+    {flag_sql('admission_day_of_week >= 5')} AS weekend_admission,
+    {bins_sql('age', CL.AGE_EDGES, CL.AGE_LABELS)} AS age_group,
+    {flag_sql('age >= 75')} AS elderly,
+    age * age AS age_squared,
+    {flag_sql('emergency_admission = 1 AND age >= 65')} AS emergency_elderly,
+    has_diabetes + has_hypertension + has_heart_disease + has_kidney_disease + has_hyperlipidemia + has_copd + has_depression AS comorbidity_count,
+    {bins_sql('length_of_stay', CL.LOS_EDGES, CL.LOS_LABELS)} AS los_category,
+    {flag_sql('length_of_stay > 10')} AS long_stay,
+    {bins_sql('previous_admissions', CL.HISTORY_EDGES, CL.HISTORY_LABELS)} AS admission_history
+  FROM (
+  SELECT *, {days} AS days_since_last_admission,
+    month(admission_date) AS admission_month, isodow(admission_date) - 1 AS admission_day_of_week
+  FROM hist)))))"""
+
+
+cte("featured_pre", ("hist",), _featured_pre())
+
+
+def dummy_columns() -> list[tuple[str, str, str]]:
+    """(source column, value, dummy column) in emission order."""
+    from wardflow.operators.features import CATEGORICAL_COLUMNS, VOCABULARY
+    return [(c, v, f"{c}_std_{v}") for c in CATEGORICAL_COLUMNS for v in VOCABULARY[c]]
+
+
+cte("featured", ("featured_pre",), "  SELECT * EXCLUDE (" + ", ".join(
+    sorted({c for c, _, _ in dummy_columns()})) + "), " + ", ".join(
+    f"{flag_sql(f'{c} = {lit(v)}')} AS \"{d}\"" for c, v, d in dummy_columns()) + " FROM featured_pre")

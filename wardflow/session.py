@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -29,9 +30,12 @@ def build_session(master: str | None = None, app_name: str = "wardflow",
     the bench pass ``local[N]``.
     """
     builder = SparkSession.builder.appName(app_name)
+    conf = dict(_DEFAULTS)
     if master:
         builder = builder.master(master)
-    conf = dict(_DEFAULTS)
+        if master.startswith("local"):
+            # Local mode: the driver JVM is the only executor.
+            conf["spark.driver.memory"] = os.environ.get("WARDFLOW_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -62,3 +66,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="wardflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, label: str = "stage"):
+    """Cut the lineage: write ``df`` as Parquet under the checkpoint folder
+    and return a scan of it.
+
+    Used where a table feeds several statistics passes (quantiles, medians,
+    modes, self-joins): later plans scan the stored columns (with pruning
+    and filter pushdown) instead of recomputing the upstream joins, and the
+    stored files survive executor loss because the folder is shared.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/wardflow-{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
