@@ -302,3 +302,37 @@ def dummy_columns() -> list[tuple[str, str, str]]:
 cte("featured", ("featured_pre",), "  SELECT * EXCLUDE (" + ", ".join(
     sorted({c for c, _, _ in dummy_columns()})) + "), " + ", ".join(
     f"{flag_sql(f'{c} = {lit(v)}')} AS \"{d}\"" for c, v, d in dummy_columns()) + " FROM featured_pre")
+
+
+# ---------------------------------------------------------------- scoring
+def demo_score_expr() -> str:
+    from wardflow.functions import clinical as CL
+    n = " + ".join(flag_sql(p) for p in ["age > 75", "has_diabetes = 1", "has_hypertension = 1",
+                                          "has_heart_disease = 1", "length_of_stay > 7",
+                                          "previous_admissions >= 3", "emergency_admission = 1"])
+    return f"least({dbl(CL.DEMO_CAP)}, {dbl(CL.DEMO_BASE)} + ({n}) * {dbl(CL.DEMO_STEP)})"
+
+
+INDEX_SCORE_SQL = ("greatest(CAST(0.0 AS DOUBLE), least(CAST(1.0 AS DOUBLE), (age + CAST(3.0 AS DOUBLE) * length_of_stay "
+                   "+ CAST(7.0 AS DOUBLE) * previous_admissions + CAST(11.0 AS DOUBLE) * has_heart_disease) / CAST(300.0 AS DOUBLE)))")
+
+cte("scored", ("featured_pre",), f"""
+  SELECT *, CAST(p >= 0.35 AS INTEGER) AS pred, CAST(p2 >= 0.5 AS INTEGER) AS pred2 FROM (
+    SELECT *, readmission_30_day AS y, {demo_score_expr()} AS p, {INDEX_SCORE_SQL} AS p2 FROM featured_pre)""")
+
+
+def auc_sql(src: str, score: str, by: str | None = None, label: str = "y") -> str:
+    g = f"{by} AS grp, " if by else ""
+    part = "PARTITION BY grp " if by else ""
+    grp_sel = "grp, " if by else ""
+    return f"""
+SELECT {grp_sel}CASE WHEN max(P) > 0 AND max(N) > 0 THEN sum(pos * (neg_below + 0.5 * neg)) / (max(P) * max(N)) END AS roc_auc,
+       CASE WHEN max(P) > 0 THEN sum(pos * (P - pos_below) / (P + N - pos_below - neg_below)) / max(P) END AS pr_auc
+FROM (
+  SELECT *, coalesce(sum(neg) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
+            coalesce(sum(pos) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_below,
+            sum(pos) OVER ({part}) AS P, sum(neg) OVER ({part}) AS N
+  FROM (SELECT {g}{score} AS s, CAST(sum({label}) AS DOUBLE) AS pos, CAST(count(*) - sum({label}) AS DOUBLE) AS neg
+        FROM {src} GROUP BY ALL) d
+  WINDOW w AS ({part}ORDER BY s)
+) c {"GROUP BY grp" if by else ""}"""
