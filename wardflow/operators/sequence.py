@@ -41,11 +41,13 @@ def entity_sequence(df: DataFrame, entity: str, ts: str, tie: str,
     the previous / next row of the same entity (null at the ends).
     ``totals``: name -> numeric Column; each becomes the sum of that column
     over the whole entity (nulls ignored), e.g. counts and sums for means.
-    Rows with a null ``entity`` are kept with null outputs.
+    Rows with a null ``entity`` are kept with null outputs. A custom
+    ``chunk`` must be non-null and non-decreasing in the row order.
     """
     totals = dict(totals or {})
-    chunk = chunk if chunk is not None else F.to_date(F.col(ts))
-    base = df.withColumn("_chunk", F.coalesce(chunk, F.lit(_NULL_CHUNK).cast("date")))
+    if chunk is None:  # calendar day; null times go to a chunk after every day
+        chunk = F.coalesce(F.to_date(F.col(ts)), F.lit(_NULL_CHUNK).cast("date"))
+    base = df.withColumn("_chunk", chunk)
     for name, expr in totals.items():
         base = base.withColumn(f"_t_{name}", expr)
 

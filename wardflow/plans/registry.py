@@ -6,7 +6,7 @@ import importlib
 
 from wardflow.plans.catalog import ORACLE, QUERIES
 
-_MODULES = ["q_cleaning", "q_features", "q_evaluation", "q_analytics"]
+_MODULES = ["q_cleaning", "q_features", "q_evaluation", "q_analytics", "q_ml"]
 
 
 def _load() -> None:

@@ -53,15 +53,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_A
     """
     enc = encoding or detect_encoding(spark, path)
     reader = (spark.read.option("header", True).option("encoding", enc)
-              .option("nullValue", "").option("nanValue", "NaN").option("mode", "PERMISSIVE"))
+              .option("nullValue", "").option("nanValue", "NaN").option("mode", "PERMISSIVE")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if infer or schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType | None = RAW_ADMISSION_SCHEMA) -> DataFrame:
-    """JSON source: a file holding an array of records (multi-line)."""
-    reader = spark.read.option("multiLine", True)
+def read_json(spark: SparkSession, path: str, schema: T.StructType | None = RAW_ADMISSION_SCHEMA,
+              multi_line: bool = True) -> DataFrame:
+    """JSON source: files holding an array of records (``multi_line``), or
+    JSON lines (one record per line, splittable) with ``multi_line=False``."""
+    reader = spark.read.option("multiLine", multi_line)
     return reader.schema(schema).json(path) if schema is not None else reader.json(path)
 
 
