@@ -62,15 +62,16 @@ def histogram(df: DataFrame, column: str, bins: int = 30, by: str | None = None)
 
 
 def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
-    """Quartiles and 1.5 IQR whiskers (clamped to the data) per group."""
-    q = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    s = df.groupBy(by).agg(q.alias("_q"), F.min(value).alias("min"), F.max(value).alias("max"),
-                           F.count(F.lit(1)).alias("n"))
-    q1, med, q3 = F.element_at("_q", 1), F.element_at("_q", 2), F.element_at("_q", 3)
-    iqr = q3 - q1
-    return s.select(by, "n", q1.alias("q1"), med.alias("median"), q3.alias("q3"),
-                    F.greatest(F.col("min"), q1 - 1.5 * iqr).alias("whisker_low"),
-                    F.least(F.col("max"), q3 + 1.5 * iqr).alias("whisker_high"))
+    """Quartiles and 1.5 IQR whiskers (clamped to the data) per group;
+    exact quartiles by the distributed quantile job."""
+    from wardflow.operators.quantiles import exact_quantiles
+    q = (exact_quantiles(df, value, [0.25, 0.5, 0.75], [by]).groupBy(by)
+         .pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value")).toDF(by, "q1", "median", "q3"))
+    s = df.groupBy(by).agg(F.min(value).alias("min"), F.max(value).alias("max"), F.count(F.lit(1)).alias("n"))
+    iqr = F.col("q3") - F.col("q1")
+    return s.join(q, by).select(by, "n", "q1", "median", "q3",
+                                F.greatest(F.col("min"), F.col("q1") - 1.5 * iqr).alias("whisker_low"),
+                                F.least(F.col("max"), F.col("q3") + 1.5 * iqr).alias("whisker_high"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

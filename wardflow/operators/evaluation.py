@@ -5,20 +5,20 @@ points) are computed from the *distinct scores* with a two-level prefix sum,
 so no step orders all rows (or all distinct scores) in one task:
 
 1. ``groupBy(group, score)`` counts positives / negatives (map-side combine);
-2. the distinct scores are cut into ``buckets`` ranges by approximate
-   quantiles (one row with a bounded array, broadcast);
-3. a window per (group, bucket) gives the within-bucket running sums, a
-   window over the tiny per-bucket totals gives each bucket's offset;
-4. offset + running sum = counts strictly below each score.
+2. :func:`running_counts` turns them into counts strictly below each
+   score (bucketed by approximate quantiles, per-bucket windows plus
+   offsets from a tiny table).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.operators.prefix import running_counts
+
 INF = float("inf")
 
 
@@ -66,25 +66,7 @@ def score_prefix(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] =
     by = list(by)
     g = df.groupBy(*by, p).agg(F.sum(F.col(y)).cast("long").alias("pos"),
                                (F.count(F.lit(1)) - F.sum(F.col(y))).cast("long").alias("neg"))
-    probs = [i / buckets for i in range(1, buckets)]
-    # One row holding (buckets - 1) bounds: a proven size, safe to broadcast.
-    bounds = g.select(F.percentile_approx(F.col(p), probs, 10000).alias("_bounds"))
-    g = (g.crossJoin(F.broadcast(bounds))
-          .withColumn("_b", F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(p))), F.lit(0)))
-          .drop("_bounds"))
-    w_in = Window.partitionBy(*by, "_b").orderBy(p).rowsBetween(Window.unboundedPreceding, -1)
-    g = (g.withColumn("_pos_in", F.coalesce(F.sum("pos").over(w_in), F.lit(0)))
-          .withColumn("_neg_in", F.coalesce(F.sum("neg").over(w_in), F.lit(0))))
-    bt = g.groupBy(*by, "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    w_b = Window.partitionBy(*by).orderBy("_b")
-    w_all = Window.partitionBy(*by)
-    bt = bt.select(*by, "_b",
-                   F.coalesce(F.sum("_bp").over(w_b.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_po"),
-                   F.coalesce(F.sum("_bn").over(w_b.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_no"),
-                   F.sum("_bp").over(w_all).alias("total_pos"), F.sum("_bn").over(w_all).alias("total_neg"))
-    out = g.join(bt, [*by, "_b"])
-    return out.select(*by, p, "pos", "neg", (F.col("_po") + F.col("_pos_in")).alias("pos_below"),
-                      (F.col("_no") + F.col("_neg_in")).alias("neg_below"), "total_pos", "total_neg")
+    return running_counts(g, p, ["pos", "neg"], by, buckets)
 
 
 def roc_auc(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:

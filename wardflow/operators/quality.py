@@ -101,16 +101,21 @@ def dtype_counts(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, sample std, min, exact quartiles, max per column
-    (one aggregate; ``summary()`` would give approximate quartiles)."""
+    (``summary()`` would give approximate quartiles). Moments in one
+    aggregate; quartiles by the distributed exact-quantile job."""
+    from wardflow.operators.quantiles import exact_quantiles
     structs = []
     for c in columns:
         x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         structs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                                F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                                F.element_at(q, 1).alias("p25"), F.element_at(q, 2).alias("p50"),
-                                F.element_at(q, 3).alias("p75"), F.max(x).alias("max")))
-    return df.agg(F.array(*structs).alias("s")).select(F.inline("s"))
+                                F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")))
+    moments = df.agg(F.array(*structs).alias("s")).select(F.inline("s"))
+    qs = None
+    for c in columns:
+        q = (exact_quantiles(df, c, [0.25, 0.5, 0.75]).groupBy().pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
+             .toDF("p25", "p50", "p75").withColumn("column", F.lit(c)))
+        qs = q if qs is None else qs.unionByName(q)
+    return moments.join(qs, "column", "left")
 
 
 def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:

@@ -127,11 +127,11 @@ def a09_describe(spark, sf):
     ", round(median(age), 6) AS median_age FROM raw", "raw"))
 def a10_exact_quantiles(spark, sf):
     """Exact (interpolated) quantiles of length of stay, median age."""
+    from wardflow.operators.quantiles import quantile_row
     df = admissions(spark, sf)
-    q = F.percentile("length_of_stay", F.array(*[F.lit(x) for x in (0.01, 0.25, 0.5, 0.75, 0.99)]))
-    return df.agg(q.alias("q"), F.median("age").alias("median_age")).select(
-        *[F.element_at("q", i + 1).alias(f"q{int(x * 100):02d}") for i, x in enumerate((0.01, 0.25, 0.5, 0.75, 0.99))],
-        "median_age")
+    probs = (0.01, 0.25, 0.5, 0.75, 0.99)
+    return (quantile_row(df, "length_of_stay", probs, [f"q{int(x * 100):02d}" for x in probs])
+            .crossJoin(quantile_row(df, "age", [0.5], ["median_age"])))
 
 
 @register("a11_mode", with_ctes("""
