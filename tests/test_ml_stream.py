@@ -58,3 +58,14 @@ def test_stream_equals_batch(spark, tmp_path):
     streamed = spark.read.parquet(str(tmp_path / "out"))
     batch = score_admission_rows(spark.read.parquet(src), fills)
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_model_input_guards(spark):
+    from wardflow.operators.features import check_model_inputs
+    df = spark.createDataFrame([(1.0, "x", 1)], "a double, s string, readmission_30_day int")
+    check_model_inputs(df, ["a"])
+    for feats in ([], ["zz"], ["s"]):
+        with pytest.raises(ValueError):
+            check_model_inputs(df, feats)
+    with pytest.raises(ValueError):
+        check_model_inputs(df.limit(0), ["a"])

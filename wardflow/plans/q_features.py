@@ -427,3 +427,23 @@ def x05_feature_missing_summary(spark, sf):
                                         "admission_history", "risk_category", "days_since_last_admission",
                                         "admission_month")
     return feature_summary(df)[0].select("column", "missing")
+
+
+# Expected model inputs that the scoring table lacks (defaults by name rule).
+_ALIGN_EXTRA = ["has_stroke", "age_years", "insurance_type_std_Tricare", "prior_visits", "recent_admission"]
+
+
+@register("x04_scoring_alignment", with_ctes(
+    "SELECT CAST(admission_key AS BIGINT) AS admission_key, round(CAST(age AS DOUBLE), 6) AS age, "
+    "round(CAST(clinical_risk_score AS DOUBLE), 6) AS clinical_risk_score, CAST(0 AS DOUBLE) AS has_stroke, "
+    "round(CAST(age AS DOUBLE), 6) AS age_years, CAST(0 AS DOUBLE) AS insurance_type_std_Tricare, "
+    "CAST(0 AS DOUBLE) AS prior_visits, CAST(0 AS DOUBLE) AS recent_admission FROM featured_pre", "featured_pre"))
+def x04_scoring_alignment(spark, sf):
+    """Scoring rows aligned to a model's input list: missing inputs are
+    defaulted by name (dummies, flags, admissions, risk -> 0; age-like ->
+    age; else 0), in model order."""
+    from wardflow.ml.scoring import align_features
+    df = featured_pre(spark, sf).select("admission_key", "age", "clinical_risk_score")
+    aligned, missing = align_features(df, ["age", "clinical_risk_score"] + _ALIGN_EXTRA)
+    assert missing == _ALIGN_EXTRA
+    return aligned

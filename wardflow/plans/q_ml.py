@@ -143,6 +143,14 @@ def m05_random_forest(spark, sf):
     return TR.score(res.model, test).select("admission_key", "probability_1", "predicted")
 
 
+@register("m09_custom_threshold")
+def m09_custom_threshold(spark, sf):
+    """Class from probability >= 0.3 instead of the model's 0.5 cut."""
+    res, df = _fit(spark, sf, "logistic_regression")
+    _, test = TR.stratified_split(df)
+    return TR.score(res.model, test, threshold=0.3).groupBy("predicted").count()
+
+
 @register("m07_fit_metrics")
 def m07_fit_metrics(spark, sf):
     """Clinical metric rows on the training and the held-out part."""
