@@ -123,16 +123,18 @@ def exploded_codes(df: DataFrame, key: str, column: str = "diagnosis_codes") ->
     return df.select(key, F.explode(tokenize_codes(column)).alias("token"))
 
 
-def condition_pairs(df: DataFrame, key: str, column: str = "diagnosis_codes") -> DataFrame:
-    """Distinct (key, condition) pairs found in each row's code string."""
+def condition_pairs(df: DataFrame, key: str, column: str = "diagnosis_codes", distinct: bool = True) -> DataFrame:
+    """(key, condition) pairs found in each row's code string (repeats
+    removed unless ``distinct=False``)."""
     tokens = exploded_codes(df, key, column)
     mapping = resolve_tokens(tokens)
-    return tokens.join(mapping, "token").select(key, "condition").distinct()
+    pairs = tokens.join(mapping, "token").select(key, "condition")
+    return pairs.distinct() if distinct else pairs
 
 
 def create_condition_features(df: DataFrame, key: str, column: str = "diagnosis_codes") -> DataFrame:
     """K5: add the seven ``has_<condition>`` 0/1 columns (0 when no code)."""
-    pairs = condition_pairs(df, key, column)
+    pairs = condition_pairs(df, key, column, distinct=False)  # max() below absorbs repeats
     flags = pairs.groupBy(key).agg(*[
         F.max((F.col("condition") == c).cast("int")).alias(f"has_{c}") for c in CONDITIONS])
     out = df.join(flags, key, "left")

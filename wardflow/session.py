@@ -22,6 +22,17 @@ _DEFAULTS = {
 }
 
 
+# Cluster sizing (tens of TB): start shuffles wide and let AQE coalesce small
+# partitions to ~256 MB; split skewed ones; scan files in 256 MB splits.
+# Explicit settings passed in ``extra`` (or by spark-submit) win.
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "wardflow",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -34,13 +45,18 @@ def build_session(master: str | None = None, app_name: str = "wardflow",
     conf = dict(_DEFAULTS)
     if master:
         builder = builder.master(master)
-        if master.startswith("local"):
-            # Local mode: the driver JVM is the only executor.
-            conf["spark.driver.memory"] = os.environ.get("WARDFLOW_DRIVER_MEMORY", "16g")
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is the only executor.
+        conf["spark.driver.memory"] = os.environ.get("WARDFLOW_DRIVER_MEMORY", "16g")
+    else:
+        conf.update(CLUSTER_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    active = SparkSession.getActiveSession()
     for k, v in conf.items():
+        if k in CLUSTER_DEFAULTS and active is not None and active.conf.get(k, None) not in (None, ""):
+            continue
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
