@@ -53,9 +53,10 @@ def build_session(master: str | None = None, app_name: str = "wardflow",
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
-    active = SparkSession.getActiveSession()
+    from pyspark import SparkConf
+    submitted = SparkConf()  # values given to spark-submit / spark-defaults
     for k, v in conf.items():
-        if k in CLUSTER_DEFAULTS and active is not None and active.conf.get(k, None) not in (None, ""):
+        if k in CLUSTER_DEFAULTS and submitted.contains(k):
             continue
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
