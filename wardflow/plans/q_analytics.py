@@ -487,7 +487,16 @@ def a35_exploration_summary(spark, sf):
 _E37 = ["accuracy", "precision", "recall", "f1", "roc_auc"]
 
 
-@register("a37_model_comparison_table", None)
+def _a37_sql() -> str:
+    from wardflow.plans.q_evaluation import RATES, _RATES2
+    a = f"SELECT r.accuracy, r.precision, r.recall, r.f1, x.roc_auc FROM ({RATES}) r CROSS JOIN ({auc_sql('scored', 'p')}) x"
+    b = f"SELECT r.accuracy, r.precision, r.recall, r.f1, x.roc_auc FROM ({_RATES2}) r CROSS JOIN ({auc_sql('scored', 'p2')}) x"
+    parts = " UNION ALL ".join(f"SELECT '{m}' AS metric, round(a.{m}, 6) AS \"Demo score\", round(b.{m}, 6) AS \"Index score\" "
+                               f"FROM ({a}) a CROSS JOIN ({b}) b" for m in _E37)
+    return parts
+
+
+@register("a37_model_comparison_table", with_ctes(_a37_sql(), "scored"))
 def a37_model_comparison_table(spark, sf):
     """Metric per row, one column per model (unpivot + pivot)."""
     df = scored(spark, sf)

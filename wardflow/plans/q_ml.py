@@ -56,6 +56,14 @@ def s01_csv_round_trip(spark, sf):
     return RD.load_raw_data(spark, path, "csv", schema=RAW_SCHEMA)
 
 
+@register("s02_csv_inferred_schema", with_ctes(out_sql(_CSV_SPEC, "raw"), "raw"))
+def s02_csv_inferred_schema(spark, sf):
+    """Raw rows -> CSV -> CSV source with inferred column types."""
+    path = scratch(spark, "csv-infer")
+    SK.write_csv(admissions(spark, sf), path)
+    return RD.load_raw_data(spark, path, "csv", infer=True)
+
+
 @register("s03_json_round_trip", with_ctes(out_sql(RAW_SPEC, "raw"), "raw"))
 def s03_json_round_trip(spark, sf):
     """Raw rows -> JSON lines sink -> JSON source."""
