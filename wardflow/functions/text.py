@@ -34,14 +34,21 @@ def col_(c: Column | str) -> Column:
 
 def title_case(c: Column | str) -> Column:
     """Python ``str.title`` semantics: a letter is upper-cased when the
-    character before it is not a letter, every other letter is lower-cased.
-    (``initcap`` only restarts words after white space: 'self-pay' ->
-    'Self-pay', while the expected form is 'Self-Pay'.)"""
-    chars = F.split(col_(c), "")
-    return F.array_join(
-        F.transform(chars, lambda x, i: F.when(
-            (i == 0) | ~F.element_at(chars, i).rlike(r"\p{L}"), F.upper(x)).otherwise(F.lower(x))),
-        "")
+    character before it is not a cased letter, every other letter is
+    lower-cased. (``initcap`` only restarts words after white space:
+    'self-pay' -> 'Self-pay', while the expected form is 'Self-Pay'.)
+    A character is cased when its upper and lower forms differ."""
+    c = col_(c)
+    chars = F.split(c, "")
+
+    def step(x, i):
+        prev = F.element_at(chars, i)
+        return F.when((i == 0) | (F.upper(prev) == F.lower(prev)), F.upper(x)).otherwise(F.lower(x))
+
+    # Strings that are already one lower/upper-case-insensitive word skip the per-character pass.
+    simple = c.rlike(r"^[A-Za-z]*$")
+    fast = F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    return F.when(simple, fast).otherwise(F.array_join(F.transform(chars, step), ""))
 
 
 def standardize_gender(c: Column | str) -> Column:

@@ -447,3 +447,22 @@ def x04_scoring_alignment(spark, sf):
     aligned, missing = align_features(df, ["age", "clinical_risk_score"] + _ALIGN_EXTRA)
     assert missing == _ALIGN_EXTRA
     return aligned
+
+
+_BOUNDED_SQL = """
+  SELECT admission_key,
+    CASE WHEN d IS NOT NULL THEN count(*) OVER w END AS admissions_in_365d,
+    CASE WHEN d IS NOT NULL THEN avg(length_of_stay) OVER w END AS avg_los_in_365d,
+    CASE WHEN d IS NOT NULL THEN avg(emergency_admission) OVER w END AS emergency_rate_in_365d
+  FROM (SELECT *, date_diff('day', DATE '1970-01-01', CAST(admission_date AS DATE)) AS d FROM clean)
+  WINDOW w AS (PARTITION BY patient_id ORDER BY d RANGE BETWEEN 365 PRECEDING AND CURRENT ROW)"""
+
+
+@register("w02_admissions_in_365d_window", with_ctes(out_sql(
+    "admission_key:i admissions_in_365d:i avg_los_in_365d:d emergency_rate_in_365d:d", f"({_BOUNDED_SQL})"), "clean"))
+def w02_admissions_in_365d_window(spark, sf):
+    """Per-patient admissions, mean stay and emergency rate over the
+    admissions of the 365 days up to the admission day (documented form)."""
+    from wardflow.operators.temporal import bounded_aggregates
+    return bounded_aggregates(cleaned(spark, sf)).select("admission_key", "admissions_in_365d", "avg_los_in_365d",
+                                                         "emergency_rate_in_365d")

@@ -53,7 +53,7 @@ def with_ctes(select: str, *names: str) -> str:
 def title_sql(x: str) -> str:
     """Python ``str.title`` on a text expression."""
     return ("array_to_string(list_transform(generate_series(1, length({x})), lambda i: "
-            "CASE WHEN i = 1 OR NOT regexp_matches(substr({x}, i - 1, 1), '\\pL') "
+            "CASE WHEN i = 1 OR upper(substr({x}, i - 1, 1)) = lower(substr({x}, i - 1, 1)) "
             "THEN upper(substr({x}, i, 1)) ELSE lower(substr({x}, i, 1)) END), '')").format(x=x)
 
 
