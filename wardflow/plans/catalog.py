@@ -22,6 +22,9 @@ ORACLE: dict[str, str] = {}
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Text dates are wall-clock values: evaluate them in UTC so that
+            # day arithmetic never crosses a daylight-saving shift.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return finalize(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
