@@ -25,3 +25,11 @@ def test_quantile_columns_one_row(spark):
     df = spark.createDataFrame([(float(i), float(i % 5)) for i in range(1, 11)], "a double, b double")
     row = quantile_columns(df, {"a_med": ("a", 0.5), "b_p90": ("b", 0.9)}).first()
     assert row.a_med == pytest.approx(5.5) and row.b_p90 == pytest.approx(float(np.quantile([i % 5 for i in range(1, 11)], 0.9)))
+
+
+def test_quantile_columns_distributed_path(spark):
+    df = spark.createDataFrame([(float(i) / 3, float(i % 7)) for i in range(1, 500)], "a double, b double")
+    specs = {"a_p01": ("a", 0.01), "a_med": ("a", 0.5), "b_p75": ("b", 0.75)}
+    small = quantile_columns(df, specs).first().asDict()
+    big = quantile_columns(df, specs, small_distinct=0).first().asDict()
+    assert small == pytest.approx(big)
