@@ -160,9 +160,10 @@ def a13_distinct_with_null(spark, sf):
     return QA.distinct_with_null(admissions(spark, sf), "admission_date")
 
 
-def _rate_sql(group: str, src: str = "featured_pre", name: str | None = None) -> str:
+def _rate_sql(group: str, src: str = "featured_pre", name: str | None = None, integer: bool = False) -> str:
     name = name or group
-    return (f"SELECT {group} AS {name}, round(avg(readmission_30_day), 6) AS rate, CAST(count(*) AS BIGINT) AS n "
+    key = f"CAST({group} AS BIGINT)" if integer else group
+    return (f"SELECT {key} AS {name}, round(avg(readmission_30_day), 6) AS rate, CAST(count(*) AS BIGINT) AS n "
             f"FROM {src} WHERE {group} IS NOT NULL GROUP BY 1")
 
 
@@ -183,13 +184,13 @@ def a14_rate_by_stay_group(spark, sf):
 
 
 @register("a14_rate_by_previous_admissions", with_ctes(
-    _rate_sql("previous_admissions", "raw") + " ORDER BY 1 LIMIT 6", "raw"))
+    _rate_sql("previous_admissions", "raw", integer=True) + " ORDER BY 1 LIMIT 6", "raw"))
 def a14_rate_by_previous_admissions(spark, sf):
     """Rate by previous admissions, first six values in key order."""
     return AN.rate_by(admissions(spark, sf), "previous_admissions").orderBy("previous_admissions").limit(6)
 
 
-@register("a14_rate_by_emergency", with_ctes(_rate_sql("emergency_admission", "raw"), "raw"))
+@register("a14_rate_by_emergency", with_ctes(_rate_sql("emergency_admission", "raw", integer=True), "raw"))
 def a14_rate_by_emergency(spark, sf):
     """Rate for scheduled vs emergency admissions."""
     return AN.rate_by(admissions(spark, sf), "emergency_admission")
@@ -203,7 +204,8 @@ def a15_rate_by_admission_pattern(spark, sf):
 
 
 @register("a15_rate_by_recent_and_frequent", with_ctes(
-    "SELECT recent_admission, frequent_readmitter, round(avg(readmission_30_day), 6) AS rate, CAST(count(*) AS BIGINT) AS n "
+    "SELECT CAST(recent_admission AS BIGINT) AS recent_admission, CAST(frequent_readmitter AS BIGINT) AS frequent_readmitter, "
+    "round(avg(readmission_30_day), 6) AS rate, CAST(count(*) AS BIGINT) AS n "
     "FROM featured_pre GROUP BY 1, 2", "featured_pre"))
 def a15_rate_by_recent_and_frequent(spark, sf):
     """Rate per (recent admission, frequent readmitter) combination."""
@@ -247,7 +249,7 @@ def a18_correlation_matrix(spark, sf):
 
 
 @register("a19_crosstab_row_share", with_ctes(
-    "SELECT admission_pattern, readmission_30_day, CAST(n AS BIGINT) AS n, round(n / sum(n) OVER (PARTITION BY admission_pattern), 6) AS share "
+    "SELECT admission_pattern, CAST(readmission_30_day AS BIGINT) AS readmission_30_day, CAST(n AS BIGINT) AS n, round(n / sum(n) OVER (PARTITION BY admission_pattern), 6) AS share "
     "FROM (SELECT admission_pattern, readmission_30_day, count(*) AS n FROM featured_pre GROUP BY 1, 2)", "featured_pre"))
 def a19_crosstab_row_share(spark, sf):
     """Admission pattern x outcome, shares within each pattern."""
@@ -255,7 +257,8 @@ def a19_crosstab_row_share(spark, sf):
 
 
 @register("a20_crosstab_agreement", with_ctes(
-    "SELECT pred, pred2, CAST(count(*) AS BIGINT) AS n FROM scored GROUP BY 1, 2", "scored"))
+    "SELECT CAST(pred AS BIGINT) AS pred, CAST(pred2 AS BIGINT) AS pred2, CAST(count(*) AS BIGINT) AS n "
+    "FROM scored GROUP BY 1, 2", "scored"))
 def a20_crosstab_agreement(spark, sf):
     """Counts of the two rules' predictions against each other."""
     return AN.crosstab_counts(scored(spark, sf), "pred", "pred2")
@@ -263,9 +266,10 @@ def a20_crosstab_agreement(spark, sf):
 
 def _hist_sql(col: str, bins: int, src: str, by: str | None = None) -> str:
     grp = f"{by}, " if by else ""
+    out_grp = f"CAST({by} AS BIGINT) AS {by}, " if by else ""
     part = f"PARTITION BY {by}" if by else ""
     return f"""
-SELECT {grp}CAST(bin AS BIGINT) AS bin, CAST(n AS BIGINT) AS n, round(lower_edge, 6) AS lower_edge,
+SELECT {out_grp}CAST(bin AS BIGINT) AS bin, CAST(n AS BIGINT) AS n, round(lower_edge, 6) AS lower_edge,
        round(n / (sum(n) OVER ({part}) * w), 6) AS density FROM (
   SELECT {grp}bin, count(*) AS n, first(mn + bin * w) AS lower_edge, first(w) AS w FROM (
     SELECT {grp}CAST(coalesce(least({bins - 1}, floor(({col} - mn) * {float(bins)} / (mx - mn))), 0) AS INTEGER) AS bin,
@@ -376,7 +380,8 @@ def a28_error_rate_by_age_group(spark, sf):
 
 
 @register("a29_high_risk_by_correct", with_ctes(
-    f"SELECT high_risk_patient, CAST({_ERR} = 'Correct' AS INTEGER) AS correct, CAST(count(*) AS BIGINT) AS n "
+    f"SELECT CAST(high_risk_patient AS BIGINT) AS high_risk_patient, CAST({_ERR} = 'Correct' AS BIGINT) AS correct, "
+    f"CAST(count(*) AS BIGINT) AS n "
     f"FROM scored GROUP BY 1, 2", "scored"))
 def a29_high_risk_by_correct(spark, sf):
     """2 x 2 counts: high-risk flag by correct prediction."""
