@@ -29,3 +29,28 @@ def test_matches_plain_window(spark):
     assert a == b
     nulls = got.where(F.col("e").isNull()).collect()
     assert all(r.seq is None for r in nulls) and len(a) + len(nulls) == 3000
+
+
+def test_bounded_aggregates_match_range_window(spark):
+    from wardflow.operators.temporal import bounded_aggregates
+    rnd = random.Random(9)
+    rows = []
+    for k in range(2000):
+        p = "hot" if rnd.random() < 0.35 else f"p{rnd.randint(0, 40)}"
+        d = None if rnd.random() < 0.03 else dt.datetime(2019, 1, 1) + dt.timedelta(days=rnd.randint(0, 900))
+        rows.append((k, p, d, float(rnd.randint(1, 9)), float(rnd.randint(0, 1))))
+    df = spark.createDataFrame(rows, "k long, patient_id string, admission_date timestamp, length_of_stay double, "
+                                     "emergency_admission double")
+    got = {r.k: (r.admissions_in_365d, r.avg_los_in_365d, r.emergency_rate_in_365d)
+           for r in bounded_aggregates(df).collect()}
+    day = F.datediff(F.to_date("admission_date"), F.lit("1970-01-01").cast("date"))
+    w = Window.partitionBy("patient_id").orderBy("_d").rangeBetween(-365, 0)
+    exp = df.withColumn("_d", day).select(
+        "k", F.when(F.col("_d").isNotNull(), F.count(F.lit(1)).over(w)).alias("n"),
+        F.when(F.col("_d").isNotNull(), F.avg("length_of_stay").over(w)).alias("los"),
+        F.when(F.col("_d").isNotNull(), F.avg("emergency_admission").over(w)).alias("em"))
+    for r in exp.collect():
+        g = got[r.k]
+        assert g[0] == r.n
+        assert (g[1] is None and r.los is None) or abs(g[1] - r.los) < 1e-9
+        assert (g[2] is None and r.em is None) or abs(g[2] - r.em) < 1e-9

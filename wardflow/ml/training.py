@@ -49,14 +49,18 @@ def stratified_rank(df: DataFrame, label: str = "label", key: str = "admission_k
 
 
 def stratified_split(df: DataFrame, label: str = "label", key: str = "admission_key",
-                     test_fraction: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+                     test_fraction: float = 0.2, seed: int = 42, store: bool = False) -> tuple[DataFrame, DataFrame]:
     """M1: exact stratified split: the first round(f * n_class) rows of each
-    class in the seeded hash order form the test part."""
+    class in the seeded hash order form the test part. ``store=True`` writes
+    the labelled rows once (checkpoint folder), so the several passes of a
+    fit read stored rows instead of recomputing the ranking."""
     r = stratified_rank(df, label, key, seed)
     is_test = F.col("_rank") <= F.round(F.col("_class_n") * F.lit(test_fraction))
-    r = r.withColumn("_test", is_test)
-    return (r.where(~F.col("_test")).drop("_rank", "_class_n", "_test"),
-            r.where(F.col("_test")).drop("_rank", "_class_n", "_test"))
+    r = r.withColumn("_test", is_test).drop("_rank", "_class_n")
+    if store:
+        from wardflow.session import materialize
+        r = materialize(r, "split")
+    return r.where(~F.col("_test")).drop("_test"), r.where(F.col("_test")).drop("_test")
 
 
 def with_folds(df: DataFrame, k: int = 5, label: str = "label", key: str = "admission_key",
@@ -116,13 +120,15 @@ class FitResult:
     test_metrics: DataFrame
     training_seconds: float
     history: dict = field(default_factory=dict)
+    train: DataFrame | None = None
+    test: DataFrame | None = None
 
 
 def fit(df: DataFrame, features: list[str], model_type: str = "logistic_regression",
         test_fraction: float = 0.2, seed: int = 42, C: float = 1.0, penalty: str = "l2",
         **params) -> FitResult:
     """M7: split, scale, train, score both parts, metric rows, timing."""
-    train, test = stratified_split(df, "label", "admission_key", test_fraction, seed)
+    train, test = stratified_split(df, "label", "admission_key", test_fraction, seed, store=True)
     if model_type == "logistic_regression" and "regParam" not in params:
         params.update(lr_params(C, penalty, train.count()))
     t0 = time.time()
@@ -136,7 +142,8 @@ def fit(df: DataFrame, features: list[str], model_type: str = "logistic_regressi
 
     return FitResult(model, model_type, list(features), metrics(train, f"{model_type}:train"),
                      metrics(test, f"{model_type}:test"), took,
-                     {"n_features": len(features), "training_seconds": took, "params": dict(params)})
+                     {"n_features": len(features), "training_seconds": took, "params": dict(params)},
+                     train, test)
 
 
 def feature_importance(result: FitResult, top_n: int | None = 10) -> DataFrame:

@@ -128,35 +128,31 @@ def _fit(spark, sf, model_type):
 @register("m03_logistic_regression")
 def m03_logistic_regression(spark, sf):
     """L2 logistic regression (C = 1): held-out probabilities."""
-    res, df = _fit(spark, sf, "logistic_regression")
-    _, test = TR.stratified_split(df)
-    return TR.score(res.model, test).select("admission_key", "probability_1", "predicted")
+    res, _ = _fit(spark, sf, "logistic_regression")
+    return TR.score(res.model, res.test).select("admission_key", "probability_1", "predicted")
 
 
 @register("m04_decision_tree")
 def m04_decision_tree(spark, sf):
     """Decision tree (gini, deepest allowed): held-out predictions + shape."""
-    res, df = _fit(spark, sf, "decision_tree")
-    _, test = TR.stratified_split(df)
+    res, _ = _fit(spark, sf, "decision_tree")
     shape = TR.tree_shape(res)
-    return (TR.score(res.model, test).select("admission_key", "probability_1", "predicted")
+    return (TR.score(res.model, res.test).select("admission_key", "probability_1", "predicted")
             .withColumn("tree_depth", F.lit(shape["depth"])).withColumn("tree_leaves", F.lit(shape["leaves"])))
 
 
 @register("m05_random_forest")
 def m05_random_forest(spark, sf):
     """Random forest (100 trees): held-out probabilities."""
-    res, df = _fit(spark, sf, "random_forest")
-    _, test = TR.stratified_split(df)
-    return TR.score(res.model, test).select("admission_key", "probability_1", "predicted")
+    res, _ = _fit(spark, sf, "random_forest")
+    return TR.score(res.model, res.test).select("admission_key", "probability_1", "predicted")
 
 
 @register("m09_custom_threshold")
 def m09_custom_threshold(spark, sf):
     """Class from probability >= 0.3 instead of the model's 0.5 cut."""
-    res, df = _fit(spark, sf, "logistic_regression")
-    _, test = TR.stratified_split(df)
-    return TR.score(res.model, test, threshold=0.3).groupBy("predicted").count()
+    res, _ = _fit(spark, sf, "logistic_regression")
+    return TR.score(res.model, res.test, threshold=0.3).groupBy("predicted").count()
 
 
 @register("m07_fit_metrics")
