@@ -64,10 +64,16 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "admission_
 
 
 def with_folds(df: DataFrame, k: int = 5, label: str = "label", key: str = "admission_key",
-               seed: int = 42, fold_col: str = "fold") -> DataFrame:
-    """Stratified fold ids 0..k-1 from the class-wise hash rank."""
+               seed: int = 42, fold_col: str = "fold", store: bool = False) -> DataFrame:
+    """Stratified fold ids 0..k-1 from the class-wise hash rank.
+    ``store=True`` writes the folded rows once: a search filters them 2k
+    times and must not recompute the ranking each time."""
     r = stratified_rank(df, label, key, seed)
-    return r.withColumn(fold_col, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank", "_class_n")
+    out = r.withColumn(fold_col, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank", "_class_n")
+    if store:
+        from wardflow.session import materialize
+        out = materialize(out, "folds")
+    return out
 
 
 def classifier(model_type: str, **params):
@@ -179,7 +185,7 @@ def cross_validate(df: DataFrame, features: list[str], model_type: str = "logist
                    grid=None, parallelism: int = 4, seed: int = 42, **params) -> DataFrame:
     """K-fold CV (scaler fitted inside each fold) over a grid;
     one row per candidate with mean / population-std AUC."""
-    folded = with_folds(df, k, seed=seed)
+    folded = with_folds(df, k, seed=seed, store=True)
     pipe = build_pipeline(features, model_type, **params)
     clf = pipe.getStages()[-1]
     grid = grid if grid is not None else ParamGridBuilder().build()
@@ -227,7 +233,7 @@ def grid_search(df: DataFrame, features: list[str], model_type: str, k: int = 5,
         grid = tree_grid(clf)
     else:
         raise ValueError(f"No grid for model type: {model_type}")
-    folded = with_folds(df, k)
+    folded = with_folds(df, k, store=True)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=auc_evaluator(), foldCol="fold",
                         numFolds=k, parallelism=parallelism)
     model = cv.fit(folded)
@@ -264,8 +270,9 @@ def learning_curve(df: DataFrame, features: list[str], model_type: str = "logist
                    fractions=(0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0), seed: int = 42) -> DataFrame:
     """Fit on nested prefixes (by the seeded hash rank) of the training
     part; AUC on that prefix and on the test part."""
-    train, test = stratified_split(df, seed=seed)
-    ranked = stratified_rank(train, seed=seed + 1)
+    from wardflow.session import materialize
+    train, test = stratified_split(df, seed=seed, store=True)
+    ranked = materialize(stratified_rank(train, seed=seed + 1), "curve")
     spark = df.sparkSession
     ev = auc_evaluator()
     rows = []
