@@ -460,18 +460,34 @@ def a32_importance_by_category(spark, sf):
     return imp.join(F.broadcast(cats), "feature").groupBy("category").agg(F.sum("importance").alias("importance"))
 
 
-@register("a33_best_model", with_ctes(
-    f"SELECT CASE WHEN a.roc_auc >= b.roc_auc THEN 'Demo score' ELSE 'Index score' END AS best_by_auc, "
-    f"round(greatest(a.roc_auc, b.roc_auc), 6) AS best_auc "
-    f"FROM ({auc_sql('scored', 'p')}) a CROSS JOIN ({auc_sql('scored', 'p2')}) b", "scored"))
+def _a33_sql() -> str:
+    from wardflow.plans.q_evaluation import _ece_sql
+    return (f"SELECT CASE WHEN a.roc_auc >= b.roc_auc THEN 'Demo score' ELSE 'Index score' END AS best_by_auc, "
+            f"round(greatest(a.roc_auc, b.roc_auc), 6) AS best_auc, "
+            f"CASE WHEN a.roc_auc >= b.roc_auc AND ea.ece <= eb.ece THEN 'Demo score' ELSE 'Index score' END "
+            f"AS recommended FROM ({auc_sql('scored', 'p')}) a CROSS JOIN ({auc_sql('scored', 'p2')}) b "
+            f"CROSS JOIN ({_ece_sql('p')}) ea CROSS JOIN ({_ece_sql('p2')}) eb")
+
+
+@register("a33_best_model", with_ctes(_a33_sql(), "scored"))
 def a33_best_model(spark, sf):
-    """Model with the highest ROC-AUC (first listed wins ties)."""
+    """Model with the highest ROC-AUC (first listed wins ties), and the
+    recommendation rule: the first model if its AUC is not lower and its
+    calibration error not higher, else the second."""
     df = scored(spark, sf)
     rows = (EV.roc_auc(df, "y", "p").select(F.lit("Demo score").alias("model"), F.lit(0).alias("ord"), "roc_auc")
             .unionByName(EV.roc_auc(df, "y", "p2").select(F.lit("Index score").alias("model"), F.lit(1).alias("ord"),
                                                            "roc_auc")))
-    return rows.agg(F.min_by("model", F.struct(-F.col("roc_auc"), F.col("ord"))).alias("best_by_auc"),
+    best = rows.agg(F.min_by("model", F.struct(-F.col("roc_auc"), F.col("ord"))).alias("best_by_auc"),
                     F.max("roc_auc").alias("best_auc"))
+    a = EV.roc_auc(df, "y", "p").withColumnRenamed("roc_auc", "_aa")
+    b = EV.roc_auc(df, "y", "p2").withColumnRenamed("roc_auc", "_ab")
+    ea = EV.expected_calibration_error(df, "y", "p").select(F.col("ece").alias("_ea"))
+    eb = EV.expected_calibration_error(df, "y", "p2").select(F.col("ece").alias("_eb"))
+    rule = a.crossJoin(b).crossJoin(ea).crossJoin(eb).select(
+        F.when((F.col("_aa") >= F.col("_ab")) & (F.col("_ea") <= F.col("_eb")), "Demo score")
+        .otherwise("Index score").alias("recommended"))
+    return best.crossJoin(rule)
 
 
 @register("a35_exploration_summary", with_ctes("""

@@ -99,4 +99,27 @@ def materialize(df, label: str = "stage"):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/wardflow-{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _STORED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_STORED: list[str] = []
+
+
+def stored_stages() -> list[str]:
+    """Folders written by :func:`materialize` in this process."""
+    return list(_STORED)
+
+
+def release_stored_stages(spark) -> int:
+    """Delete the folders written by :func:`materialize` (call when a job's
+    results are written; DataFrames read from them become invalid).
+    Uses the Hadoop file system of each path, so it works on shared storage."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _STORED:
+        p = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        if p.getFileSystem(conf).delete(p, True):
+            n += 1
+    return n
