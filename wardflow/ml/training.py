@@ -187,7 +187,6 @@ def cross_validate(df: DataFrame, features: list[str], model_type: str = "logist
     one row per candidate with mean / population-std AUC."""
     folded = with_folds(df, k, seed=seed, store=True)
     pipe = build_pipeline(features, model_type, **params)
-    clf = pipe.getStages()[-1]
     grid = grid if grid is not None else ParamGridBuilder().build()
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=auc_evaluator(), foldCol="fold",
                         numFolds=k, parallelism=parallelism, collectSubModels=False)
@@ -197,19 +196,16 @@ def cross_validate(df: DataFrame, features: list[str], model_type: str = "logist
     for pm, mean, std in zip(grid or [{}], model.avgMetrics, model.stdMetrics):
         desc = ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
         rows.append((model_type, desc or "default", float(mean), float(std)))
-    del clf
     return spark.createDataFrame(rows, "model string, params string, cv_auc_mean double, cv_auc_std double")
 
 
 def lr_grid(pipe_clf: LogisticRegression, n_train: int):
     """C x penalty, expressed as regParam x elasticNetParam."""
-    b = ParamGridBuilder()
     maps = []
     for C in LR_GRID["C"]:
         for pen in LR_GRID["penalty"]:
             p = lr_params(C, pen, n_train)
             maps.append({pipe_clf.regParam: p["regParam"], pipe_clf.elasticNetParam: p["elasticNetParam"]})
-    del b
     return maps
 
 

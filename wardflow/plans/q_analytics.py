@@ -56,11 +56,12 @@ def a03_mostly_missing_columns(spark, sf):
 _DUP_COLS = [c for c in RAW_COLUMNS if c != "admission_key"]
 
 
+_DUP_LIST = ", ".join(_DUP_COLS)
+
+
 @register("a04_duplicate_rows", with_ctes(
-    f"SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicates FROM (SELECT count(*) AS c FROM raw GROUP BY ALL_COLS)"
-    .replace("GROUP BY ALL_COLS", "GROUP BY " + ", ".join(_DUP_COLS)).replace("SELECT count(*) AS c FROM raw",
-                                                                             "SELECT " + ", ".join(_DUP_COLS) + ", count(*) AS c FROM raw"),
-    "raw"))
+    f"SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicates FROM "
+    f"(SELECT {_DUP_LIST}, count(*) AS c FROM raw GROUP BY {_DUP_LIST})", "raw"))
 def a04_duplicate_rows(spark, sf):
     """Rows equal to an earlier row on every column but the key (nulls equal)."""
     return QA.duplicate_count(admissions(spark, sf).select(*_DUP_COLS))
@@ -316,10 +317,9 @@ def a23_condition_prevalence_sorted(spark, sf):
     return K.condition_summary(coded(spark, sf)).select("condition", "prevalence").orderBy(F.col("prevalence").desc())
 
 
-@register("a24_comorbidity_distribution", with_ctes("""
-SELECT CAST(comorbidity_count AS BIGINT) AS comorbidity_count, CAST(count(*) AS BIGINT) AS n,
-       round(avg(avg(comorbidity_count)) OVER (), 6) AS overall_mean_dummy FROM featured_pre GROUP BY 1""".replace(
-    ",\n       round(avg(avg(comorbidity_count)) OVER (), 6) AS overall_mean_dummy", ""), "featured_pre"))
+@register("a24_comorbidity_distribution", with_ctes(
+    "SELECT CAST(comorbidity_count AS BIGINT) AS comorbidity_count, CAST(count(*) AS BIGINT) AS n "
+    "FROM featured_pre GROUP BY 1", "featured_pre"))
 def a24_comorbidity_distribution(spark, sf):
     """Admissions per comorbidity count."""
     return featured_pre(spark, sf).groupBy("comorbidity_count").agg(F.count(F.lit(1)).alias("n"))

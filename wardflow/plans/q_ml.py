@@ -249,7 +249,7 @@ def _stream_fills_sql() -> str:
 
 
 def _r01_sql() -> str:
-    from wardflow.plans.sql import gender_sql, insurance_sql, title_sql
+    from wardflow.plans.sql import gender_sql, title_sql
     from wardflow.plans.q_features import demo_score_sql, tier_sql, advice_sql
     from wardflow.functions.clinical import APP_ADVICE
     from wardflow.operators.codes import CONDITIONS
@@ -263,8 +263,7 @@ FROM raw r CROSS JOIN {_stream_fills_sql()} s LEFT JOIN rflags f ON r.admission_
     return f"""SELECT CAST(admission_key AS BIGINT) AS admission_key, patient_id, round(age, 6) AS age, gender,
        round(length_of_stay, 6) AS length_of_stay, round(emergency_admission, 6) AS emergency_admission,
        round({demo_score_sql()}, 6) AS risk_probability, {tier_sql(demo_score_sql())} AS risk_category,
-       {advice_sql(tier_sql(demo_score_sql()), APP_ADVICE)} AS recommendations FROM ({base})""" + (
-        "" if insurance_sql else "")
+       {advice_sql(tier_sql(demo_score_sql()), APP_ADVICE)} AS recommendations FROM ({base})"""
 
 
 def _rflags_cte():
