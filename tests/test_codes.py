@@ -3,7 +3,7 @@
 import pytest
 
 from wardflow.operators import codes as K
-from wardflow.streaming.scoring_stream import condition_flags
+from wardflow.operators.codes import condition_flags
 
 GOLDEN = [
     ("250.00;401.9", {"diabetes", "hypertension"}),
@@ -45,7 +45,7 @@ def test_flags_default_zero(spark, golden_df):
 
 def test_rowwise_flags_equal_relational(spark, golden_df):
     rel = {r["k"]: tuple(r[f] for f in K.FLAG_COLUMNS)
-           for r in K.create_condition_features(golden_df, "k").collect()}
+           for r in K.create_condition_features(golden_df, "k", method="join").collect()}
     row = {r["k"]: tuple(r[f] for f in K.FLAG_COLUMNS)
            for r in golden_df.withColumns(condition_flags(golden_df["diagnosis_codes"])).collect()}
     assert rel == row

@@ -11,6 +11,11 @@ Plan shape (no Python UDF, nothing collected):
 3. join the token -> condition map back to the exploded tokens (AQE turns
    it into a broadcast when the measured map is small), pivot the seven
    fixed conditions per row key and left-join the flags to the rows.
+
+Per-row flags default to the shuffle-free form (:func:`condition_flags`):
+the dictionary has a fixed size, so each token is resolved in place by a
+map probe, with the ordered prefix scan only for unmapped tokens. The
+relational form above serves the token-level reports and ``method="join"``.
 """
 
 from __future__ import annotations
@@ -132,8 +137,44 @@ def condition_pairs(df: DataFrame, key: str, column: str = "diagnosis_codes", di
     return pairs.distinct() if distinct else pairs
 
 
-def create_condition_features(df: DataFrame, key: str, column: str = "diagnosis_codes") -> DataFrame:
-    """K5: add the seven ``has_<condition>`` 0/1 columns (0 when no code)."""
+def _dictionary_array() -> Column:
+    """The dictionary in order, each entry with its stem (text before '.')."""
+    return F.array(*[F.struct(F.lit(c).alias("code"), F.lit(c.split(".")[0]).alias("stem"),
+                              F.lit(k).alias("condition")) for _, c, _, k in code_rows()])
+
+
+def _dictionary_map() -> Column:
+    return F.create_map(*[x for _, c, _, k in code_rows() for x in (F.lit(c), F.lit(k))])
+
+
+def token_condition(token: Column) -> Column:
+    """Condition of one token without any join: exact hit in the 96-entry
+    map literal, else (only then) the first dictionary entry matched by the
+    two-way stem prefix rule, else null."""
+    d = _dictionary_array()
+    stem = F.split_part(token, F.lit("."), F.lit(1))
+    loose = F.filter(d, lambda e: F.startswith(token, e["stem"]) | F.startswith(e["code"], stem))
+    return F.coalesce(F.try_element_at(_dictionary_map(), token), F.try_element_at(loose, F.lit(1))["condition"])
+
+
+def condition_flags(codes: Column | str) -> dict[str, Column]:
+    """Row-wise ``has_<condition>`` flags: tokens resolved in place against
+    the fixed-size dictionary (no shuffle, no state; also used by streams)."""
+    conds = F.transform(tokenize_codes(codes), token_condition)
+    return {f"has_{c}": F.coalesce(F.array_contains(conds, F.lit(c)), F.lit(False)).cast("int") for c in CONDITIONS}
+
+
+def create_condition_features(df: DataFrame, key: str, column: str = "diagnosis_codes",
+                              method: str = "rowwise") -> DataFrame:
+    """K5: add the seven ``has_<condition>`` 0/1 columns (0 when no code).
+
+    ``method="rowwise"`` (default) resolves each row's tokens in place: the
+    dictionary has a fixed size, so the cost is a map probe per token (plus
+    the prefix scan for unmapped tokens) and the table is never shuffled.
+    ``method="join"`` is the relational form: explode, resolve the distinct
+    tokens, pivot per row key and join back (two shuffles of the rows)."""
+    if method == "rowwise":
+        return df.withColumns(condition_flags(F.col(column)))
     pairs = condition_pairs(df, key, column, distinct=False)  # max() below absorbs repeats
     flags = pairs.groupBy(key).agg(*[
         F.max((F.col("condition") == c).cast("int")).alias(f"has_{c}") for c in CONDITIONS])

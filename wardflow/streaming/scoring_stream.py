@@ -2,8 +2,8 @@
 
 Every step here is stateless (row-wise), so the stream needs no watermark
 and no state store: text standardisation, date parsing, per-row condition
-flags (dictionary lookup with the prefix rule as higher-order functions
-against the fixed 96-code dictionary, no join), the additive score, tier
+flags (:func:`wardflow.operators.codes.condition_flags`: map probe plus the
+ordered prefix rule against the fixed 96-code dictionary, no join), the additive score, tier
 and advice. Fills use statistics fitted on a batch and passed in, so a
 row's score does not depend on which micro-batch it arrives in.
 """
@@ -18,28 +18,7 @@ from pyspark.sql import types as T
 from wardflow.functions import clinical as CL
 from wardflow.functions.dates import parse_date
 from wardflow.functions.text import standardize_gender, standardize_insurance, title_case
-from wardflow.operators.codes import CONDITIONS, code_rows, tokenize_codes
-
-
-def _dictionary() -> Column:
-    return F.array(*[F.struct(F.lit(o).alias("ord"), F.lit(c).alias("code"), F.lit(k).alias("condition"))
-                     for o, c, _, k in code_rows()])
-
-
-def token_condition(token: Column) -> Column:
-    """Condition of one token: exact hit, else the first dictionary entry
-    matched by the two-way stem prefix rule, else null."""
-    d = _dictionary()
-    exact = F.filter(d, lambda e: e["code"] == token)
-    loose = F.filter(d, lambda e: F.startswith(token, F.split_part(e["code"], F.lit("."), F.lit(1)))
-                     | F.startswith(e["code"], F.split_part(token, F.lit("."), F.lit(1))))
-    return F.coalesce(F.try_element_at(exact, F.lit(1))["condition"], F.try_element_at(loose, F.lit(1))["condition"])
-
-
-def condition_flags(codes: Column) -> dict[str, Column]:
-    """Row-wise ``has_<condition>`` flags (no shuffle; for streams)."""
-    conds = F.transform(tokenize_codes(codes), token_condition)
-    return {f"has_{c}": F.coalesce(F.array_contains(conds, F.lit(c)), F.lit(False)).cast("int") for c in CONDITIONS}
+from wardflow.operators.codes import condition_flags
 
 
 def score_admission_rows(df: DataFrame, fills: dict[str, float] | None = None) -> DataFrame:
