@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from wardflow.llm import decontaminate, line_dedup, source_mix, voronoi_knn
+from wardflow.llm import decontaminate, hyperminhash, line_dedup, source_mix, voronoi_knn
 
-QUERIES = {f.__name__: f for f in (line_dedup.op1_line_dedup, voronoi_knn.op4_voronoi_knn, source_mix.op5_source_mix, decontaminate.op9_decontaminate)}
-ORACLE = {"op1_line_dedup": line_dedup.SQL, "op4_voronoi_knn": voronoi_knn.SQL, "op5_source_mix": source_mix.SQL, "op9_decontaminate": decontaminate.SQL}
+QUERIES = {f.__name__: f for f in (line_dedup.op1_line_dedup, voronoi_knn.op4_voronoi_knn, source_mix.op5_source_mix, decontaminate.op9_decontaminate,
+                                  hyperminhash.op10_hyperminhash)}
+ORACLE = {"op1_line_dedup": line_dedup.SQL, "op4_voronoi_knn": voronoi_knn.SQL, "op5_source_mix": source_mix.SQL, "op9_decontaminate": decontaminate.SQL,
+          "op10_hyperminhash": hyperminhash.SQL}
