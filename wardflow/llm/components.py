@@ -21,9 +21,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         seen = (both.join(labels.select(F.col("node").alias("b"), "comp"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near")))
-        near = materialize(labels.join(seen, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp")), "llm-near")
+        near = labels.join(seen, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
         up = near.select(F.col("node").alias("comp"), F.col("comp").alias("up"))
-        new = materialize(near.join(up, "comp", "left").select("node", "old", F.least("comp", F.coalesce("up", "comp")).alias("comp")), "llm-labels")
+        new = materialize(near.join(up, "comp").select("node", "old", F.least("comp", "up").alias("comp")), "llm-labels")
         if new.where("old <> comp").limit(1).count() == 0:
             return new.select("node", "comp")
         labels = new.select("node", "comp")

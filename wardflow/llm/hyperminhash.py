@@ -1,19 +1,22 @@
 """Near-duplicate documents by HyperMinHash.
 
-A document's shingle hashes fall into 128 buckets. Each bucket keeps only the
+A document's shingle hashes fall into 256 buckets. Each bucket keeps only the
 smallest hash, compressed to its leading-zero count and the 8 bits after the
-leading one. Empty buckets borrow from others in a fixed order. Four registers
+leading one. Empty buckets borrow from others in a fixed order. Five registers
 make a band; documents that agree in a whole band are candidates. Candidates
 pass an estimate of their Jaccard similarity, corrected for registers that
-agree by chance, and are confirmed on their full shingle sets.
+agree by chance, and are confirmed on their full shingle sets. Before that,
+shingles that only one candidate has are counted: they bound every
+intersection from above, which drops rewritten copies without comparing them.
 
 Documents with equal shingle sets form one class first, and everything after
-works on classes. Within a band bucket no pairs are listed: members meet the
-pivots of the bucket (the members of the highest random level), what is
-connected already is left out, and the rest meet the next pivots, until a
-bucket is one component or has no members left. Pivot numbers about double
-from round to round, so rounds grow with the logarithm of the bucket size, and
-every pair of members in different components is compared in the end.
+works on classes. Band buckets are split by size classes one threshold wide
+(each member is in its own and the next one). Within a bucket no pairs are
+listed: members meet the pivots of the bucket (the members of the highest
+random level), what is connected already is left out, and the rest meet the
+next pivots, until a bucket is one component or has no members left. The levels
+taken per round double, so a bucket of m members takes about log log m rounds,
+and every pair of members in different components is compared in the end.
 """
 
 from __future__ import annotations
@@ -31,13 +34,12 @@ from wardflow.session import materialize
 
 WORDS = 5
 LINK = (75, 100)      # link when 100 * intersection >= 75 * union
-BUCKET_BITS = 7
+BUCKET_BITS = 8
 BUCKETS = 1 << BUCKET_BITS
-ROWS = 4              # registers in a band: 32 bands; a pair at 0.75 misses all with chance 0.684 ** 32 = 5e-6
+ROWS = 5              # registers in a band: 51 bands; a pair at 0.75 misses all with chance 0.763 ** 51 = 1e-6
+BANDS = BUCKETS // ROWS
 MANTISSA = 8
-# A pair of large sets whose estimate is below this goes no further: six
-# standard deviations (sqrt(0.75 * 0.25 / 128) = 0.038) under the threshold.
-ESTIMATE_FLOOR, ESTIMATE_FROM = 0.52, 512
+ESTIMATE_FROM = 48    # smaller sets go straight to their full sets
 
 _MULT = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
@@ -62,7 +64,7 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
 
 
 def registers(sets: list[np.ndarray]) -> np.ndarray:
-    """HyperMinHash registers (one row of 128 per non-empty set)."""
+    """HyperMinHash registers (one row of 256 per non-empty set)."""
     x = np.concatenate(sets)
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     bucket = (x >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
@@ -87,9 +89,12 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def band_keys(reg: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band: its registers are 16 bits each."""
-    packed = np.ascontiguousarray(reg).view(np.uint64)
-    return mix64(packed ^ mix64(np.arange(1, packed.shape[1] + 1, dtype=np.uint64))).view(np.int64)
+    """One 64-bit key per band of registers."""
+    r = reg[:, : BANDS * ROWS].reshape(len(reg), BANDS, ROWS).astype(np.uint64)
+    key = np.broadcast_to(mix64(np.arange(1, BANDS + 1, dtype=np.uint64)), r.shape[:2])
+    for j in range(ROWS):
+        key = mix64(key + r[:, :, j] * _MULT[j])
+    return key.view(np.int64)
 
 
 def _chance_table() -> np.ndarray:
@@ -107,12 +112,32 @@ def _chance_table() -> np.ndarray:
 _CHANCE: list[np.ndarray] = []
 
 
+def short_registers(reg: np.ndarray) -> np.ndarray:
+    """One byte per register, for estimates."""
+    return (reg.astype(np.uint32) * np.uint32(40503) >> np.uint32(8)).astype(np.uint8)
+
+
+def fingerprints(s: np.ndarray) -> np.ndarray:
+    """Sorted 16-bit values of a set's shingles, repeats kept. Equal shingles
+    have equal values, so counting meetings never undercounts."""
+    return np.sort((s >> np.uint64(24)).astype(np.uint16))
+
+
+def meetings(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the multiset intersection of two sorted arrays."""
+    v, k = np.unique(x, return_counts=True)
+    w, l = np.unique(y, return_counts=True)
+    _, i, j = np.intersect1d(v, w, assume_unique=True, return_indices=True)
+    return int(np.minimum(k[i], l[j]).sum())
+
+
 def estimated_jaccard(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     """Share of equal registers, corrected for chance agreement."""
     if not _CHANCE:
         _CHANCE.append(_chance_table())
     level = lambda n: np.clip(np.rint(np.log2(np.maximum(n / BUCKETS, 1))), 0, 24).astype(int)
     e = _CHANCE[0][level(n_a), level(n_b)]
+    e = e + (1 - e) / 256  # registers are compared as one byte each
     return ((a == b).mean(1) - e) / (1 - e)
 
 
@@ -136,7 +161,7 @@ def _features(words: int):
 
 def _sets(words: int):
     """Full sets of the texts, again, for those that became candidates."""
-    schema = pa.schema([("set_key", pa.binary()), ("shingles", pa.binary())])
+    schema = pa.schema([("set_key", pa.binary()), ("shingles", pa.binary()), ("f", pa.binary())])
 
     def run(batches):
         for batch in batches:
@@ -144,21 +169,47 @@ def _sets(words: int):
             for i, j in slices(texts):
                 sets = shingle_sets(encoded(texts[i:j]), words)
                 yield pa.record_batch([pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
-                                       pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+                                       pa.array([s.tobytes() for s in sets], pa.binary()),
+                                       pa.array([fingerprints(s).tobytes() for s in sets], pa.binary())], schema=schema)
     return run
 
 
 def _plausible(batches):
-    """Pairs that pass the size rule and, for large sets, the estimate."""
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    """Pairs whose estimate is less than five standard deviations under the
+    threshold (of as many registers as the smaller set fills) and whose 16-bit
+    fingerprints meet often enough (an upper bound of the intersection)."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("lvl", pa.int32())])
     for batch in batches:
         if not batch.num_rows:
             continue
         n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-        r = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in ("r_a", "r_b")]
-        least, most = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
-        ok = (LINK[1] * least >= LINK[0] * most) & ((least < ESTIMATE_FROM) | (estimated_jaccard(*r, n_a, n_b) >= ESTIMATE_FLOOR))
-        yield pa.record_batch([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(ok))
+        r = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS) for c in ("r_a", "r_b")]
+        least = np.minimum(n_a, n_b)
+        j = LINK[0] / LINK[1]
+        floor = j - 5 * np.sqrt(j * (1 - j) / (BUCKETS * -np.expm1(-least / BUCKETS)))
+        ok = (least < ESTIMATE_FROM) | (estimated_jaccard(*r, n_a, n_b) >= floor)
+        f_a, f_b = batch.column("f_a"), batch.column("f_b")
+        for i in np.flatnonzero(ok):
+            both = meetings(np.frombuffer(f_a[i].as_py(), np.uint16), np.frombuffer(f_b[i].as_py(), np.uint16))
+            ok[i] = LINK[1] * both >= LINK[0] * (n_a[i] + n_b[i] - both)
+        yield pa.record_batch([batch.column("a"), batch.column("b"), batch.column("lvl")], schema=schema).filter(pa.array(ok))
+
+
+def _shingle_rows(batches):
+    """(shingle, hi, lo): a row per shingle; hi and lo are the halves of the class key."""
+    for batch in batches:
+        for key, s in zip(batch.column(0), batch.column(1)):
+            s = np.frombuffer(s.as_py(), np.int64)
+            hi, lo = np.frombuffer(key.as_py(), np.int64)
+            yield pa.record_batch([pa.array(s), pa.array(np.full(len(s), hi)), pa.array(np.full(len(s), lo))], names=["shingle", "hi", "lo"])
+
+
+def _halves(batches):
+    for batch in batches:
+        k = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64).reshape(-1, 2)
+        reg = short_registers(np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, BUCKETS))
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in reg], pa.binary()), batch.column(3),
+                               pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy())], names=["set_key", "n", "r", "f", "hi", "lo"])
 
 
 def _confirmed(batches):
@@ -172,15 +223,11 @@ def _confirmed(batches):
         yield pa.record_batch([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(ok, pa.bool_()))
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Confirmed links among candidate pairs (a, b)."""
-    c = classes.select("set_key", F.col("n_shingles").alias("n"), F.col("regs").alias("r"))
-    side = lambda t, x: t.select(*[F.col(k).alias(x if k == "set_key" else f"{k}_{x}") for k in t.columns])
-    p = pairs.join(side(c, "a"), "a").join(side(c, "b"), "b").select("a", "b", "n_a", "n_b", "r_a", "r_b")
-    p = materialize(p.mapInArrow(_plausible, "a binary, b binary"), "llm-plausible")
-    s = sets.select("set_key", F.col("shingles").alias("s"))
-    p = p.join(side(s, "a"), "a").join(side(s, "b"), "b").select("a", "b", "s_a", "s_b")
-    return materialize(p.mapInArrow(_confirmed, "a binary, b binary"), "llm-links")
+def _with_sides(pairs: DataFrame, t: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with the columns of ``t`` (by set_key) for both."""
+    for x in ("a", "b"):
+        pairs = pairs.join(t.select(F.col("set_key").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in t.columns if c != "set_key"]), x)
+    return pairs
 
 
 def _level(key) -> F.Column:
@@ -206,54 +253,75 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     def keys(batches):
         for batch in batches:
             if batch.num_rows:
-                reg = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, BUCKETS)
-                k = band_keys(reg)
+                k = band_keys(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, BUCKETS))
                 yield pa.record_batch([pa.array(k.ravel()), batch.column(0).take(pa.array(np.repeat(np.arange(len(k)), k.shape[1])))],
                                       names=["key", "set_key"])
 
     bands = classes.where("regs IS NOT NULL").select("set_key", "regs").mapInArrow(keys, "key long, set_key binary")
-    shared = materialize(bands.groupBy("key").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y")).where("x <> y").select("key"), "llm-buckets")
-    members = materialize(bands.join(shared, "key").select("key", "set_key", _level(F.col("set_key")).alias("lvl")), "llm-members")
+    shared = materialize(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "llm-buckets")
+    members = bands.join(shared, "key").join(classes.select("set_key", "n_shingles"), "set_key")
+    # A size class is a little wider than the ratio at which two sets can still link.
+    size = F.floor(F.log(F.col("n_shingles").cast("double")) / float(np.log(LINK[1] / LINK[0]) * 1.0000001)).cast("int")
+    members = materialize(members.select(F.explode(F.array(F.xxhash64("key", size), F.xxhash64("key", size + 1))).alias("key"),
+                                         "set_key", _level(F.col("set_key")).alias("lvl")), "llm-members")
     # Texts of candidate classes: the row of each class with its smallest id.
     ids = members.select("set_key").distinct().join(classes.select("set_key", "min_id"), "set_key")
     ids = materialize(ids, "llm-candidates")
     texts = docs.select("doc_id", "text").join(ids.select(F.col("min_id").alias("doc_id")).distinct(), "doc_id").select("text")
-    named = texts.mapInArrow(_sets(words), "set_key binary, shingles binary")
+    named = texts.mapInArrow(_sets(words), "set_key binary, shingles binary, f binary")
     if ids.where("min_id IS NULL").limit(1).count():  # classes of which no row has an id
-        named = named.unionByName(docs.where("doc_id IS NULL").select("text").mapInArrow(_sets(words), "set_key binary, shingles binary"))
-    sets = materialize(named.join(ids.select("set_key"), "set_key", "left_semi").groupBy("set_key").agg(F.first("shingles").alias("shingles")), "llm-sets")
-
-    links, labels, rest = None, None, members.withColumn("comp", F.col("set_key"))
+        named = named.unionByName(docs.where("doc_id IS NULL").select("text").mapInArrow(_sets(words), "set_key binary, shingles binary, f binary"))
+    sets = materialize(named.join(ids.select("set_key"), "set_key", "left_semi").groupBy("set_key").agg(F.first("shingles").alias("shingles"), F.first("f").alias("f")), "llm-sets")
+
+    # Shingles that a single candidate has (the xor over one row is that row's key).
+    lone = (sets.select("set_key", "shingles").mapInArrow(_shingle_rows, "shingle long, hi long, lo long").groupBy("shingle")
+            .agg(F.count(F.lit(1)).alias("n"), F.bit_xor("hi").alias("hi"), F.bit_xor("lo").alias("lo"))
+            .where("n = 1").groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("lone")))
+    known = classes.select("set_key", F.col("n_shingles").alias("n"), F.col("regs").alias("r")).join(sets.select("set_key", "f"), "set_key")
+    known = known.mapInArrow(_halves, "set_key binary, n long, r binary, f binary, hi long, lo long").join(lone, ["hi", "lo"], "left")
+    known = known.select("set_key", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("m"), "r", "f")
+    known = materialize(known.where(f"{LINK[1]} * m >= {LINK[0]} * n"), "llm-known")
+    members = members.join(known.select("set_key", "n", "m"), "set_key")
+    comps = classes.select("set_key", F.col("set_key").alias("comp"))
+
+    def confirm(pairs: DataFrame) -> None:
+        """Confirm candidate pairs on full sets and merge what they link."""
+        nonlocal comps
+        p = _with_sides(pairs, sets.select("set_key", F.col("shingles").alias("s"))).select("a", "b", "s_a", "s_b")
+        links = _with_sides(materialize(p.mapInArrow(_confirmed, "a binary, b binary"), "llm-links"), comps)
+        links = materialize(links.where("comp_a <> comp_b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct(), "llm-merges")
+        if links.limit(1).count():
+            c = components(links).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+            comps = materialize(comps.join(c, "comp", "left").select("set_key", F.coalesce("to", "comp").alias("comp")), "llm-comps")
+
+    rest, levels = members, 1
     while True:
-        top = materialize(rest.groupBy("key").agg(F.max("lvl").alias("top"), F.min("comp").alias("x"), F.max("comp").alias("y"))
+        rest = rest.join(comps, "set_key")
+        top = materialize(rest.groupBy("key").agg(F.max("lvl").alias("top"), F.min(F.xxhash64("comp")).alias("x"), F.max(F.xxhash64("comp")).alias("y"))
                           .where("x <> y").select("key", "top"), "llm-top")
         if top.limit(1).count() == 0:
             break
         rest = materialize(rest.join(top, "key"), "llm-open")
-        pivots = materialize(rest.where("lvl = top").select("key", F.col("set_key").alias("p"), F.col("comp").alias("p_comp")), "llm-pivots")
-        met = rest.join(pivots, "key").where("comp <> p_comp AND (lvl < top OR set_key < p)")
-        met = materialize(met.groupBy(F.col("set_key").alias("a"), F.col("p").alias("b")).agg(F.max("top").alias("top")), "llm-met")
-        # First the highest pivot that each member meets; then only what this leaves unconnected.
-        best = met.groupBy("a").agg(F.max_by("b", F.struct("top", "b")).alias("b"))
-        new = _verify(materialize(best, "llm-best"), classes, sets)
-        links = new if links is None else links.unionByName(new)
-        labels = components(links)
-        left = met.join(best, ["a", "b"], "left_anti")
-        for x in ("a", "b"):
-            left = left.join(labels.select(F.col("node").alias(x), F.col("comp").alias(f"c_{x}")), x, "left")
-        left = materialize(left.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b"), "llm-left")
+        pivots = materialize(rest.where(F.col("lvl") > F.col("top") - levels).select(
+            "key", F.col("set_key").alias("p"), F.col("comp").alias("p_comp"), F.col("lvl").alias("p_lvl"),
+            F.col("n").alias("p_n"), F.col("m").alias("p_m")), "llm-pivots")
+        met = rest.join(pivots, "key").where("comp <> p_comp AND (lvl < p_lvl OR lvl = p_lvl AND set_key < p)")
+        # The intersection is at most what either shares with anyone.
+        met = met.where(f"{LINK[1]} * least(m, p_m) >= {LINK[0]} * (n + p_n - least(m, p_m))")
+        met = met.groupBy(F.col("set_key").alias("a"), F.col("p").alias("b")).agg(F.max("p_lvl").alias("lvl"))
+        met = _with_sides(materialize(met, "llm-met"), known).select("a", "b", "lvl", "n_a", "n_b", "r_a", "r_b", "f_a", "f_b")
+        met = materialize(met.mapInArrow(_plausible, "a binary, b binary, lvl int"), "llm-plausible")
+        # First the highest pivot of each member; then what this leaves unconnected.
+        best = materialize(met.groupBy("a").agg(F.max_by("b", F.struct("lvl", "b")).alias("b")), "llm-best")
+        confirm(best)
+        left = _with_sides(met.select("a", "b").join(best, ["a", "b"], "left_anti"), comps)
+        left = materialize(left.where("comp_a <> comp_b").select("a", "b"), "llm-left")
         if left.limit(1).count():
-            links = links.unionByName(_verify(left, classes, sets))
-            labels = components(links)
-        rest = rest.where("lvl < top").select("key", "set_key", "lvl").join(
-            labels.select(F.col("node").alias("set_key"), "comp"), "set_key", "left")
-        rest = materialize(rest.withColumn("comp", F.coalesce("comp", "set_key")), "llm-rest")
-
-    named = classes.select("set_key", "min_id")
-    if labels is None:
-        named = named.withColumn("comp", F.col("set_key"))
-    else:
-        named = named.join(labels.select(F.col("node").alias("set_key"), "comp"), "set_key", "left").withColumn("comp", F.coalesce("comp", "set_key"))
+            confirm(left)
+        rest = rest.where(F.col("lvl") <= F.col("top") - levels).select("key", "set_key", "lvl", "n", "m")
+        levels *= 2
+
+    named = classes.select("set_key", "min_id").join(comps, "set_key")
     smallest = named.groupBy("comp").agg(F.min("min_id").alias("component_id"))
     # Stored, so that a class with very many rows can be split in the last join.
     named = materialize(named.join(smallest, "comp").select("set_key", "component_id", F.col("comp").alias("component_key")), "llm-named")
