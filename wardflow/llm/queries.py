@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from wardflow.llm import decontaminate, hyperminhash, line_dedup, source_mix, token_counts, token_output, toxicity, voronoi_knn
+from wardflow.llm import crf_language, decontaminate, hyperminhash, line_dedup, source_mix, token_counts, token_output, toxicity, voronoi_knn
 
-QUERIES = {f.__name__: f for f in (line_dedup.op1_line_dedup, token_output.op2_token_output, voronoi_knn.op4_voronoi_knn, source_mix.op5_source_mix, toxicity.op6_toxicity, token_counts.op7_token_counts, decontaminate.op9_decontaminate,
+QUERIES = {f.__name__: f for f in (line_dedup.op1_line_dedup, token_output.op2_token_output, voronoi_knn.op4_voronoi_knn, source_mix.op5_source_mix, toxicity.op6_toxicity, token_counts.op7_token_counts, crf_language.op8_crf_language, decontaminate.op9_decontaminate,
                                   hyperminhash.op10_hyperminhash)}
 ORACLE = {"op1_line_dedup": line_dedup.SQL, "op4_voronoi_knn": voronoi_knn.SQL, "op5_source_mix": source_mix.SQL, "op9_decontaminate": decontaminate.SQL,
           "op10_hyperminhash": hyperminhash.SQL}
