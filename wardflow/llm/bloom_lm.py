@@ -62,9 +62,15 @@ def dequantised(level: np.ndarray) -> np.ndarray:
     return np.array([0, 1, 2] + [3 * 2.0 ** (q - 3) + 0.5 for q in range(3, 64)])[level]
 
 
-def _places(h: np.ndarray, level: int, probe: int, bits: np.ndarray) -> np.ndarray:
-    x = mix64(h + np.uint64((level * 131 + probe + 1) * 0x9FB21C651E98DF25 % (1 << 64)))
-    return (x % bits.astype(np.uint64)).astype(np.int64)
+def _probes(h: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and step of the probes of (pair, level)."""
+    x = mix64(h + np.uint64((level + 1) * 0x9FB21C651E98DF25 % (1 << 64)))
+    return x, (x << np.uint64(29)) ^ (x * np.uint64(0xE7037ED1A0B428DB)) | np.uint64(1)
+
+
+def _place(x: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """A place below ``bits`` (under 2 ** 32) from the upper half of x."""
+    return (((x >> np.uint64(32)) * bits) >> np.uint64(32)).astype(np.int64)
 
 
 def _packed(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,11 +131,11 @@ def _build(key, pdf):
     q = levels(n) if len(n) else n
     bits = max(64, int(BITS * q.sum()) // 8 * 8)
     on = np.zeros(bits, bool)
-    size = np.array([bits])
     for level in range(1, int(q.max(initial=0)) + 1):
-        h = pairs[q >= level]
-        for probe in range(PROBES):
-            on[_places(h, level, probe, size)] = True
+        x, step = _probes(pairs[q >= level], level)
+        for _ in range(PROBES):
+            on[_place(x, np.uint64(bits))] = True
+            x = x + step
     return pd.DataFrame({"block": [int(key[0])], "words": [words.tobytes()], "counts": [counts.tobytes()],
                          "bits": [np.packbits(on).tobytes()], "n_tokens": [int(counts.sum())], "n_words": [len(words)]})
 
@@ -140,7 +146,7 @@ class LogFrequencyFilter:
     def __init__(self, blocks: int, rows: list):
         self.blocks = blocks
         self.here = np.zeros(blocks, bool)
-        self.bits, self.at = np.ones(blocks, np.int64), np.zeros(blocks, np.int64)
+        self.bits, self.at = np.ones(blocks, np.uint64), np.zeros(blocks, np.int64)
         at = 0
         for r in rows:
             self.here[r["block"]], self.bits[r["block"]], self.at[r["block"]] = True, 8 * len(r["bits"]), at
@@ -150,28 +156,41 @@ class LogFrequencyFilter:
         by = np.argsort(words)
         self.words = words[by]
         self.counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows])[by]
+        # Where the hashes with given leading bits begin (about one each).
+        self.shift = np.uint64(64 - max(1, len(words).bit_length()))
+        self.index = np.searchsorted(self.words, np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift).astype(np.int32)
 
     def mine(self, h: np.ndarray) -> np.ndarray:
         return self.here[(h % np.uint64(self.blocks)).astype(np.int64)]
 
     def count(self, h: np.ndarray) -> np.ndarray:
         """Exact counts of words (0 if unseen)."""
+        out = np.zeros(len(h), np.int64)
         if not len(self.words):
-            return np.zeros(len(h), np.int64)
-        i = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[i] == h, self.counts[i], 0)
+            return out
+        at, todo, last = self.index[h >> self.shift].astype(np.int64), np.arange(len(h)), len(self.words) - 1
+        while len(todo):
+            at = np.minimum(at, last)
+            found, want = self.words[at], h[todo]
+            hit = found == want
+            out[todo[hit]] = self.counts[at[hit]]
+            on = (found < want) & (at < last)
+            todo, at = todo[on], at[on] + 1
+        return out
 
     def level(self, h: np.ndarray) -> np.ndarray:
         """Levels of pairs: probe (pair, 1), (pair, 2), .. until one is absent."""
         out, todo = np.zeros(len(h), np.int64), np.arange(len(h))
         block = (h % np.uint64(self.blocks)).astype(np.int64)
+        bits, at = self.bits[block], self.at[block]
         level = 1
         while len(todo):
-            for probe in range(PROBES):
-                b = block[todo]
-                at = _places(h[todo], level, probe, self.bits[b])
-                byte = self.filter[self.at[b] + (at >> 3)]
-                todo = todo[(byte >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
+            x, step = _probes(h[todo], level)
+            for _ in range(PROBES):
+                p = _place(x, bits[todo])
+                on = np.flatnonzero((self.filter[at[todo] + (p >> 3)] >> (7 - (p & 7)).astype(np.uint8)) & 1)
+                todo, x, step = todo[on], x[on], step[on]
+                x = x + step
             out[todo] = level
             level += 1
         return out
@@ -224,30 +243,37 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
                     t, bounds = token_hashes(texts[i:j])
                     p = pair_hashes(t, bounds)
                     part = batch.slice(i, j - i)
-                    c, q = np.zeros(len(t), np.int64), np.zeros(len(t), np.uint8)
+                    total = lambda x: np.add.reduceat(x, bounds[:-1])
+                    # Counts as single precision (for smoothing), levels, and sums over words seen to now.
+                    c, q = np.zeros(len(t), np.float32), np.zeros(len(t), np.uint8)
+                    base, known = np.zeros(j - i), np.zeros(j - i, np.int64)
                     if "__c" in batch.schema.names:
-                        c = np.frombuffer(b"".join(part.column("__c").to_pylist()), np.int64).copy()
+                        c = np.frombuffer(b"".join(part.column("__c").to_pylist()), np.float32).copy()
                         q = np.frombuffer(b"".join(part.column("__q").to_pylist()), np.uint8).copy()
-                    k = np.flatnonzero(lm.mine(t))
-                    c[k] = lm.count(t[k])
+                        base, known = part.column("__base").to_numpy(), part.column("__known").to_numpy()
+                    mine = lm.mine(t)
+                    exact = np.zeros(len(t), np.int64)
+                    exact[mine] = lm.count(t[mine])
+                    c[mine] = exact[mine]
+                    base = base + total(np.where(mine, np.log10((exact + ADD) / base_total), 0.0))
+                    known = known + total((exact > 0).astype(np.int64))
                     k = np.flatnonzero(lm.mine(p))
                     q[k] = np.minimum(lm.level(p[k]), 255)
                     kept = [part.column(x) for x in columns]
                     if not last:
                         cut = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
                         yield pa.record_batch([*kept, part.column("__text"), pa.array([c[a:b].tobytes() for a, b in cut], pa.binary()),
-                                               pa.array([q[a:b].tobytes() for a, b in cut], pa.binary())],
-                                              names=[*columns, "__text", "__c", "__q"])
+                                               pa.array([q[a:b].tobytes() for a, b in cut], pa.binary()), pa.array(base), pa.array(known)],
+                                              names=[*columns, "__text", "__c", "__q", "__base", "__known"])
                         continue
+                    c = c.astype(np.float64)
                     word = (c + ADD) / base_total
                     history = np.concatenate([[0], c[:-1]])
                     history[bounds[:-1]] = c[bounds[1:] - 1]  # before the first token stands the end token
                     pair = np.minimum(dequantised(q), np.minimum(c, history))
                     prob = (pair + MU * word) / (history + MU)
-                    total = lambda x: np.add.reduceat(x, bounds[:-1])
-                    yield pa.record_batch([*kept, pa.array(np.diff(bounds)), pa.array(total((c > 0).astype(np.int64))),
-                                           pa.array(np.full(j - i, n, np.int64)), pa.array(total(np.log10(word))),
-                                           pa.array(total(np.log10(prob)))],
+                    yield pa.record_batch([*kept, pa.array(np.diff(bounds)), pa.array(known), pa.array(np.full(j - i, n, np.int64)),
+                                           pa.array(base), pa.array(total(np.log10(prob)))],
                                           names=[*columns, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
         return run
 
@@ -258,7 +284,8 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
             rows = [{"block": 0, "words": b"", "counts": b"", "bits": bytes(8)}]
         sent = spark.sparkContext.broadcast(LogFrequencyFilter(blocks, rows))  # at most SHARD_BYTES, or one block
         if k < len(shards) - 1:
-            d = materialize(d.mapInArrow(passed(sent, False), f"{ddl}, __text string, __c binary, __q binary"), "llm-lm-pass")
+            d = materialize(d.mapInArrow(passed(sent, False), f"{ddl}, __text string, __c binary, __q binary, __base double, __known long"), "llm-lm-pass")
+            sent.destroy()  # workers drop it before the next shard comes
         else:
             d = d.mapInArrow(passed(sent, True), f"{ddl}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return d
