@@ -140,29 +140,16 @@ def _build(key, pdf):
                          "bits": [np.packbits(on).tobytes()], "n_tokens": [int(counts.sum())], "n_words": [len(words)]})
 
 
-class LogFrequencyFilter:
-    """A shard: the blocks ``numbers`` out of ``blocks``."""
-
-    def __init__(self, blocks: int, rows: list):
-        self.blocks = blocks
-        self.here = np.zeros(blocks, bool)
-        self.bits, self.at = np.ones(blocks, np.uint64), np.zeros(blocks, np.int64)
-        at = 0
-        for r in rows:
-            self.here[r["block"]], self.bits[r["block"]], self.at[r["block"]] = True, 8 * len(r["bits"]), at
-            at += len(r["bits"])
-        self.filter = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8)
-        words = np.concatenate([np.frombuffer(r["words"], np.uint64) for r in rows])
-        by = np.argsort(words)
-        self.words = words[by]
-        self.counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows])[by]
+class Block:
+    """One block of the model: exact word counts and the pairs' filter."""
+
+    def __init__(self, words: bytes, counts: bytes, bits: bytes):
+        self.words, self.counts = np.frombuffer(words, np.uint64), np.frombuffer(counts, np.int64)
+        self.filter, self.size = np.frombuffer(bits, np.uint8), np.uint64(8 * len(bits))
         # Where the hashes with given leading bits begin (about one each).
-        self.shift = np.uint64(64 - max(1, len(words).bit_length()))
+        self.shift = np.uint64(64 - max(1, len(self.words).bit_length()))
         self.index = np.searchsorted(self.words, np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift).astype(np.int32)
 
-    def mine(self, h: np.ndarray) -> np.ndarray:
-        return self.here[(h % np.uint64(self.blocks)).astype(np.int64)]
-
     def count(self, h: np.ndarray) -> np.ndarray:
         """Exact counts of words (0 if unseen)."""
         out = np.zeros(len(h), np.int64)
@@ -180,15 +167,13 @@ class LogFrequencyFilter:
 
     def level(self, h: np.ndarray) -> np.ndarray:
         """Levels of pairs: probe (pair, 1), (pair, 2), .. until one is absent."""
-        out, todo = np.zeros(len(h), np.int64), np.arange(len(h))
-        block = (h % np.uint64(self.blocks)).astype(np.int64)
-        bits, at = self.bits[block], self.at[block]
+        out, todo = np.zeros(len(h), np.uint8), np.arange(len(h))
         level = 1
-        while len(todo):
+        while len(todo) and level < 255:
             x, step = _probes(h[todo], level)
             for _ in range(PROBES):
-                p = _place(x, bits[todo])
-                on = np.flatnonzero((self.filter[at[todo] + (p >> 3)] >> (7 - (p & 7)).astype(np.uint8)) & 1)
+                p = _place(x, self.size)
+                on = np.flatnonzero((self.filter[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1)
                 todo, x, step = todo[on], x[on], step[on]
                 x = x + step
             out[todo] = level
@@ -196,6 +181,13 @@ class LogFrequencyFilter:
         return out
 
 
+def _by_block(h: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of hashes ordered by block, and the bounds of each block."""
+    b = (h % np.uint64(blocks)).astype(np.int32)
+    by = np.argsort(b, kind="stable")
+    return by, np.searchsorted(b[by], np.arange(blocks + 1))
+
+
 def build(train: DataFrame) -> tuple[DataFrame, int]:
     """Blocks of the model of the texts in ``train`` (column text), stored in
     the shared folder, and their number."""
@@ -236,7 +228,6 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
     def passed(sent, last: bool):
         """Add what one shard knows: word counts and pair levels by place."""
         def run(batches):
-            lm = sent.value
             for batch in batches:
                 texts = batch.column("__text").to_pylist()
                 for i, j in slices(texts):
@@ -251,14 +242,17 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
                         c = np.frombuffer(b"".join(part.column("__c").to_pylist()), np.float32).copy()
                         q = np.frombuffer(b"".join(part.column("__q").to_pylist()), np.uint8).copy()
                         base, known = part.column("__base").to_numpy(), part.column("__known").to_numpy()
-                    mine = lm.mine(t)
-                    exact = np.zeros(len(t), np.int64)
-                    exact[mine] = lm.count(t[mine])
+                    by, ends = _by_block(t, blocks)
+                    by2, ends2 = _by_block(p, blocks)
+                    mine, exact = np.zeros(len(t), bool), np.zeros(len(t), np.int64)
+                    for number, block in sent:
+                        k = by[ends[number]: ends[number + 1]]
+                        mine[k], exact[k] = True, block.value.count(t[k])
+                        k = by2[ends2[number]: ends2[number + 1]]
+                        q[k] = block.value.level(p[k])
                     c[mine] = exact[mine]
                     base = base + total(np.where(mine, np.log10((exact + ADD) / base_total), 0.0))
                     known = known + total((exact > 0).astype(np.int64))
-                    k = np.flatnonzero(lm.mine(p))
-                    q[k] = np.minimum(lm.level(p[k]), 255)
                     kept = [part.column(x) for x in columns]
                     if not last:
                         cut = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
@@ -279,13 +273,14 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
 
     d = docs.select(*columns, F.col("text").alias("__text"))
     for k, numbers in enumerate(shards):
-        rows = model.where(F.col("block").isin(numbers)).select("block", "words", "counts", "bits").orderBy("block").collect() if numbers else []
-        if not rows:
-            rows = [{"block": 0, "words": b"", "counts": b"", "bits": bytes(8)}]
-        sent = spark.sparkContext.broadcast(LogFrequencyFilter(blocks, rows))  # at most SHARD_BYTES, or one block
+        sent = []  # at most SHARD_BYTES in all, or one block
+        for number in numbers:
+            r = model.where(F.col("block") == number).select("words", "counts", "bits").first()
+            sent.append((number, spark.sparkContext.broadcast(Block(*map(bytes, r)))))
         if k < len(shards) - 1:
             d = materialize(d.mapInArrow(passed(sent, False), f"{ddl}, __text string, __c binary, __q binary, __base double, __known long"), "llm-lm-pass")
-            sent.destroy()  # workers drop it before the next shard comes
+            for _, block in sent:  # workers drop them before the next shard comes
+                block.destroy()
         else:
             d = d.mapInArrow(passed(sent, True), f"{ddl}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return d
