@@ -23,8 +23,8 @@ from wardflow.session import materialize
 
 BITS = 10              # filter bits per inserted (pair, level)
 PROBES = 5
-BLOCK_BYTES = 24 << 20     # training text per block of n-grams
-SHARD_BYTES = 128 << 20     # bound on what is broadcast at a time
+BLOCK_BYTES = 12 << 20     # training text per block of n-grams
+SHARD_BYTES = 96 << 20     # bound on what is broadcast at a time
 FLUSH = 3_000_000          # n-grams gathered in a task before they are sorted and sent
 MU = 40.0                  # weight of the word probability
 ADD = 0.1
@@ -97,9 +97,8 @@ def _gather(blocks: int):
 
         n = 0
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for i, j in slices(texts):
-                t, bounds = token_hashes(texts[i:j])
+            for _, _, texts in slices(batch.column(0)):
+                t, bounds = token_hashes(texts)
                 held[1].append(t)
                 held[2].append(pair_hashes(t, bounds))
                 n += len(t)
@@ -229,9 +228,8 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
         """Add what one shard knows: word counts and pair levels by place."""
         def run(batches):
             for batch in batches:
-                texts = batch.column("__text").to_pylist()
-                for i, j in slices(texts):
-                    t, bounds = token_hashes(texts[i:j])
+                for i, j, texts in slices(batch.column("__text")):
+                    t, bounds = token_hashes(texts)
                     p = pair_hashes(t, bounds)
                     part = batch.slice(i, j - i)
                     total = lambda x: np.add.reduceat(x, bounds[:-1])
@@ -274,9 +272,8 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
     d = docs.select(*columns, F.col("text").alias("__text"))
     for k, numbers in enumerate(shards):
         sent = []  # at most SHARD_BYTES in all, or one block
-        for number in numbers:
-            r = model.where(F.col("block") == number).select("words", "counts", "bits").first()
-            sent.append((number, spark.sparkContext.broadcast(Block(*map(bytes, r)))))
+        for r in model.where(F.col("block").isin(numbers)).select("block", "words", "counts", "bits").toLocalIterator():
+            sent.append((r[0], spark.sparkContext.broadcast(Block(*map(bytes, r[1:])))))
         if k < len(shards) - 1:
             d = materialize(d.mapInArrow(passed(sent, False), f"{ddl}, __text string, __c binary, __q binary, __base double, __known long"), "llm-lm-pass")
             for _, block in sent:  # workers drop them before the next shard comes

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,17 +26,17 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(texts: list, limit: int = CHUNK_BYTES):
-    """(from, to) index ranges of at most ``limit`` characters (one text at least)."""
-    a, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
-        if i > a and size + n > limit:
-            yield a, i
-            a, size = i, 0
-        size += n
-    if a < len(texts):
-        yield a, len(texts)
+def slices(column, limit: int = CHUNK_BYTES):
+    """(from, to, texts) of an Arrow text column in runs of at most ``limit``
+    bytes (one text at least); only one run is turned into Python strings at a
+    time."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy()
+    ends = np.cumsum(size)
+    a = 0
+    while a < len(size):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + limit, "right")))
+        yield a, b, column.slice(a, b - a).to_pylist()
+        a = b
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

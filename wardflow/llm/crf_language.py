@@ -14,6 +14,7 @@ import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -233,19 +234,19 @@ def languages(docs: DataFrame, columns: list[str], model: Crf | None = None) ->
 
     def run(batches):
         crf = sent.value
-        for pdf in batches:
-            for i, j in slices(pdf["__text"].tolist()):
-                part = pdf.iloc[i:j]
-                p = crf.probabilities(part["__text"].tolist())
+        for batch in batches:
+            for i, j, texts in slices(batch.column("__text")):
+                p = crf.probabilities(texts)
                 none = np.isnan(p[:, 0])
                 p = np.nan_to_num(p)
                 best = p.argmax(1)
-                yield part.drop(columns="__text").assign(
-                    lang_pred=np.where(none, UNKNOWN, np.array(crf.labels, object)[best]),
-                    score=np.where(none, 0.0, np.clip(p[np.arange(len(p)), best], 0, 1)))
+                kept = [batch.column(c).slice(i, j - i) for c in columns]
+                yield pa.record_batch([*kept, pa.array(np.where(none, UNKNOWN, np.array(crf.labels, object)[best]), pa.string()),
+                                       pa.array(np.where(none, 0.0, np.clip(p[np.arange(len(p)), best], 0, 1)))],
+                                      names=[*columns, "lang_pred", "score"])
 
     out = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in schema)
-    return docs.select(*columns, F.col("text").alias("__text")).mapInPandas(run, f"{out}, lang_pred string, score double")
+    return docs.select(*columns, F.col("text").alias("__text")).mapInArrow(run, f"{out}, lang_pred string, score double")
 
 
 def op8_crf_language(spark, sf_dir: str) -> DataFrame:

@@ -146,9 +146,9 @@ def _features(words: int):
 
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for i, j in slices(texts):
-                sets = shingle_sets(encoded(texts[i:j]), words)
+            ids = batch.column(0)
+            for i, j, texts in slices(batch.column(1)):
+                sets = shingle_sets(encoded(texts), words)
                 full = [s for s in sets if len(s) > 2]  # smaller sets link only when equal
                 regs = iter(registers(full)) if full else iter(())
                 yield pa.record_batch([
@@ -165,9 +165,8 @@ def _sets(words: int):
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for i, j in slices(texts):
-                sets = shingle_sets(encoded(texts[i:j]), words)
+            for _, _, texts in slices(batch.column(0)):
+                sets = shingle_sets(encoded(texts), words)
                 yield pa.record_batch([pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
                                        pa.array([s.tobytes() for s in sets], pa.binary()),
                                        pa.array([fingerprints(s).tobytes() for s in sets], pa.binary())], schema=schema)

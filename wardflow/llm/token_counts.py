@@ -161,11 +161,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFram
             _COUNTERS[tokenizer] = Counter(tokenizer)
         counter = _COUNTERS[tokenizer]
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for i, j in slices(texts):
-                n = counter.count(texts[i:j])
+            for i, j, texts in slices(batch.column(1)):
+                n = counter.count(texts)
                 yield pa.record_batch([batch.column(0).slice(i, j - i).cast(pa.int64()),
-                                       pa.array([len((t or "").encode("utf-8", "surrogatepass")) for t in texts[i:j]], pa.int64()),
+                                       pa.array([len((t or "").encode("utf-8", "surrogatepass")) for t in texts], pa.int64()),
                                        pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(

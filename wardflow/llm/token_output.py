@@ -91,9 +91,8 @@ def _frames(path: str):
             return row
 
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, j in slices(texts):
-                for d, x in zip(doc_ids[i:j], enc.ids(texts[i:j])):
+            for i, j, texts in slices(batch.column(1)):
+                for d, x in zip(batch.column(0).slice(i, j - i).to_pylist(), enc.ids(texts)):
                     if held and count + len(x) + 1 > FRAME_IDS:
                         yield frame()
                         held, names, count = [], [], 0

@@ -12,7 +12,7 @@ import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -146,14 +146,14 @@ def with_features(docs: DataFrame, columns: list[str], lexicon: dict[str, float]
 
     def run(batches):
         f = Features(sent.value)
-        for pdf in batches:
-            for i, j in slices(pdf["__text"].tolist()):
-                part = pdf.iloc[i:j]
-                yield part.drop(columns="__text").assign(features=list(f.matrix(part["__text"].tolist())))
+        for batch in batches:
+            for i, j, texts in slices(batch.column("__text")):
+                x = pa.array(list(f.matrix(texts)), pa.list_(pa.float64()))
+                yield pa.record_batch([*[batch.column(c).slice(i, j - i) for c in columns], x], names=[*columns, "features"])
 
     d = docs.select(*columns, F.col("text").alias("__text"))
     out = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in schema)
-    return d.mapInPandas(run, f"{out}, features array<double>")
+    return d.mapInArrow(run, f"{out}, features array<double>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> ToxicityModel:
