@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import encoded, fold, mix64, slices, table, word_hashes
+from wardflow.llm.common import encoded, fold, forget_files, mix64, slices, table, word_hashes
 from wardflow.session import materialize
 
 BITS = 10              # filter bits per inserted (pair, level)
 PROBES = 5
 BLOCK_BYTES = 12 << 20     # training text per block of n-grams
-SHARD_BYTES = 96 << 20     # bound on what is broadcast at a time
-FLUSH = 3_000_000          # n-grams gathered in a task before they are sorted and sent
+SHARD_BYTES = 64 << 20     # bound on what is broadcast at a time
+FLUSH = 1_500_000          # n-grams gathered in a task before they are sorted and sent
 MU = 40.0                  # weight of the word probability
 ADD = 0.1
 END = np.uint64(0x51ED270B0A1F39C1)   # the end token
@@ -135,7 +135,7 @@ def _build(key, pdf):
         for _ in range(PROBES):
             on[_place(x, np.uint64(bits))] = True
             x = x + step
-    return pd.DataFrame({"block": [int(key[0])], "words": [words.tobytes()], "counts": [counts.tobytes()],
+    return pd.DataFrame({"block": [int(key[0])], "words": [words.tobytes()], "counts": [counts.astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.int64).tobytes()],
                          "bits": [np.packbits(on).tobytes()], "n_tokens": [int(counts.sum())], "n_words": [len(words)]})
 
 
@@ -143,7 +143,7 @@ class Block:
     """One block of the model: exact word counts and the pairs' filter."""
 
     def __init__(self, words: bytes, counts: bytes, bits: bytes):
-        self.words, self.counts = np.frombuffer(words, np.uint64), np.frombuffer(counts, np.int64)
+        self.words, self.counts = np.frombuffer(words, np.uint64), np.frombuffer(counts, np.uint32 if len(counts) < len(words) else np.int64)
         self.filter, self.size = np.frombuffer(bits, np.uint8), np.uint64(8 * len(bits))
         # Where the hashes with given leading bits begin (about one each).
         self.shift = np.uint64(64 - max(1, len(self.words).bit_length()))
@@ -275,9 +275,12 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
         for r in model.where(F.col("block").isin(numbers)).select("block", "words", "counts", "bits").toLocalIterator():
             sent.append((r[0], spark.sparkContext.broadcast(Block(*map(bytes, r[1:])))))
         if k < len(shards) - 1:
+            before = d if k else None
             d = materialize(d.mapInArrow(passed(sent, False), f"{ddl}, __text string, __c binary, __q binary, __base double, __known long"), "llm-lm-pass")
             for _, block in sent:  # workers drop them before the next shard comes
                 block.destroy()
+            if before is not None:
+                forget_files(before)
         else:
             d = d.mapInArrow(passed(sent, True), f"{ddl}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return d

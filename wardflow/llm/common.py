@@ -26,6 +26,14 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def forget_files(df: DataFrame) -> None:
+    """Delete the files that ``df``, a plain read of a stored stage, reads."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(column, limit: int = CHUNK_BYTES):
     """(from, to, texts) of an Arrow text column in runs of at most ``limit``
     bytes (one text at least); only one run is turned into Python strings at a
