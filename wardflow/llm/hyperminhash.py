@@ -11,12 +11,11 @@ intersection from above, which drops rewritten copies without comparing them.
 
 Documents with equal shingle sets form one class first, and everything after
 works on classes. Band buckets are split by size classes one threshold wide
-(each member is in its own and the next one). Within a bucket no pairs are
-listed: members meet the pivots of the bucket (the members of the highest
-random level), what is connected already is left out, and the rest meet the
-next pivots, until a bucket is one component or has no members left. The levels
-taken per round double, so a bucket of m members takes about log log m rounds,
-and every pair of members in different components is compared in the end.
+(each member is in its own and the next one). First the members of a bucket
+meet only its pivots (the members of the highest random level); that connects
+most buckets. Buckets that still hold several components are cut into blocks of
+bounded size, and pairs of blocks are compared as matrices of fingerprints, so
+that all members in different components are compared without a row per pair.
 """
 
 from __future__ import annotations
@@ -41,6 +40,8 @@ BANDS = BUCKETS // ROWS
 MANTISSA = 8
 ESTIMATE_FROM = 48    # smaller sets go straight to their full sets
 
+BLOCK_MEMBERS = 256   # members of an open bucket compared at once
+
 _MULT = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -194,6 +195,50 @@ def _plausible(batches):
         yield pa.record_batch([batch.column("a"), batch.column("b"), batch.column("lvl")], schema=schema).filter(pa.array(ok))
 
 
+def _prints(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of all rows with the row they belong to; the i-th repeat of
+    a value within a row is a value of its own."""
+    f = [np.frombuffer(r["f"], np.uint16).astype(np.int64) for r in rows]
+    owner = np.repeat(np.arange(len(f)), [len(x) for x in f])
+    x = np.concatenate(f)
+    new = np.concatenate([[True], (x[1:] != x[:-1]) | (owner[1:] != owner[:-1])])
+    at = np.arange(len(x))
+    return (at - np.maximum.accumulate(np.where(new, at, 0))) * 65536 + x, owner
+
+
+def _block_pairs(batches):
+    """Pairs of two blocks of one bucket, in different components, that can
+    still link by sizes, shared shingles and fingerprints."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            a, b = batch.column("rows_a")[i].as_py(), batch.column("rows_b")[i].as_py()
+            get = lambda rows, c: np.array([r[c] for r in rows])
+            n_a, n_b, m_a, m_b = get(a, "n")[:, None], get(b, "n")[None], get(a, "m")[:, None], get(b, "m")[None]
+            number = {c: k for k, c in enumerate({r["comp"] for r in a + b})}
+            can = lambda both: LINK[1] * both >= LINK[0] * (n_a + n_b - both)
+            ok = can(np.minimum(m_a, m_b)) & (np.array([number[r["comp"]] for r in a])[:, None] != np.array([number[r["comp"]] for r in b])[None])
+            if batch.column("part")[i] == batch.column("other")[i]:
+                ok &= np.triu(np.ones(ok.shape, bool), 1)
+            if not ok.any():
+                continue
+            (x, own_x), (y, own_y) = _prints(a), _prints(b)
+            values = np.intersect1d(x, y)
+            both = np.zeros(ok.shape, np.float32)
+            for k in range(0, len(values), 4096):  # columns of the two 0/1 matrices
+                part = values[k: k + 4096]
+                sides = []
+                for v, own, rows in ((x, own_x, a), (y, own_y, b)):
+                    at = np.minimum(np.searchsorted(part, v), len(part) - 1)
+                    hit = part[at] == v
+                    m = np.zeros((len(rows), len(part)), np.float32)
+                    m[own[hit], at[hit]] = 1
+                    sides.append(m)
+                both += sides[0] @ sides[1].T
+            p, q = np.nonzero(ok & can(np.rint(both).astype(np.int64)))
+            if len(p):
+                yield pa.record_batch([pa.array([a[j]["set_key"] for j in p], pa.binary()), pa.array([b[j]["set_key"] for j in q], pa.binary())], names=["a", "b"])
+
+
 def _shingle_rows(batches):
     """(shingle, hi, lo): a row per shingle; hi and lo are the halves of the class key."""
     for batch in batches:
@@ -293,32 +338,43 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
             c = components(links).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
             comps = materialize(comps.join(c, "comp", "left").select("set_key", F.coalesce("to", "comp").alias("comp")), "llm-comps")
 
-    rest, levels = members, 1
-    while True:
-        rest = rest.join(comps, "set_key")
-        top = materialize(rest.groupBy("key").agg(F.max("lvl").alias("top"), F.min(F.xxhash64("comp")).alias("x"), F.max(F.xxhash64("comp")).alias("y"))
-                          .where("x <> y").select("key", "top"), "llm-top")
-        if top.limit(1).count() == 0:
-            break
-        rest = materialize(rest.join(top, "key"), "llm-open")
-        pivots = materialize(rest.where(F.col("lvl") > F.col("top") - levels).select(
-            "key", F.col("set_key").alias("p"), F.col("comp").alias("p_comp"), F.col("lvl").alias("p_lvl"),
-            F.col("n").alias("p_n"), F.col("m").alias("p_m")), "llm-pivots")
-        met = rest.join(pivots, "key").where("comp <> p_comp AND (lvl < p_lvl OR lvl = p_lvl AND set_key < p)")
+    def open_buckets() -> DataFrame:
+        """Buckets with several components, their top level and blocks."""
+        return materialize(members.join(comps, "set_key").groupBy("key").agg(
+            F.max("lvl").alias("top"), F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("parts"),
+            F.min(F.xxhash64("comp")).alias("x"), F.max(F.xxhash64("comp")).alias("y")).where("x <> y").select("key", "top", "parts"), "llm-open")
+
+    members = materialize(members, "llm-members")
+    side = known.select("set_key", "n", "r", "f")
+    top = open_buckets()
+    if top.limit(1).count():
+        rest = members.join(top, "key")
+        pivots = materialize(rest.where("lvl = top").select("key", F.col("set_key").alias("p"), F.col("n").alias("p_n"), F.col("m").alias("p_m")), "llm-pivots")
+        met = rest.join(pivots, "key").where("lvl < top OR set_key < p")
         # The intersection is at most what either shares with anyone.
         met = met.where(f"{LINK[1]} * least(m, p_m) >= {LINK[0]} * (n + p_n - least(m, p_m))")
-        met = met.groupBy(F.col("set_key").alias("a"), F.col("p").alias("b")).agg(F.max("p_lvl").alias("lvl"))
-        met = _with_sides(materialize(met, "llm-met"), known).select("a", "b", "lvl", "n_a", "n_b", "r_a", "r_b", "f_a", "f_b")
+        met = materialize(met.groupBy(F.col("set_key").alias("a"), F.col("p").alias("b")).agg(F.max("top").alias("lvl")), "llm-met")
+        met = _with_sides(met, side).select("a", "b", "lvl", "n_a", "n_b", "r_a", "r_b", "f_a", "f_b")
         met = materialize(met.mapInArrow(_plausible, "a binary, b binary, lvl int"), "llm-plausible")
         # First the highest pivot of each member; then what this leaves unconnected.
         best = materialize(met.groupBy("a").agg(F.max_by("b", F.struct("lvl", "b")).alias("b")), "llm-best")
         confirm(best)
         left = _with_sides(met.select("a", "b").join(best, ["a", "b"], "left_anti"), comps)
-        left = materialize(left.where("comp_a <> comp_b").select("a", "b"), "llm-left")
-        if left.limit(1).count():
-            confirm(left)
-        rest = rest.where(F.col("lvl") <= F.col("top") - levels).select("key", "set_key", "lvl", "n", "m")
-        levels *= 2
+        confirm(left.where("comp_a <> comp_b").select("a", "b"))
+
+        top = open_buckets()
+        rest = members.join(top, "key").join(comps, "set_key").join(known.select("set_key", "f"), "set_key")
+        rest = rest.withColumn("part", F.pmod(F.xxhash64("set_key"), F.col("parts")).cast("int"))
+        blocks = rest.groupBy("key", "part").agg(F.first("parts").alias("parts"), F.collect_list(F.struct("set_key", "comp", "n", "m", "f")).alias("rows"))
+        blocks = materialize(blocks, "llm-blocks")  # about BLOCK_MEMBERS rows in each
+        one = blocks.withColumn("other", F.explode(F.sequence("part", F.col("parts") - 1)))
+        two = blocks.select("key", F.col("part").alias("other"), F.col("rows").alias("rows_b"))
+        met = one.join(two, ["key", "other"]).select("part", "other", F.col("rows").alias("rows_a"), "rows_b")
+        met = met.mapInArrow(_block_pairs, "a binary, b binary").distinct()
+        met = _with_sides(materialize(met, "llm-met"), side).select("a", "b", F.lit(0).alias("lvl"), "n_a", "n_b", "r_a", "r_b", "f_a", "f_b")
+        met = materialize(met.mapInArrow(_plausible, "a binary, b binary, lvl int").select("a", "b"), "llm-plausible")
+        if met.limit(1).count():
+            confirm(met)
 
     named = classes.select("set_key", "min_id").join(comps, "set_key")
     smallest = named.groupBy("comp").agg(F.min("min_id").alias("component_id"))
