@@ -42,11 +42,12 @@ def _kind(x: Column, previous: Column) -> Column:
 
 
 def _template(df: DataFrame) -> DataFrame:
-    """``__h`` (hash of every template token) and ``__v`` (the value of every
-    placeholder, null for a literal)."""
+    """``__k`` (placeholder of every token or null), ``__h`` (hash of every
+    template token) and ``__s`` (whether there is any placeholder)."""
     prev = lambda i: F.coalesce(F.get(F.col("__t"), i - 1), F.lit(""))
-    d = df.withColumn("__v", F.transform("__t", lambda x, i: F.when(_kind(x, prev(i)).isNotNull(), F.lower(x))))
-    return d.withColumn("__h", F.transform("__t", lambda x, i: F.xxhash64(F.coalesce(_kind(x, prev(i)), F.lower(x)))))
+    d = df.withColumn("__k", F.transform("__t", lambda x, i: _kind(x, prev(i))))
+    return (d.withColumn("__s", F.exists("__k", lambda k: k.isNotNull()))
+             .withColumn("__h", F.zip_with("__t", "__k", lambda x, k: F.xxhash64(F.coalesce(k, F.lower(x))))))
 
 
 def template_windows(df: DataFrame, keys: list[str], window: int, min_literal: int = MIN_LITERAL,
@@ -56,7 +57,7 @@ def template_windows(df: DataFrame, keys: list[str], window: int, min_literal: i
     d = _template(df.select(*keys, _tokens(text_col()).alias("__t")))
     n = F.size("__t") - window + 1
     d = d.where((n == 1) if whole_only else (n >= 1))
-    d = d.withColumn("__s", F.exists("__v", lambda v: v.isNotNull()))
+    d = d.withColumn("__v", F.when(F.col("__s"), F.zip_with("__t", "__k", lambda x, k: F.when(k.isNotNull(), F.lower(x)))))
 
     def one(i: Column) -> Column:
         vals = F.slice("__v", i + 1, window)
