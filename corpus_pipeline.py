@@ -21,8 +21,8 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score under the threshold (fitted on labels outside the held-out fold)."""
-    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"), docs.columns)
-    return scored.where(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"), docs.columns, "__score")
+    return scored.where(F.col("__score") < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,10 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of the mix: whole repeats of documents, and one cut document per source where its budget ends."""
-    return source_mix.mixed_rows(source_mix.mix_sources(docs), docs.columns)
+    packed = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("__row"))
+    rows = source_mix.mixed_rows(source_mix.mix_sources(packed), ["text", "__cut", "__row"])
+    own = {"text": F.col("text"), "n_chars": F.when(F.col("__cut").isNotNull(), F.length("text").cast("long")).otherwise(F.col("__row.n_chars"))}
+    return rows.select(*[own.get(c, F.col(f"__row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

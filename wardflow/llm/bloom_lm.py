@@ -216,6 +216,7 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
     Null text is empty: its only token is the end. With no training token the
     word probability is 0.1 / 0.1 = 1 for the only type, so scores are 0.
     Repeated rows score alike; an empty table gives none."""
+    columns = [c for c in columns if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]  # replaced
     spark = docs.sparkSession
     model, blocks = build(train)
     n, v = model.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()

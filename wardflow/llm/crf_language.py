@@ -229,6 +229,7 @@ def languages(docs: DataFrame, columns: list[str], model: Crf | None = None) ->
     Null text and text without a letter are ``und`` with score 0; so is
     everything if no labelled row exists. Repeated rows are predicted alike; an
     empty table gives none. Labels are only read in fitting."""
+    columns = [c for c in columns if c not in ("lang_pred", "score")]  # replaced
     sent = docs.sparkSession.sparkContext.broadcast(model or fit(docs))  # BUCKETS x labels numbers
     schema = docs.select(*columns).schema
 

@@ -90,7 +90,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: floa
 def mixed_rows(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The rows of the mix: each document once per repeat. The one document
     per source at which the budget ends keeps its first ``part`` words there
-    (separated by single spaces)."""
+    (separated by single spaces); ``__cut`` is their number there, else null."""
     full = F.col("part") == F.col("size")
     words = F.filter(F.split(text_col(), r"[\x20\x09-\x0D]+"), lambda x: x != "")
     copies = F.concat(F.array_repeat(F.lit(None).cast("long"), F.col("epochs").cast("int")),
@@ -100,8 +100,6 @@ def mixed_rows(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
     cut = F.col("__cut").isNotNull()
     out = out.withColumn("text", F.when(cut, F.array_join(F.slice(words, 1, F.greatest(F.lit(1), F.coalesce("__cut", F.lit(1))).cast("int")), " "))
                          .otherwise(F.col("text")))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*columns)
 
 

@@ -121,26 +121,28 @@ class Features:
 
 
 class ToxicityModel:
-    """Fitted lexicon, trees and calibration; ``score`` adds ``raw`` and ``score``."""
+    """Fitted lexicon, trees and calibration."""
 
     def __init__(self, lexicon, trees, isotonic, prior: float):
         self.lexicon, self.trees, self.isotonic, self.prior = lexicon, trees, isotonic, prior
 
-    def score(self, docs: DataFrame, columns: list[str]) -> DataFrame:
-        """``columns`` of every row with ``score`` (0 to 1, higher: label 1 likelier)."""
+    def score(self, docs: DataFrame, columns: list[str], name: str = "score") -> DataFrame:
+        """``columns`` of every row with the score as ``name`` (0 to 1, higher:
+        label 1 likelier); a column of that name is replaced."""
+        columns = [c for c in columns if c != name]
         f = with_features(docs, columns, self.lexicon)
         if self.trees is None:
-            return f.drop("features").withColumn("score", F.lit(self.prior))
-        p = self.trees.transform(f.withColumn("features", array_to_vector("features")))
-        p = p.withColumn("raw", vector_to_array("probability")[1])
+            return f.select(*columns, F.lit(self.prior).alias(name))
+        p = self.trees.transform(f.withColumn("__features", array_to_vector("__features")))
+        p = p.withColumn("__raw", vector_to_array("__p")[1])
         p = self.isotonic.transform(p)
         # The raw probability keeps the order inside the steps of the calibration.
-        p = p.withColumn("score", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("calibrated") * 0.98 + F.col("raw") * 0.02)))
-        return p.select(*columns, "score")
+        p = p.withColumn("__s", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("__calibrated") * 0.98 + F.col("__raw") * 0.02)))
+        return p.select(*columns, F.col("__s").alias(name))
 
 
 def with_features(docs: DataFrame, columns: list[str], lexicon: dict[str, float]) -> DataFrame:
-    """``columns`` (without text among what leaves Python, unless named) and ``features``."""
+    """``columns`` of every row and ``__features``."""
     sent = docs.sparkSession.sparkContext.broadcast(lexicon)  # at most LEXICON entries
     schema = docs.select(*columns).schema
 
@@ -149,11 +151,11 @@ def with_features(docs: DataFrame, columns: list[str], lexicon: dict[str, float]
         for batch in batches:
             for i, j, texts in slices(batch.column("__text")):
                 x = pa.array(list(f.matrix(texts)), pa.list_(pa.float64()))
-                yield pa.record_batch([*[batch.column(c).slice(i, j - i) for c in columns], x], names=[*columns, "features"])
+                yield pa.record_batch([*[batch.column(c).slice(i, j - i) for c in columns], x], names=[*columns, "__features"])
 
     d = docs.select(*columns, F.col("text").alias("__text"))
     out = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in schema)
-    return d.mapInArrow(run, f"{out}, features array<double>")
+    return d.mapInArrow(run, f"{out}, __features array<double>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> ToxicityModel:
@@ -171,24 +173,25 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Toxici
     if len(words) == 0 or not ones or ones == n:
         return ToxicityModel({}, None, None, float(ones) / n if n else 0.5)
     lexicon = learn_lexicon(words["text"].tolist(), words["y"].tolist())
-    f = with_features(rows, ["doc_id", "y", "part"], lexicon).withColumn("features", array_to_vector("features"))
+    f = with_features(rows, ["doc_id", "y", "part"], lexicon).withColumn("__features", array_to_vector("__features"))
     f = materialize(f, "llm-toxic-features").withColumn("label", F.col("y").cast("double")).coalesce(4)
     used = f.where("part >= 4 AND part < 7")
     if used.select("y").distinct().count() < 2:
         used = f
-    trees = GBTClassifier(maxIter=15, maxDepth=3, stepSize=0.2, maxBins=64, seed=7, cacheNodeIds=False).fit(used)
+    trees = GBTClassifier(maxIter=15, maxDepth=3, stepSize=0.2, maxBins=64, seed=7, featuresCol="__features", predictionCol="__pr")
+    trees = trees.setRawPredictionCol("__rp").setProbabilityCol("__p").fit(used)
     held = f.where("part = 7")
     held = held if held.limit(1).count() else f
-    raw = trees.transform(held).select("label", vector_to_array("probability")[1].alias("raw"))
-    isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(raw)
+    raw = trees.transform(held).select("label", vector_to_array("__p")[1].alias("__raw"))
+    isotonic = IsotonicRegression(featuresCol="__raw", labelCol="label", predictionCol="__calibrated").fit(raw)
     return ToxicityModel(lexicon, trees, isotonic, float(ones) / n)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` of every row of ``docs`` and ``score``. Null and empty texts
+def toxicity(docs: DataFrame, labels: DataFrame, columns: list[str], name: str = "score") -> DataFrame:
+    """``columns`` of every row of ``docs`` and the score as ``name``. Null and empty texts
     are scored like any text without words; repeated rows score alike; an empty
     table gives none."""
-    return fit(docs, labels).score(docs, columns)
+    return fit(docs, labels).score(docs, columns, name)
 
 
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:
