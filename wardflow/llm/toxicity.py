@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ SAMPLE_ROWS = 16_000   # labelled rows used for fitting, chosen by id hash
 LEXICON = 400          # entries at most
 NEAR = 5               # words between a hit and a second-person word
 THRESHOLD = 0.3
-CACHE = 200_000
+CACHE = 100_000
 # Second-person words (English, German, French, Spanish). Fixed values.
 SECOND_PERSON = {"you", "your", "yours", "yourself", "u", "ur", "du", "dich", "dir", "dein", "deine", "ihr", "euch", "tu",
                  "te", "toi", "ton", "ta", "tes", "vous", "votre", "tú", "ti", "usted", "ustedes", "vos", "vosotros"}
@@ -70,7 +71,7 @@ class Features:
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
         self.row: dict[str, int] = {}
-        self.rows: list[tuple] = []
+        self.known = np.zeros((0, 10), np.float32)
 
     def _weight(self, w: str) -> float:
         return max((self.lexicon[x] for x in _terms(w) if x in self.lexicon), default=0.0) if len(w) >= 3 else 0.0
@@ -93,14 +94,13 @@ class Features:
     def matrix(self, texts: list) -> np.ndarray:
         """One row per text (null as empty; all zero without words)."""
         split = [(t or "").split() for t in texts]
-        if len(self.rows) > CACHE:
+        if len(self.row) > CACHE:
             self.row.clear()
-            self.rows.clear()
-        for w in {w for s in split for w in s}:
-            if w not in self.row:
-                self.row[w] = len(self.rows)
-                self.rows.append(self._word(w))
-        known = np.array(self.rows, np.float32).reshape(-1, 10)
+            self.known = self.known[:0]
+        new = list({w for s in split for w in s} - self.row.keys())
+        made = np.fromiter(chain.from_iterable(map(self._word, new)), np.float32, 10 * len(new)).reshape(-1, 10)
+        self.row.update(zip(new, range(len(self.row), len(self.row) + len(new))))
+        known = self.known = np.concatenate([self.known, made])
         get = self.row.__getitem__
         out = np.zeros((len(texts), len(NAMES)))
         for i, s in enumerate(split):
