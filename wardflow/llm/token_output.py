@@ -24,9 +24,9 @@ from wardflow.llm.common import slices, table, text_col
 from wardflow.session import ensure_checkpoint_dir
 
 END_ID = 0
-FRAME_IDS = 1024 * id_coder.BLOCK   # ids in a frame, unless one document is longer
+FRAME_IDS = 640 * id_coder.BLOCK   # ids in a frame, unless one document is longer
 RANGE_BYTES = 24 << 20              # text in one range of ids
-CACHE = 300_000                     # distinct pieces remembered by a worker
+CACHE = 200_000                     # distinct pieces remembered in a task
 
 FRAME = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                    ("lengths", pa.list_(pa.int64())), ("crcs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("payload", pa.binary())])
@@ -99,6 +99,7 @@ def _frames(path: str):
                     held.append(np.append(x, np.uint32(END_ID)))
                     names.append(d)
                     count += len(x) + 1
+        enc.known.clear()  # the worker may serve other stages next
         if held:
             yield frame()
     return run
