@@ -117,9 +117,12 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str) -> None:
     d.select("doc_id", "text").mapInArrow(_frames(tokenizer), FRAME_DDL).write.parquet(path)
 
 
-def read_ids(spark, path: str, tokenizer: str) -> DataFrame:
+def read_ids(spark, path: str, tokenizer: str, digest: bool = False) -> DataFrame:
     """Decode a file of :func:`write_ids`: ``doc_id, start, n_tokens, ids``
-    (ids as little-endian uint32 bytes); checksums are verified."""
+    (ids as little-endian uint32 bytes; with ``digest`` their crc32 instead, as
+    ``ids_crc32``); block checksums are verified."""
+    name, kind, ddl = ("ids_crc32", pa.int64(), "long") if digest else ("ids", pa.binary(), "binary")
+    value = zlib.crc32 if digest else (lambda x: x)
     f = spark.read.parquet(path)
     before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     totals = f.select("part", "seq", "n_ids")
@@ -129,7 +132,7 @@ def read_ids(spark, path: str, tokenizer: str) -> DataFrame:
                .join(parts, "part").select("part", "seq", (F.col("p") + F.col("q")).alias("offset")))
 
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("doc_id", pa.int64()), ("at", pa.int64()),
-                        ("n_tokens", pa.int64()), ("ids", pa.binary())])
+                        ("n_tokens", pa.int64()), (name, kind)])
 
     def run(batches):
         alphabet = encoder(tokenizer).alphabet
@@ -146,11 +149,11 @@ def read_ids(spark, path: str, tokenizer: str) -> DataFrame:
                     yield pa.record_batch([pa.array([row["part"]] * k, pa.int32()), pa.array([row["seq"]] * k, pa.int32()),
                                            pa.array(row["doc_ids"][a:b], pa.int64()), pa.array(at[a:b], pa.int64()),
                                            pa.array(row["lengths"][a:b], pa.int64()),
-                                           pa.array([ids[at[i]: at[i + 1]].tobytes() for i in range(a, b)], pa.binary())], schema=schema)
+                                           pa.array([value(ids[at[i]: at[i + 1]].tobytes()) for i in range(a, b)], kind)], schema=schema)
 
-    d = f.mapInArrow(run, "part int, seq int, doc_id long, at long, n_tokens long, ids binary")
+    d = f.mapInArrow(run, "part int, seq int, doc_id long, at long, n_tokens long, " + f"{name} {ddl}")
     return (d.join(offsets, ["part", "seq"])
-             .select("doc_id", (F.col("offset") + F.col("at")).alias("start"), "n_tokens", "ids"))
+             .select("doc_id", (F.col("offset") + F.col("at")).alias("start"), "n_tokens", name))
 
 
 def token_digest(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -159,13 +162,7 @@ def token_digest(docs: DataFrame, tokenizer: str) -> DataFrame:
     spark = docs.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/wardflow-ids-{uuid.uuid4().hex}"
     write_ids(docs, path, tokenizer)
-
-    def crc(batches):
-        for batch in batches:
-            yield pa.record_batch([*batch.columns[:3], pa.array([zlib.crc32(x.as_py()) for x in batch.column(3)], pa.int64())],
-                                  names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return read_ids(spark, path, tokenizer).mapInArrow(crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_ids(spark, path, tokenizer, digest=True)
 
 
 def op2_token_output(spark, sf_dir: str) -> DataFrame:
