@@ -27,9 +27,33 @@ def test_quantile_columns_one_row(spark):
     assert row.a_med == pytest.approx(5.5) and row.b_p90 == pytest.approx(float(np.quantile([i % 5 for i in range(1, 11)], 0.9)))
 
 
-def test_quantile_columns_distributed_path(spark):
-    df = spark.createDataFrame([(float(i) / 3, float(i % 7)) for i in range(1, 500)], "a double, b double")
-    specs = {"a_p01": ("a", 0.01), "a_med": ("a", 0.5), "b_p75": ("b", 0.75)}
-    small = quantile_columns(df, specs).first().asDict()
-    big = quantile_columns(df, specs, small_distinct=0).first().asDict()
-    assert small == pytest.approx(big)
+def test_quantile_columns_against_numpy(spark):
+    rows = [(float(i) / 3, float(i % 7)) for i in range(1, 500)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    got = quantile_columns(df, {"a_p01": ("a", 0.01), "a_med": ("a", 0.5), "b_p75": ("b", 0.75)}).first()
+    a, b = zip(*rows)
+    assert got.a_p01 == pytest.approx(np.quantile(a, 0.01)) and got.a_med == pytest.approx(np.quantile(a, 0.5))
+    assert got.b_p75 == pytest.approx(np.quantile(b, 0.75))
+
+
+def test_patient_ids_are_never_cut(spark):
+    from pyspark.sql import functions as F
+
+    from wardflow.sources.binding import padded_id
+    got = spark.createDataFrame([(7,), (123456,), (1234567,), (1234568,)], "k long").select(padded_id(F.col("k"))).collect()
+    assert [r[0] for r in got] == ["PID_000007", "PID_123456", "PID_1234567", "PID_1234568"]
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from wardflow.sources.readers import read_csv
+    path = str(tmp_path / "x.csv")
+    with open(path, "w") as f:
+        f.write("gender,age,patient_id,note\nF,71,PID_1,a\nM,,PID_2,b\n")
+    schema = T.StructType([T.StructField("patient_id", T.StringType()), T.StructField("age", T.DoubleType()), T.StructField("gender", T.StringType())])
+    assert [tuple(r) for r in read_csv(spark, path, schema).collect()] == [("PID_1", 71.0, "F", "a"), ("PID_2", None, "M", "b")]
+    schema.add("stay", T.DoubleType())
+    with pytest.raises(ValueError):
+        read_csv(spark, path, schema)
+    assert read_csv(spark, path, schema, allow_missing=True).columns == ["patient_id", "age", "gender", "note"]

@@ -47,7 +47,7 @@ def title_case(c: Column | str) -> Column:
 
     # Strings that are already one lower/upper-case-insensitive word skip the per-character pass.
     simple = c.rlike(r"^[A-Za-z]*$")
-    fast = F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    fast = F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
     return F.when(simple, fast).otherwise(F.array_join(F.transform(chars, step), ""))
 
 

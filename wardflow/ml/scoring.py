@@ -52,11 +52,12 @@ def batch_scoring_job(spark: SparkSession, model_path: str, input_path: str, out
     from wardflow.ml.training import load_model
     from wardflow.operators.cleaning import process_pipeline, CleaningOptions
     from wardflow.operators.features import engineer_all_features
-    from wardflow.sources.readers import load_raw_data
+    from wardflow.sources.readers import load_raw_data, read_csv
     from wardflow.sources.sinks import write_csv
 
     model, meta = load_model(spark, model_path)
-    raw = load_raw_data(spark, input_path, file_type)
+    # By header name: files to score lack the target, and may lack other columns.
+    raw = read_csv(spark, input_path, allow_missing=True) if file_type == "csv" else load_raw_data(spark, input_path, file_type)
     if "admission_key" not in raw.columns:
         raw = raw.withColumn("admission_key", F.monotonically_increasing_id())
     clean = process_pipeline(raw, CleaningOptions(validate_quality=False))[0]

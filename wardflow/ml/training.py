@@ -31,6 +31,9 @@ LR_GRID = {"C": [0.01, 0.1, 1.0, 10.0, 100.0], "penalty": ["l1", "l2"]}
 TREE_GRID = {"max_depth": [3, 5, 7, 10, None], "min_samples_leaf": [1, 2, 5, 10],
              "criterion": ["gini", "entropy"]}
 SPARK_MAX_DEPTH = 30  # deepest tree Spark grows; stands in for "unlimited"
+# Default depth of a forest's trees (parameter maxDepth; the original is unlimited,
+# which costs minutes for 100 trees of depth 30 on a few thousand rows).
+FOREST_MAX_DEPTH = 15
 
 
 def _hash_order(key: str, seed: int):
@@ -86,7 +89,8 @@ def classifier(model_type: str, **params):
         return DecisionTreeClassifier(featuresCol="features", labelCol="label", seed=42,
                                       maxDepth=params.pop("maxDepth", SPARK_MAX_DEPTH), **params)
     if model_type == "random_forest":
-        return RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=100, seed=42, **params)
+        return RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=100, seed=42,
+                                      maxDepth=params.pop("maxDepth", FOREST_MAX_DEPTH), **params)
     raise ValueError(f"Unknown model type: {model_type}")
 
 

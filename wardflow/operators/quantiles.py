@@ -47,25 +47,10 @@ def quantile_row(df: DataFrame, column: str, probs: Sequence[float], names: Sequ
     return long.agg(*cols)
 
 
-# Largest number of distinct values for which one task may hold the value
-# -> count map of Spark's single-pass ``percentile`` (about 40 MB).
-SMALL_DISTINCT = 1_000_000
-
-
-def quantile_columns(df: DataFrame, specs: dict[str, tuple[str, float]],
-                     small_distinct: int = SMALL_DISTINCT) -> DataFrame:
-    """One row: name -> quantile of (column, q).
-
-    A HyperLogLog pass (bounded sketches) first estimates the distinct
-    values per column. When every column has at most ``small_distinct``
-    (with a 5% margin for the estimate), one aggregate with Spark's exact
-    ``percentile`` suffices: its per-task map is bounded by that number.
-    Otherwise all columns are stacked into (column, value) pairs and ranked
-    by the distributed job grouped by column."""
+def quantile_columns(df: DataFrame, specs: dict[str, tuple[str, float]]) -> DataFrame:
+    """One row: name -> quantile of (column, q). All columns are stacked into
+    (column, value) pairs and ranked by the distributed job grouped by column."""
     columns = sorted({c for c, _ in specs.values()})
-    est = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
-    if all((est[c] or 0) * 1.05 <= small_distinct for c in columns):
-        return df.agg(*[F.percentile(F.col(c).cast("double"), float(q)).alias(n) for n, (c, q) in specs.items()])
     probs = sorted({q for _, q in specs.values()})
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x"))
                                          for c in columns])).alias("_s")).select("_s._col", "_s._x")
@@ -74,12 +59,6 @@ def quantile_columns(df: DataFrame, specs: dict[str, tuple[str, float]],
                      for n, (c, q) in specs.items()])
 
 
-def attach(df: DataFrame, stats_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row statistics frame to every row
-    (broadcast: the side is one row)."""
-    return df.crossJoin(F.broadcast(stats_row))
-
-
 def clamp(c: Column, lo: Column, hi: Column) -> Column:
     """least(greatest(c, lo), hi) with nulls kept null."""
     return F.when(c.isNull(), c).otherwise(F.least(F.greatest(c.cast("double"), lo), hi))

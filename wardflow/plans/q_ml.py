@@ -292,12 +292,12 @@ _rflags_cte()
 def r01_stream_demo_scoring(spark, sf):
     """Raw rows as a file stream -> stateless cleaning, row-wise condition
     flags, additive score, tier, advice -> Parquet sink (availableNow)."""
+    from wardflow.operators.quantiles import quantile_columns
     from wardflow.streaming.scoring_stream import start_demo_scoring
     raw = admissions(spark, sf)
     src, sink, ckpt = scratch(spark, "stream-src"), scratch(spark, "stream-out"), scratch(spark, "stream-ckpt")
     raw.write.parquet(src)
-    stats = raw.agg(F.median("age").alias("age"), F.median("length_of_stay").alias("length_of_stay"),
-                    F.median(F.col("emergency_admission").cast("double")).alias("emergency_admission")).first()
+    stats = quantile_columns(raw, {c: (c, 0.5) for c in ("age", "length_of_stay", "emergency_admission")}).first()
     q = start_demo_scoring(spark, src, RAW_SCHEMA, sink, ckpt, fills=stats.asDict())
     q.awaitTermination()
     return spark.read.parquet(sink)

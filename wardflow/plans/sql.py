@@ -113,7 +113,7 @@ _DATE_TEXT = f"""CASE o_orderkey % 12
 
 cte("raw", ("raw_seq",), f"""
   SELECT o_orderkey AS admission_key,
-    'PID_' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS patient_id,
+    'PID_' || repeat('0', greatest(0, 6 - length(CAST(o_custkey AS VARCHAR)))) || CAST(o_custkey AS VARCHAR) AS patient_id,
     CAST(CASE WHEN o_orderkey % 41 = 7 THEN NULL WHEN o_orderkey % 199 = 3 THEN 150.0
               WHEN o_orderkey % 211 = 5 THEN -2.0 ELSE 18 + (o_custkey * 37) % 83 END AS DOUBLE) AS age,
     {pick_sql(B.GENDER_VARIANTS, f"o_custkey % {len(B.GENDER_VARIANTS)}")} AS gender,

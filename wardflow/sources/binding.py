@@ -6,7 +6,7 @@ schema of the documented input is derived, deterministically, from
 so Spark and an SQL engine can compute the same table:
 
 * one admission per order, ``admission_key = o_orderkey``;
-* ``patient_id = 'PID_' + lpad(o_custkey, 6, '0')``;
+* ``patient_id = 'PID_' + o_custkey``, zero-padded to at least six digits;
 * ``admission_date``: the order date rendered as text in one of the
   documented formats (chosen by the key), or a null sentinel;
 * ``length_of_stay = avg(l_quantity) / 3`` per order (null without lines);
@@ -50,6 +50,12 @@ RAW_COLUMNS = ["admission_key", "patient_id", "age", "gender", "admission_date",
                "previous_admissions", "insurance_type", "readmission_30_day"]
 
 
+def padded_id(key: Column) -> Column:
+    """``PID_`` and the key with at least six digits (longer keys stay whole)."""
+    text = key.cast("string")
+    return F.concat(F.lit("PID_"), F.repeat(F.lit("0"), F.greatest(F.lit(0), F.lit(6) - F.length(text))), text)
+
+
 def _pick(values: list, index: Column) -> Column:
     """``values[index]`` for a 0-based integer Column (JVM-side array literal)."""
     return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]),
@@ -119,7 +125,7 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return seq.select(
         key.alias("admission_key"),
-        F.concat(F.lit("PID_"), F.lpad(cust.cast("string"), 6, "0")).alias("patient_id"),
+        padded_id(cust).alias("patient_id"),
         age.alias("age"),
         _pick(GENDER_VARIANTS, F.pmod(cust, F.lit(len(GENDER_VARIANTS)))).alias("gender"),
         _date_text(F.col("_d"), key).alias("admission_date"),

@@ -45,9 +45,13 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_ADMISSION_SCHEMA,
-             encoding: str | None = None, infer: bool = False) -> DataFrame:
+             encoding: str | None = None, infer: bool = False, allow_missing: bool = False) -> DataFrame:
     """CSV source with header; explicit schema by default, inference on request.
 
+    Columns of the schema are found by their header names, whatever their
+    order, and cast; a missing one raises ValueError, or is left out with
+    ``allow_missing``. Other columns of the file follow as text.
+
     ``encoding=None`` runs :func:`detect_encoding` (the utf-8 then latin-1
     fallback); empty fields read as null, 'NaN' as a missing number.
     """
@@ -57,7 +61,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_A
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if infer or schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+    text = reader.csv(path)
+    missing = [f.name for f in schema if f.name not in text.columns]
+    if missing and not allow_missing:
+        raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
+    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema if f.name not in missing]
+    known = set(schema.fieldNames())
+    return text.select(*typed, *[f"`{c}`" for c in text.columns if c not in known])
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = RAW_ADMISSION_SCHEMA,
