@@ -74,3 +74,10 @@ def test_readable_feature_names(spark):
     got = col_values(spark, ["has_heart_disease", "gender_std_Male", "has_copd", "los_category_std_Long"],
                      CL.readable_feature_name)
     assert got == ["Heart Disease", "Gender Male", "COPD", "Length of Stay Category Long"]
+
+
+def test_feature_categories():
+    from wardflow.operators.features import feature_category_counts
+    got = feature_category_counts(["age", "age_group", "has_copd", "gender_std_Male", "recent_admission", "high_risk_patient", "long_stay"])
+    assert got == {"Core Demographics": 2, "Medical Conditions": 1, "Temporal Features": 1, "Clinical Risk": 1, "Utilization": 0,
+                   "Categorical Encoded": 1}

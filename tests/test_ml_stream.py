@@ -69,3 +69,11 @@ def test_model_input_guards(spark):
             check_model_inputs(df, feats)
     with pytest.raises(ValueError):
         check_model_inputs(df.limit(0), ["a"])
+
+
+def test_scores_carry_the_patient_columns_as_read(separable):
+    from wardflow.ml.scoring import AS_READ, score_batch
+    res = TR.fit(separable, ["a", "b"], "logistic_regression")
+    info = F.struct(F.lit("P1").alias("patient_id"), F.lit(None).cast("double").alias("age"), F.lit("m").alias("gender"))
+    row = score_batch(res.model, ["a", "b"], separable.withColumn("age", F.lit(40.0)).withColumn(AS_READ, info)).first()
+    assert (row.patient_id, row.age, row.gender) == ("P1", None, "m")

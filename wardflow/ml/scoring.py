@@ -11,6 +11,7 @@ from wardflow.ml.training import score
 
 DEFAULT_AGE = 65.0
 OUTPUT_INFO = ["patient_id", "age", "gender", "length_of_stay", "emergency_admission"]
+AS_READ = "__as_read"  # struct of the OUTPUT_INFO columns before cleaning
 
 
 def align_features(df: DataFrame, expected: list[str]) -> tuple[DataFrame, list[str]]:
@@ -34,10 +35,12 @@ def align_features(df: DataFrame, expected: list[str]) -> tuple[DataFrame, list[
 
 def score_batch(model: PipelineModel, features: list[str], featured: DataFrame, threshold: float = 0.5,
                 include_probabilities: bool = True) -> DataFrame:
-    """M20 core: align -> score -> tier -> advice, one lazy plan."""
+    """M20 core: align -> score -> tier -> advice, one lazy plan. The patient
+    columns are those of the struct :data:`AS_READ`, else of the frame itself."""
     aligned, _ = align_features(featured, features)
     s = score(model, aligned, threshold)
-    cols = [c for c in OUTPUT_INFO if c in s.columns]
+    info = s.schema[AS_READ].dataType.names if AS_READ in s.columns else []
+    cols = [F.col(f"{AS_READ}.{c}") for c in info] or [F.col(c) for c in OUTPUT_INFO if c in s.columns]
     out = s.select(*cols, F.col("predicted").alias("predicted_readmission"),
                    CL.probability_tier("probability_1").alias("risk_category"),
                    F.col("probability_1").alias("readmission_probability"))
@@ -48,7 +51,7 @@ def score_batch(model: PipelineModel, features: list[str], featured: DataFrame,
 def batch_scoring_job(spark: SparkSession, model_path: str, input_path: str, output_path: str,
                       file_type: str = "csv", threshold: float = 0.5) -> DataFrame:
     """Load model, read the input once, clean, featurise, align, score,
-    write the scored rows (CSV with header)."""
+    write the scored rows with the patient columns as read (CSV with header)."""
     from wardflow.ml.training import load_model
     from wardflow.operators.cleaning import process_pipeline, CleaningOptions
     from wardflow.operators.features import engineer_all_features
@@ -60,6 +63,8 @@ def batch_scoring_job(spark: SparkSession, model_path: str, input_path: str, out
     raw = read_csv(spark, input_path, allow_missing=True) if file_type == "csv" else load_raw_data(spark, input_path, file_type)
     if "admission_key" not in raw.columns:
         raw = raw.withColumn("admission_key", F.monotonically_increasing_id())
+    info = [c for c in OUTPUT_INFO if c in raw.columns]
+    raw = raw.withColumn(AS_READ, F.struct(*info)) if info else raw
     clean = process_pipeline(raw, CleaningOptions(validate_quality=False))[0]
     featured = engineer_all_features(clean)[0]
     out = score_batch(model, meta["features"], featured, threshold)

@@ -160,10 +160,17 @@ def c13_impute_stay_median(spark, sf):
     return cleaned(spark, sf).select("admission_key", "length_of_stay")
 
 
-@register("c14_impute_text_mode", with_ctes(out_sql("admission_key:i diagnosis_codes:s", "clean"), "clean"))
+@register("c14_impute_text_mode", with_ctes("""
+SELECT CAST(admission_key AS BIGINT) AS admission_key,
+       coalesce(gender, (SELECT gender FROM raw WHERE gender IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS gender,
+       coalesce(insurance_type, (SELECT insurance_type FROM raw WHERE insurance_type IS NOT NULL
+                                 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS insurance_type,
+       diagnosis_codes
+FROM raw""", "raw"))
 def c14_impute_text_mode(spark, sf):
-    """Text columns: most frequent value (smallest on ties)."""
-    return cleaned(spark, sf).select("admission_key", "diagnosis_codes")
+    """Text columns: most frequent value (smallest on ties); code lists stay as they are."""
+    df = admissions(spark, sf).select(F.col("admission_key").cast("bigint").alias("admission_key"), "gender", "insurance_type", "diagnosis_codes")
+    return CLN.impute_missing_values(df)[0]
 
 
 @register("c15_impute_numeric_median", with_ctes(out_sql("admission_key:i emergency_admission:d", "clean"), "clean"))
@@ -181,8 +188,6 @@ SELECT column_name AS "column", rule, round(numeric_value, 6) AS numeric_value,
          (SELECT count(*) FROM clipped WHERE length_of_stay IS NULL) FROM clean_stats
   UNION ALL SELECT 'emergency_admission', 'median', em_med, NULL,
          (SELECT count(*) FROM clipped WHERE emergency_admission IS NULL) FROM clean_stats
-  UNION ALL SELECT 'diagnosis_codes', 'mode', NULL, dx_mode,
-         (SELECT count(*) FROM clipped WHERE diagnosis_codes IS NULL) FROM clean_stats
   UNION ALL SELECT 'previous_admissions', 'zero', 0.0, NULL,
          (SELECT count(*) FROM clipped WHERE previous_admissions IS NULL) FROM clean_stats
 ) r""", "clipped", "clean_stats")

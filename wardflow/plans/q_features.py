@@ -285,7 +285,7 @@ def f28_legacy_risk_flags(spark, sf):
 def readable_sql(x: str) -> str:
     cap = (f"array_to_string(list_transform(list_filter(string_split(replace(replace(replace({x}, 'has_', ''), "
            f"'_std_', ' '), '_', ' '), ' '), lambda w: w <> ''), lambda w: upper(w[1]) || lower(w[2:])), ' ')")
-    for old, new in CL.NAME_REPLACEMENTS:
+    for old, new in (("Copd", "COPD"), ("Ppv", "PPV"), ("Npv", "NPV"), ("Auc", "AUC"), ("Los", "Length of Stay")):
         cap = f"replace({cap}, {lit(old)}, {lit(new)})"
     return cap
 

@@ -162,15 +162,13 @@ cte("clipped", ("std", "los_bounds"), """
   FROM std s CROSS JOIN los_bounds b""")
 cte("clean_stats", ("clipped",), """
   SELECT median(age) AS age_med, median(length_of_stay) AS los_med,
-         median(CAST(emergency_admission AS DOUBLE)) AS em_med,
-         (SELECT diagnosis_codes FROM clipped WHERE diagnosis_codes IS NOT NULL
-          GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS dx_mode
+         median(CAST(emergency_admission AS DOUBLE)) AS em_med
   FROM clipped""")
 cte("clean", ("clipped", "clean_stats"), """
   SELECT admission_key, patient_id, coalesce(age, age_med) AS age, gender, admission_date,
     coalesce(length_of_stay, los_med) AS length_of_stay,
     coalesce(CAST(emergency_admission AS DOUBLE), em_med) AS emergency_admission,
-    coalesce(diagnosis_codes, dx_mode) AS diagnosis_codes,
+    diagnosis_codes,
     coalesce(previous_admissions, 0) AS previous_admissions,
     insurance_type, readmission_30_day
   FROM clipped CROSS JOIN clean_stats""")
