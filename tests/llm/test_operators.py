@@ -89,6 +89,22 @@ def test_coder_blocks_stand_alone_and_are_checked():
         id_coder.decode([bytes(broken), *payload[1:]], crcs, 9000, 5000)
 
 
+@pytest.mark.parametrize("alphabet", [1, 3, 50257, id_coder.MAX_ALPHABET])
+def test_coder_alphabets(alphabet):
+    for n in (1, 17, id_coder.BLOCK + 1, 9000):
+        ids = np.random.default_rng(n).integers(0, alphabet, n)
+        assert (id_coder.decode(*id_coder.encode(ids, alphabet), n, alphabet) == ids).all()
+    with pytest.raises(ValueError):
+        id_coder.encode(np.zeros(1, int), id_coder.MAX_ALPHABET + 1)
+
+
+def test_piece_ids_are_those_of_whole_texts():
+    e = token_output.PieceEncoder(TOKENIZER)
+    texts = ["\na", "a\n", "a\nb c", "a \nb c", "a\n\nb c", " \nb", "a\r\nb", "日\nb a", "  a  b", " a", "a ", "a \u3000x", "x\u00a0 y",
+             "<|endoftext|> a <|endoftext|>", "", " ", "é  ü", "a's\n's b"]
+    assert [x.tolist() for x in e.ids(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def expected_ids(rows):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(TOKENIZER)

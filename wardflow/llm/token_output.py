@@ -26,7 +26,7 @@ from wardflow.session import ensure_checkpoint_dir
 END_ID = 0
 FRAME_IDS = 640 * id_coder.BLOCK   # ids in a frame, unless one document is longer
 RANGE_BYTES = 24 << 20              # text in one range of ids
-CACHE = 200_000                     # distinct pieces remembered in a task
+CACHE = 400_000                     # distinct pieces remembered in a task
 
 FRAME = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                    ("lengths", pa.list_(pa.int64())), ("crcs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("payload", pa.binary())])
@@ -36,10 +36,14 @@ FRAME_DDL = "part int, seq int, n_ids long, doc_ids array<long>, lengths array<l
 class PieceEncoder:
     """Ids of texts by the tokenizers library, which sees each distinct piece once.
 
-    A text is cut before blanks that stand before a visible Latin character.
-    There the byte-level pre-tokenizer always ends a word, so the ids of the
-    pieces follow each other as in the whole text."""
+    A text is cut before blanks that stand before a visible Latin character, and
+    before single line breaks between two of them. There the byte-level
+    pre-tokenizer always ends a word, so the ids of the pieces follow each other
+    as in the whole text. ``known`` holds pieces that follow a cut (without their
+    blank, or with their line break), ``heads`` the first pieces of texts."""
 
+    _OTHER = re.compile(" (?![!-~À-ɏ])")
+    _BREAKS = re.compile("\n(?![!-~À-ɏ])|(?<![!-~À-ɏ])\n")
     _CUT = re.compile(" (?=[!-~À-ɏ])")
 
     def __init__(self, path: str):
@@ -47,23 +51,37 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
         self.alphabet = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
-    def ids(self, texts: list) -> list[np.ndarray]:
-        split = [self._CUT.split(t or "") for t in texts]
-        for s in split:
-            s[1:] = [" " + x for x in s[1:]]
-        new = {x for s in split for x in s} - self.known.keys()
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = {x for s in split for x in s}
+    def forget(self) -> None:
+        self.known.clear()
+        self.heads.clear()
+
+    def _pieces(self, text: str) -> list[str]:
+        if self._OTHER.search(text):
+            return self._CUT.split(text)
+        # Every blank is a cut, so that a piece begins with a line break only here.
+        return (text if self._BREAKS.search(text) else text.replace("\n", " \n")).split(" ")
+
+    def _add(self, new: set, to: dict, before: str) -> None:
         new = list(new)
         for a in range(0, len(new), 20_000):
             part = new[a: a + 20_000]
-            for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[x] = np.array(e.ids, np.uint32).tobytes()
+            found = self.tokenizer.encode_batch_fast([x if x[:1] == "\n" else before + x for x in part], add_special_tokens=False)
+            to.update((x, np.array(e.ids, np.uint32).tobytes()) for x, e in zip(part, found))
+
+    def ids(self, texts: list) -> list[np.ndarray]:
+        split = [self._pieces(t or "") for t in texts]
+        heads = [s.pop(0) for s in split]
+        new = set().union(*split) - self.known.keys()
+        if len(self.known) + len(self.heads) + len(new) > CACHE:
+            self.forget()
+            new = set().union(*split)
+        self._add(new, self.known, " ")
+        self._add(set(heads) - self.heads.keys(), self.heads, "")
         get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, s)), np.uint32) for s in split]
+        return [np.frombuffer(self.heads[h] + b"".join(map(get, s)), np.uint32) for h, s in zip(heads, split)]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -99,7 +117,7 @@ def _frames(path: str):
                     held.append(np.append(x, np.uint32(END_ID)))
                     names.append(d)
                     count += len(x) + 1
-        enc.known.clear()  # the worker may serve other stages next
+        enc.forget()  # the worker may serve other stages next
         if held:
             yield frame()
     return run
