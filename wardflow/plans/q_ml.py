@@ -72,7 +72,8 @@ def s03_json_round_trip(spark, sf):
     return RD.load_raw_data(spark, path, "json", schema=RAW_SCHEMA, multi_line=False)
 
 
-@register("s05_required_columns")
+@register("s05_required_columns", with_ctes("""
+SELECT CAST(readmission_30_day AS INTEGER) AS readmission_30_day, count(*) AS "count" FROM raw GROUP BY 1""", "raw"))
 def s05_required_columns(spark, sf):
     """Required-column check passes on the derived table (raises otherwise)."""
     df = admissions(spark, sf)
@@ -96,7 +97,10 @@ def s08_text_report(spark, sf):
 
 
 # ---------------------------------------------------------------- ML
-@register("m01_stratified_split")
+@register("m01_stratified_split", with_ctes("""
+SELECT p.part, CAST(c.label AS DOUBLE) AS label, CAST(CASE p.part WHEN 'test' THEN c.test ELSE c.n - c.test END AS BIGINT) AS "count"
+FROM (SELECT readmission_30_day AS label, count(*) AS n, round(count(*) * 0.2) AS test FROM raw GROUP BY 1) c
+CROSS JOIN (VALUES ('train'), ('test')) p(part)""", "raw"))
 def m01_stratified_split(spark, sf):
     """Exact stratified 80/20 split: rows per (part, class)."""
     df, _ = matrix(spark, sf)
