@@ -298,6 +298,19 @@ def test_planted_passages_are_found(spark, docs):
     assert want <= got and len(got - want) <= 1
 
 
+def test_capital_copies_are_found(spark):
+    """Every item of sf0.1 copied in capitals or title case, and with other numbers."""
+    bench = common.table(spark, "/root/testdata/sf0.1", "benchmark")
+    items = [(r.item_id, r.text) for r in bench.collect()]
+    other = lambda t: re.sub(r"\d+", lambda m: str(int(m[0]) + 1000), t)
+    docs = [(10 * i + k, "Some words before. " + f(t) + " and after") for i, t in items
+            for k, f in enumerate((str.upper, str.title, lambda t: other(t).upper()))]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert not {(d, d // 10) for d, _ in docs} - got
+    real = {r.doc_id for r in queries.QUERIES["op9_decontaminate"](spark, "/root/testdata/sf0.1").collect()}
+    assert {1699, 6420, 8376} <= real
+
+
 # 10 near duplicates
 
 def brute(rows):

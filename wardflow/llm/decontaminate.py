@@ -1,7 +1,9 @@
 """Benchmark decontamination by template windows, DataFrame functions only.
 
 Tokens (runs of letters and digits) become a template: numbers, names and
-units after numbers turn into typed placeholders, other tokens are lower-cased.
+units after numbers turn into typed placeholders, other tokens are case-folded.
+Windows with names are also taken with the names as case-folded literals, so
+that copies in capitals or title case are found.
 Windows of ``window`` template tokens of the benchmark meet those of the
 documents in a hash join. A benchmark item matches a document at an alignment
 when the values in the placeholders of all matching windows there map one to
@@ -34,45 +36,65 @@ def _tokens(text: Column) -> Column:
     return F.filter(F.split(marked, r"[^\p{L}\p{N}" + MARK + "]+"), lambda x: x != "")
 
 
-def _kind(x: Column, previous: Column) -> Column:
-    """Placeholder of a token, null for a literal."""
-    digit = lambda c: F.ascii(c).between(48, 57)
-    return (F.when(digit(x), "<num>").when(F.substring(x, 1, 1) == MARK, "<name>")
-             .when(digit(previous) & F.lower(x).isin(UNITS), "<unit>"))
-
-
 def _template(df: DataFrame) -> DataFrame:
-    """``__k`` (placeholder of every token or null), ``__h`` (hash of every
-    template token) and ``__s`` (whether there is any placeholder)."""
+    """``__r`` (case-folded tokens), ``__k`` (0 literal, 1 number, 2 name, 3 unit,
+    4 capitalised unit, which is a name or a unit), ``__s`` and ``__n`` (whether
+    there is any placeholder, any name) and two hashes of every template token:
+    ``__ha`` with names as placeholders, ``__hb`` with names as literals."""
+    digit = lambda c: F.ascii(c).between(48, 57)
+    name = lambda x: F.substring(x, 1, 1) == MARK
     prev = lambda i: F.coalesce(F.get(F.col("__t"), i - 1), F.lit(""))
-    d = df.withColumn("__k", F.transform("__t", lambda x, i: _kind(x, prev(i))))
-    return (d.withColumn("__s", F.exists("__k", lambda k: k.isNotNull()))
-             .withColumn("__h", F.zip_with("__t", "__k", lambda x, k: F.xxhash64(F.coalesce(k, F.lower(x))))))
+    unit = lambda x, i: digit(prev(i)) & F.get(F.col("__r"), i).isin([u.upper() for u in UNITS])
+    typed = lambda kind: F.xxhash64(F.lit(kind))
+    # Upper case, as it also folds letters without a single capital, like the German sharp s.
+    d = df.withColumn("__r", F.transform("__t", lambda x: F.upper(F.when(name(x), F.substr(x, F.lit(2))).otherwise(x))))
+    d = d.withColumn("__k", F.transform("__t", lambda x, i: F.when(digit(x), 1).when(name(x), F.when(unit(x, i), 4).otherwise(2))
+                                        .when(unit(x, i), 3).otherwise(0)))
+    d = d.withColumn("__s", F.exists("__k", lambda k: k > 0)).withColumn("__n", F.exists("__k", lambda k: k.isin(2, 4)))
+    d = d.withColumn("__hr", F.transform("__r", lambda x: F.xxhash64(x)))
+    both = lambda kinds: F.zip_with("__hr", "__k", kinds)
+    return (d.withColumn("__ha", F.when(F.col("__s"), both(lambda h, k: F.when(k == 0, h).when(k == 1, typed("<num>")).when(k == 3, typed("<unit>"))
+                                                           .otherwise(typed("<name>")))).otherwise(F.col("__hr")))
+             .withColumn("__hb", F.when(F.col("__n"), both(lambda h, k: F.when(k.isin(0, 2), h).when(k == 1, typed("<num>")).otherwise(typed("<unit>"))))))
 
 
 def template_windows(df: DataFrame, keys: list[str], window: int, min_literal: int = MIN_LITERAL,
                      whole_only: bool = False) -> DataFrame:
-    """(keys, pos, h, slots): windows with at least ``min_literal`` literals.
+    """(keys, pos, h, slots, way): windows with at least ``min_literal``
+    literals. A window with names comes once with the names as placeholders
+    (way 0) and once with the names as case-folded literals (way 1), since
+    capitals do not always mean a name; one without comes once (way 2).
     ``whole_only``: only rows of exactly ``window`` tokens."""
     d = _template(df.select(*keys, _tokens(text_col()).alias("__t")))
     n = F.size("__t") - window + 1
     d = d.where((n == 1) if whole_only else (n >= 1))
-    d = d.withColumn("__v", F.when(F.col("__s"), F.zip_with("__t", "__k", lambda x, k: F.when(k.isNotNull(), F.lower(x)))))
+    d = d.withColumn("__va", F.when(F.col("__s"), F.zip_with("__r", "__k", lambda r, k: F.when(k > 0, r))))
+    d = d.withColumn("__vb", F.when(F.col("__s"), F.zip_with("__r", "__k", lambda r, k: F.when(k.isin(1, 3, 4), r))))
+    none = F.array().cast("array<string>")
+    slots = lambda values, i: F.filter(F.slice(values, i + 1, window), lambda v: v.isNotNull())
+    whole = lambda hashes, i: F.xxhash64(*[F.get(F.col(hashes), i + j) for j in range(window)])
+    named = lambda i: F.col("__n") & F.exists(F.slice("__k", i + 1, window), lambda k: k.isin(2, 4))
+    row = lambda i, h, values, way: F.struct(i.alias("pos"), h.alias("h"), values.alias("slots"), way.alias("way"))
+
+    def first(i: Column) -> Column:
+        return row(i, whole("__ha", i), F.when(F.col("__s"), slots("__va", i)).otherwise(none),
+                   F.when(named(i), 0).otherwise(2))
 
-    def one(i: Column) -> Column:
-        vals = F.slice("__v", i + 1, window)
-        slots = F.when(F.col("__s"), F.filter(vals, lambda v: v.isNotNull())).otherwise(F.array().cast("array<string>"))
-        return F.struct(i.alias("pos"), F.xxhash64(*[F.get(F.col("__h"), i + j) for j in range(window)]).alias("h"),
-                        slots.alias("slots"))
+    def ways(w: Column) -> Column:
+        i = w["pos"]
+        return F.when(w["way"] == 2, F.array(w)).otherwise(F.array(w, row(i, whole("__hb", i), slots("__vb", i), F.lit(1))))
 
-    d = d.select(*keys, F.explode(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), one)).alias("__w"))
-    return d.select(*keys, "__w.pos", "__w.h", "__w.slots").where(F.size("slots") <= window - min(min_literal, window))
+    at = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), first)
+    d = d.select(*keys, F.explode(F.flatten(F.transform(at, ways))).alias("__w"))
+    return d.select(*keys, "__w.*").where(F.size("slots") <= window - min(min_literal, window))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_literal: int = MIN_LITERAL) -> DataFrame:
     """One row per document and benchmark item found in it: ``doc_id, item_id,
     n_windows`` (distinct matching windows of the item), ``reparameterised``
-    (true if some slot value differs from the item's).
+    (true if some slot value differs from the item's). Both are taken from the
+    windows with names as placeholders, and only where none of them matches
+    from those with names as case-folded literals.
 
     Items of fewer tokens than ``window`` but at least ``min_literal`` are
     matched as one window of their own length; shorter ones cannot be told from
@@ -85,25 +107,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     parts = []
     for size in [window, *short]:
         bw = template_windows(b, ["item_id"], size, min_literal, whole_only=size < window)
-        bw = bw.select("item_id", F.col("pos").alias("b_pos"), "h", F.col("slots").alias("b_slots"))
+        # Ways may meet: the window of a capital copy holds names where the item's has none.
+        bw = bw.select("item_id", F.col("pos").alias("b_pos"), "h", F.col("slots").alias("b_slots"), F.col("way").alias("b_way"))
         if bw.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
             bw = F.broadcast(bw)
         m = template_windows(docs, ["doc_id"], size, min_literal).join(bw, "h")
         parts.append(m.where(F.size("slots") == F.size("b_slots")).select(
             "doc_id", "item_id", "b_pos", (F.col("pos") - F.col("b_pos")).alias("shift"),
+            F.when((F.col("way") == 1) | (F.col("b_way") == 1), F.array(F.lit(1))).when(F.col("way") == 2, F.array(F.lit(0), F.lit(1)))
+             .otherwise(F.array(F.lit(0))).alias("way"),
             F.transform(F.sequence(F.lit(0), F.size("slots")), lambda i: F.struct(
                 F.get(F.col("b_slots"), i).alias("b"), F.get(F.col("slots"), i).alias("d"))).alias("pairs")))
     m = parts[0]
     for p in parts[1:]:
         m = m.unionByName(p)
+    m = m.withColumn("way", F.explode("way"))  # windows without names stand in both
     # An alignment holds at most the windows of one item, so the sets stay small.
-    a = m.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("b_pos").alias("at"), F.flatten(F.collect_set("pairs")).alias("p"))
+    a = m.groupBy("doc_id", "item_id", "shift", "way").agg(F.collect_set("b_pos").alias("at"), F.flatten(F.collect_set("pairs")).alias("p"))
     a = a.withColumn("p", F.array_distinct(F.filter("p", lambda s: s["b"].isNotNull())))
     size = lambda c: F.size(F.array_distinct(F.transform("p", lambda s: s[c])))
     a = a.where((F.size("p") == size("b")) & (F.size("p") == size("d")))
+    a = a.withColumn("__d", F.exists("p", lambda s: s["b"] != s["d"]))
+    typed = F.col("way") == 0
+    places = lambda c: F.size(F.array_distinct(F.flatten(F.collect_set(c)))).cast("long")
     return a.groupBy("doc_id", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("n_windows"),
-        F.max(F.exists("p", lambda s: s["b"] != s["d"])).alias("reparameterised"))
+        F.when(F.max(typed), places(F.when(typed, F.col("at")))).otherwise(places("at")).alias("n_windows"),
+        F.when(F.max(typed), F.max(F.when(typed, F.col("__d")))).otherwise(F.max("__d")).alias("reparameterised"))
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
