@@ -311,6 +311,15 @@ def test_capital_copies_are_found(spark):
     assert {1699, 6420, 8376} <= real
 
 
+def test_literal_copies_with_many_placeholders(spark):
+    items = [(1, "12 34 56 78 90 12 34 56 78 90 11"), (2, "ask Ann Bob Cid Dan Eve Fay Gus Hal Ida"), (3, "add 5 6 7 8"), (4, "9 10")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(10 * i, f"so {t} then") for i, t in items] + [(10 * i + 1, t.upper()) for i, t in items]
+    docs += [(5, "so 12 34 56 78 90 13 35 57 79 91 11 then"), (6, "then add 5 6 7 9 now"), (7, "ask Ida Hal Gus Fay Eve Dan Cid Bob Ann")]
+    got = {(r.doc_id, r.item_id, r.reparameterised) for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {(10, 1, False), (11, 1, False), (20, 2, False), (21, 2, False), (30, 3, False), (31, 3, False), (41, 4, False)}
+
+
 # 10 near duplicates
 
 def brute(rows):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from wardflow.llm.common import table, text_col
 
 WINDOW = 8
-MIN_LITERAL = 4   # a window needs that many tokens that are no placeholders
+MIN_LITERAL = 4   # with fewer tokens that are no placeholders, a window must be equal token by token
 BROADCAST_ROWS = 500_000  # benchmark windows up to which they are broadcast (about 60 MB)
 MARK = "\ue000"   # set before a name; a private-use character
 # Units that follow a number.
@@ -63,7 +63,9 @@ def template_windows(df: DataFrame, keys: list[str], window: int, min_literal: i
     """(keys, pos, h, slots, way): windows with at least ``min_literal``
     literals. A window with names comes once with the names as placeholders
     (way 0) and once with the names as case-folded literals (way 1), since
-    capitals do not always mean a name; one without comes once (way 2).
+    capitals do not always mean a name; one without comes once (way 2). A
+    window with numbers or units comes once more without any placeholder
+    (way 1), so that literal copies meet whatever the number of placeholders.
     ``whole_only``: only rows of exactly ``window`` tokens."""
     d = _template(df.select(*keys, _tokens(text_col()).alias("__t")))
     n = F.size("__t") - window + 1
@@ -82,7 +84,10 @@ def template_windows(df: DataFrame, keys: list[str], window: int, min_literal: i
 
     def ways(w: Column) -> Column:
         i = w["pos"]
-        return F.when(w["way"] == 2, F.array(w)).otherwise(F.array(w, row(i, whole("__hb", i), slots("__vb", i), F.lit(1))))
+        literal = row(i, whole("__hr", i), none, F.lit(1))
+        values = slots("__vb", i)
+        return (F.when(F.size(w["slots"]) == 0, F.array(w)).when(w["way"] == 2, F.array(w, literal))
+                .when(F.size(values) == 0, F.array(w, literal)).otherwise(F.array(w, row(i, whole("__hb", i), values, F.lit(1)), literal)))
 
     at = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), first)
     d = d.select(*keys, F.explode(F.flatten(F.transform(at, ways))).alias("__w"))
@@ -94,16 +99,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     n_windows`` (distinct matching windows of the item), ``reparameterised``
     (true if some slot value differs from the item's). Both are taken from the
     windows with names as placeholders, and only where none of them matches
-    from those with names as case-folded literals.
+    from those with names or all tokens as case-folded literals.
 
-    Items of fewer tokens than ``window`` but at least ``min_literal`` are
-    matched as one window of their own length; shorter ones cannot be told from
-    chance and match nothing. Null texts and null ids of documents are kept out
+    Windows of fewer than ``min_literal`` literals match by equal tokens only.
+    Items of fewer tokens than ``window`` are matched as one window of their own
+    length; those of fewer than ``min_literal`` tokens cannot be told from chance
+    inside a text and match documents that hold nothing else. Null texts and null ids of documents are kept out
     of matches only as far as they have no windows: a null id is reported as
     null. Repeated rows and equal ids report once; an empty side gives no row."""
     b = benchmark.select("item_id", "text")
-    lengths = b.select(F.size(_tokens(text_col())).alias("n")).where(F.col("n").between(min_literal, window - 1))
-    short = sorted(r["n"] for r in lengths.distinct().collect())  # at most window - min_literal numbers
+    lengths = b.select(F.size(_tokens(text_col())).alias("n")).where(F.col("n").between(1, window - 1))
+    short = sorted(r["n"] for r in lengths.distinct().collect())  # at most window - 1 numbers
     parts = []
     for size in [window, *short]:
         bw = template_windows(b, ["item_id"], size, min_literal, whole_only=size < window)
@@ -111,7 +117,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
         bw = bw.select("item_id", F.col("pos").alias("b_pos"), "h", F.col("slots").alias("b_slots"), F.col("way").alias("b_way"))
         if bw.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
             bw = F.broadcast(bw)
-        m = template_windows(docs, ["doc_id"], size, min_literal).join(bw, "h")
+        m = template_windows(docs, ["doc_id"], size, min_literal, whole_only=size < min_literal).join(bw, "h")
         parts.append(m.where(F.size("slots") == F.size("b_slots")).select(
             "doc_id", "item_id", "b_pos", (F.col("pos") - F.col("b_pos")).alias("shift"),
             F.when((F.col("way") == 1) | (F.col("b_way") == 1), F.array(F.lit(1))).when(F.col("way") == 2, F.array(F.lit(0), F.lit(1)))
