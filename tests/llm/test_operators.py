@@ -320,6 +320,17 @@ def test_literal_copies_with_many_placeholders(spark):
     assert got == {(10, 1, False), (11, 1, False), (20, 2, False), (21, 2, False), (30, 3, False), (31, 3, False), (41, 4, False)}
 
 
+def test_a_changed_slot_does_not_veto_equal_windows(spark):
+    w = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(80)]
+    text = lambda a, b: " ".join([*w[:20], str(a), *w[20:60], str(b), *w[60:]])
+    near = lambda a, b: " ".join([*w[:6], str(a), *w[6:10], str(b), *w[10:16]])
+    bench = spark.createDataFrame([(1, text(60, 60)), (2, text(60, 70).replace("w", "v")), (3, near(60, 60).replace("w", "u"))], "item_id long, text string")
+    docs = [(1, text(60, 80)), (2, text(65, 65).replace("w", "v")), (3, near(61, 62).replace("w", "u")),
+            (None, near(63, 63).replace("w", "u")), (None, near(64, 64).replace("w", "u")), (9, near(63, 63).replace("w", "u")), (9, near(63, 64).replace("w", "u"))]
+    got = {(r.doc_id, r.item_id): r.n_windows for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got.keys() == {(1, 1), (2, 2), (3, 3), (None, 3), (9, 3)} - {(3, 3)} and got[1, 1] == 75 and got[2, 2] == 75
+
+
 # 10 near duplicates
 
 def brute(rows):

@@ -5,8 +5,8 @@ units after numbers turn into typed placeholders, other tokens are case-folded.
 Windows with names are also taken with the names as case-folded literals, so
 that copies in capitals or title case are found.
 Windows of ``window`` template tokens of the benchmark meet those of the
-documents in a hash join. A benchmark item matches a document at an alignment
-when the values in the placeholders of all matching windows there map one to
+documents in a hash join. A window whose placeholders hold the item's values is
+a match by itself. In a run of windows with other values, these must map one to
 one, so that a question asked again with other numbers or names is found while
 a chance meeting of placeholders is not.
 """
@@ -101,25 +101,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     windows with names as placeholders, and only where none of them matches
     from those with names or all tokens as case-folded literals.
 
-    Windows of fewer than ``min_literal`` literals match by equal tokens only.
+    Rows of equal ids and other texts are judged apart. Windows of fewer than
+    ``min_literal`` literals match by equal tokens only.
     Items of fewer tokens than ``window`` are matched as one window of their own
     length; those of fewer than ``min_literal`` tokens cannot be told from chance
     inside a text and match documents that hold nothing else. Null texts and null ids of documents are kept out
     of matches only as far as they have no windows: a null id is reported as
     null. Repeated rows and equal ids report once; an empty side gives no row."""
-    b = benchmark.select("item_id", "text")
+    mark = lambda name: F.xxhash64("text").alias(name)
+    b, docs = benchmark.select("item_id", "text", mark("__bt")), docs.select("doc_id", "text", mark("__dt"))
     lengths = b.select(F.size(_tokens(text_col())).alias("n")).where(F.col("n").between(1, window - 1))
     short = sorted(r["n"] for r in lengths.distinct().collect())  # at most window - 1 numbers
     parts = []
     for size in [window, *short]:
-        bw = template_windows(b, ["item_id"], size, min_literal, whole_only=size < window)
+        bw = template_windows(b, ["item_id", "__bt"], size, min_literal, whole_only=size < window)
         # Ways may meet: the window of a capital copy holds names where the item's has none.
-        bw = bw.select("item_id", F.col("pos").alias("b_pos"), "h", F.col("slots").alias("b_slots"), F.col("way").alias("b_way"))
+        bw = bw.select("item_id", "__bt", F.col("pos").alias("b_pos"), "h", F.col("slots").alias("b_slots"), F.col("way").alias("b_way"))
         if bw.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
             bw = F.broadcast(bw)
-        m = template_windows(docs, ["doc_id"], size, min_literal, whole_only=size < min_literal).join(bw, "h")
+        m = template_windows(docs, ["doc_id", "__dt"], size, min_literal, whole_only=size < min_literal).join(bw, "h")
         parts.append(m.where(F.size("slots") == F.size("b_slots")).select(
-            "doc_id", "item_id", "b_pos", (F.col("pos") - F.col("b_pos")).alias("shift"),
+            "doc_id", "__dt", "item_id", "__bt", "b_pos", (F.col("pos") - F.col("b_pos")).alias("shift"),
             F.when((F.col("way") == 1) | (F.col("b_way") == 1), F.array(F.lit(1))).when(F.col("way") == 2, F.array(F.lit(0), F.lit(1)))
              .otherwise(F.array(F.lit(0))).alias("way"),
             F.transform(F.sequence(F.lit(0), F.size("slots")), lambda i: F.struct(
@@ -128,12 +130,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     for p in parts[1:]:
         m = m.unionByName(p)
     m = m.withColumn("way", F.explode("way"))  # windows without names stand in both
+    # Windows of equal values are run -1; consecutive ones of other values share place minus rank.
     # An alignment holds at most the windows of one item, so the sets stay small.
-    a = m.groupBy("doc_id", "item_id", "shift", "way").agg(F.collect_set("b_pos").alias("at"), F.flatten(F.collect_set("pairs")).alias("p"))
-    a = a.withColumn("p", F.array_distinct(F.filter("p", lambda s: s["b"].isNotNull())))
+    keys = ["doc_id", "__dt", "item_id", "__bt", "shift", "way"]
+    m = m.withColumn("pairs", F.filter("pairs", lambda s: s["b"].isNotNull()))
+    m = m.withColumn("other", F.exists("pairs", lambda s: s["b"] != s["d"]))
+    a = m.groupBy(*keys).agg(F.collect_set(F.when(~F.col("other"), F.col("b_pos"))).alias("same"),
+                             F.sort_array(F.collect_set(F.when(F.col("other"), F.struct("b_pos", "pairs")))).alias("changed"))
+    run = lambda r, at, p: F.struct(r.alias("run"), at.alias("at"), p.alias("p"))
+    none = F.lit(None).cast("array<struct<b:string,d:string>>")
+    a = a.withColumn("__r", F.concat(F.transform("same", lambda x: run(F.lit(-1), x, none)),
+                                     F.transform("changed", lambda w, i: run(w["b_pos"] - i, w["b_pos"], w["pairs"]))))
+    a = a.select(*keys, F.explode("__r").alias("__r")).select(*keys, "__r.*")
+    a = a.groupBy(*keys, "run").agg(F.collect_set("at").alias("at"), F.array_distinct(F.flatten(F.collect_list("p"))).alias("p"))
     size = lambda c: F.size(F.array_distinct(F.transform("p", lambda s: s[c])))
-    a = a.where((F.size("p") == size("b")) & (F.size("p") == size("d")))
-    a = a.withColumn("__d", F.exists("p", lambda s: s["b"] != s["d"]))
+    a = a.where((F.col("run") < 0) | (F.size("p") == size("b")) & (F.size("p") == size("d")))
+    a = a.withColumn("__d", F.col("run") >= 0)
     typed = F.col("way") == 0
     places = lambda c: F.size(F.array_distinct(F.flatten(F.collect_set(c)))).cast("long")
     return a.groupBy("doc_id", "item_id").agg(
