@@ -20,8 +20,12 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score under the threshold (fitted on labels outside the held-out fold)."""
-    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"), docs.columns, "__score")
+    """Documents with a toxicity score under the threshold (fitted on labels outside the held-out fold);
+    all of them where the labels are too few for a classifier."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    if model.trees is None:
+        return docs
+    scored = model.score(docs, docs.columns, "__score")
     return scored.where(F.col("__score") < toxicity.THRESHOLD).select(*docs.columns)
 
 

@@ -222,6 +222,24 @@ def test_toxicity_held_out_and_edges(spark, odd, none):
     assert toxicity.toxicity(none, lab.limit(0), ["doc_id"]).count() == 0
 
 
+def test_toxicity_rare_labels(spark, tmp_path):
+    d = [(i, f"you zorbing blotter number {i}" if i % 100 == 0 else f"a plain text of words and number {i}") for i in range(1, 4001)]
+    docs = spark.createDataFrame(d, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, 1, int(i % 100 == 0)) for i, _ in d], "doc_id long, quality int, toxic int")
+    kept = toxicity._sample(lab, 160).collect()
+    assert len(kept) <= 160 and sum(r.y for r in kept) == 20
+    assert all({r.part for r in kept if r.y == y} == set(range(8)) for y in (0, 1))
+    n = {r.y: r["count"] for r in lab.where(common.fold(4) != 2).groupBy(F.col("toxic").alias("y")).count().collect()}
+    share = {y: sum(r.w for r in kept if r.y == y) for y in (0, 1)}
+    assert abs(share[1] / sum(share.values()) - n[1] / sum(n.values())) < 1e-9
+    got = {r.doc_id for r in toxicity.fit(docs, lab, 160).score(docs, ["doc_id"]).where("score >= 0.3").collect()}
+    assert got == set(range(100, 4001, 100))
+    for k, y in enumerate((1, None)):  # one label only, no usable label
+        sf = str(tmp_path / str(k))
+        spark.createDataFrame([(i, 1, y) for i in range(1, 9)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+        assert corpus_pipeline.drop_toxic(spark, docs, sf).count() == 4000
+
+
 def test_toxicity_features():
     f = toxicity.Features({"zorb$": 3.0, "blee": 2.5})
     x = f.matrix([None, "", "you ZORB! bleeping x", "z0rb plain", "clean words here"])

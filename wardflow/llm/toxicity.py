@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from wardflow.llm.common import fold, slices, table
 from wardflow.session import materialize
 
-SAMPLE_ROWS = 16_000   # labelled rows used for fitting, chosen by id hash
+SAMPLE_ROWS = 16_000   # labelled rows used for fitting, chosen by id hash within each label
 LEXICON = 400          # entries at most
 NEAR = 5               # words between a hit and a second-person word
 THRESHOLD = 0.3
@@ -158,33 +158,51 @@ def with_features(docs: DataFrame, columns: list[str], lexicon: dict[str, float]
     return d.mapInArrow(run, f"{out}, __features array<double>")
 
 
+def _sample(labels: DataFrame, sample: int) -> DataFrame:
+    """(doc_id, y, part, w): at most ``sample`` labelled rows, of each label
+    those with the smallest id hashes. The labels share the sample as they
+    share the table, but an eighth of it is kept for each as far as it has rows;
+    the weight ``w`` undoes that. Parts 0 to 7 are dealt within each label."""
+    known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(4) != 2))
+             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")).withColumn("h", F.xxhash64("doc_id")))
+    count = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    total = sum(count.values())
+    least = {y: min(n, sample // 8) for y, n in count.items()}
+    rows = []
+    for y in sorted(count):  # two labels
+        share = max(round(count[y] * min(1.0, sample / total)), least[y])
+        take = min(count[y], share, sample - sum(n for k, n in least.items() if k != y))
+        ids = [r["doc_id"] for r in known.where(F.col("y") == y).orderBy("h", "doc_id").limit(take).select("doc_id").collect()]
+        # Part 7 first and parts of the trees next, so that they hold a rare label too.
+        rows += [(i, y, (7, 0, 4, 1, 5, 2, 6, 3)[k % 8], count[y] / take * min(1.0, sample / total)) for k, i in enumerate(ids)]
+    return labels.sparkSession.createDataFrame(rows, f"doc_id {labels.schema['doc_id'].dataType.simpleString()}, y int, part int, w double")
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> ToxicityModel:
-    """Fit on at most ``sample`` labelled rows (smallest id hashes) outside the
-    held-out fold. Rows of an id labelled twice count once (the larger label);
-    null ids and labels take no part. Without rows of both labels the score is
+    """Fit on at most ``sample`` labelled rows (smallest id hashes, both labels
+    present as far as there are any) outside the held-out fold. Rows of an id
+    labelled twice count once (the larger label); null ids and labels take no
+    part. Without rows of both labels no classifier is fitted and the score is
     the share of label 1 (0.5 without any row)."""
-    known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(4) != 2))
-             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
-             .withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(sample))
+    known = _sample(labels, sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
-    rows = materialize(rows.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(8))), "llm-toxic-sample")
+    rows = materialize(rows, "llm-toxic-sample")
     words = rows.where("part < 4").select("text", "y").toPandas()  # at most ``sample`` rows
-    n, ones = rows.agg(F.count("y"), F.sum("y")).first()
+    n, ones, weight, toxic_weight = rows.agg(F.count("y"), F.sum("y"), F.sum("w"), F.sum(F.col("w") * F.col("y"))).first()
     if len(words) == 0 or not ones or ones == n:
         return ToxicityModel({}, None, None, float(ones) / n if n else 0.5)
     lexicon = learn_lexicon(words["text"].tolist(), words["y"].tolist())
-    f = with_features(rows, ["doc_id", "y", "part"], lexicon).withColumn("__features", array_to_vector("__features"))
+    f = with_features(rows, ["doc_id", "y", "part", "w"], lexicon).withColumn("__features", array_to_vector("__features"))
     f = materialize(f, "llm-toxic-features").withColumn("label", F.col("y").cast("double")).coalesce(4)
-    used = f.where("part >= 4 AND part < 7")
-    if used.select("y").distinct().count() < 2:
-        used = f
-    trees = GBTClassifier(maxIter=15, maxDepth=3, stepSize=0.2, maxBins=64, seed=7, featuresCol="__features", predictionCol="__pr")
-    trees = trees.setRawPredictionCol("__rp").setProbabilityCol("__p").fit(used)
-    held = f.where("part = 7")
-    held = held if held.limit(1).count() else f
-    raw = trees.transform(held).select("label", vector_to_array("__p")[1].alias("__raw"))
-    isotonic = IsotonicRegression(featuresCol="__raw", labelCol="label", predictionCol="__calibrated").fit(raw)
-    return ToxicityModel(lexicon, trees, isotonic, float(ones) / n)
+
+    def holding_both(part: DataFrame) -> DataFrame:
+        return part if part.select("y").distinct().count() == 2 else f
+
+    trees = GBTClassifier(maxIter=15, maxDepth=3, stepSize=0.2, maxBins=64, seed=7, featuresCol="__features", predictionCol="__pr", weightCol="w")
+    trees = trees.setRawPredictionCol("__rp").setProbabilityCol("__p").fit(holding_both(f.where("part >= 4 AND part < 7")))
+    raw = trees.transform(holding_both(f.where("part = 7"))).select("label", "w", vector_to_array("__p")[1].alias("__raw"))
+    isotonic = IsotonicRegression(featuresCol="__raw", labelCol="label", predictionCol="__calibrated", weightCol="w").fit(raw)
+    return ToxicityModel(lexicon, trees, isotonic, toxic_weight / weight)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, columns: list[str], name: str = "score") -> DataFrame:
