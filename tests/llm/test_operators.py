@@ -206,6 +206,13 @@ def test_mix_budgets_and_edges(odd, none, docs):
     assert all(abs(got[s] - t) <= 1 for s, t in {r.source: r.target for r in source_mix.mix_sources(odd).collect()}.items())
 
 
+def test_documents_without_words_are_repeated_too(odd):
+    mixed = source_mix.mix_sources(odd)
+    want = Counter({(r.doc_id, r.source): r.epochs for r in mixed.where("size = 0").collect()})
+    got = Counter((r.doc_id, r.source) for r in source_mix.mixed_rows(mixed.where("size = 0"), ["doc_id", "source"]).collect())
+    assert got == +want and sum(got.values()) > 0
+
+
 # 6 toxicity
 
 def test_toxicity_held_out_and_edges(spark, odd, none):

@@ -88,7 +88,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: floa
 
 
 def mixed_rows(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The rows of the mix: each document once per repeat. The one document
+    """The rows of the mix: each document once per repeat, also one without
+    words (a source of such documents only has no repeats). The one document
     per source at which the budget ends keeps its first ``part`` words there
     (separated by single spaces); ``__cut`` is their number there, else null."""
     full = F.col("part") == F.col("size")
@@ -96,7 +97,7 @@ def mixed_rows(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
     copies = F.concat(F.array_repeat(F.lit(None).cast("long"), F.col("epochs").cast("int")),
                       F.when((F.col("size") == 0) | (F.col("part") == 0), F.array().cast("array<bigint>"))
                       .when(full, F.array(F.lit(None).cast("long"))).otherwise(F.array("part")))
-    out = mixed.where(F.col("taken") > 0).withColumn("__cut", F.explode(copies))
+    out = mixed.where((F.col("taken") > 0) | (F.col("epochs") > 0)).withColumn("__cut", F.explode(copies))
     cut = F.col("__cut").isNotNull()
     out = out.withColumn("text", F.when(cut, F.array_join(F.slice(words, 1, F.greatest(F.lit(1), F.coalesce("__cut", F.lit(1))).cast("int")), " "))
                          .otherwise(F.col("text")))
