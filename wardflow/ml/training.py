@@ -17,7 +17,6 @@ from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegressio
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -185,67 +184,6 @@ def auc_evaluator() -> BinaryClassificationEvaluator:
                                          metricName="areaUnderROC", numBins=0)
 
 
-def cross_validate(df: DataFrame, features: list[str], model_type: str = "logistic_regression", k: int = 5,
-                   grid=None, parallelism: int = 4, seed: int = 42, **params) -> DataFrame:
-    """K-fold CV (scaler fitted inside each fold) over a grid;
-    one row per candidate with mean / population-std AUC."""
-    folded = with_folds(df, k, seed=seed, store=True)
-    pipe = build_pipeline(features, model_type, **params)
-    grid = grid if grid is not None else ParamGridBuilder().build()
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=auc_evaluator(), foldCol="fold",
-                        numFolds=k, parallelism=parallelism, collectSubModels=False)
-    model = cv.fit(folded)
-    spark = df.sparkSession
-    rows = []
-    for pm, mean, std in zip(grid or [{}], model.avgMetrics, model.stdMetrics):
-        desc = ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
-        rows.append((model_type, desc or "default", float(mean), float(std)))
-    return spark.createDataFrame(rows, "model string, params string, cv_auc_mean double, cv_auc_std double")
-
-
-def lr_grid(pipe_clf: LogisticRegression, n_train: int):
-    """C x penalty, expressed as regParam x elasticNetParam."""
-    maps = []
-    for C in LR_GRID["C"]:
-        for pen in LR_GRID["penalty"]:
-            p = lr_params(C, pen, n_train)
-            maps.append({pipe_clf.regParam: p["regParam"], pipe_clf.elasticNetParam: p["elasticNetParam"]})
-    return maps
-
-
-def tree_grid(pipe_clf: DecisionTreeClassifier):
-    """Depth x min leaf x impurity (Spark has no minimum split size:
-    that axis of the original grid is dropped, 40 candidates)."""
-    return (ParamGridBuilder()
-            .addGrid(pipe_clf.maxDepth, [d if d is not None else SPARK_MAX_DEPTH for d in TREE_GRID["max_depth"]])
-            .addGrid(pipe_clf.minInstancesPerNode, TREE_GRID["min_samples_leaf"])
-            .addGrid(pipe_clf.impurity, TREE_GRID["criterion"]).build())
-
-
-def grid_search(df: DataFrame, features: list[str], model_type: str, k: int = 5, parallelism: int = 4) -> DataFrame:
-    """CV over the model's grid, best candidate first."""
-    pipe = build_pipeline(features, model_type)
-    clf = pipe.getStages()[-1]
-    if model_type == "logistic_regression":
-        n = df.count() * (k - 1) // k
-        grid = lr_grid(clf, max(n, 1))
-    elif model_type == "decision_tree":
-        grid = tree_grid(clf)
-    else:
-        raise ValueError(f"No grid for model type: {model_type}")
-    folded = with_folds(df, k, store=True)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=auc_evaluator(), foldCol="fold",
-                        numFolds=k, parallelism=parallelism)
-    model = cv.fit(folded)
-    rows = []
-    for pm, mean, std in zip(grid, model.avgMetrics, model.stdMetrics):
-        desc = ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
-        rows.append((model_type, desc, float(mean), float(std)))
-    spark = df.sparkSession
-    return (spark.createDataFrame(rows, "model string, params string, cv_auc_mean double, cv_auc_std double")
-            .orderBy(F.col("cv_auc_mean").desc(), "params"))
-
-
 # Qualitative columns of the model comparison table.
 MODEL_NOTES = {
     "logistic_regression": ("Logistic Regression", "High", "Fast", "High"),
@@ -253,19 +191,6 @@ MODEL_NOTES = {
 }
 
 
-def compare_models(df: DataFrame, features: list[str], k: int = 5, parallelism: int = 4) -> DataFrame:
-    """M15 + M16: best CV score and parameters per model type, best first
-    (one search per type; the best row carries the chosen parameters)."""
-    out = None
-    for mt, (name, interp, speed, utility) in MODEL_NOTES.items():
-        best = grid_search(df, features, mt, k, parallelism).limit(1).select(
-            F.lit(name).alias("model"), F.col("cv_auc_mean").alias("best_cv_score"), F.col("params").alias("best_params"),
-            F.lit(interp).alias("interpretability"), F.lit(speed).alias("training_speed"),
-            F.lit(utility).alias("clinical_utility"))
-        out = best if out is None else out.unionByName(best)
-    return out.orderBy(F.col("best_cv_score").desc())
-
-
 def learning_curve(df: DataFrame, features: list[str], model_type: str = "logistic_regression",
                    fractions=(0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0), seed: int = 42) -> DataFrame:
     """Fit on nested prefixes (by the seeded hash rank) of the training

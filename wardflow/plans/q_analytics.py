@@ -557,7 +557,7 @@ def t02_top_importance(spark, sf):
 
 
 @register("t03_top_values", with_ctes(
-    "SELECT diagnosis_codes, CAST(count(*) AS BIGINT) AS n FROM clean GROUP BY 1 ORDER BY n DESC, 1 LIMIT 5", "clean"))
+    "SELECT diagnosis_codes, CAST(count(*) AS BIGINT) AS n FROM clean WHERE diagnosis_codes IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 5", "clean"))
 def t03_top_values(spark, sf):
     """Five most frequent cleaned code strings."""
     return QA.value_counts(cleaned(spark, sf), "diagnosis_codes", 5)

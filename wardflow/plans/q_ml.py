@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardflow.ml import search as SE
 from wardflow.ml import training as TR
 from wardflow.ml.scoring import score_batch
 from wardflow.operators import evaluation as EV
@@ -175,31 +176,45 @@ def m10_feature_importance(spark, sf):
 
 @register("m12_cross_validation")
 def m12_cross_validation(spark, sf):
-    """5-fold stratified CV AUC (scaler fitted inside each fold)."""
+    """5-fold stratified CV AUC (scaler fitted inside each fold): a row per
+    fold, with the mean and the population deviation of all."""
     df, feats = matrix(spark, sf)
     n = df.count() * 4 // 5
-    return TR.cross_validate(df, feats, "logistic_regression", 5, **TR.lr_params(1.0, "l2", n))
+    folds = SE.cross_validate(df, feats, "logistic_regression", 5, **TR.lr_params(1.0, "l2", n))
+    return folds.join(SE.summarise(folds).drop("folds"), ["model", "params"])
 
 
 @register("m13_lr_grid_search")
 def m13_lr_grid_search(spark, sf):
     """Logistic regression grid: C x penalty, 5-fold AUC, best first."""
     df, feats = matrix(spark, sf)
-    return TR.grid_search(df, feats, "logistic_regression", 5, parallelism=8)
+    return SE.search_logistic(df, feats, 5, parallelism=8, refit=False).summary
 
 
 @register("m14_tree_grid_search")
 def m14_tree_grid_search(spark, sf):
-    """Decision tree grid: depth x min leaf x impurity, 5-fold AUC."""
+    """Decision tree grid: depth x min leaf x impurity, 5-fold AUC; every depth
+    is scored from one deep tree."""
     df, feats = matrix(spark, sf)
-    return TR.grid_search(df, feats, "decision_tree", 5, parallelism=8)
+    return SE.search_tree(df, feats, 5, parallelism=8, refit=False).summary
 
 
 @register("m15_compare_models")
 def m15_compare_models(spark, sf):
     """Best CV score and parameters per model type, best first."""
     df, feats = matrix(spark, sf)
-    return TR.compare_models(df, feats, 5, parallelism=8)
+    return SE.compare_models(df, feats, 5, parallelism=8).table
+
+
+@register("m16_best_model")
+def m16_best_model(spark, sf):
+    """The winner of the model search, chosen and fitted on the training part:
+    held-out probabilities."""
+    df, feats = matrix(spark, sf)
+    train, test = TR.stratified_split(df, store=True)
+    best = SE.compare_models(train, feats, 5, parallelism=8)
+    return (TR.score(best.best_model, test).select("admission_key", "probability_1", "predicted")
+            .withColumn("model", F.lit(best.best_type)))
 
 
 @register("m17_learning_curve")
