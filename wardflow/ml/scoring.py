@@ -48,25 +48,31 @@ def score_batch(model: PipelineModel, features: list[str], featured: DataFrame,
     return out if include_probabilities else out.drop("readmission_probability")
 
 
+def score_raw(model: PipelineModel, preparation, features: list[str], raw: DataFrame, threshold: float = 0.5,
+              history: bool = True) -> DataFrame:
+    """Raw admission rows -> scored rows, by the fills and bounds that were saved
+    with the model (:mod:`wardflow.ml.preparation`). With ``history=False`` a
+    row is scored without a look at any other, so it works on a stream."""
+    if history and "admission_key" not in raw.columns:
+        raw = raw.withColumn("admission_key", F.monotonically_increasing_id())
+    info = [c for c in OUTPUT_INFO if c in raw.columns]
+    raw = raw.withColumn(AS_READ, F.struct(*info)) if info else raw
+    return score_batch(model, features, preparation.features(raw, history), threshold)
+
+
 def batch_scoring_job(spark: SparkSession, model_path: str, input_path: str, output_path: str,
-                      file_type: str = "csv", threshold: float = 0.5) -> DataFrame:
-    """Load model, read the input once, clean, featurise, align, score,
-    write the scored rows with the patient columns as read (CSV with header)."""
+                      file_type: str = "csv", threshold: float = 0.5, history: bool = True) -> DataFrame:
+    """Load model and preparation, read the input once, clean by the saved
+    statistics, featurise, align, score, write the scored rows with the patient
+    columns as read (CSV with header)."""
+    from wardflow.ml.preparation import load_preparation
     from wardflow.ml.training import load_model
-    from wardflow.operators.cleaning import process_pipeline, CleaningOptions
-    from wardflow.operators.features import engineer_all_features
     from wardflow.sources.readers import load_raw_data, read_csv
     from wardflow.sources.sinks import write_csv
 
     model, meta = load_model(spark, model_path)
     # By header name: files to score lack the target, and may lack other columns.
     raw = read_csv(spark, input_path, allow_missing=True) if file_type == "csv" else load_raw_data(spark, input_path, file_type)
-    if "admission_key" not in raw.columns:
-        raw = raw.withColumn("admission_key", F.monotonically_increasing_id())
-    info = [c for c in OUTPUT_INFO if c in raw.columns]
-    raw = raw.withColumn(AS_READ, F.struct(*info)) if info else raw
-    clean = process_pipeline(raw, CleaningOptions(validate_quality=False))[0]
-    featured = engineer_all_features(clean)[0]
-    out = score_batch(model, meta["features"], featured, threshold)
+    out = score_raw(model, load_preparation(spark, model_path), meta["features"], raw, threshold, history)
     write_csv(out, output_path)
     return spark.read.option("header", True).csv(output_path)

@@ -235,17 +235,46 @@ def m19_model_comparison(spark, sf):
     return rows
 
 
-@register("m20_batch_scoring_job")
-def m20_batch_scoring_job(spark, sf):
-    """Fit, save (pipeline + metadata), then score a CSV of raw rows with the
-    loaded model: clean, featurise, align, score, tier, advise, write."""
+def _trained(spark, sf, model_type="logistic_regression"):
+    from wardflow.ml.jobs import training_job
+    return training_job(admissions(spark, sf), scratch(spark, "run"), model_type, stamp="run")
+
+
+def _scored_file(spark, sf):
     from wardflow.ml.scoring import batch_scoring_job
-    df, feats = matrix(spark, sf)
-    res = TR.fit(df, feats, "logistic_regression")
-    model_path, in_path, out_path = scratch(spark, "model"), scratch(spark, "in"), scratch(spark, "out")
-    TR.save_model(res, model_path)
+    run = _trained(spark, sf)
+    in_path, out_path = scratch(spark, "in"), scratch(spark, "out")
     SK.write_csv(admissions(spark, sf).drop("readmission_30_day"), in_path)
-    return batch_scoring_job(spark, model_path, in_path, out_path)
+    return batch_scoring_job(spark, run.model_path, in_path, out_path)
+
+
+@register("m20_batch_scoring_job")
+def m20_batch_scoring_job(spark, sf):
+    """Train and save (model, preparation, results), then score a CSV of raw rows
+    with what was saved: clean, featurise, align, score, tier, advise, write."""
+    return _scored_file(spark, sf)
+
+
+@register("m20_patient_columns", with_ctes("""
+SELECT patient_id, round(age, 6) AS age, nullif(gender, '') AS gender, round(length_of_stay, 6) AS length_of_stay,
+       CAST(emergency_admission AS INTEGER) AS emergency_admission FROM raw""", "raw"))
+def m20_patient_columns(spark, sf):
+    """The patient columns of the scored file, which are those of the rows as read."""
+    d = _scored_file(spark, sf)
+    return d.select("patient_id", F.round(F.col("age").cast("double"), 6).alias("age"), "gender",
+                    F.round(F.col("length_of_stay").cast("double"), 6).alias("length_of_stay"), F.col("emergency_admission").cast("int").alias("emergency_admission"))
+
+
+@register("m20_training_results")
+def m20_training_results(spark, sf):
+    """Nested result document of a training run: metrics, calibration, importance."""
+    return _trained(spark, sf).results
+
+
+@register("m20_training_report")
+def m20_training_report(spark, sf):
+    """Lines of the report that the training run wrote."""
+    return spark.read.text(_trained(spark, sf, "decision_tree").report_path)
 
 
 @register("s09_model_save_load")
@@ -324,12 +353,13 @@ def r01_stream_demo_scoring(spark, sf):
 
 @register("r02_stream_model_scoring")
 def r02_stream_model_scoring(spark, sf):
-    """Feature rows as a file stream scored by a fitted pipeline."""
+    """Raw rows as a file stream, cleaned by the saved statistics and scored by
+    the saved model, with tier and advice."""
     from wardflow.streaming.scoring_stream import start_model_scoring
-    df, feats = matrix(spark, sf)
-    res = TR.fit(df, feats, "logistic_regression")
+    run = _trained(spark, sf)
     src, sink, ckpt = scratch(spark, "mstream-src"), scratch(spark, "mstream-out"), scratch(spark, "mstream-ckpt")
-    df.write.parquet(src)
-    q = start_model_scoring(spark, res.model, src, df.schema, sink, ckpt)
+    admissions(spark, sf).drop("readmission_30_day").write.parquet(src)
+    schema = T.StructType([f for f in RAW_SCHEMA if f.name != "readmission_30_day"])
+    q = start_model_scoring(spark, run.model_path, src, schema, sink, ckpt)
     q.awaitTermination()
     return spark.read.parquet(sink)

@@ -10,7 +10,6 @@ row's score does not depend on which micro-batch it arrives in.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,14 +50,17 @@ def start_demo_scoring(spark: SparkSession, source_dir: str, schema: T.StructTyp
     return q.start()
 
 
-def start_model_scoring(spark: SparkSession, model: PipelineModel, source_dir: str, schema: T.StructType,
-                        sink_dir: str, checkpoint_dir: str, available_now: bool = True):
-    """R2: a fitted (stateless) pipeline applied to a stream of feature rows."""
-    from pyspark.ml.functions import vector_to_array
+def start_model_scoring(spark: SparkSession, model_path: str, source_dir: str, schema: T.StructType,
+                        sink_dir: str, checkpoint_dir: str, threshold: float = 0.5, available_now: bool = True):
+    """R2: a stream of raw rows cleaned by the saved statistics, scored by the
+    saved model, with tier and advice; row by row, so the previous admission is
+    unknown unless the rows carry ``days_since_last_admission``."""
+    from wardflow.ml.preparation import load_preparation
+    from wardflow.ml.scoring import score_raw
+    from wardflow.ml.training import load_model
+    model, meta = load_model(spark, model_path)
     stream = spark.readStream.schema(schema).parquet(source_dir)
-    scored = model.transform(stream).select(
-        "admission_key", vector_to_array("probability")[1].alias("readmission_probability"),
-        F.col("prediction").cast("int").alias("predicted_readmission"))
+    scored = score_raw(model, load_preparation(spark, model_path), meta["features"], stream, threshold, history=False)
     q = (scored.writeStream.format("parquet").option("path", sink_dir)
          .option("checkpointLocation", checkpoint_dir).outputMode("append"))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="10 seconds")
