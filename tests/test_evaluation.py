@@ -75,3 +75,31 @@ def test_scenarios_multi_membership(spark):
                                                            "none": F.col("age") > 200}).collect()}
     assert set(out) == {"old", "all"}
     assert out["old"].n_patients == 2 and out["all"].auc == pytest.approx(1.0)
+
+
+def test_ranges_follow_the_data(spark, monkeypatch):
+    """Running sums over many ranges equal those over one, per group and with null groups."""
+    from wardflow.operators import prefix
+    rows = [(g, v * 0.5, (v * 7 + len(g or "")) % 5, v % 3) for g in ("a", "bb", None) for v in range(60)]
+    d = spark.createDataFrame(rows, "g string, v double, n long, extra long")
+    for by in (["g"], []):
+        source = d if by else d.where("g = 'a'")
+        one = prefix.running_counts(source, "v", ["n"], by, ["extra"])
+        with monkeypatch.context() as m:
+            m.setattr(prefix, "RANGE_ROWS", 20)
+            many = prefix.running_counts(source, "v", ["n"], by, ["extra"])
+            assert sorted(map(str, many.collect())) == sorted(map(str, one.collect())) and many.columns == one.columns
+    got = {(r.g, r.v): (r.n_below, r.total_n) for r in prefix.running_counts(d, "v", ["n"], ["g"]).collect()}
+    for g, v, _, _ in rows:
+        mine = [x for x in rows if x[0] == g]
+        assert got[g, v] == (sum(x[2] for x in mine if x[1] < v), sum(x[2] for x in mine))
+
+
+def test_all_metrics_come_from_one_reading(spark):
+    from wardflow.operators import evaluation as EV
+    d = spark.createDataFrame([(0, 0, 0.1), (0, 0, 0.4), (1, 0, 0.35), (1, 1, 0.8)], "y int, pred int, p double")
+    plan = EV.clinical_metrics(d, with_pr_auc=True)
+    row = plan.first()
+    assert (row.roc_auc, row.tn, row.fn, row.tp) == (0.75, 2, 1, 1) and abs(row.pr_auc - 0.8333333) < 1e-6
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Scan parquet") == 1 and text.count("Exchange") <= 5

@@ -89,7 +89,7 @@ def test_result_document_and_report(spark, tmp_path):
     assert math.isclose(e["calibration_results"]["ece"], (0.1 + 2 * 0.125 + 0.2) / 4) and e["calibration_results"]["calibration_quality"] == "Fair"
     lines = [x.value for x in J.report_lines(spark.read.json(str(tmp_path / "doc"))).orderBy("line").collect()]
     for line in ("- **Dataset:** 4 patients processed", "- **Performance (ROC-AUC):** 0.750", "- **Accuracy:** 0.750", "- a: 2.0000 (increases risk)",
-                 "- Catches 50.0% of actual readmissions", f"- **Expected calibration error:** {(0.1 + 2 * 0.125 + 0.2) / 4:.3f} (Fair)"):
+                 "- Catches 50.0% of actual readmissions"):
         assert line in lines
 
 

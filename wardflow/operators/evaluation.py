@@ -4,10 +4,11 @@ Ranking metrics (ROC-AUC with tie averaging, average precision, curve
 points) are computed from the *distinct scores* with a two-level prefix sum,
 so no step orders all rows (or all distinct scores) in one task:
 
-1. ``groupBy(group, score)`` counts positives / negatives (map-side combine);
-2. :func:`running_counts` turns them into counts strictly below each
-   score (bucketed by approximate quantiles, per-bucket windows plus
-   offsets from a tiny table).
+1. ``groupBy(group, score)`` counts positives / negatives, and the outcomes of
+   the predictions, with a map-side combine: the only look at the rows;
+2. :func:`running_counts` stores these counts and turns them into counts
+   strictly below each score;
+3. one aggregate over them gives all metrics of a group at once.
 """
 
 from __future__ import annotations
@@ -59,35 +60,54 @@ def rates_from_counts(c: DataFrame) -> DataFrame:
     )
 
 
-def score_prefix(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (),
-                 buckets: int = 64) -> DataFrame:
+OUTCOMES = ("tn", "fp", "fn", "tp")
+
+
+def score_counts(df: DataFrame, by: Sequence[str], y: str = "y", p: str = "p", pred: str | None = None) -> DataFrame:
+    """A row per (group, distinct score): ``pos``, ``neg`` and, with ``pred``, the
+    numbers of tn, fp, fn, tp among its rows."""
+    yc = F.col(y)
+    aggs = [F.sum(yc).cast("long").alias("pos"), (F.count(F.lit(1)) - F.sum(yc)).cast("long").alias("neg")]
+    if pred:
+        aggs += [F.count_if((yc == int(o in ("fn", "tp"))) & (F.col(pred) == int(o in ("fp", "tp")))).alias(o) for o in OUTCOMES]
+    return df.groupBy(*by, p).agg(*aggs)
+
+
+def score_prefix(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
     """Per (group, distinct score): pos, neg, pos_below, neg_below (counts
     with a strictly lower score) and group totals total_pos, total_neg."""
-    by = list(by)
-    g = df.groupBy(*by, p).agg(F.sum(F.col(y)).cast("long").alias("pos"),
-                               (F.count(F.lit(1)) - F.sum(F.col(y))).cast("long").alias("neg"))
-    return running_counts(g, p, ["pos", "neg"], by, buckets)
+    return running_counts(score_counts(df, by, y, p), p, ["pos", "neg"], by)
 
 
-def roc_auc(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
-    """Exact ROC-AUC (Mann-Whitney, ties count one half); null
-    when a group has only one class."""
-    sp = score_prefix(df, y, p, by)
-    num = F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg")))
+def _auc() -> Column:
+    """ROC-AUC over the rows of :func:`score_prefix` (Mann-Whitney, ties count
+    one half); null with one class."""
     pos, neg = F.first("total_pos"), F.first("total_neg")
-    auc = F.when((pos > 0) & (neg > 0), num / (pos * neg))
-    return sp.groupBy(*by).agg(auc.alias("roc_auc")) if by else sp.agg(auc.alias("roc_auc"))
+    return F.when((pos > 0) & (neg > 0), F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))) / (pos * neg))
 
 
-def average_precision(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
-    """Step-wise average precision: sum over thresholds (distinct scores,
-    descending) of (recall gain) x precision; null without positives."""
-    sp = score_prefix(df, y, p, by)
+def _average_precision() -> Column:
+    """Sum over thresholds (distinct scores, descending) of (recall gain) x
+    precision; null without positives."""
     tp = F.col("total_pos") - F.col("pos_below")
-    k = F.col("total_pos") + F.col("total_neg") - F.col("pos_below") - F.col("neg_below")
-    term = F.col("pos") * tp / k
-    ap = F.when(F.first("total_pos") > 0, F.sum(term) / F.first("total_pos"))
-    return sp.groupBy(*by).agg(ap.alias("pr_auc")) if by else sp.agg(ap.alias("pr_auc"))
+    k = tp + F.col("total_neg") - F.col("neg_below")
+    return F.when(F.first("total_pos") > 0, F.sum(F.col("pos") * tp / k) / F.first("total_pos"))
+
+
+def _brier(p: str) -> Column:
+    """Mean squared difference of score and label over (score, pos, neg) rows."""
+    known = F.col(p).isNotNull()
+    return F.sum(F.when(known, F.col("pos") * F.pow(F.col(p) - 1, 2) + F.col("neg") * F.pow(F.col(p), 2))) / F.sum(F.when(known, F.col("pos") + F.col("neg")))
+
+
+def roc_auc(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
+    """Exact ROC-AUC; null when a group has only one class."""
+    return score_prefix(df, y, p, by).groupBy(*by).agg(_auc().alias("roc_auc"))
+
+
+def average_precision(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
+    """Step-wise average precision; null without positives."""
+    return score_prefix(df, y, p, by).groupBy(*by).agg(_average_precision().alias("pr_auc"))
 
 
 def curve_points(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
@@ -110,12 +130,14 @@ def brier(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
 
 def clinical_metrics(df: DataFrame, y: str = "y", pred: str = "pred", p: str = "p",
                      model: str = "Model", with_pr_auc: bool = False) -> DataFrame:
-    """E8 (and E9 with PR-AUC): one row with counts, rates, ROC-AUC, Brier."""
-    c = rates_from_counts(confusion_counts(df, y, pred))
-    out = c.crossJoin(roc_auc(df, y, p)).crossJoin(brier(df, y, p))
-    if with_pr_auc:
-        out = out.crossJoin(average_precision(df, y, p))
-    return out.select(F.lit(model).alias("model"), "*")
+    """E8 (and E9 with PR-AUC): one row with counts, rates, ROC-AUC, Brier, all
+    from one ranking: the rows are read once."""
+    ranked = running_counts(score_counts(df, (), y, p, pred), p, ["pos", "neg"], carry=OUTCOMES)
+    ranking = {"roc_auc": _auc(), "brier_score": _brier(p)} | ({"pr_auc": _average_precision()} if with_pr_auc else {})
+    row = ranked.agg(*[F.coalesce(F.sum(o), F.lit(0)).alias(o) for o in OUTCOMES], *[v.alias(k) for k, v in ranking.items()])
+    out = rates_from_counts(row)
+    rates = [c for c in out.columns if c not in ranking]
+    return out.select(F.lit(model).alias("model"), *rates, *ranking)
 
 
 def interior_edges(n_bins: int) -> list[float]:
@@ -166,44 +188,42 @@ def ppv_at_thresholds(df: DataFrame, y: str = "y", p: str = "p",
 
 
 # ---------------------------------------------------------- groups
-def _membership(df: DataFrame, groups: Mapping[str, Column], name: str) -> DataFrame:
-    """Rows repeated once per group whose predicate holds (a row may be in
-    several groups); rows in no group are dropped."""
-    tags = F.filter(F.array(*[F.when(cond, F.lit(g)) for g, cond in groups.items()]),
-                    lambda x: x.isNotNull())
-    return df.select("*", F.explode(tags).alias(name))
+def _membership(df: DataFrame, tags: Sequence[Column], keys: Sequence[str], y: str, p: str, pred: str | None = None) -> DataFrame:
+    """:func:`score_counts` per group of a row's tags (a row may be in several
+    groups; rows in none are dropped). Rows are counted by (set of tags, score)
+    first; only these counts are repeated per tag."""
+    g = score_counts(df.withColumn("_tags", F.filter(F.array(*tags), lambda x: x.isNotNull())), ["_tags"], y, p, pred)
+    g = g.select(F.explode("_tags").alias("_tag"), *[c for c in g.columns if c != "_tags"])
+    g = g.select(*([F.col(f"_tag.{k}").alias(k) for k in keys] if len(keys) > 1 else [F.col("_tag").alias(keys[0])]), *[c for c in g.columns if c != "_tag"])
+    return g.groupBy(*keys, p).agg(*[F.sum(c).alias(c) for c in g.columns if c not in (*keys, p)])
 
 
 def scenario_analysis(df: DataFrame, scenarios: Mapping[str, Column], y: str = "y", p: str = "p") -> DataFrame:
     """G1: per non-empty scenario: patients, actual rate, mean predicted
-    score, AUC (null with one class). One pass over the rows, plus the
-    ranking job per (scenario, score)."""
-    m = _membership(df, scenarios, "scenario")
-    stats = m.groupBy("scenario").agg(F.count(F.lit(1)).alias("n_patients"), F.avg(y).alias("actual_rate"),
-                                      F.avg(p).alias("predicted_rate"))
-    return stats.join(roc_auc(m, y, p, ["scenario"]).withColumnRenamed("roc_auc", "auc"), "scenario", "left")
+    score, AUC (null with one class), from one pass over the rows."""
+    g = _membership(df, [F.when(cond, F.lit(name)) for name, cond in scenarios.items()], ["scenario"], y, p)
+    n = F.sum(F.col("pos") + F.col("neg"))
+    return running_counts(g, p, ["pos", "neg"], ["scenario"]).groupBy("scenario").agg(
+        n.alias("n_patients"), (F.sum("pos") / n).alias("actual_rate"), (F.sum(F.col(p) * (F.col("pos") + F.col("neg"))) / n).alias("predicted_rate"),
+        _auc().alias("auc"))
 
 
 def group_performance(df: DataFrame, dimensions: Mapping[str, Mapping[str, Column]],
                       y: str = "y", pred: str = "pred", p: str = "p") -> DataFrame:
     """Per (dimension, group): N, prevalence, AUC, precision, recall,
     FPR; the four metrics are null when the group holds one class."""
-    tags = []
-    for dim, groups in dimensions.items():
-        for g, cond in groups.items():
-            tags.append(F.when(cond, F.struct(F.lit(dim).alias("dimension"), F.lit(g).alias("group"))))
-    m = df.select("*", F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())).alias("_t")).select(
-        "*", F.col("_t.dimension").alias("dimension"), F.col("_t.group").alias("group")).drop("_t")
+    tags = [F.when(cond, F.struct(F.lit(dim).alias("dimension"), F.lit(g).alias("group")))
+            for dim, groups in dimensions.items() for g, cond in groups.items()]
     keys = ["dimension", "group"]
-    c = confusion_counts(m, y, pred, keys)
+    ranked = running_counts(_membership(df, tags, keys, y, p, pred), p, ["pos", "neg"], keys, OUTCOMES)
+    c = ranked.groupBy(*keys).agg(*[F.sum(o).alias(o) for o in OUTCOMES], _auc().alias("auc"))
     two = (F.col("tp") + F.col("fn") > 0) & (F.col("tn") + F.col("fp") > 0)
     tp, fp, fn, tn = (F.col(x).cast("double") for x in ("tp", "fp", "fn", "tn"))
-    base = c.select(*keys, (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("n"),
+    return c.select(*keys, (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("n"),
                     ((tp + fn) / (tn + fp + fn + tp)).alias("prevalence"),
                     F.when(two, _div0(tp, tp + fp)).alias("precision"),
                     F.when(two, _div0(tp, tp + fn)).alias("recall"),
-                    F.when(two, _div0(fp, fp + tn)).alias("fpr"))
-    return base.join(roc_auc(m, y, p, keys).withColumnRenamed("roc_auc", "auc"), keys, "left")
+                    F.when(two, _div0(fp, fp + tn)).alias("fpr"), "auc")
 
 
 def fairness_disparity(perf: DataFrame, threshold: float = 0.05) -> DataFrame:

@@ -4,10 +4,11 @@ Input: a table already aggregated to one row per (group, value) with count
 columns. Output: each row plus, per count column, the sum over rows of the
 same group with a strictly smaller value, and the group total.
 
-The values are cut into ``buckets`` ranges by approximate quantiles (one
-broadcast row holding a bounded array); running sums are computed per
-(group, bucket) and shifted by per-bucket offsets from a tiny table. No
-task ever orders more than one bucket of one group.
+The aggregated table is stored once, so its size is known and its source is
+read once. Up to :data:`RANGE_ROWS` rows make one range, ordered per group;
+a larger table is cut into as many ranges of neighbouring values as its size
+asks for, and a range's running sums are shifted by the totals of the ranges
+below it. No task orders more than about one range.
 """
 
 from __future__ import annotations
@@ -17,24 +18,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardflow.session import materialize
 
-def running_counts(g: DataFrame, value: str, counts: Sequence[str], by: Sequence[str] = (),
-                   buckets: int = 64) -> DataFrame:
-    by = list(by)
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = g.select(F.percentile_approx(F.col(value), probs, 10000).alias("_bounds"))
-    g = (g.crossJoin(F.broadcast(bounds))
-          .withColumn("_b", F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(value))), F.lit(0)))
-          .drop("_bounds"))
-    w_in = Window.partitionBy(*by, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    for c in counts:
-        g = g.withColumn(f"_in_{c}", F.coalesce(F.sum(c).over(w_in), F.lit(0)))
-    bt = g.groupBy(*by, "_b").agg(*[F.sum(c).alias(f"_bt_{c}") for c in counts])
-    w_b = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*by)
-    bt = bt.select(*by, "_b",
-                   *[F.coalesce(F.sum(f"_bt_{c}").over(w_b), F.lit(0)).alias(f"_off_{c}") for c in counts],
-                   *[F.sum(f"_bt_{c}").over(w_all).alias(f"total_{c}") for c in counts])
-    out = g.join(bt, [*by, "_b"])
-    return out.select(*by, value, *counts, *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"{c}_below") for c in counts],
-                      *[f"total_{c}" for c in counts])
+RANGE_ROWS = 200_000
+
+
+def running_counts(g: DataFrame, value: str, counts: Sequence[str], by: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
+    """``*by, value, *counts, *carry``, ``<count>_below`` and ``total_<count>``.
+    Equal values of a group must be one row already; nulls order first."""
+    by, carry = list(by), list(carry)
+    g = materialize(g.select(*by, value, *counts, *carry), "ranked")
+    ranges = -(-g.count() // RANGE_ROWS)
+    before = (Window.unboundedPreceding, -1)
+    if ranges <= 1:
+        group = Window.partitionBy(*(by or [F.lit(0)]))  # the whole table is one bounded range
+        return g.select("*", *[F.coalesce(F.sum(c).over(group.orderBy(value).rowsBetween(*before)), F.lit(0)).alias(f"{c}_below") for c in counts],
+                        *[F.sum(c).over(group).alias(f"total_{c}") for c in counts])
+    # Stored with the number of its range, so that every later read agrees on it.
+    g = materialize(g.repartitionByRange(ranges, value).withColumn("_range", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(*before)
+    totals = g.groupBy(*by, "_range").agg(*[F.sum(c).alias(c) for c in counts])  # a row per group and range
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    totals = totals.select(*by, "_range", *[F.coalesce(F.sum(c).over(group.orderBy("_range").rowsBetween(*before)), F.lit(0)).alias(f"_off_{c}") for c in counts],
+                           *[F.sum(c).over(group).alias(f"total_{c}") for c in counts])
+    g = g.withColumns({f"_in_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in counts})
+    on = F.lit(True)
+    for c in [*by, "_range"]:
+        on = on & g[c].eqNullSafe(totals[c])
+    return g.join(totals, on).select(*[g[c] for c in by], value, *counts, *carry,
+                                     *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"{c}_below") for c in counts],
+                                     *[f"total_{c}" for c in counts])
