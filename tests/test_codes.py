@@ -1,6 +1,7 @@
 """Code translation: golden strings, prefix rule, row-wise (stream) variant."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from wardflow.operators import codes as K
 from wardflow.operators.codes import condition_flags
@@ -49,3 +50,17 @@ def test_rowwise_flags_equal_relational(spark, golden_df):
     row = {r["k"]: tuple(r[f] for f in K.FLAG_COLUMNS)
            for r in golden_df.withColumns(condition_flags(golden_df["diagnosis_codes"])).collect()}
     assert rel == row
+
+
+def test_prefix_index_equals_the_scan(spark):
+    """Both forms against the two-way prefix rule read entry by entry; no nested loop."""
+    tokens = sorted({c[:i] + x for _, c, _, _ in K.code_rows() for i in range(len(c) + 1) for x in ("", "9", ".7", "Q.Z")} | {".5", "ZZZ", "H", "4", "MISC", "DIABETESX"})
+
+    def plain(t):
+        hit = [k for _, c, _, k in K.code_rows() if c == t] or [k for _, c, _, k in K.code_rows() if t.startswith(c.split(".")[0]) or c.startswith(t.split(".")[0])]
+        return hit[0] if hit else None
+    d = spark.createDataFrame([(t,) for t in tokens], "token string")
+    joined = K.resolve_tokens(d)
+    assert "NestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert {r.token: r.condition for r in joined.collect()} == {t: plain(t) for t in tokens if plain(t)}
+    assert {r.token: r.c for r in d.select("token", K.token_condition(F.col("token")).alias("c")).collect()} == {t: plain(t) for t in tokens}

@@ -8,6 +8,7 @@ are read on the driver, to label them with feature names.
 
 from __future__ import annotations
 
+import math
 import time
 from dataclasses import dataclass, field
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.operators import evaluation as EV
-from wardflow.operators.sequence import entity_sequence
+from wardflow.operators.selection import hash_parts
 
 MODEL_TYPES = ("logistic_regression", "decision_tree", "random_forest")
 # Search grids (C of the penalised logistic loss, penalty;
@@ -35,43 +36,25 @@ SPARK_MAX_DEPTH = 30  # deepest tree Spark grows; stands in for "unlimited"
 FOREST_MAX_DEPTH = 15
 
 
-def _hash_order(key: str, seed: int):
-    return F.xxhash64(F.col(key), F.lit(seed))
-
-
-def stratified_rank(df: DataFrame, label: str = "label", key: str = "admission_key", seed: int = 42) -> DataFrame:
-    """Add ``_rank`` (1-based position inside the row's class in a seeded
-    hash order) and ``_class_n`` (rows of the class). Skew-safe: the class
-    is split into 1024 hash ranges (see :func:`entity_sequence`)."""
-    h = _hash_order(key, seed)
-    ranked = entity_sequence(df.withColumn("_h", h), entity=label, ts="_h", tie=key, seq_col="_rank",
-                             prev_col=None, next_col=None, totals={"_class_n": F.lit(1)},
-                             chunk=F.floor(F.col("_h") / F.lit(float(2 ** 54))))
-    return ranked.drop("_h")
-
-
 def stratified_split(df: DataFrame, label: str = "label", key: str = "admission_key",
                      test_fraction: float = 0.2, seed: int = 42, store: bool = False) -> tuple[DataFrame, DataFrame]:
     """M1: exact stratified split: the first round(f * n_class) rows of each
-    class in the seeded hash order form the test part. ``store=True`` writes
-    the labelled rows once (checkpoint folder), so the several passes of a
-    fit read stored rows instead of recomputing the ranking."""
-    r = stratified_rank(df, label, key, seed)
-    is_test = F.col("_rank") <= F.round(F.col("_class_n") * F.lit(test_fraction))
-    r = r.withColumn("_test", is_test).drop("_rank", "_class_n")
+    class in the seeded hash order of the (unique) key form the test part; a
+    threshold per class, no ranking. ``store=True`` writes the labelled rows once
+    (checkpoint folder) for the several passes of a fit."""
+    r = hash_parts(df, label, key, seed, lambda n: [math.floor(n * test_fraction + 0.5)], "_test")
     if store:
         from wardflow.session import materialize
         r = materialize(r, "split")
-    return r.where(~F.col("_test")).drop("_test"), r.where(F.col("_test")).drop("_test")
+    return r.where(F.col("_test") > 0).drop("_test"), r.where(F.col("_test") == 0).drop("_test")
 
 
 def with_folds(df: DataFrame, k: int = 5, label: str = "label", key: str = "admission_key",
                seed: int = 42, fold_col: str = "fold", store: bool = False) -> DataFrame:
-    """Stratified fold ids 0..k-1 from the class-wise hash rank.
-    ``store=True`` writes the folded rows once: a search filters them 2k
-    times and must not recompute the ranking each time."""
-    r = stratified_rank(df, label, key, seed)
-    out = r.withColumn(fold_col, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank", "_class_n")
+    """Stratified fold ids 0..k-1: k equal stretches of every class's hash
+    order. ``store=True`` writes the folded rows once: a search filters them 2k
+    times."""
+    out = hash_parts(df, label, key, seed, lambda n: [math.floor(n * i / k + 0.5) for i in range(1, k)], fold_col)
     if store:
         from wardflow.session import materialize
         out = materialize(out, "folds")
@@ -197,12 +180,12 @@ def learning_curve(df: DataFrame, features: list[str], model_type: str = "logist
     part; AUC on that prefix and on the test part."""
     from wardflow.session import materialize
     train, test = stratified_split(df, seed=seed, store=True)
-    ranked = materialize(stratified_rank(train, seed=seed + 1), "curve")
+    ranked = materialize(hash_parts(train, "label", "admission_key", seed + 1, lambda n: [math.ceil(n * f) for f in sorted(fractions)]), "curve")
     spark = df.sparkSession
     ev = auc_evaluator()
     rows = []
-    for f in fractions:
-        part = ranked.where(F.col("_rank") <= F.ceil(F.col("_class_n") * F.lit(f))).drop("_rank", "_class_n")
+    for i, f in enumerate(sorted(fractions)):
+        part = ranked.where(F.col("_part") <= i).drop("_part")
         params = lr_params(1.0, "l2", max(part.count(), 1)) if model_type == "logistic_regression" else {}
         m = build_pipeline(features, model_type, **params).fit(part)
         rows.append((float(f), float(ev.evaluate(m.transform(part))), float(ev.evaluate(m.transform(test)))))

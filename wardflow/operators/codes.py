@@ -6,7 +6,7 @@ Plan shape (no Python UDF, nothing collected):
    vertical bar, trim, upper-case, drop blanks) and explode it;
 2. resolve the *distinct* tokens only: exact equi-join with the 96-row code
    dimension, then for the rest the loose two-way prefix rule as a
-   nested-loop join against the same 96 rows, keeping the first hit in
+   prefix-index equi-join (prefixes of tokens and codes), keeping the first hit in
    dictionary order (``min_by(condition, ord)``);
 3. join the token -> condition map back to the exploded tokens (AQE turns
    it into a broadcast when the measured map is small), pivot the seven
@@ -14,7 +14,7 @@ Plan shape (no Python UDF, nothing collected):
 
 Per-row flags default to the shuffle-free form (:func:`condition_flags`):
 the dictionary has a fixed size, so each token is resolved in place by a
-map probe, with the ordered prefix scan only for unmapped tokens. The
+map probe, unmapped ones by probes of the same prefix index. The
 relational form above serves the token-level reports and ``method="join"``.
 """
 
@@ -108,18 +108,39 @@ def tokenize_codes(c: Column | str) -> Column:
     return F.filter(parts, lambda x: x != "")
 
 
+def prefix_index() -> tuple[dict[str, tuple[int, str]], dict[str, tuple[int, str]]]:
+    """K4 as two lookups, text -> (ord, condition) of the first dictionary entry:
+    ``stems`` (a token that begins with an entry's stem) and ``heads`` (every
+    prefix of every code, the empty one too: a token whose stem begins a code)."""
+    stems: dict[str, tuple[int, str]] = {}
+    heads: dict[str, tuple[int, str]] = {}
+    for n, code, _, condition in code_rows():
+        stems.setdefault(code.split(".")[0], (n, condition))
+        for i in range(len(code) + 1):
+            heads.setdefault(code[:i], (n, condition))
+    return stems, heads
+
+
+def _stem(token: Column) -> Column:
+    return F.split_part(token, F.lit("."), F.lit(1))
+
+
 def resolve_tokens(tokens: DataFrame, token_col: str = "token") -> DataFrame:
     """K3 + K4 on a frame of tokens: distinct token -> condition (unmatched
-    tokens are dropped). Works on distinct tokens only, so the nested-loop
-    part is (distinct residual codes x 96), never rows x 96."""
+    tokens are dropped). Tokens without an exact hit are looked up by their
+    prefixes of the stems' lengths and by their own stem: equi-joins with the
+    prefix index, whose size is fixed by the dictionary."""
     spark = tokens.sparkSession
     dim = F.broadcast(code_dimension(spark))
     distinct = tokens.select(F.col(token_col).alias("token")).distinct()
     exact = distinct.join(dim, distinct.token == dim.code, "inner").select("token", "condition")
     residual = distinct.join(dim.select(F.col("code").alias("token")), "token", "left_anti")
-    stem_m = F.split_part(F.col("code"), F.lit("."), F.lit(1))
-    stem_t = F.split_part(F.col("token"), F.lit("."), F.lit(1))
-    loose = (residual.join(dim, F.startswith(F.col("token"), stem_m) | F.startswith(F.col("code"), stem_t))
+    stems, heads = prefix_index()
+    index = spark.createDataFrame([(kind, text, *hit) for kind, table in (("stem", stems), ("head", heads)) for text, hit in table.items()],
+                                  "kind string, text string, ord int, condition string")
+    probes = [F.struct(F.lit("stem").alias("kind"), F.substring("token", 1, n).alias("text")) for n in sorted({len(x) for x in stems})]
+    probes.append(F.struct(F.lit("head").alias("kind"), _stem(F.col("token")).alias("text")))
+    loose = (residual.select("token", F.inline(F.array_distinct(F.array(*probes)))).join(F.broadcast(index), ["kind", "text"])
              .groupBy("token").agg(F.min_by("condition", "ord").alias("condition")))
     return exact.unionByName(loose)
 
@@ -137,24 +158,21 @@ def condition_pairs(df: DataFrame, key: str, column: str = "diagnosis_codes", di
     return pairs.distinct() if distinct else pairs
 
 
-def _dictionary_array() -> Column:
-    """The dictionary in order, each entry with its stem (text before '.')."""
-    return F.array(*[F.struct(F.lit(c).alias("code"), F.lit(c.split(".")[0]).alias("stem"),
-                              F.lit(k).alias("condition")) for _, c, _, k in code_rows()])
-
-
-def _dictionary_map() -> Column:
-    return F.create_map(*[x for _, c, _, k in code_rows() for x in (F.lit(c), F.lit(k))])
+def _map(table: dict[str, Column]) -> Column:
+    return F.create_map(*[x for k, v in table.items() for x in (F.lit(k), v)])
 
 
 def token_condition(token: Column) -> Column:
-    """Condition of one token without any join: exact hit in the 96-entry
-    map literal, else (only then) the first dictionary entry matched by the
-    two-way stem prefix rule, else null."""
-    d = _dictionary_array()
-    stem = F.split_part(token, F.lit("."), F.lit(1))
-    loose = F.filter(d, lambda e: F.startswith(token, e["stem"]) | F.startswith(e["code"], stem))
-    return F.coalesce(F.try_element_at(_dictionary_map(), token), F.try_element_at(loose, F.lit(1))["condition"])
+    """Condition of one token without any join: exact hit in the 96-entry map
+    literal, else (only then) the first entry among the hits of the prefix index
+    (:func:`prefix_index`): one probe per stem length and one for the token's own
+    stem, else null."""
+    stems, heads = prefix_index()
+    hit = lambda h: F.struct(F.lit(h[0]).alias("ord"), F.lit(h[1]).alias("condition"))
+    probes = [F.try_element_at(_map({k: hit(h) for k, h in stems.items() if len(k) == n}), F.substring(token, 1, n)) for n in sorted({len(x) for x in stems})]
+    probes.append(F.try_element_at(_map({k: hit(h) for k, h in heads.items()}), _stem(token)))
+    exact = F.try_element_at(_map({c: F.lit(k) for _, c, _, k in code_rows()}), token)
+    return F.coalesce(exact, F.array_min(F.array(*probes))["condition"])
 
 
 def condition_flags(codes: Column | str) -> dict[str, Column]:

@@ -1,4 +1,7 @@
-"""Exact quantiles (linear interpolation) computed as a distributed job.
+"""Exact quantiles (linear interpolation) computed as distributed jobs.
+
+Whole columns are searched by narrowing histograms
+(:mod:`wardflow.operators.selection`); quantiles per group as follows.
 
 Spark's ``percentile`` merges one value -> count map per group in a single
 task, which grows with the number of distinct values. Here the distinct
@@ -16,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.operators.prefix import running_counts
+from wardflow.operators.selection import quantiles
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -42,21 +46,14 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequ
 def quantile_row(df: DataFrame, column: str, probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
     """One row with one column per probability (null when no values)."""
     names = list(names or [f"q{i}" for i in range(len(probs))])
-    long = exact_quantiles(df, column, probs)
-    cols = [F.max(F.when(F.col("q") == float(q), F.col("value"))).alias(n) for q, n in zip(probs, names)]
-    return long.agg(*cols)
+    return quantile_columns(df, {n: (column, float(q)) for n, q in zip(names, probs)})
 
 
 def quantile_columns(df: DataFrame, specs: dict[str, tuple[str, float]]) -> DataFrame:
-    """One row: name -> quantile of (column, q). All columns are stacked into
-    (column, value) pairs and ranked by the distributed job grouped by column."""
-    columns = sorted({c for c, _ in specs.values()})
-    probs = sorted({q for _, q in specs.values()})
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x"))
-                                         for c in columns])).alias("_s")).select("_s._col", "_s._x")
-    res = exact_quantiles(long, "_x", probs, ["_col"])
-    return res.agg(*[F.max(F.when((F.col("_col") == c) & (F.col("q") == float(q)), F.col("value"))).alias(n)
-                     for n, (c, q) in specs.items()])
+    """One row: name -> quantile of (column, q), by narrowing histograms over all
+    columns at once (:mod:`wardflow.operators.selection`)."""
+    found = quantiles(df, specs)
+    return df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(n) for n, v in found.items()])
 
 
 def clamp(c: Column, lo: Column, hi: Column) -> Column:
