@@ -33,13 +33,21 @@ SECOND_PERSON = {"you", "your", "yours", "yourself", "u", "ur", "du", "dich", "d
                  "te", "toi", "ton", "ta", "tes", "vous", "votre", "tú", "ti", "usted", "ustedes", "vos", "vosotros"}
 # Characters that stand for letters in disguised words. Fixed values.
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
-_EDGE = re.compile(r"^\W+|\W+$")
+_SIGNS = re.compile(r"\W*")
 _RUN = re.compile(r"([^\w\s])\1\1")
 _INNER = re.compile(r"[^\W\d_][^\w\s'’-]+[^\W\d_]|[^\W\d_]\d+[^\W\d_]|(\w)\1\1")
 NAMES = ["hits", "weight", "hidden", "disguised", "second", "caps", "initials", "punctuation", "exclaims", "runs",
          "log_hits", "top", "near", "log_words", "distinct"]
 
 
+def _core(word: str) -> str:
+    """The word without signs at its ends, in linear time."""
+    if word[0].isalnum() and word[-1].isalnum():
+        return word
+    a = _SIGNS.match(word).end()
+    return word[a: len(word) - _SIGNS.match(word[::-1]).end()] if a < len(word) else ""
+
+
 def _terms(word: str):
     yield word + "$"
     for n in range(3, min(len(word), 10) + 1):
@@ -52,7 +60,7 @@ def learn_lexicon(texts: list, toxic: list[int], size: int = LEXICON) -> dict[st
     beginning is taken only if it says clearly more than a shorter one."""
     seen = (Counter(), Counter())
     for t, y in zip(texts, toxic):
-        words = {_EDGE.sub("", w) for w in (t or "").lower().split()}
+        words = {_core(w) for w in (t or "").lower().split()}
         seen[y].update({x for w in words if len(w) >= 3 for x in _terms(w)})
     n1, n0 = sum(toxic) + 1.0, len(toxic) - sum(toxic) + 1.0
     odds = {x: np.log((a + 0.5) / n1) - np.log((seen[0][x] + 0.5) / n0) for x, a in seen[1].items() if a >= 5}
@@ -78,7 +86,7 @@ class Features:
 
     def _word(self, raw: str) -> tuple:
         low = raw.lower()
-        core = _EDGE.sub("", low)
+        core = _core(low) if low else ""
         plain = self._weight(core)
         inner = bool(_INNER.search(raw))
         hidden = 0.0
