@@ -154,10 +154,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents in which no benchmark item was found (null ids have no
-    identity to drop and stay)."""
-    hit = contaminated(docs, benchmark).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, F.col("doc_id") == F.col("__hit"), "left_anti")
+    """Rows in which no benchmark item was found. A row is known by a hash of its id
+    and text, so rows without an id, and rows that share one, are judged by
+    their own texts."""
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text"))
+    hit = contaminated(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("__hit")).distinct()
+    return docs.withColumn("__key", key).join(hit, F.col("__key") == F.col("__hit"), "left_anti").drop("__key")
 
 
 def op9_decontaminate(spark, sf_dir: str) -> DataFrame:
