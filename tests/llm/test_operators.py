@@ -306,11 +306,12 @@ def test_templates(spark):
     d = [(1, "Now. a train moves 75 km in 3 hours and then another 75 km, how far did it go today? ok"),
          (2, "Now. a train moves 75 km in 3 hours and then another 80 km, how far did it go today? ok"),
          (3, "a train moves 60 km in 2 hours and then another 60 km, how far did it go today?"), (4, "tiny item of five"), (5, "a clean text about nothing much at all in here"),
-         (6, None), (None, "a train moves 60 km in 2 hours and then another 60 km, how far did it go today?")]
+         (6, None), (None, "a train moves 60 km in 2 hours and then another 60 km, how far did it go today?"),
+         (None, "another clean text of no number and no row")]
     docs = spark.createDataFrame(d, "doc_id long, text string")
     got = {(r.doc_id, r.item_id): r.reparameterised for r in decontaminate.contaminated(docs, bench).collect()}
     assert got == {(1, 1): True, (3, 1): False, (4, 2): False, (None, 1): False}
-    assert {r.doc_id for r in decontaminate.without_benchmark(docs, bench).collect()} == {2, 5, 6, None}
+    assert {(r.doc_id, (r.text or "")[:7]) for r in decontaminate.without_benchmark(docs, bench).collect()} == {(2, "Now. a "), (5, "a clean"), (6, ""), (None, "another")}
     assert decontaminate.contaminated(docs.limit(0), bench).count() == 0 and decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 

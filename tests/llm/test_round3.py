@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_operators import ROWS, SCHEMA, SF
-from wardflow.llm import common, crf_secrets, fill_middle, max_sketch, queries
+from wardflow.llm import common, crf_language, crf_secrets, fill_middle, max_sketch, queries, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -219,3 +220,54 @@ def test_words_as_units_and_marks(spark):
             assert {r.prefix_chars, r.prefix_chars + r.middle_chars} <= {0, 4, 9, 15, 20, 24}
     with pytest.raises(ValueError):
         fill_middle.fill_in_middle(d, marks=("ab", "bc", "x"))
+
+
+# words of any length, learned changes of language
+
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "-" * 1_000_000, "a" + "!" * 1_000_000 + "b", "!" * 1_000_000, "aB3+" * 250_000, "a!" * 500_000])
+def test_long_words_take_linear_time(text):
+    began = time.time()
+    toxicity.Features({"abc": 3.0}).matrix([text])
+    crf_language.Crf(["x", "y"]).probabilities([text])
+    assert time.time() - began < 30
+
+
+def test_cores_of_words():
+    for w in ["a", "!", "!a", "a!", "!!a-b!!", "_a_", "é.", "...", "²x!", "a!b"]:
+        assert toxicity._core(w) == re.sub(r"^\W+|\W+$", "", w)
+
+
+def test_language_gradient():
+    rng = np.random.default_rng(1)
+    n, k = 12, 3
+    e, first, move = rng.normal(size=(n, k)), rng.normal(size=k), rng.normal(size=(k, k))
+    begin = np.zeros(n, bool)
+    begin[[0, 5, 6]] = True
+    y = rng.integers(0, k, n)
+
+    def loss():
+        total, a = 0.0, None
+        for i in range(n):
+            a = np.exp(e[i]) * (np.exp(first) * (1.0 if a is None else a.sum()) if begin[i] else a @ np.exp(move))
+        total = np.log(a.sum()) - e[np.arange(n), y].sum()
+        return total - sum(first[y[i]] if begin[i] else move[y[i - 1], y[i]] for i in range(n))
+
+    got = crf_language.gradient(np.exp(e), y, begin, np.exp(first), np.exp(move))
+    for x, d in zip((e, first, move), got):
+        for at in np.ndindex(x.shape):
+            kept = x[at]
+            up, down = (loss() for x[at] in (kept + 1e-5, kept - 1e-5))
+            x[at] = kept
+            assert abs((up - down) / 2e-5 - d[at]) < 1e-6
+
+
+def test_code_switched_words(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    model = crf_language.fit(d)
+    pick = {r.lang: r.text.split()[:25] for r in d.where("length(text) > 400 AND lang IS NOT NULL AND crc32(cast(doc_id as string)) % 4 = 2").collect()}
+    a, b = sorted(pick)[:2]
+    rows = spark.createDataFrame([(1, " ".join(pick[a] + pick[b]), "old"), (2, None, "x"), (3, "12 !!", "x")], "doc_id long, text string, words string")
+    got = {r.doc_id: [(w.lang, w.score) for w in r.words] for r in crf_language.word_languages(rows, ["doc_id", "words"], model).collect()}
+    langs = [x for x, _ in got[1]]
+    half = len([w for w in pick[a] if crf_language.letter_words(w)])
+    assert got[2] == got[3] == [] and langs[: half].count(a) >= 0.9 * half and langs[half:].count(b) >= 0.9 * (len(langs) - half)
