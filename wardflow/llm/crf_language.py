@@ -236,10 +236,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE_ROWS) -> Crf:
     """Fit on at most ``sample`` documents of every language (smallest id hashes)
     outside the held-out fold that have a language, an id and a text; of a
     long one, on a passage."""
-    by_hash = Window.partitionBy("lang").orderBy("h", "doc_id")
+    first = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("h", "doc_id"))
     known = (docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (fold(4) != 2))
              .select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct()
-             .withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= sample))
+             # A language may hold most rows: first among those of equal hash remainder, then of these.
+             .withColumn("part", F.pmod("h", F.lit(64))).withColumn("n", first("lang", "part")).where(F.col("n") <= sample)
+             .withColumn("n", first("lang")).where(F.col("n") <= sample))
     keep = F.broadcast(known.select("doc_id").distinct())  # at most ``sample`` ids a language
     start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS)).cast("int")
     rows = docs.select("doc_id", "lang", F.substring("text", start + 1, F.lit(SAMPLE_CHARS)).alias("text")).join(keep, "doc_id", "left_semi")
