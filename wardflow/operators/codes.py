@@ -175,11 +175,16 @@ def token_condition(token: Column) -> Column:
     return F.coalesce(exact, F.array_min(F.array(*probes))["condition"])
 
 
+def condition_flag(conditions: Column, condition: str) -> Column:
+    """0/1: ``condition`` is among a row's resolved conditions (0 without codes)."""
+    return F.coalesce(F.array_contains(conditions, F.lit(condition)), F.lit(False)).cast("int")
+
+
 def condition_flags(codes: Column | str) -> dict[str, Column]:
     """Row-wise ``has_<condition>`` flags: tokens resolved in place against
     the fixed-size dictionary (no shuffle, no state; also used by streams)."""
     conds = F.transform(tokenize_codes(codes), token_condition)
-    return {f"has_{c}": F.coalesce(F.array_contains(conds, F.lit(c)), F.lit(False)).cast("int") for c in CONDITIONS}
+    return {f"has_{c}": condition_flag(conds, c) for c in CONDITIONS}
 
 
 def create_condition_features(df: DataFrame, key: str, column: str = "diagnosis_codes",
@@ -192,7 +197,9 @@ def create_condition_features(df: DataFrame, key: str, column: str = "diagnosis_
     ``method="join"`` is the relational form: explode, resolve the distinct
     tokens, pivot per row key and join back (two shuffles of the rows)."""
     if method == "rowwise":
-        return df.withColumns(condition_flags(F.col(column)))
+        # The conditions are a column of their own, so the tokens are resolved once for all flags.
+        resolved = df.withColumn("__conditions", F.transform(tokenize_codes(column), token_condition))
+        return resolved.withColumns({f"has_{c}": condition_flag(F.col("__conditions"), c) for c in CONDITIONS}).drop("__conditions")
     pairs = condition_pairs(df, key, column, distinct=False)  # max() below absorbs repeats
     flags = pairs.groupBy(key).agg(*[
         F.max((F.col("condition") == c).cast("int")).alias(f"has_{c}") for c in CONDITIONS])
@@ -201,6 +208,15 @@ def create_condition_features(df: DataFrame, key: str, column: str = "diagnosis_
         *df.columns, *FLAG_COLUMNS)
 
 
+def conditions_per_string(df: DataFrame, column: str = "diagnosis_codes") -> DataFrame:
+    """K7: every distinct code string with the sorted set of its conditions (empty
+    for null and for strings without a condition). Strings are made distinct first,
+    so the work behind it grows with them and not with the rows."""
+    found = F.transform(tokenize_codes(column), token_condition)
+    names = F.array_join(F.array_sort(F.array_distinct(F.array_compact(found))), ",")
+    return df.select(column).distinct().select(column, F.coalesce(names, F.lit("")).alias("conditions"))
+
+
 def condition_summary(flagged: DataFrame) -> DataFrame:
     """K6: prevalence (mean) and count (sum) per condition, with its description."""
     spark = flagged.sparkSession

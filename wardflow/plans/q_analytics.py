@@ -12,12 +12,13 @@ from wardflow.operators import evaluation as EV
 from wardflow.operators import quality as QA
 from wardflow.operators.sequence import entity_sequence
 from wardflow.plans.catalog import out_sql, register
-from wardflow.plans.q_cleaning import cleaned
+from wardflow.plans.q_cleaning import cleaned_columns
 from wardflow.plans.q_evaluation import scored
-from wardflow.plans.q_features import _K06, coded, featured_pre
+from wardflow.plans.q_features import _K06, coded, derived, featured_pre
 from wardflow.plans.sql import auc_sql, lit, with_ctes
 from wardflow.sources.binding import RAW_COLUMNS, admissions
 
+TARGET = "readmission_30_day"
 RAW_TEXT = ["patient_id", "gender", "admission_date", "diagnosis_codes", "insurance_type"]
 
 
@@ -49,7 +50,7 @@ def a02_missing_values(spark, sf):
     f"WHERE missing * 100.0 / n > 50", "featured_pre"))
 def a03_mostly_missing_columns(spark, sf):
     """Columns with more than half of the values missing."""
-    df = featured_pre(spark, sf).select("age_group", "los_category", "admission_date", "admission_month")
+    df = derived(spark, sf, "age_group", "los_category", "admission_date", "admission_month").drop("admission_key")
     return (QA.column_profile(df).where(F.col("missing_pct") > 50).select("column", "missing_pct"))
 
 
@@ -81,7 +82,7 @@ def a05_text_cardinality(spark, sf):
                                         "raw"))
 def a06_invalid_ages(spark, sf):
     """Ages outside 0..120."""
-    return admissions(spark, sf).agg(F.count_if((F.col("age") < 0) | (F.col("age") > 120)).alias("invalid_ages"))
+    return admissions(spark, sf, ["age"]).agg(F.count_if((F.col("age") < 0) | (F.col("age") > 120)).alias("invalid_ages"))
 
 
 def _quality_sql() -> str:
@@ -141,7 +142,7 @@ SELECT (SELECT insurance_type FROM raw WHERE insurance_type IS NOT NULL GROUP BY
 def a11_mode(spark, sf):
     """Most frequent raw insurance and gender text (smallest on ties)."""
     from wardflow.operators.cleaning import mode_value
-    df = admissions(spark, sf)
+    df = admissions(spark, sf, ["insurance_type", "gender"])
     return spark.range(1).select(mode_value(df, "insurance_type").alias("insurance_mode"),
                                  mode_value(df, "gender").alias("gender_mode"))
 
@@ -150,7 +151,7 @@ def a11_mode(spark, sf):
     "SELECT insurance_type, CAST(count(*) AS BIGINT) AS n FROM clean WHERE insurance_type IS NOT NULL GROUP BY 1", "clean"))
 def a12_value_counts(spark, sf):
     """Standardised insurance classes and their counts."""
-    return QA.value_counts(cleaned(spark, sf), "insurance_type")
+    return QA.value_counts(cleaned_columns(spark, sf, ["insurance_type"]), "insurance_type")
 
 
 @register("a13_distinct_with_null", with_ctes(
@@ -158,7 +159,7 @@ def a12_value_counts(spark, sf):
     "raw"))
 def a13_distinct_with_null(spark, sf):
     """Distinct raw date texts, null counted as one value."""
-    return QA.distinct_with_null(admissions(spark, sf), "admission_date")
+    return QA.distinct_with_null(admissions(spark, sf, ["admission_date"]), "admission_date")
 
 
 def _rate_sql(group: str, src: str = "featured_pre", name: str | None = None, integer: bool = False) -> str:
@@ -171,7 +172,7 @@ def _rate_sql(group: str, src: str = "featured_pre", name: str | None = None, in
 @register("a14_rate_by_age_group", with_ctes(_rate_sql("age_group"), "featured_pre"))
 def a14_rate_by_age_group(spark, sf):
     """Readmission rate and count by age group (the flagship query)."""
-    return AN.rate_by(featured_pre(spark, sf), "age_group")
+    return AN.rate_by(derived(spark, sf, "age_group", TARGET), "age_group")
 
 
 @register("a14_rate_by_stay_group", with_ctes(_rate_sql(
@@ -188,20 +189,20 @@ def a14_rate_by_stay_group(spark, sf):
     _rate_sql("previous_admissions", "raw", integer=True) + " ORDER BY 1 LIMIT 6", "raw"))
 def a14_rate_by_previous_admissions(spark, sf):
     """Rate by previous admissions, first six values in key order."""
-    return AN.rate_by(admissions(spark, sf), "previous_admissions").orderBy("previous_admissions").limit(6)
+    return AN.rate_by(admissions(spark, sf, ["previous_admissions", TARGET]), "previous_admissions").orderBy("previous_admissions").limit(6)
 
 
 @register("a14_rate_by_emergency", with_ctes(_rate_sql("emergency_admission", "raw", integer=True), "raw"))
 def a14_rate_by_emergency(spark, sf):
     """Rate for scheduled vs emergency admissions."""
-    return AN.rate_by(admissions(spark, sf), "emergency_admission")
+    return AN.rate_by(admissions(spark, sf, ["emergency_admission", TARGET]), "emergency_admission")
 
 
 @register("a15_rate_by_admission_pattern", with_ctes(_rate_sql("admission_pattern") + " ORDER BY rate DESC",
                                                      "featured_pre"))
 def a15_rate_by_admission_pattern(spark, sf):
     """Rate per admission pattern, highest first."""
-    return AN.rate_by(featured_pre(spark, sf), "admission_pattern").orderBy(F.col("rate").desc())
+    return AN.rate_by(derived(spark, sf, "admission_pattern", TARGET), "admission_pattern").orderBy(F.col("rate").desc())
 
 
 @register("a15_rate_by_recent_and_frequent", with_ctes(
@@ -210,7 +211,7 @@ def a15_rate_by_admission_pattern(spark, sf):
     "FROM featured_pre GROUP BY 1, 2", "featured_pre"))
 def a15_rate_by_recent_and_frequent(spark, sf):
     """Rate per (recent admission, frequent readmitter) combination."""
-    return (featured_pre(spark, sf).groupBy("recent_admission", "frequent_readmitter")
+    return (derived(spark, sf, "recent_admission", "frequent_readmitter", TARGET).groupBy("recent_admission", "frequent_readmitter")
             .agg(F.avg("readmission_30_day").alias("rate"), F.count(F.lit(1)).alias("n")))
 
 
@@ -225,7 +226,7 @@ _RR_FLAGS = ["high_risk_patient", "elderly", "multiple_comorbidities", "long_sta
     f"AS relative_risk FROM featured_pre" for f in _RR_FLAGS), "featured_pre"))
 def a16_relative_risk(spark, sf):
     """Rate with / without each risk flag and their ratio."""
-    return AN.relative_risk(featured_pre(spark, sf), _RR_FLAGS)
+    return AN.relative_risk(derived(spark, sf, *_RR_FLAGS, TARGET), _RR_FLAGS)
 
 
 @register("a17_global_rates", with_ctes(out_sql(
@@ -254,7 +255,7 @@ def a18_correlation_matrix(spark, sf):
     "FROM (SELECT admission_pattern, readmission_30_day, count(*) AS n FROM featured_pre GROUP BY 1, 2)", "featured_pre"))
 def a19_crosstab_row_share(spark, sf):
     """Admission pattern x outcome, shares within each pattern."""
-    return AN.crosstab_normalized(featured_pre(spark, sf), "admission_pattern", "readmission_30_day")
+    return AN.crosstab_normalized(derived(spark, sf, "admission_pattern", TARGET), "admission_pattern", TARGET)
 
 
 @register("a20_crosstab_agreement", with_ctes(
@@ -282,7 +283,7 @@ SELECT {out_grp}CAST(bin AS BIGINT) AS bin, CAST(n AS BIGINT) AS n, round(lower_
 @register("a21_histogram_age", with_ctes(_hist_sql("age", 30, "clean"), "clean"))
 def a21_histogram_age(spark, sf):
     """30 equal-width bins of age: count and density."""
-    return AN.histogram(cleaned(spark, sf), "age", 30)
+    return AN.histogram(cleaned_columns(spark, sf, ["age"]), "age", 30)
 
 
 @register("a21_histogram_score_by_class", with_ctes(_hist_sql("p2", 20, "scored", "y"), "scored"))
@@ -322,7 +323,7 @@ def a23_condition_prevalence_sorted(spark, sf):
     "FROM featured_pre GROUP BY 1", "featured_pre"))
 def a24_comorbidity_distribution(spark, sf):
     """Admissions per comorbidity count."""
-    return featured_pre(spark, sf).groupBy("comorbidity_count").agg(F.count(F.lit(1)).alias("n"))
+    return derived(spark, sf, "comorbidity_count").groupBy("comorbidity_count").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("a24_comorbidity_summary", with_ctes(
@@ -330,7 +331,7 @@ def a24_comorbidity_distribution(spark, sf):
     "FROM featured_pre", "featured_pre"))
 def a24_comorbidity_summary(spark, sf):
     """Mean comorbidity count and share with two or more."""
-    df = featured_pre(spark, sf)
+    df = derived(spark, sf, "comorbidity_count")
     return df.agg(F.avg("comorbidity_count").alias("mean_count"),
                   F.avg((F.col("comorbidity_count") >= 2).cast("int")).alias("share_two_plus"))
 
@@ -340,7 +341,7 @@ def a24_comorbidity_summary(spark, sf):
     for f in _RR_FLAGS), "featured_pre"))
 def a25_flag_totals(spark, sf):
     """Totals and rates of the risk flags."""
-    df = featured_pre(spark, sf)
+    df = derived(spark, sf, *_RR_FLAGS)
     s = [F.struct(F.lit(f).alias("flag"), F.sum(f).alias("total"), F.avg(f).alias("rate")) for f in _RR_FLAGS]
     return df.agg(F.array(*s).alias("s")).select(F.inline("s"))
 
@@ -543,7 +544,7 @@ def a38_error_shares(spark, sf):
     "ORDER BY admission_date ASC NULLS LAST, admission_key) AS BIGINT) AS seq FROM clean", "clean"))
 def t01_patient_admission_order(spark, sf):
     """Position of each admission within its patient (date, nulls last)."""
-    df = cleaned(spark, sf).select("patient_id", "admission_key", "admission_date")
+    df = cleaned_columns(spark, sf, ["patient_id", "admission_date"])
     return entity_sequence(df, "patient_id", "admission_date", "admission_key", prev_col=None, next_col=None).select(
         "patient_id", "admission_key", "seq")
 
@@ -560,7 +561,7 @@ def t02_top_importance(spark, sf):
     "SELECT diagnosis_codes, CAST(count(*) AS BIGINT) AS n FROM clean WHERE diagnosis_codes IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 5", "clean"))
 def t03_top_values(spark, sf):
     """Five most frequent cleaned code strings."""
-    return QA.value_counts(cleaned(spark, sf), "diagnosis_codes", 5)
+    return QA.value_counts(cleaned_columns(spark, sf, ["diagnosis_codes"]), "diagnosis_codes", 5)
 
 
 @register("t05_top_high_risk_rows", with_ctes(
@@ -576,8 +577,8 @@ def t05_top_high_risk_rows(spark, sf):
     "admission_key:i patient_id:s age:d gender:s insurance_type:s", "clean", order="admission_key") + " LIMIT 5", "clean"))
 def t06_preview_rows(spark, sf):
     """First five cleaned rows by key."""
-    return cleaned(spark, sf).orderBy("admission_key").limit(5).select("admission_key", "patient_id", "age", "gender",
-                                                                       "insurance_type")
+    return (cleaned_columns(spark, sf, ["patient_id", "age", "gender", "insurance_type"]).orderBy("admission_key").limit(5)
+            .select("admission_key", "patient_id", "age", "gender", "insurance_type"))
 
 
 @register("t08_argmax_row", with_ctes(
@@ -585,7 +586,7 @@ def t06_preview_rows(spark, sf):
     "round(max(clinical_risk_score), 6) AS clinical_risk_score FROM featured_pre", "featured_pre"))
 def t08_argmax_row(spark, sf):
     """Admission with the highest clinical risk score (lowest key on ties)."""
-    df = featured_pre(spark, sf)
+    df = derived(spark, sf, "clinical_risk_score")
     return df.agg(F.max_by("admission_key", F.struct("clinical_risk_score", -F.col("admission_key"))).alias("admission_key"),
                   F.max("clinical_risk_score").alias("clinical_risk_score"))
 

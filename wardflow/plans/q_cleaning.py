@@ -38,6 +38,18 @@ def cleaned(spark, sf):
     return CLN.impute_missing_values(clipped(spark, sf))[0]
 
 
+def cleaned_columns(spark, sf, columns):
+    """The key and some columns of :func:`cleaned`, computed from these columns alone:
+    every cleaning step of a column looks at that column only."""
+    columns = [c for c in columns if c != "admission_key"]
+    raw = admissions(spark, sf, ["admission_key", *columns])
+    out = CLN.clean_text_fields(raw)
+    out = CLN.parse_date_columns(CLN.standardize_insurance_columns(CLN.standardize_gender_columns(out)))
+    for c in set(CLN.outlier_columns(out)) & set(columns):
+        out = CLN.handle_outliers(out, c, "clip")
+    return CLN.impute_missing_values(out, columns=columns)[0]
+
+
 @register("b00_raw_admissions", with_ctes(out_sql(RAW_SPEC, "raw"), "raw"))
 def b00_raw_admissions(spark, sf):
     """Derived raw admission table (dirty values, documented schema)."""
@@ -145,19 +157,19 @@ def c10_outliers_none(spark, sf):
 @register("c11_impute_age_median", with_ctes(out_sql("admission_key:i age:d", "clean"), "clean"))
 def c11_impute_age_median(spark, sf):
     """Age-like columns: median fill."""
-    return cleaned(spark, sf).select("admission_key", "age")
+    return cleaned_columns(spark, sf, ["age"])
 
 
 @register("c12_impute_previous_zero", with_ctes(out_sql("admission_key:i previous_admissions:i", "clean"), "clean"))
 def c12_impute_previous_zero(spark, sf):
     """Previous-admission counts: zero fill."""
-    return cleaned(spark, sf).select("admission_key", "previous_admissions")
+    return cleaned_columns(spark, sf, ["previous_admissions"])
 
 
 @register("c13_impute_stay_median", with_ctes(out_sql("admission_key:i length_of_stay:d", "clean"), "clean"))
 def c13_impute_stay_median(spark, sf):
     """Length of stay: median fill after clipping."""
-    return cleaned(spark, sf).select("admission_key", "length_of_stay")
+    return cleaned_columns(spark, sf, ["length_of_stay"])
 
 
 @register("c14_impute_text_mode", with_ctes("""
@@ -176,7 +188,7 @@ def c14_impute_text_mode(spark, sf):
 @register("c15_impute_numeric_median", with_ctes(out_sql("admission_key:i emergency_admission:d", "clean"), "clean"))
 def c15_impute_numeric_median(spark, sf):
     """Other numeric columns: median fill (integers become double)."""
-    return cleaned(spark, sf).select("admission_key", "emergency_admission")
+    return cleaned_columns(spark, sf, ["emergency_admission"])
 
 
 _IMPUTE_REPORT_SQL = with_ctes("""
@@ -199,14 +211,19 @@ def c16_imputation_report(spark, sf):
     return CLN.impute_missing_values(clipped(spark, sf))[1]
 
 
+_COERCED = ["admission_date", "diagnosis_codes", "insurance_type", "gender", "patient_id"]
+
+
 @register("c17_numeric_coercion", with_ctes(out_sql(
-    "admission_key:i | first_code_value=try_cast(trim(split_part(diagnosis_codes, ';', 1)) AS DOUBLE):d",
-    "raw"), "raw"))
+    "admission_key:i | " + " | ".join(f"{c}=try_cast(trim({c}) AS DOUBLE):d" for c in _COERCED) +
+    " | first_code_value=try_cast(trim(split_part(diagnosis_codes, ';', 1)) AS DOUBLE):d", "raw"), "raw"))
 def c17_numeric_coercion(spark, sf):
-    """Text -> number with bad text -> null (first ';' token of the codes)."""
-    df = admissions(spark, sf)
-    tok = F.trim(F.split_part(F.col("diagnosis_codes"), F.lit(";"), F.lit(1)))
-    return df.select("admission_key", tok.try_cast("double").alias("first_code_value"))
+    """Text -> number with bad text -> null, for every text column as a whole and
+    for the first code of a list."""
+    df = admissions(spark, sf, ["admission_key", *_COERCED])
+    df = df.withColumn("first_code_value", F.split_part(F.col("diagnosis_codes"), F.lit(";"), F.lit(1)))
+    texts = [*_COERCED, "first_code_value"]
+    return CLN.coerce_numeric(df.withColumns({c: F.trim(c) for c in texts}), texts)
 
 
 @register("c18_fill_remaining_zero", with_ctes(out_sql(
@@ -225,7 +242,7 @@ def c18_fill_remaining_zero(spark, sf):
     "clean"), "clean"))
 def c19_days_since_reference(spark, sf):
     """Dates -> whole days since 2014-01-01."""
-    return cleaned(spark, sf).select("admission_key", days_since("admission_date").alias("admission_date_days"))
+    return cleaned_columns(spark, sf, ["admission_date"]).select("admission_key", days_since("admission_date").alias("admission_date_days"))
 
 
 @register("c20_prepare_for_modeling", with_ctes(out_sql(

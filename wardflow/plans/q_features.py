@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from wardflow.functions import clinical as CL
 from wardflow.operators import codes as K
-from wardflow.operators.features import (FeatureOptions, engineer_all_features,
+from wardflow.operators import derive as DV
+from wardflow.operators.features import (FEATURE_CATEGORIES, FeatureOptions, engineer_all_features,
                                          feature_summary, select_final_features)
 from wardflow.operators.temporal import temporal_aggregates
 from wardflow.plans.catalog import out_sql, register
-from wardflow.plans.q_cleaning import cleaned
+from wardflow.plans.q_cleaning import cleaned, cleaned_columns
 from wardflow.session import materialize
 from wardflow.plans.sql import bins_sql, dbl, dummy_columns, flag_sql, lit, with_ctes
 
@@ -30,8 +31,14 @@ def featured(spark, sf):
     return materialize(engineer_all_features(cleaned(spark, sf))[0], "featured")
 
 
+def derived(spark, sf, *columns):
+    """The key and some derived columns, planned from the inputs they need."""
+    base = cleaned_columns(spark, sf, DV.needed(columns))
+    return DV.derive(base, columns).select("admission_key", *columns)
+
+
 def tokens(spark, sf):
-    return K.exploded_codes(cleaned(spark, sf), "admission_key")
+    return K.exploded_codes(cleaned_columns(spark, sf, ["diagnosis_codes"]), "admission_key")
 
 
 FLAGS = " ".join(f"{f}:i" for f in K.FLAG_COLUMNS)
@@ -77,7 +84,7 @@ def k04_prefix_code_match(spark, sf):
 @register("k05_condition_flags", with_ctes(out_sql("admission_key:i " + FLAGS, "coded"), "coded"))
 def k05_condition_flags(spark, sf):
     """Seven has_<condition> flags per admission."""
-    return coded(spark, sf).select("admission_key", *K.FLAG_COLUMNS)
+    return derived(spark, sf, *K.FLAG_COLUMNS)
 
 
 _K06 = " UNION ALL ".join(
@@ -99,10 +106,7 @@ LEFT JOIN cond_pairs p ON c.admission_key = p.admission_key
 GROUP BY c.diagnosis_codes""", "clean", "cond_pairs"))
 def k07_conditions_per_code_string(spark, sf):
     """Distinct code strings and the sorted set of conditions they translate to."""
-    df = cleaned(spark, sf).select("admission_key", "diagnosis_codes")
-    pairs = K.condition_pairs(df, "admission_key")
-    return (df.join(pairs, "admission_key", "left").groupBy("diagnosis_codes")
-            .agg(F.array_join(F.array_sort(F.collect_set("condition")), ",").alias("conditions")))
+    return K.conditions_per_string(cleaned_columns(spark, sf, ["diagnosis_codes"]))
 
 
 @register("k08_code_frequency_top15", with_ctes("""
@@ -172,7 +176,7 @@ _F_COLUMNS = [
 
 def _feature_query(name: str, column: str, kind: str):
     def q(spark, sf):
-        return featured_pre(spark, sf).select("admission_key", column)
+        return derived(spark, sf, column)
     q.__name__ = name
     q.__doc__ = f"Feature column {column} per admission."
     register(name, with_ctes(out_sql(f"admission_key:i {column}:{kind}", "featured_pre"), "featured_pre"))(q)
@@ -222,7 +226,7 @@ def _score_bin_sql() -> str:
     "featured_pre"))
 def f24_score_equal_width_bins(spark, sf):
     """Five equal-width bins of the clinical risk score over its min..max."""
-    df = featured_pre(spark, sf)
+    df = materialize(derived(spark, sf, "clinical_risk_score"), "score")
     mm = df.select(F.struct(F.min("clinical_risk_score").alias("mn"),
                             F.max("clinical_risk_score").alias("mx")).alias("m")).scalar()
     return df.select("admission_key", CL.equal_width_bin("clinical_risk_score", mm.getField("mn"),
@@ -276,7 +280,7 @@ def f27_recommendation_text(spark, sf):
     "featured_pre"), "featured_pre"))
 def f28_legacy_risk_flags(spark, sf):
     """Modelling-table variants: high risk without the frequent term, left-closed age groups."""
-    df = featured_pre(spark, sf)
+    df = derived(spark, sf, "elderly", "previous_admissions", "comorbidity_count", "age")
     return df.select("admission_key",
                      CL.high_risk_patient(set(df.columns), include_frequent=False).alias("legacy_high_risk"),
                      CL.age_group_left_closed("age").alias("legacy_age_group"))
@@ -325,8 +329,9 @@ _W_SQL = """
   FROM clean"""
 
 
-def _history(spark, sf):
-    return temporal_aggregates(cleaned(spark, sf), with_days_since=True)
+def _history(spark, sf, *columns):
+    """Patient history from the patient, the date and the columns that it summarises."""
+    return temporal_aggregates(cleaned_columns(spark, sf, ["patient_id", "admission_date", *columns]), with_days_since=not columns)
 
 
 @register("w01_days_since_last_admission", with_ctes(out_sql("admission_key:i days_since_last:i", f"({_W_SQL})"), "clean"))
@@ -344,13 +349,13 @@ def w02_admissions_per_patient(spark, sf):
 @register("w03_avg_stay_per_patient", with_ctes(out_sql("admission_key:i avg_los_last_365d:d", f"({_W_SQL})"), "clean"))
 def w03_avg_stay_per_patient(spark, sf):
     """Mean length of stay of the patient, on every row."""
-    return _history(spark, sf).select("admission_key", "avg_los_last_365d")
+    return _history(spark, sf, "length_of_stay").select("admission_key", "avg_los_last_365d")
 
 
 @register("w04_emergency_rate_per_patient", with_ctes(out_sql("admission_key:i emergency_rate_last_365d:d", f"({_W_SQL})"), "clean"))
 def w04_emergency_rate_per_patient(spark, sf):
     """Emergency rate of the patient, on every row."""
-    return _history(spark, sf).select("admission_key", "emergency_rate_last_365d")
+    return _history(spark, sf, "emergency_admission").select("admission_key", "emergency_rate_last_365d")
 
 
 @register("w07_tier_share_of_total", with_ctes(
@@ -395,7 +400,7 @@ def x01_feature_pipeline(spark, sf):
                                               "featured_pre"))
 def x02_days_since_feature(spark, sf):
     """Days since last admission when there are earlier admissions, else 999."""
-    return featured_pre(spark, sf).select("admission_key", "days_since_last_admission")
+    return derived(spark, sf, "days_since_last_admission")
 
 
 def _final_feature_sql() -> str:
@@ -415,18 +420,28 @@ def x03_final_feature_matrix(spark, sf):
     return select_final_features(featured(spark, sf))[0]
 
 
+_X05_COLUMNS = [p.rsplit(":", 1)[0] for p in _featured_spec().split()]
+
+
 @register("x05_feature_missing_summary", with_ctes(
     "SELECT column_name AS \"column\", CAST(missing AS BIGINT) AS missing FROM (UNPIVOT (SELECT " + ", ".join(
-        f'count_if("{c}" IS NULL) AS "{c}"' for c in
-        ["age", "gender", "admission_date", "age_group", "los_category", "admission_history", "risk_category",
-         "days_since_last_admission", "admission_month"]) +
+        f'count_if("{c}" IS NULL) AS "{c}"' for c in _X05_COLUMNS) +
     " FROM featured_pre) ON COLUMNS(*) INTO NAME column_name VALUE missing)", "featured_pre"))
 def x05_feature_missing_summary(spark, sf):
-    """Missing values per derived column (one pass)."""
-    df = featured_pre(spark, sf).select("age", "gender", "admission_date", "age_group", "los_category",
-                                        "admission_history", "risk_category", "days_since_last_admission",
-                                        "admission_month")
-    return feature_summary(df)[0].select("column", "missing")
+    """Missing values of every column of the feature table (one pass)."""
+    return feature_summary(featured_pre(spark, sf))[0].select("column", "missing")
+
+
+def _category_sql() -> str:
+    names = ", ".join(f"({lit(c)})" for c in _X05_COLUMNS)
+    return " UNION ALL ".join(f"SELECT {lit(cat)} AS category, CAST(count_if(regexp_matches(c, {lit(pattern)})) AS BIGINT) AS n_features "
+                              f"FROM (VALUES {names}) v(c)" for cat, pattern in FEATURE_CATEGORIES.items())
+
+
+@register("x05_feature_category_counts", _category_sql())
+def x05_feature_category_counts(spark, sf):
+    """Columns of the feature table per category (a column may belong to several)."""
+    return feature_summary(featured_pre(spark, sf))[1]
 
 
 # Expected model inputs that the scoring table lacks (defaults by name rule).
@@ -443,7 +458,7 @@ def x04_scoring_alignment(spark, sf):
     defaulted by name (dummies, flags, admissions, risk -> 0; age-like ->
     age; else 0), in model order."""
     from wardflow.ml.scoring import align_features
-    df = featured_pre(spark, sf).select("admission_key", "age", "clinical_risk_score")
+    df = derived(spark, sf, "age", "clinical_risk_score")
     aligned, missing = align_features(df, ["age", "clinical_risk_score"] + _ALIGN_EXTRA)
     assert missing == _ALIGN_EXTRA
     return aligned
@@ -464,5 +479,6 @@ def w02_admissions_in_365d_window(spark, sf):
     """Per-patient admissions, mean stay and emergency rate over the
     admissions of the 365 days up to the admission day (documented form)."""
     from wardflow.operators.temporal import bounded_aggregates
-    return bounded_aggregates(cleaned(spark, sf)).select("admission_key", "admissions_in_365d", "avg_los_in_365d",
+    df = cleaned_columns(spark, sf, ["patient_id", "admission_date", "length_of_stay", "emergency_admission"])
+    return bounded_aggregates(df).select("admission_key", "admissions_in_365d", "avg_los_in_365d",
                                                          "emergency_rate_in_365d")

@@ -21,6 +21,8 @@ when one patient holds a large share of the rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,10 +84,26 @@ def _date_text(d: Column, key: Column) -> Column:
             .otherwise(F.date_format(d, "yyyy-MM-dd")))
 
 
-def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw admission table (schema: :data:`RAW_COLUMNS`), lazily derived."""
+def admissions(spark: SparkSession, sf_dir: str, columns: Iterable[str] = RAW_COLUMNS) -> DataFrame:
+    """Raw admission table (schema: :data:`RAW_COLUMNS`), lazily derived.
+    With ``columns`` only these, in this order: the lines are read only for the
+    stay and the codes, and the patients' order is computed only for the columns
+    that depend on it."""
+    columns = list(columns)
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    base = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("_d"), "o_orderpriority")
+    if {"length_of_stay", "diagnosis_codes"} & set(columns):
+        base = base.join(_per_order(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+    if {"previous_admissions", "readmission_30_day"} & set(columns):
+        base = entity_sequence(base, entity="o_custkey", ts="_d", tie="o_orderkey",
+                               seq_col="_rn", prev_col=None, next_col="_next")
+    exprs = _raw_columns()
+    return base.select(*[exprs[c].alias(c) for c in columns])
+
+
+def _per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean quantity / 3 and the sorted set of code tokens of every order with lines."""
     lines = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
 
@@ -93,16 +111,13 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     # token list, so no group can grow with the data.
     token = _pick(CODE_TOKENS, F.pmod(F.col("l_partkey") + F.col("l_linenumber"),
                                       F.lit(len(CODE_TOKENS))))
-    per_order = lines.groupBy("l_orderkey").agg(
+    return lines.groupBy("l_orderkey").agg(
         (F.avg("l_quantity") / F.lit(3.0)).alias("_los"),
         F.array_sort(F.collect_set(token)).alias("_codes"))
 
-    joined = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
-    joined = joined.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("_d"),
-                           "o_orderpriority", "_los", "_codes")
-    seq = entity_sequence(joined, entity="o_custkey", ts="_d", tie="o_orderkey",
-                          seq_col="_rn", prev_col=None, next_col="_next")
 
+def _raw_columns() -> dict[str, Column]:
+    """Raw column -> its expression over orders, lines per order and the patient's order."""
     key = F.col("o_orderkey")
     cust = F.col("o_custkey")
     age = (F.when(F.pmod(key, F.lit(41)) == 7, F.lit(None))
@@ -123,15 +138,16 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .otherwise(_pick(INSURANCE_VARIANTS, F.pmod(cust, F.lit(len(INSURANCE_VARIANTS))))))
     readmit = F.coalesce((F.datediff(F.col("_next"), F.col("_d")) <= 30), F.lit(False)).cast("int")
 
-    return seq.select(
-        key.alias("admission_key"),
-        padded_id(cust).alias("patient_id"),
-        age.alias("age"),
-        _pick(GENDER_VARIANTS, F.pmod(cust, F.lit(len(GENDER_VARIANTS)))).alias("gender"),
-        _date_text(F.col("_d"), key).alias("admission_date"),
-        F.col("_los").alias("length_of_stay"),
-        emergency.alias("emergency_admission"),
-        codes.alias("diagnosis_codes"),
-        previous.alias("previous_admissions"),
-        insurance.alias("insurance_type"),
-        readmit.alias("readmission_30_day"))
+    return {
+        "admission_key": key,
+        "patient_id": padded_id(cust),
+        "age": age,
+        "gender": _pick(GENDER_VARIANTS, F.pmod(cust, F.lit(len(GENDER_VARIANTS)))),
+        "admission_date": _date_text(F.col("_d"), key),
+        "length_of_stay": F.col("_los"),
+        "emergency_admission": emergency,
+        "diagnosis_codes": codes,
+        "previous_admissions": previous,
+        "insurance_type": insurance,
+        "readmission_30_day": readmit,
+    }
