@@ -31,6 +31,49 @@ def test_matches_plain_window(spark):
     assert all(r.seq is None for r in nulls) and len(a) + len(nulls) == 3000
 
 
+def _undated_rows(n: int, rnd: random.Random) -> list:
+    rows = []
+    for k in range(n):
+        ent = "hot" if rnd.random() < 0.9 else f"e{rnd.randint(0, 5)}"
+        x = rnd.random()
+        day = None if x < 0.6 else dt.datetime(1900, 1, 1) if x < 0.9 else \
+            dt.datetime(1900, 1, 1, rnd.randint(0, 2)) if x < 0.93 else dt.datetime(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 9))
+        tie = None if rnd.random() < 0.0002 else (k * 7 - 20000 if rnd.random() < 0.9 else k)
+        rows.append((k, tie, ent, day))
+    return rows
+
+
+def test_undated_rows_of_one_entity_are_cut_and_keep_their_order(spark):
+    rows = _undated_rows(6000, random.Random(5))
+    df = spark.createDataFrame(rows, "k long, tie long, e string, ts timestamp")
+    ties = [r[1] for r in rows if r[1] is not None]
+    unique = df.where(F.col("tie").isNull() | F.col("tie").isin([t for t in set(ties) if ties.count(t) == 1]))
+    unique = unique.dropDuplicates(["e", "ts", "tie"])
+    for data in (unique, unique.withColumn("ts", F.to_date("ts"))):
+        got = entity_sequence(data, "e", "ts", "tie", totals={"tot": F.lit(1)}, block_bits=8)
+        w = Window.partitionBy("e").orderBy(F.col("ts").asc_nulls_last(), F.col("tie").asc_nulls_last())
+        exp = data.withColumns({"seq": F.row_number().over(w).cast("long"), "prev_ts": F.lag("ts").over(w), "next_ts": F.lead("ts").over(w),
+                                "tot": F.count(F.lit(1)).over(Window.partitionBy("e"))})
+        cols = ["e", "ts", "tie", "seq", "prev_ts", "next_ts", "tot"]
+        assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, exp.select(cols).collect()))
+
+
+def test_undated_rows_of_one_entity_spread_over_partitions(spark):
+    df = spark.range(40000).select(F.col("id").alias("k"), F.lit("hot").alias("e"),
+                                   F.when(F.col("id") % 10 == 0, F.lit("2020-01-01")).cast("timestamp").alias("ts"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables that are not small
+    try:
+        seq = entity_sequence(df, "e", "ts", "k", block_bits=8).withColumn("p", F.spark_partition_id())
+        sizes = [r.n for r in seq.groupBy("p").agg(F.count("seq").alias("n"), F.max("seq").alias("top"), F.max("prev_ts")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(sizes) == 40000 and len(sizes) == partitions and max(sizes) < 40000 / partitions * 1.6, sizes
+
+
 def test_bounded_aggregates_match_range_window(spark):
     from wardflow.operators.temporal import bounded_aggregates
     rnd = random.Random(9)
