@@ -139,23 +139,26 @@ def dtype_counts(df: DataFrame) -> DataFrame:
     return spark.createDataFrame(counts, "dtype string, columns long")
 
 
+def dtype_profile(df: DataFrame) -> DataFrame:
+    """Columns per data type with their values and missing values."""
+    return column_profile(df).groupBy("dtype").agg(F.count(F.lit(1)).alias("columns"), F.sum(F.col("rows") - F.col("missing")).alias("present"),
+                                                   F.sum("missing").alias("missing"))
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, sample std, min, exact quartiles, max per column
-    (``summary()`` would give approximate quartiles). Moments in one
-    aggregate; quartiles by the distributed exact-quantile job."""
-    from wardflow.operators.quantiles import exact_quantiles
+    (``summary()`` would give approximate quartiles). Moments in one aggregate;
+    the quartiles of all columns come from one search by narrowing histograms."""
+    from wardflow.operators.selection import quantiles
+    marks = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    found = quantiles(df, {f"{i} {m}": (c, q) for i, c in enumerate(columns) for m, q in marks.items()})
     structs = []
-    for c in columns:
-        x = F.col(c).cast("double")
+    for i, c in enumerate(columns):
+        x = F.col(f"`{c}`").cast("double")
+        quartiles = [F.lit(found[f"{i} {m}"]).cast("double").alias(m) for m in marks]
         structs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                                F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")))
-    moments = df.agg(F.array(*structs).alias("s")).select(F.inline("s"))
-    qs = None
-    for c in columns:
-        q = (exact_quantiles(df, c, [0.25, 0.5, 0.75]).groupBy().pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
-             .toDF("p25", "p50", "p75").withColumn("column", F.lit(c)))
-        qs = q if qs is None else qs.unionByName(q)
-    return moments.join(qs, "column", "left")
+                                F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"), *quartiles))
+    return df.agg(F.array(*structs).alias("s")).select(F.inline("s"))
 
 
 def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:

@@ -85,6 +85,18 @@ def a06_invalid_ages(spark, sf):
     return admissions(spark, sf, ["age"]).agg(F.count_if((F.col("age") < 0) | (F.col("age") > 120)).alias("invalid_ages"))
 
 
+_DTYPES = {"bigint": ["admission_key"], "string": RAW_TEXT, "double": ["age", "length_of_stay"],
+           "int": ["emergency_admission", "previous_admissions", "readmission_30_day"]}
+
+
+@register("a07_dtype_profile", with_ctes(" UNION ALL ".join(
+    f"SELECT '{t}' AS dtype, CAST({len(cols)} AS BIGINT) AS columns, CAST({' + '.join(f'count({c})' for c in cols)} AS BIGINT) AS present, "
+    f"CAST({' + '.join(f'count_if({c} IS NULL)' for c in cols)} AS BIGINT) AS missing FROM raw" for t, cols in _DTYPES.items()), "raw"))
+def a07_dtype_profile(spark, sf):
+    """Columns of every data type, their values and missing values."""
+    return QA.dtype_profile(admissions(spark, sf))
+
+
 def _quality_sql() -> str:
     miss = " UNION ALL ".join(
         f"SELECT 'missing_count' AS metric, '{c}' AS \"column\", CAST(count_if({c} IS NULL) AS DOUBLE) AS value FROM raw "
@@ -110,7 +122,7 @@ def a08_quality_report(spark, sf):
     return QA.quality_report(admissions(spark, sf))
 
 
-_DESC_COLS = ["age", "length_of_stay", "previous_admissions"]
+_DESC_COLS = ["age", "length_of_stay", "emergency_admission", "previous_admissions", "readmission_30_day"]
 
 
 @register("a09_describe", with_ctes(" UNION ALL ".join(

@@ -73,6 +73,14 @@ def s03_json_round_trip(spark, sf):
     return RD.load_raw_data(spark, path, "json", schema=RAW_SCHEMA, multi_line=False)
 
 
+@register("s03_json_arrays", with_ctes(out_sql(RAW_SPEC, "raw"), "raw"))
+def s03_json_arrays(spark, sf):
+    """Raw rows -> files that each hold an array of records -> JSON source."""
+    path = scratch(spark, "json-arrays")
+    SK.write_json_arrays(admissions(spark, sf), path, "admission_key")
+    return RD.load_raw_data(spark, path, "json", schema=RAW_SCHEMA)
+
+
 @register("s05_required_columns", with_ctes("""
 SELECT CAST(readmission_30_day AS INTEGER) AS readmission_30_day, count(*) AS "count" FROM raw GROUP BY 1""", "raw"))
 def s05_required_columns(spark, sf):
@@ -226,13 +234,10 @@ def m17_learning_curve(spark, sf):
 
 @register("m19_model_comparison")
 def m19_model_comparison(spark, sf):
-    """Held-out clinical metric rows of three model types, rounded."""
+    """Held-out clinical metric rows of the plain and the tuned logistic
+    regression and decision tree."""
     df, feats = matrix(spark, sf)
-    rows = None
-    for mt in ("logistic_regression", "decision_tree", "random_forest"):
-        r = TR.fit(df, feats, mt).test_metrics
-        rows = r if rows is None else rows.unionByName(r)
-    return rows
+    return SE.plain_and_tuned(df, feats, 5, parallelism=8)
 
 
 def _trained(spark, sf, model_type="logistic_regression"):

@@ -73,8 +73,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_A
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = RAW_ADMISSION_SCHEMA,
               multi_line: bool = True) -> DataFrame:
     """JSON source: files holding an array of records (``multi_line``), or
-    JSON lines (one record per line, splittable) with ``multi_line=False``."""
-    reader = spark.read.option("multiLine", multi_line)
+    JSON lines (one record per line, splittable) with ``multi_line=False``.
+    Files in sub-folders are read too, without columns for the folders."""
+    reader = spark.read.option("multiLine", multi_line).option("recursiveFileLookup", True)
     return reader.schema(schema).json(path) if schema is not None else reader.json(path)
 
 

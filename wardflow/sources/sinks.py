@@ -28,6 +28,15 @@ def write_metrics_json(metrics: DataFrame, path: str, mode: str = "overwrite") -
     metrics.write.mode(mode).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, key: str, block: int = 16384, mode: str = "overwrite") -> None:
+    """JSON files of one array of records each: the rows whose integer ``key`` lies
+    in the same block of ``block`` values (so a file is bounded where keys are
+    unique), one sub-folder per block. Nulls are written as fields."""
+    rows = df.groupBy(F.floor(F.col(key) / block).alias("block")).agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("rows"))
+    text = F.to_json("rows", {"ignoreNullFields": "false"})
+    rows.select("block", text.alias("value")).write.mode(mode).partitionBy("block").text(path)
+
+
 def metrics_as_json_text(metrics: DataFrame) -> DataFrame:
     """S7 nested form: every row serialised to one JSON document."""
     return metrics.select(F.to_json(F.struct(*metrics.columns)).alias("json"))
