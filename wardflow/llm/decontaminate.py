@@ -41,8 +41,8 @@ def _template(df: DataFrame) -> DataFrame:
     4 capitalised unit, which is a name or a unit), ``__s`` and ``__n`` (whether
     there is any placeholder, any name) and two hashes of every template token:
     ``__ha`` with names as placeholders, ``__hb`` with names as literals."""
-    digit = lambda c: F.ascii(c).between(48, 57)
-    name = lambda x: F.substring(x, 1, 1) == MARK
+    digit = lambda c: (c >= "0") & (c < ":")  # noqa: E731  (starts with 0 to 9)
+    name = lambda x: F.startswith(x, F.lit(MARK))
     prev = lambda i: F.coalesce(F.get(F.col("__t"), i - 1), F.lit(""))
     unit = lambda x, i: digit(prev(i)) & F.get(F.col("__r"), i).isin([u.upper() for u in UNITS])
     typed = lambda kind: F.xxhash64(F.lit(kind))
@@ -94,6 +94,39 @@ def template_windows(df: DataFrame, keys: list[str], window: int, min_literal: i
     return d.select(*keys, "__w.*").where(F.size("slots") <= window - min(min_literal, window))
 
 
+def window_hits(df: DataFrame, keys: list[str], bench: DataFrame, window: int, min_literal: int = MIN_LITERAL,
+                whole_only: bool = False) -> DataFrame:
+    """The rows of :func:`template_windows` joined with ``bench`` (broadcast) on
+    ``h``, where both hold as many slots; computed the other way round: every
+    window is first only a position and a hash, probed in one compiled stage, and
+    slots and way are looked up for the windows that meet."""
+    d = _template(df.select(*keys, _tokens(text_col()).alias("__t")))
+    # Three readings: names as placeholders, all tokens literal (where there is a placeholder), names literal (where there is a name).
+    reading = lambda v, hashes: F.struct(F.lit(v).alias("__v"), hashes.alias("__h"))
+    readings = F.array(reading(0, F.col("__ha")), reading(1, F.when(F.col("__s"), F.col("__hr"))), reading(2, F.col("__hb")))
+    d = d.select(*keys, "__r", "__k", F.inline(F.filter(readings, lambda x: x["__h"].isNotNull())))
+    n = F.size("__h") - window + 1
+    places = F.when((n == 1) if whole_only else (n >= 1), F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    d = d.select(*keys, "__r", "__k", "__v", "__h", F.explode(places).alias("pos"))
+    d = d.withColumn("h", F.xxhash64(*[F.get("__h", F.col("pos") + j) for j in range(window)])).join(F.broadcast(bench), "h")
+    cut = lambda c: F.slice(c, F.col("pos") + 1, window).alias(c)
+    d = d.select(*keys, "pos", *bench.columns, "__v", cut("__r"), cut("__k"))
+
+    v = F.col("__v")
+    held = lambda k: F.when(v == 0, k > 0).when(v == 2, k.isin(1, 3, 4)).otherwise(False)
+    slots = F.filter(F.zip_with("__r", "__k", lambda r, k: F.when(held(k), r)), lambda x: x.isNotNull())
+    named = F.exists("__k", lambda k: k.isin(2, 4))
+    way = F.when(v > 0, 1).when(named, 0).otherwise(2)
+
+    def stands(x: Column) -> Column:
+        """The window has this reading, and as many slots as the benchmark's."""
+        real = F.when(v == 0, True).when(v == 1, F.exists("__k", lambda k: k > 0)).otherwise(named & (F.size(x["slots"]) > 0))
+        return real & (F.size(x["slots"]) <= window - min(min_literal, window)) & (F.size(x["slots"]) == F.size("b_slots"))
+
+    # As a generator and not a filter, which would be moved into the compiled stage before the join.
+    return d.select(*keys, "pos", *bench.columns, F.inline(F.filter(F.array(F.struct(slots.alias("slots"), way.alias("way"))), stands)))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_literal: int = MIN_LITERAL) -> DataFrame:
     """One row per document and benchmark item found in it: ``doc_id, item_id,
     n_windows`` (distinct matching windows of the item), ``reparameterised``
@@ -117,10 +150,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
         bw = template_windows(b, ["item_id", "__bt"], size, min_literal, whole_only=size < window)
         # Ways may meet: the window of a capital copy holds names where the item's has none.
         bw = bw.select("item_id", "__bt", F.col("pos").alias("b_pos"), "h", F.col("slots").alias("b_slots"), F.col("way").alias("b_way"))
+        whole_only = size < min_literal
         if bw.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-            bw = F.broadcast(bw)
-        m = template_windows(docs, ["doc_id", "__dt"], size, min_literal, whole_only=size < min_literal).join(bw, "h")
-        parts.append(m.where(F.size("slots") == F.size("b_slots")).select(
+            m = window_hits(docs, ["doc_id", "__dt"], bw, size, min_literal, whole_only)
+        else:  # windows are shuffled, so they must not carry their text along
+            m = template_windows(docs, ["doc_id", "__dt"], size, min_literal, whole_only).join(bw, "h").where(F.size("slots") == F.size("b_slots"))
+        parts.append(m.select(
             "doc_id", "__dt", "item_id", "__bt", "b_pos", (F.col("pos") - F.col("b_pos")).alias("shift"),
             F.when((F.col("way") == 1) | (F.col("b_way") == 1), F.array(F.lit(1))).when(F.col("way") == 2, F.array(F.lit(0), F.lit(1)))
              .otherwise(F.array(F.lit(0))).alias("way"),
