@@ -1,7 +1,7 @@
 """Mixing sources to target weights: hash-random order per source, cut at the
 exact budget by distributed prefix sums, repeated for whole epochs.
 
-The order key of a row is md5(seed + doc_id), so its leading bits cut each
+The order key of a row is md5(seed + doc_id, or the text's md5 where there is no id), so its leading bits cut each
 source into ranges of about ``rows_per_range`` rows without sampling. Range
 totals give every range its offset (two levels, so that no task orders all
 ranges of one source), and only rows of one range are ordered together.
@@ -53,10 +53,11 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: floa
 
     The words taken from a source sum to its target rounded to an integer; at
     most one document per source is cut. Null text has size 0; a null source
-    is a source of its own, last in order; null ids share one key and are
-    ordered by size; repeated rows are separate rows of the mix; an empty table
+    is a source of its own, last in order; rows without an id
+    are ordered by a hash of their text; very long texts are only counted; repeated rows are separate rows of the mix; an empty table
     gives an empty result; existing columns of these names are replaced."""
-    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # Rows without an id are dealt by their text, so that many of them do not share one range.
+    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.md5(text_col()))))
     bits = max(0, math.ceil(math.log2(max(1, docs.count()) / rows_per_range)))
     d = (docs.drop("size", "source_size", "target", "epochs", "part", "taken")
          .withColumn("size", F.regexp_count(text_col(), F.lit(WORD)).cast("long")).withColumn("__key", key)
@@ -112,7 +113,7 @@ def op5_source_mix(spark, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-             md5('mix-1' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+             md5('mix-1' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) AS k FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) AS rn FROM s),
 w AS (SELECT *, [3, 1, 2][((rn - 1) % 3 + 1)::INT] AS w, 2.0::DOUBLE * source_size AS cap FROM r),
