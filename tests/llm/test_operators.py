@@ -140,6 +140,17 @@ def test_language_model(spark, docs, odd, none):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(train[w] > 0 for w in t), n)
         assert abs(r.base_score - base) <= 1e-9 * abs(base) and r.score < 0
         assert r.held_out == (zlib.crc32(str(i).encode()) % 10 == 0)
+    # The model by plain dictionaries: quantised pair counts over their sum per word before.
+    pairs, after, smooth = Counter(), Counter(), lambda w: bloom_lm.MU * (train[w] + 0.1) / (n + 0.1 * (v + 1))
+    for i, t in tok.items():
+        if zlib.crc32(str(i).encode()) % 10:
+            pairs.update(zip(["\0", *t[:-1]], t))
+    quantised = {p: float(bloom_lm.dequantised(bloom_lm.levels(np.array([c])))[0]) for p, c in pairs.items()}
+    for (a, _), c in quantised.items():
+        after[a] += c
+    for i, t in tok.items():
+        want = sum(math.log10((quantised.get((a, w), 0) + smooth(w)) / (after[a] + bloom_lm.MU)) for a, w in zip(["\0", *t[:-1]], t))
+        assert abs(got[i].score - want) <= 0.02 * abs(want)
     assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
     o = bloom_lm.score_texts(odd, odd, ["doc_id", "score"]).collect()
     assert len(o) == len(ROWS) and {r.n_tokens for r in o if r.doc_id in (2, 3, 5)} == {1}
@@ -153,16 +164,41 @@ def test_language_model_shards_agree(spark, docs, monkeypatch):
     monkeypatch.setattr(bloom_lm, "SHARD_BYTES", 1 << 18)
     many = {r.doc_id: (r.base_score, r.score) for r in bloom_lm.score_texts(docs, docs, ["doc_id"]).collect()}
     assert all(np.allclose(one[i], many[i], rtol=1e-9) for i in one) and one.keys() == many.keys()
+    # Few n-grams in much text: most blocks hold none.
+    flat = spark.createDataFrame([(1, "a " * 400_000), (2, "b")], "doc_id long, text string")
+    got = {r.doc_id: r for r in bloom_lm.score_texts(flat, flat, ["doc_id"]).collect()}
+    n = 400_003
+    assert abs(got[2].base_score - math.log10(1.1 / (n + 0.4)) - math.log10(2.1 / (n + 0.4))) < 1e-9 and got[2].score < 0
+
+
+def test_language_model_adds_up_to_one(spark, docs, monkeypatch):
+    monkeypatch.setattr(bloom_lm, "BLOCK_BYTES", 1 << 16)
+    model, blocks, n, v = bloom_lm.build(docs)
+    held = {r.block: bloom_lm.Block(*map(bytes, r[1:])) for r in model.collect()}
+    assert len(held) == blocks > 1 and sum(len(b.words) for b in held.values()) == v
+    known = np.concatenate([b.words for b in held.values()])
+    count, mass = (np.concatenate(x) for x in zip(*[b.count(b.words) for b in held.values()]))
+    total = n + 0.1 * (v + 1)
+    for first in [*np.argsort(-count)[:20], *np.flatnonzero(count == 1)[:20], *np.flatnonzero(count == 9)[:20]]:
+        h = bloom_lm.mix64(known[[first]] * bloom_lm._PAIR + known)
+        level = np.zeros(v, np.uint8)
+        for k, b in held.items():
+            mine = h % np.uint64(blocks) == k
+            level[mine] = b.level(h[mine])
+        p = bloom_lm.probability(level, count, np.full(v, float(mass[first])), total)
+        unknown = bloom_lm.probability(np.zeros(1, np.uint8), np.zeros(1), np.full(1, float(mass[first])), total)
+        assert abs(p.sum() + unknown[0] - 1) < 0.08
+        assert abs(p.sum() + unknown[0] - 1) * (mass[first] + bloom_lm.MU) < 4  # a chance positive or two
 
 
 def test_filter_has_no_false_negatives():
     r = np.random.default_rng(1)
     h, c = r.integers(0, 1 << 63, 5000).astype(np.uint64), r.zipf(1.5, 5000).clip(1, 10**6)
-    import pandas as pd
-    b = bloom_lm._build((0,), pd.DataFrame({"ord": [2], "h": [h.tobytes()], "c": [c.astype(np.uint32).tobytes()]})).iloc[0]
-    block = bloom_lm.Block(b.words, b.counts, b.bits)
-    assert (block.level(h) >= bloom_lm.levels(c)).all() and (block.level(h) == bloom_lm.levels(c)).mean() > 0.95
-    assert (block.level(r.integers(0, 1 << 63, 5000).astype(np.uint64)) == 0).mean() > 0.97
+    bits, chance = bloom_lm.filter_bits(h, bloom_lm.levels(c))
+    block = bloom_lm.Block(b"", b"", b"", bits.tobytes())
+    assert (block.level(h) >= bloom_lm.levels(c)).all() and (block.level(h) == bloom_lm.levels(c)).mean() > 0.9
+    absent = block.level(r.integers(0, 1 << 63, 1_000_000).astype(np.uint64))
+    assert 0 < bloom_lm.dequantised(absent).mean() < 2 * chance < 4e-4
 
 
 # 4 top-k

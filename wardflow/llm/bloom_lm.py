@@ -8,7 +8,11 @@ each shard adds to every text what it knows, so no broadcast grows with the
 corpus; with one shard (the usual case) that is a single pass over the texts.
 
 The probability of a word after another mixes the pair's dequantised count with
-the smoothed word probability (Dirichlet smoothing)."""
+the smoothed word probability (Dirichlet smoothing). It is divided by the mass of
+the word before: the sum of what the probes give for all pairs that begin with
+it, plus what false positives are expected to give for all other words. So the
+probabilities after a word add up to 1 over the known words and one unknown
+(up to the chance of false positives, about 1 in 16,000 a word)."""
 
 from __future__ import annotations
 
@@ -21,11 +25,11 @@ from pyspark.sql import functions as F
 from wardflow.llm.common import encoded, fold, forget_files, mix64, slices, table, word_hashes
 from wardflow.session import materialize
 
-BITS = 10              # filter bits per inserted (pair, level)
-PROBES = 5
-BLOCK_BYTES = 12 << 20     # training text per block of n-grams
+FIRST_PROBES = 14      # probes of level 1: nearly all words never follow a given one, so few may pass by chance
+PROBES = 6             # probes of every further level
+BLOCK_BYTES = 6 << 20      # training text per block of n-grams
 SHARD_BYTES = 64 << 20     # bound on what is broadcast at a time
-FLUSH = 1_500_000          # n-grams gathered in a task before they are sorted and sent
+FLUSH = 1_000_000          # n-grams gathered in a task before they are sorted and sent
 MU = 40.0                  # weight of the word probability
 ADD = 0.1
 END = np.uint64(0x51ED270B0A1F39C1)   # the end token
@@ -44,12 +48,16 @@ def token_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
+def before(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The token before every place; before the first token stands the end token."""
+    out = np.concatenate([[END], tokens[:-1]]).astype(np.uint64)
+    out[bounds[:-1]] = END
+    return out
+
+
 def pair_hashes(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Hash of (token before, token) at every place; before the first token
-    stands the end token."""
-    before = np.concatenate([[END], tokens[:-1]]).astype(np.uint64)
-    before[bounds[:-1]] = END
-    return mix64(before * _PAIR + tokens)
+    """Hash of (token before, token) at every place."""
+    return mix64(before(tokens, bounds) * _PAIR + tokens)
 
 
 def levels(count: np.ndarray) -> np.ndarray:
@@ -73,27 +81,39 @@ def _place(x: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (((x >> np.uint64(32)) * bits) >> np.uint64(32)).astype(np.int64)
 
 
-def _packed(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    u, c = np.unique(h, return_counts=True)
-    return u, c.astype(np.uint32)
+def _level_probes(level: int) -> int:
+    return FIRST_PROBES if level == 1 else PROBES
+
+
+def _runs(h: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values of a sorted array begin."""
+    return np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+
+
+def _cut(blocks: int, h: np.ndarray, *columns: np.ndarray):
+    """(block, its part of ``h`` and of every column) of all blocks met."""
+    by, ends = _by_block(h, blocks)
+    for k in np.flatnonzero(ends[1:] > ends[:-1]):
+        at = by[ends[k]: ends[k + 1]]
+        yield int(k), h[at], *[c[at] for c in columns]
 
 
 def _gather(blocks: int):
-    """Distinct n-grams of each task with counts, cut by block."""
+    """Distinct n-grams of each task with counts, cut by block; pairs (ord 2) with
+    the hash of their first word."""
     def run(batches):
-        held = {1: [], 2: []}
+        held = {1: [], 2: [], 0: []}
 
         def send(order):
-            u, c = _packed(np.concatenate(held[order]))
+            h = np.concatenate(held[order])
+            first = np.concatenate(held[0]) if order == 2 else h
             held[order] = []
-            b = (u % np.uint64(blocks)).astype(np.int64)
-            by = np.argsort(b, kind="stable")
-            u, c, ends = u[by], c[by], np.searchsorted(b[by], np.arange(blocks + 1))
-            for k in range(blocks):
-                if ends[k] < ends[k + 1]:
-                    yield pa.record_batch([pa.array([k], pa.int32()), pa.array([order], pa.int32()),
-                                           pa.array([u[ends[k]: ends[k + 1]].tobytes()], pa.binary()),
-                                           pa.array([c[ends[k]: ends[k + 1]].tobytes()], pa.binary())], names=["block", "ord", "h", "c"])
+            by = np.argsort(h, kind="stable")
+            h, first = h[by], first[by]
+            at = _runs(h)
+            for k, u, c, f in _cut(blocks, h[at], np.diff(at, append=len(h)).astype(np.uint32), first[at]):
+                yield pa.record_batch([pa.array([k], pa.int32()), pa.array([order], pa.int32()), pa.array([u.tobytes()], pa.binary()), pa.array([c.tobytes()], pa.binary()),
+                                       pa.array([f.tobytes() if order == 2 else None], pa.binary())], names=["block", "ord", "h", "c", "first"])
 
         n = 0
         for batch in batches:
@@ -101,68 +121,104 @@ def _gather(blocks: int):
                 t, bounds = token_hashes(texts)
                 held[1].append(t)
                 held[2].append(pair_hashes(t, bounds))
+                held[0].append(before(t, bounds))
                 n += len(t)
                 if n > FLUSH:
                     yield from send(1)
                     yield from send(2)
-                    n = 0
+                    held[0], n = [], 0
         if n:
             yield from send(1)
             yield from send(2)
     return run
 
 
-def _merged(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    if not len(pdf):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["h"]])
-    c = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["c"]]).astype(np.int64)
+def _column(pdf: pd.DataFrame, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(pdf[name]), kind)
+
+
+def _summed(h: np.ndarray, *values: np.ndarray) -> tuple:
+    """Distinct hashes in order, the place of one of each, and sums."""
     by = np.argsort(h, kind="stable")
-    h, c = h[by], c[by]
-    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    return h[first], np.add.reduceat(c, first)
+    at = _runs(h[by])
+    return h[by][at], by[at], *[np.add.reduceat(v[by], at) if len(at) else v for v in values]
+
+
+def _parts(blocks: int):
+    """One block of n-grams: its filter (kind 0), its words with counts (kind 1),
+    and for the words its pairs begin with, by these words' blocks, the sum of the
+    pairs' counts as probes give them and the number of pairs (kind 2)."""
+    def run(key, pdf):
+        def rows():
+            words, pairs = pdf[pdf["ord"] == 1], pdf[pdf["ord"] == 2]
+            h, _, c = _summed(_column(words, "h", np.uint64), _column(words, "c", np.uint32).astype(np.int64))
+            yield int(key[0]), 1, h.tobytes(), c.tobytes(), None, int(c.sum()), len(h), 0.0
+            h = _column(pairs, "h", np.uint64)
+            u, at, c = _summed(h, _column(pairs, "c", np.uint32).astype(np.int64))
+            first = _column(pairs, "first", np.uint64)[at]
+            bits, chance = filter_bits(u, levels(c))
+            yield int(key[0]), 0, None, None, bits.tobytes(), 0, 0, chance
+            found = dequantised(Block(b"", b"", b"", bits.tobytes()).level(u))
+            u, _, found, n = _summed(first, found, np.ones(len(first), np.int64))
+            for k, f, mass, m in _cut(blocks, u, found, n):
+                yield k, 2, f.tobytes(), mass.tobytes(), m.tobytes(), 0, 0, 0.0
+        return pd.DataFrame(list(rows()), columns=["block", "kind", "h", "a", "b", "n_tokens", "n_words", "chance"])
+    return run
 
 
-def _build(key, pdf):
-    """One block: exact word counts and the filter of its pairs."""
-    words, counts = _merged(pdf[pdf["ord"] == 1])
-    pairs, n = _merged(pdf[pdf["ord"] == 2])
-    q = levels(n) if len(n) else n
-    bits = max(64, int(BITS * q.sum()) // 8 * 8)
+def filter_bits(pairs: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, float]:
+    """Filter of pairs of levels ``q``, about half full, and the count that an
+    absent pair is expected to get from it."""
+    bits = max(64, int(1.443 * (FIRST_PROBES * len(q) + PROBES * (q.sum() - len(q)))) // 8 * 8 + 8)
     on = np.zeros(bits, bool)
     for level in range(1, int(q.max(initial=0)) + 1):
         x, step = _probes(pairs[q >= level], level)
-        for _ in range(PROBES):
+        for _ in range(_level_probes(level)):
             on[_place(x, np.uint64(bits))] = True
             x = x + step
-    return pd.DataFrame({"block": [int(key[0])], "words": [words.tobytes()], "counts": [counts.astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.int64).tobytes()],
-                         "bits": [np.packbits(on).tobytes()], "n_tokens": [int(counts.sum())], "n_words": [len(words)]})
+    full = float(on.mean())
+    steps = np.diff(dequantised(np.arange(40)))
+    return np.packbits(on), float((steps * full ** (FIRST_PROBES + PROBES * np.arange(39))).sum())
+
+
+def _mass(n_words: int, chance: float):
+    """The words of a block with counts, and the mass of every word as the one before."""
+    def run(key, pdf):
+        words, rest, bits = (pdf[pdf["kind"] == k] for k in (1, 2, 0))
+        h, c = _column(words, "h", np.uint64), _column(words, "a", np.int64)
+        u, _, mass, n = _summed(_column(rest, "h", np.uint64), _column(rest, "a", np.float64), _column(rest, "b", np.int64))
+        total = np.zeros(len(h))
+        total[np.searchsorted(h, u)] = mass + chance * (n_words - n)
+        return pd.DataFrame({"block": [int(key[0])], "words": [h.tobytes()], "counts": [c.astype(np.uint32 if c.max(initial=0) < 1 << 32 else np.int64).tobytes()],
+                             "mass": [total.astype(np.float32).tobytes()], "bits": [b"".join(bits["b"])]})
+    return run
 
 
 class Block:
-    """One block of the model: exact word counts and the pairs' filter."""
+    """One block of the model: exact word counts, masses and the pairs' filter."""
 
-    def __init__(self, words: bytes, counts: bytes, bits: bytes):
+    def __init__(self, words: bytes, counts: bytes, mass: bytes, bits: bytes):
+        self.mass = np.frombuffer(mass, np.float32)
         self.words, self.counts = np.frombuffer(words, np.uint64), np.frombuffer(counts, np.uint32 if len(counts) < len(words) else np.int64)
         self.filter, self.size = np.frombuffer(bits, np.uint8), np.uint64(8 * len(bits))
         # Where the hashes with given leading bits begin (about one each).
         self.shift = np.uint64(64 - max(1, len(self.words).bit_length()))
         self.index = np.searchsorted(self.words, np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift).astype(np.int32)
 
-    def count(self, h: np.ndarray) -> np.ndarray:
-        """Exact counts of words (0 if unseen)."""
-        out = np.zeros(len(h), np.int64)
+    def count(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact counts and masses of words (0 if unseen)."""
+        out, mass = np.zeros(len(h), np.int64), np.zeros(len(h), np.float32)
         if not len(self.words):
-            return out
+            return out, mass
         at, todo, last = self.index[h >> self.shift].astype(np.int64), np.arange(len(h)), len(self.words) - 1
         while len(todo):
             at = np.minimum(at, last)
             found, want = self.words[at], h[todo]
             hit = found == want
-            out[todo[hit]] = self.counts[at[hit]]
+            out[todo[hit]], mass[todo[hit]] = self.counts[at[hit]], self.mass[at[hit]]
             on = (found < want) & (at < last)
             todo, at = todo[on], at[on] + 1
-        return out
+        return out, mass
 
     def level(self, h: np.ndarray) -> np.ndarray:
         """Levels of pairs: probe (pair, 1), (pair, 2), .. until one is absent."""
@@ -170,7 +226,7 @@ class Block:
         level = 1
         while len(todo) and level < 255:
             x, step = _probes(h[todo], level)
-            for _ in range(PROBES):
+            for _ in range(_level_probes(level)):
                 p = _place(x, self.size)
                 on = np.flatnonzero((self.filter[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1)
                 todo, x, step = todo[on], x[on], step[on]
@@ -187,18 +243,23 @@ def _by_block(h: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     return by, np.searchsorted(b[by], np.arange(blocks + 1))
 
 
-def build(train: DataFrame) -> tuple[DataFrame, int]:
+def build(train: DataFrame) -> tuple[DataFrame, int, int, int]:
     """Blocks of the model of the texts in ``train`` (column text), stored in
-    the shared folder, and their number."""
+    the shared folder, their number, the tokens and the distinct words."""
     size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    grams = train.select("text").mapInArrow(_gather(blocks), "block int, ord int, h binary, c binary")
-    rows = grams.groupBy("block").applyInPandas(_build, "block int, words binary, counts binary, bits binary, n_tokens long, n_words long")
-    return materialize(rows, "llm-lm-blocks"), blocks
+    grams = train.select("text").mapInArrow(_gather(blocks), "block int, ord int, h binary, c binary, first binary")
+    parts = materialize(grams.groupBy("block").applyInPandas(
+        _parts(blocks), "block int, kind int, h binary, a binary, b binary, n_tokens long, n_words long, chance double"), "llm-lm-parts")
+    total = lambda f, c: F.coalesce(f(c), F.lit(0))
+    n, v, chance = parts.agg(total(F.sum, "n_tokens"), total(F.sum, "n_words"), total(F.avg, F.when(F.col("kind") == 0, F.col("chance")))).first()
+    model = materialize(parts.groupBy("block").applyInPandas(_mass(v, chance), "block int, words binary, counts binary, mass binary, bits binary"), "llm-lm-blocks")
+    forget_files(parts)
+    return model, blocks, n, v
 
 
 def _shards(model: DataFrame) -> list[list[int]]:
-    sizes = model.select("block", (F.octet_length("words") + F.octet_length("counts") + F.octet_length("bits")).alias("n")).orderBy("block").collect()
+    sizes = model.select("block", (F.octet_length("words") + F.octet_length("counts") + F.octet_length("mass") + F.octet_length("bits")).alias("n")).orderBy("block").collect()
     out, total = [[]], 0  # a row per block of BLOCK_BYTES of text
     for r in sizes:
         if out[-1] and total + r["n"] > SHARD_BYTES:
@@ -209,23 +270,32 @@ def _shards(model: DataFrame) -> list[list[int]]:
     return out
 
 
+def probability(level: np.ndarray, count: np.ndarray, mass: np.ndarray, base_total: float) -> np.ndarray:
+    """Probability of a word of this count, where its pair with the word before has
+    this level and the word before this mass (0 if it was never seen)."""
+    pair = np.where((count > 0) & (mass > 0), dequantised(level), 0.0)
+    return (pair + MU * (count + ADD) / base_total) / (mass + MU)
+
+
 def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of every row of ``docs`` with ``n_tokens, n_known,
     train_tokens, base_score, score`` (log10 probabilities; base: words alone).
 
     Null text is empty: its only token is the end. With no training token the
     word probability is 0.1 / 0.1 = 1 for the only type, so scores are 0.
-    Repeated rows score alike; an empty table gives none."""
+    Repeated rows score alike; an empty table gives none. A very long text is read whole,
+    as a run of its own, in one task."""
     columns = [c for c in columns if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]  # replaced
     spark = docs.sparkSession
-    model, blocks = build(train)
-    n, v = model.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    model, blocks, n, v = build(train)
     shards = _shards(model)
     schema = docs.select(*columns).schema
     ddl = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in schema)
     base_total = n + ADD * (v + 1)
 
-    def passed(sent, last: bool):
+    empty = sorted(set(range(blocks)).difference(*shards))  # blocks that no n-gram fell into
+
+    def passed(sent, first: bool, last: bool):
         """Add what one shard knows: word counts and pair levels by place."""
         def run(batches):
             for batch in batches:
@@ -234,11 +304,12 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
                     p = pair_hashes(t, bounds)
                     part = batch.slice(i, j - i)
                     total = lambda x: np.add.reduceat(x, bounds[:-1])
-                    # Counts as single precision (for smoothing), levels, and sums over words seen to now.
-                    c, q = np.zeros(len(t), np.float32), np.zeros(len(t), np.uint8)
+                    # Counts and masses as single precision (for smoothing), levels, and sums over words seen to now.
+                    c, m, q = np.zeros(len(t), np.float32), np.zeros(len(t), np.float32), np.zeros(len(t), np.uint8)
                     base, known = np.zeros(j - i), np.zeros(j - i, np.int64)
                     if "__c" in batch.schema.names:
                         c = np.frombuffer(b"".join(part.column("__c").to_pylist()), np.float32).copy()
+                        m = np.frombuffer(b"".join(part.column("__m").to_pylist()), np.float32).copy()
                         q = np.frombuffer(b"".join(part.column("__q").to_pylist()), np.uint8).copy()
                         base, known = part.column("__base").to_numpy(), part.column("__known").to_numpy()
                     by, ends = _by_block(t, blocks)
@@ -246,25 +317,26 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
                     mine, exact = np.zeros(len(t), bool), np.zeros(len(t), np.int64)
                     for number, block in sent:
                         k = by[ends[number]: ends[number + 1]]
-                        mine[k], exact[k] = True, block.value.count(t[k])
+                        mine[k] = True
+                        exact[k], m[k] = block.value.count(t[k])
                         k = by2[ends2[number]: ends2[number + 1]]
                         q[k] = block.value.level(p[k])
+                    for number in empty if first else []:
+                        mine[by[ends[number]: ends[number + 1]]] = True
                     c[mine] = exact[mine]
                     base = base + total(np.where(mine, np.log10((exact + ADD) / base_total), 0.0))
                     known = known + total((exact > 0).astype(np.int64))
                     kept = [part.column(x) for x in columns]
                     if not last:
                         cut = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
-                        yield pa.record_batch([*kept, part.column("__text"), pa.array([c[a:b].tobytes() for a, b in cut], pa.binary()),
+                        yield pa.record_batch([*kept, part.column("__text"), *[pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (c, m)],
                                                pa.array([q[a:b].tobytes() for a, b in cut], pa.binary()), pa.array(base), pa.array(known)],
-                                              names=[*columns, "__text", "__c", "__q", "__base", "__known"])
+                                              names=[*columns, "__text", "__c", "__m", "__q", "__base", "__known"])
                         continue
-                    c = c.astype(np.float64)
-                    word = (c + ADD) / base_total
-                    history = np.concatenate([[0], c[:-1]])
-                    history[bounds[:-1]] = c[bounds[1:] - 1]  # before the first token stands the end token
-                    pair = np.minimum(dequantised(q), np.minimum(c, history))
-                    prob = (pair + MU * word) / (history + MU)
+                    c, m = c.astype(np.float64), m.astype(np.float64)
+                    history = np.concatenate([[0], m[:-1]])
+                    history[bounds[:-1]] = m[bounds[1:] - 1]  # before the first token stands the end token
+                    prob = probability(q, c, history, base_total)
                     yield pa.record_batch([*kept, pa.array(np.diff(bounds)), pa.array(known), pa.array(np.full(j - i, n, np.int64)),
                                            pa.array(base), pa.array(total(np.log10(prob)))],
                                           names=[*columns, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
@@ -273,17 +345,17 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
     d = docs.select(*columns, F.col("text").alias("__text"))
     for k, numbers in enumerate(shards):
         sent = []  # at most SHARD_BYTES in all, or one block
-        for r in model.where(F.col("block").isin(numbers)).select("block", "words", "counts", "bits").toLocalIterator():
+        for r in model.where(F.col("block").isin(numbers)).select("block", "words", "counts", "mass", "bits").toLocalIterator():
             sent.append((r[0], spark.sparkContext.broadcast(Block(*map(bytes, r[1:])))))
         if k < len(shards) - 1:
             before = d if k else None
-            d = materialize(d.mapInArrow(passed(sent, False), f"{ddl}, __text string, __c binary, __q binary, __base double, __known long"), "llm-lm-pass")
+            d = materialize(d.mapInArrow(passed(sent, k == 0, False), f"{ddl}, __text string, __c binary, __m binary, __q binary, __base double, __known long"), "llm-lm-pass")
             for _, block in sent:  # workers drop them before the next shard comes
                 block.destroy()
             if before is not None:
                 forget_files(before)
         else:
-            d = d.mapInArrow(passed(sent, True), f"{ddl}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+            d = d.mapInArrow(passed(sent, k == 0, True), f"{ddl}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return d
 
 
