@@ -140,17 +140,32 @@ def test_language_model(spark, docs, odd, none):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(train[w] > 0 for w in t), n)
         assert abs(r.base_score - base) <= 1e-9 * abs(base) and r.score < 0
         assert r.held_out == (zlib.crc32(str(i).encode()) % 10 == 0)
-    # The model by plain dictionaries: quantised pair counts over their sum per word before.
-    pairs, after, smooth = Counter(), Counter(), lambda w: bloom_lm.MU * (train[w] + 0.1) / (n + 0.1 * (v + 1))
+    # The model by plain dictionaries: pair counts as one filter's probes give them, over their sum for the word
+    # before and the count that absent pairs are expected to get.
+    pairs = Counter()
     for i, t in tok.items():
         if zlib.crc32(str(i).encode()) % 10:
             pairs.update(zip(["\0", *t[:-1]], t))
-    quantised = {p: float(bloom_lm.dequantised(bloom_lm.levels(np.array([c])))[0]) for p, c in pairs.items()}
-    for (a, _), c in quantised.items():
-        after[a] += c
+    model = bloom_lm.build(docs.where(common.fold(10) != 0))
+    block = bloom_lm.Block(*map(bytes, model.rows.first()[1:5]), model.probes, model.absent)
+    seen = sorted(pairs)
+    assert model.blocks == 1
+    first, second = ([bloom_lm.END if w == "\0" else bloom_lm.token_hashes([w])[0][0] for w in x] for x in zip(*seen))
+    level = block.level(bloom_lm.mix64(np.array(first, np.uint64) * bloom_lm._PAIR + np.array(second, np.uint64)))
+    true = bloom_lm.levels(np.array([pairs[x] for x in seen]))
+    assert (level >= true).all() and (level == true).mean() > 0.95
+    found = dict(zip(seen, bloom_lm.dequantised(level).tolist()))
+    mass, follow = Counter(), Counter()
+    for (a, _), c in found.items():
+        mass[a] += c
+        follow[a] += 1
+    chance, smooth = model.absent / v, lambda w: bloom_lm.MU * (train[w] + 0.1) / (n + 0.1 * (v + 1))
+    assert 0 < model.absent < 0.05 * bloom_lm.MU
+    off = 0
     for i, t in tok.items():
-        want = sum(math.log10((quantised.get((a, w), 0) + smooth(w)) / (after[a] + bloom_lm.MU)) for a, w in zip(["\0", *t[:-1]], t))
-        assert abs(got[i].score - want) <= 0.02 * abs(want)
+        want = sum(math.log10((found.get((a, w), 0) + smooth(w)) / (mass[a] + chance * (v - follow[a]) + bloom_lm.MU)) for a, w in zip(["\0", *t[:-1]], t))
+        off += abs(got[i].score - want) > 1e-5 * abs(want)
+    assert off <= 2  # texts with a pair that passes by chance
     assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
     o = bloom_lm.score_texts(odd, odd, ["doc_id", "score"]).collect()
     assert len(o) == len(ROWS) and {r.n_tokens for r in o if r.doc_id in (2, 3, 5)} == {1}
@@ -173,29 +188,28 @@ def test_language_model_shards_agree(spark, docs, monkeypatch):
 
 def test_language_model_adds_up_to_one(spark, docs, monkeypatch):
     monkeypatch.setattr(bloom_lm, "BLOCK_BYTES", 1 << 16)
-    model, blocks, n, v = bloom_lm.build(docs)
-    held = {r.block: bloom_lm.Block(*map(bytes, r[1:])) for r in model.collect()}
-    assert len(held) == blocks > 1 and sum(len(b.words) for b in held.values()) == v
+    model = bloom_lm.build(docs)
+    v, total = model.words, model.tokens + 0.1 * (model.words + 1)
+    held = {r.block: bloom_lm.Block(*map(bytes, r[1:5]), model.probes, model.absent) for r in model.rows.collect()}
+    assert len(held) == model.blocks > 1 and sum(len(b.words) for b in held.values()) == v and 0 < len(model.hot) <= bloom_lm.HOT
     known = np.concatenate([b.words for b in held.values()])
     count, mass = (np.concatenate(x) for x in zip(*[b.count(b.words) for b in held.values()]))
-    total = n + 0.1 * (v + 1)
+    assert dict(zip(known.tolist(), count.tolist())).items() >= dict(zip(model.hot.tolist(), model.hot_counts.tolist())).items()
     for first in [*np.argsort(-count)[:20], *np.flatnonzero(count == 1)[:20], *np.flatnonzero(count == 9)[:20]]:
         h = bloom_lm.mix64(known[[first]] * bloom_lm._PAIR + known)
-        level = np.zeros(v, np.uint8)
+        level, place = np.zeros(v, np.uint8), bloom_lm.pair_blocks(h, known, model.hot, model.blocks)
         for k, b in held.items():
-            mine = h % np.uint64(blocks) == k
-            level[mine] = b.level(h[mine])
-        p = bloom_lm.probability(level, count, np.full(v, float(mass[first])), total)
-        unknown = bloom_lm.probability(np.zeros(1, np.uint8), np.zeros(1), np.full(1, float(mass[first])), total)
-        assert abs(p.sum() + unknown[0] - 1) < 0.08
-        assert abs(p.sum() + unknown[0] - 1) * (mass[first] + bloom_lm.MU) < 4  # a chance positive or two
+            level[place == k] = b.level(h[place == k])
+        p = bloom_lm.dequantised(level) + bloom_lm.MU * (count + 0.1) / total
+        unknown = bloom_lm.MU * 0.1 / total
+        assert abs((p.sum() + unknown) / (mass[first] + bloom_lm.MU) - 1) < 0.06  # a chance positive or two, next to MU
 
 
 def test_filter_has_no_false_negatives():
     r = np.random.default_rng(1)
     h, c = r.integers(0, 1 << 63, 5000).astype(np.uint64), r.zipf(1.5, 5000).clip(1, 10**6)
-    bits, chance = bloom_lm.filter_bits(h, bloom_lm.levels(c))
-    block = bloom_lm.Block(b"", b"", b"", bits.tobytes())
+    bits, chance = bloom_lm.filter_bits(h, bloom_lm.levels(c), 14)
+    block = bloom_lm.Block(b"", b"", b"", bits.tobytes(), 14)
     assert (block.level(h) >= bloom_lm.levels(c)).all() and (block.level(h) == bloom_lm.levels(c)).mean() > 0.9
     absent = block.level(r.integers(0, 1 << 63, 1_000_000).astype(np.uint64))
     assert 0 < bloom_lm.dequantised(absent).mean() < 2 * chance < 4e-4

@@ -3,19 +3,25 @@
 Counts of word pairs are quantised on a log scale; a pair of level q is put
 into a Bloom filter as (pair, 1) .. (pair, q), so repeated membership probes
 find its level. The filter and the exact word counts are built in blocks by
-n-gram hash (one task each), and blocks are broadcast in shards of bounded size:
-each shard adds to every text what it knows, so no broadcast grows with the
-corpus; with one shard (the usual case) that is a single pass over the texts.
+hash (one task each), and blocks are broadcast in shards of bounded size, so no
+broadcast grows with the corpus. A pair lies in the block of its second word, so
+each shard adds to every text's sums what it knows and nothing is kept by token
+between shards; with one shard that is a single pass over the texts. Pairs of
+frequent second words are spread over all blocks by their own hash, and the
+counts of these words (at most ``HOT``) go along.
 
 The probability of a word after another mixes the pair's dequantised count with
 the smoothed word probability (Dirichlet smoothing). It is divided by the mass of
 the word before: the sum of what the probes give for all pairs that begin with
-it, plus what false positives are expected to give for all other words. So the
-probabilities after a word add up to 1 over the known words and one unknown
-(up to the chance of false positives, about 1 in 16,000 a word)."""
+it, plus what false positives are expected to give for all other words, so that
+the probabilities after a word are expected to add up to 1 over the known words
+and one unknown. The probes of level 1 grow with the logarithm of the training
+text, and with it of its words, so false positives stay a few counts a word."""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -25,10 +31,11 @@ from pyspark.sql import functions as F
 from wardflow.llm.common import encoded, fold, forget_files, mix64, slices, table, word_hashes
 from wardflow.session import materialize
 
-FIRST_PROBES = 14      # probes of level 1: nearly all words never follow a given one, so few may pass by chance
-PROBES = 6             # probes of every further level
+PROBES = 6             # probes of every level above 1
+HOT = 2000             # a word of at least 1 / HOT of the sampled tokens is frequent, so there are at most HOT
+SAMPLE_BYTES = 4 << 20     # text sampled for frequent words, which only places pairs and changes no result
 BLOCK_BYTES = 6 << 20      # training text per block of n-grams
-SHARD_BYTES = 64 << 20     # bound on what is broadcast at a time
+SHARD_BYTES = 128 << 20    # bound on what is broadcast at a time
 FLUSH = 1_000_000          # n-grams gathered in a task before they are sorted and sent
 MU = 40.0                  # weight of the word probability
 ADD = 0.1
@@ -81,8 +88,10 @@ def _place(x: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (((x >> np.uint64(32)) * bits) >> np.uint64(32)).astype(np.int64)
 
 
-def _level_probes(level: int) -> int:
-    return FIRST_PROBES if level == 1 else PROBES
+def first_probes(size: int) -> int:
+    """Probes of level 1 for ``size`` bytes of training text: nearly all of its words
+    never follow a given one, so the more there are, the fewer may pass by chance."""
+    return max(16, int(size // 256).bit_length())
 
 
 def _runs(h: np.ndarray) -> np.ndarray:
@@ -90,15 +99,32 @@ def _runs(h: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
 
 
-def _cut(blocks: int, h: np.ndarray, *columns: np.ndarray):
-    """(block, its part of ``h`` and of every column) of all blocks met."""
-    by, ends = _by_block(h, blocks)
+def _cut(blocks: int, at: np.ndarray, *columns: np.ndarray):
+    """(block, its part of every column) of all blocks met; ``at``: blocks by place."""
+    by, ends = _by_block(at, blocks)
     for k in np.flatnonzero(ends[1:] > ends[:-1]):
-        at = by[ends[k]: ends[k + 1]]
-        yield int(k), h[at], *[c[at] for c in columns]
+        here = by[ends[k]: ends[k + 1]]
+        yield int(k), *[c[here] for c in columns]
+
+
+def _block(h: np.ndarray, blocks: int) -> np.ndarray:
+    return (h % np.uint64(blocks)).astype(np.int32)
+
+
+def _among(h: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Place in the sorted ``hot`` by hash, -1 if it is not there."""
+    if not len(hot):
+        return np.full(len(h), -1)
+    at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
+    return np.where(hot[at] == h, at, -1)
 
 
-def _gather(blocks: int):
+def pair_blocks(pairs: np.ndarray, words: np.ndarray, hot: np.ndarray, blocks: int) -> np.ndarray:
+    """Block of a pair: of its second word, or of the pair where that is frequent."""
+    return np.where(_among(words, hot) >= 0, _block(pairs, blocks), _block(words, blocks))
+
+
+def _gather(blocks: int, hot: np.ndarray):
     """Distinct n-grams of each task with counts, cut by block; pairs (ord 2) with
     the hash of their first word."""
     def run(batches):
@@ -106,12 +132,14 @@ def _gather(blocks: int):
 
         def send(order):
             h = np.concatenate(held[order])
-            first = np.concatenate(held[0]) if order == 2 else h
-            held[order] = []
             by = np.argsort(h, kind="stable")
-            h, first = h[by], first[by]
-            at = _runs(h)
-            for k, u, c, f in _cut(blocks, h[at], np.diff(at, append=len(h)).astype(np.uint32), first[at]):
+            at = _runs(h[by])
+            n, by = np.diff(at, append=len(h)).astype(np.uint32), by[at]
+            u = h[by]
+            first, place = u, None
+            if order == 2:
+                first, place = np.concatenate(held[0])[by], pair_blocks(u, np.concatenate(held[1])[by], hot, blocks)
+            for k, u, c, f in _cut(blocks, _block(u, blocks) if place is None else place, u, n, first):
                 yield pa.record_batch([pa.array([k], pa.int32()), pa.array([order], pa.int32()), pa.array([u.tobytes()], pa.binary()), pa.array([c.tobytes()], pa.binary()),
                                        pa.array([f.tobytes() if order == 2 else None], pa.binary())], names=["block", "ord", "h", "c", "first"])
 
@@ -126,7 +154,7 @@ def _gather(blocks: int):
                 if n > FLUSH:
                     yield from send(1)
                     yield from send(2)
-                    held[0], n = [], 0
+                    held, n = {1: [], 2: [], 0: []}, 0
         if n:
             yield from send(1)
             yield from send(2)
@@ -144,7 +172,7 @@ def _summed(h: np.ndarray, *values: np.ndarray) -> tuple:
     return h[by][at], by[at], *[np.add.reduceat(v[by], at) if len(at) else v for v in values]
 
 
-def _parts(blocks: int):
+def _parts(blocks: int, probes: int):
     """One block of n-grams: its filter (kind 0), its words with counts (kind 1),
     and for the words its pairs begin with, by these words' blocks, the sum of the
     pairs' counts as probes give them and the number of pairs (kind 2)."""
@@ -156,33 +184,34 @@ def _parts(blocks: int):
             h = _column(pairs, "h", np.uint64)
             u, at, c = _summed(h, _column(pairs, "c", np.uint32).astype(np.int64))
             first = _column(pairs, "first", np.uint64)[at]
-            bits, chance = filter_bits(u, levels(c))
+            bits, chance = filter_bits(u, levels(c), probes)
             yield int(key[0]), 0, None, None, bits.tobytes(), 0, 0, chance
-            found = dequantised(Block(b"", b"", b"", bits.tobytes()).level(u))
+            found = dequantised(Block(b"", b"", b"", bits.tobytes(), probes).level(u))
             u, _, found, n = _summed(first, found, np.ones(len(first), np.int64))
-            for k, f, mass, m in _cut(blocks, u, found, n):
+            for k, f, mass, m in _cut(blocks, _block(u, blocks), u, found, n):
                 yield k, 2, f.tobytes(), mass.tobytes(), m.tobytes(), 0, 0, 0.0
         return pd.DataFrame(list(rows()), columns=["block", "kind", "h", "a", "b", "n_tokens", "n_words", "chance"])
     return run
 
 
-def filter_bits(pairs: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, float]:
+def filter_bits(pairs: np.ndarray, q: np.ndarray, probes: int) -> tuple[np.ndarray, float]:
     """Filter of pairs of levels ``q``, about half full, and the count that an
     absent pair is expected to get from it."""
-    bits = max(64, int(1.443 * (FIRST_PROBES * len(q) + PROBES * (q.sum() - len(q)))) // 8 * 8 + 8)
+    bits = max(64, int(1.443 * (probes * len(q) + PROBES * (q.sum() - len(q)))) // 8 * 8 + 8)
     on = np.zeros(bits, bool)
     for level in range(1, int(q.max(initial=0)) + 1):
         x, step = _probes(pairs[q >= level], level)
-        for _ in range(_level_probes(level)):
+        for _ in range(probes if level == 1 else PROBES):
             on[_place(x, np.uint64(bits))] = True
             x = x + step
     full = float(on.mean())
     steps = np.diff(dequantised(np.arange(40)))
-    return np.packbits(on), float((steps * full ** (FIRST_PROBES + PROBES * np.arange(39))).sum())
+    return np.packbits(on), float((steps * full ** (probes + PROBES * np.arange(39))).sum())
 
 
-def _mass(n_words: int, chance: float):
-    """The words of a block with counts, and the mass of every word as the one before."""
+def _mass(n_words: int, chance: float, hot: np.ndarray):
+    """The words of a block with counts, and the mass of every word as the one
+    before; the frequent words and their counts once more."""
     def run(key, pdf):
         words, rest, bits = (pdf[pdf["kind"] == k] for k in (1, 2, 0))
         h, c = _column(words, "h", np.uint64), _column(words, "a", np.int64)
@@ -190,14 +219,16 @@ def _mass(n_words: int, chance: float):
         total = np.zeros(len(h))
         total[np.searchsorted(h, u)] = mass + chance * (n_words - n)
         return pd.DataFrame({"block": [int(key[0])], "words": [h.tobytes()], "counts": [c.astype(np.uint32 if c.max(initial=0) < 1 << 32 else np.int64).tobytes()],
-                             "mass": [total.astype(np.float32).tobytes()], "bits": [b"".join(bits["b"])]})
+                             "mass": [total.astype(np.float32).tobytes()], "bits": [b"".join(bits["b"])],
+                             "hot": [h[mine := _among(h, hot) >= 0].tobytes()], "n_hot": [c[mine].tobytes()]})
     return run
 
 
 class Block:
     """One block of the model: exact word counts, masses and the pairs' filter."""
 
-    def __init__(self, words: bytes, counts: bytes, mass: bytes, bits: bytes):
+    def __init__(self, words: bytes, counts: bytes, mass: bytes, bits: bytes, probes: int, absent: float = 0.0):
+        self.probes, self.absent = probes, absent  # of level 1; mass of words that were never seen
         self.mass = np.frombuffer(mass, np.float32)
         self.words, self.counts = np.frombuffer(words, np.uint64), np.frombuffer(counts, np.uint32 if len(counts) < len(words) else np.int64)
         self.filter, self.size = np.frombuffer(bits, np.uint8), np.uint64(8 * len(bits))
@@ -206,8 +237,8 @@ class Block:
         self.index = np.searchsorted(self.words, np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift).astype(np.int32)
 
     def count(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exact counts and masses of words (0 if unseen)."""
-        out, mass = np.zeros(len(h), np.int64), np.zeros(len(h), np.float32)
+        """Exact counts (0 if unseen) and masses of words."""
+        out, mass = np.zeros(len(h), np.int64), np.full(len(h), self.absent, np.float32)
         if not len(self.words):
             return out, mass
         at, todo, last = self.index[h >> self.shift].astype(np.int64), np.arange(len(h)), len(self.words) - 1
@@ -226,7 +257,7 @@ class Block:
         level = 1
         while len(todo) and level < 255:
             x, step = _probes(h[todo], level)
-            for _ in range(_level_probes(level)):
+            for _ in range(self.probes if level == 1 else PROBES):
                 p = _place(x, self.size)
                 on = np.flatnonzero((self.filter[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1)
                 todo, x, step = todo[on], x[on], step[on]
@@ -236,26 +267,55 @@ class Block:
         return out
 
 
-def _by_block(h: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of hashes ordered by block, and the bounds of each block."""
-    b = (h % np.uint64(blocks)).astype(np.int32)
+def _by_block(b: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places ordered by their block ``b``, and the bounds of each block."""
     by = np.argsort(b, kind="stable")
     return by, np.searchsorted(b[by], np.arange(blocks + 1))
 
 
-def build(train: DataFrame) -> tuple[DataFrame, int, int, int]:
-    """Blocks of the model of the texts in ``train`` (column text), stored in
-    the shared folder, their number, the tokens and the distinct words."""
+class Model(NamedTuple):
+    """A stored model: its blocks and what is known of all of them."""
+    rows: DataFrame         # block, words, counts, mass, bits
+    blocks: int
+    tokens: int
+    words: int
+    probes: int             # of level 1
+    absent: float           # mass of a word never seen
+    hot: np.ndarray         # frequent words in order
+    hot_counts: np.ndarray
+
+
+def _frequent(train: DataFrame, size: int) -> np.ndarray:
+    """Words that are frequent in a sample of about ``SAMPLE_BYTES``, in order."""
+    def count(batches):
+        for batch in batches:
+            for _, _, texts in slices(batch.column(0)):
+                u, c = np.unique(token_hashes(texts)[0], return_counts=True)
+                yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(c)], names=["w", "c"])
+
+    some = train.select("text").sample(min(1.0, SAMPLE_BYTES / max(1, size)), seed=7)
+    words = some.mapInArrow(count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+    top = words.orderBy(F.desc("c"), "w").limit(HOT).toPandas()
+    tokens = words.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    return np.sort(top["w"][top["c"] * HOT >= tokens].to_numpy(np.int64).view(np.uint64))
+
+
+def build(train: DataFrame) -> Model:
+    """The model of the texts in ``train`` (column text), its blocks stored in the shared folder."""
     size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
-    grams = train.select("text").mapInArrow(_gather(blocks), "block int, ord int, h binary, c binary, first binary")
+    blocks, probes, hot = max(1, -(-size // BLOCK_BYTES)), first_probes(size), _frequent(train, size)
+    grams = train.select("text").mapInArrow(_gather(blocks, hot), "block int, ord int, h binary, c binary, first binary")
     parts = materialize(grams.groupBy("block").applyInPandas(
-        _parts(blocks), "block int, kind int, h binary, a binary, b binary, n_tokens long, n_words long, chance double"), "llm-lm-parts")
+        _parts(blocks, probes), "block int, kind int, h binary, a binary, b binary, n_tokens long, n_words long, chance double"), "llm-lm-parts")
     total = lambda f, c: F.coalesce(f(c), F.lit(0))
     n, v, chance = parts.agg(total(F.sum, "n_tokens"), total(F.sum, "n_words"), total(F.avg, F.when(F.col("kind") == 0, F.col("chance")))).first()
-    model = materialize(parts.groupBy("block").applyInPandas(_mass(v, chance), "block int, words binary, counts binary, mass binary, bits binary"), "llm-lm-blocks")
+    rows = materialize(parts.groupBy("block").applyInPandas(
+        _mass(v, chance, hot), "block int, words binary, counts binary, mass binary, bits binary, hot binary, n_hot binary"), "llm-lm-blocks")
     forget_files(parts)
-    return model, blocks, n, v
+    found = rows.where(F.octet_length("hot") > 0).select("hot", "n_hot").toPandas()  # at most HOT words
+    h, c = _column(found, "hot", np.uint64), _column(found, "n_hot", np.int64)
+    by = np.argsort(h)
+    return Model(rows, blocks, n, v, probes, chance * v, h[by], c[by])
 
 
 def _shards(model: DataFrame) -> list[list[int]]:
@@ -270,92 +330,79 @@ def _shards(model: DataFrame) -> list[list[int]]:
     return out
 
 
-def probability(level: np.ndarray, count: np.ndarray, mass: np.ndarray, base_total: float) -> np.ndarray:
-    """Probability of a word of this count, where its pair with the word before has
-    this level and the word before this mass (0 if it was never seen)."""
-    pair = np.where((count > 0) & (mass > 0), dequantised(level), 0.0)
-    return (pair + MU * (count + ADD) / base_total) / (mass + MU)
-
-
 def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of every row of ``docs`` with ``n_tokens, n_known,
     train_tokens, base_score, score`` (log10 probabilities; base: words alone).
 
     Null text is empty: its only token is the end. With no training token the
     word probability is 0.1 / 0.1 = 1 for the only type, so scores are 0.
-    Repeated rows score alike; an empty table gives none. A very long text is read whole,
-    as a run of its own, in one task."""
+    Repeated rows score alike; an empty table gives none. A very long text is read
+    whole, as a run of its own, in one task."""
     columns = [c for c in columns if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]  # replaced
     spark = docs.sparkSession
-    model, blocks, n, v = build(train)
-    shards = _shards(model)
+    model = build(train)
+    shards = _shards(model.rows)
     schema = docs.select(*columns).schema
     ddl = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in schema)
-    base_total = n + ADD * (v + 1)
-
+    blocks, n, hot, hot_counts = model.blocks, model.tokens, model.hot, model.hot_counts
+    base_total = n + ADD * (model.words + 1)
+    nothing = Block(b"", b"", b"", bytes(8), model.probes, model.absent)
     empty = sorted(set(range(blocks)).difference(*shards))  # blocks that no n-gram fell into
 
-    def passed(sent, first: bool, last: bool):
-        """Add what one shard knows: word counts and pair levels by place."""
+    def passed(sent, last: bool):
+        """Add to each text's sums what one shard knows: a token's base and mass by
+        its block, and the numerator by the pair's block."""
         def run(batches):
             for batch in batches:
                 for i, j, texts in slices(batch.column("__text")):
                     t, bounds = token_hashes(texts)
                     p = pair_hashes(t, bounds)
                     part = batch.slice(i, j - i)
-                    total = lambda x: np.add.reduceat(x, bounds[:-1])
-                    # Counts and masses as single precision (for smoothing), levels, and sums over words seen to now.
-                    c, m, q = np.zeros(len(t), np.float32), np.zeros(len(t), np.float32), np.zeros(len(t), np.uint8)
-                    base, known = np.zeros(j - i), np.zeros(j - i, np.int64)
-                    if "__c" in batch.schema.names:
-                        c = np.frombuffer(b"".join(part.column("__c").to_pylist()), np.float32).copy()
-                        m = np.frombuffer(b"".join(part.column("__m").to_pylist()), np.float32).copy()
-                        q = np.frombuffer(b"".join(part.column("__q").to_pylist()), np.uint8).copy()
-                        base, known = part.column("__base").to_numpy(), part.column("__known").to_numpy()
-                    by, ends = _by_block(t, blocks)
-                    by2, ends2 = _by_block(p, blocks)
-                    mine, exact = np.zeros(len(t), bool), np.zeros(len(t), np.int64)
+                    frequent = _among(t, hot)
+                    base, score, known = np.zeros(len(t)), np.zeros(len(t)), np.zeros(len(t), bool)
+                    home = _block(t, blocks)
+                    by, ends = _by_block(home, blocks)
+                    by2, ends2 = _by_block(np.where(frequent >= 0, _block(p, blocks), home), blocks)
+                    count = np.zeros(len(t), np.int64)
                     for number, block in sent:
+                        block = getattr(block, "value", block)
                         k = by[ends[number]: ends[number + 1]]
-                        mine[k] = True
-                        exact[k], m[k] = block.value.count(t[k])
+                        count[k], mass = block.count(t[k])
+                        known[k], base[k] = count[k] > 0, np.log10((count[k] + ADD) / base_total)
+                        # Every token stands once before another: the end before the first.
+                        score[k] -= np.log10(mass.astype(np.float64) + MU)
                         k = by2[ends2[number]: ends2[number + 1]]
-                        q[k] = block.value.level(p[k])
-                    for number in empty if first else []:
-                        mine[by[ends[number]: ends[number + 1]]] = True
-                    c[mine] = exact[mine]
-                    base = base + total(np.where(mine, np.log10((exact + ADD) / base_total), 0.0))
-                    known = known + total((exact > 0).astype(np.int64))
+                        f = frequent[k]
+                        c = np.where(f >= 0, hot_counts[f], count[k]) if len(hot) else count[k]
+                        pair = np.zeros(len(k))
+                        pair[c > 0] = dequantised(block.level(p[k][c > 0]))
+                        score[k] += np.log10(pair + MU * (c + ADD) / base_total)
+                    sums = [np.add.reduceat(x, bounds[:-1]) for x in (base, score, known.astype(np.int64))]
+                    if "__base" in batch.schema.names:
+                        sums = [x + part.column(name).to_numpy() for x, name in zip(sums, ("__base", "__score", "__known"))]
                     kept = [part.column(x) for x in columns]
-                    if not last:
-                        cut = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
-                        yield pa.record_batch([*kept, part.column("__text"), *[pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (c, m)],
-                                               pa.array([q[a:b].tobytes() for a, b in cut], pa.binary()), pa.array(base), pa.array(known)],
-                                              names=[*columns, "__text", "__c", "__m", "__q", "__base", "__known"])
-                        continue
-                    c, m = c.astype(np.float64), m.astype(np.float64)
-                    history = np.concatenate([[0], m[:-1]])
-                    history[bounds[:-1]] = m[bounds[1:] - 1]  # before the first token stands the end token
-                    prob = probability(q, c, history, base_total)
-                    yield pa.record_batch([*kept, pa.array(np.diff(bounds)), pa.array(known), pa.array(np.full(j - i, n, np.int64)),
-                                           pa.array(base), pa.array(total(np.log10(prob)))],
-                                          names=[*columns, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                    if last:
+                        yield pa.record_batch([*kept, pa.array(np.diff(bounds)), pa.array(sums[2]), pa.array(np.full(j - i, n, np.int64)), pa.array(sums[0]), pa.array(sums[1])],
+                                              names=[*columns, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                    else:
+                        yield pa.record_batch([*kept, part.column("__text"), *map(pa.array, sums)], names=[*columns, "__text", "__base", "__score", "__known"])
         return run
 
     d = docs.select(*columns, F.col("text").alias("__text"))
     for k, numbers in enumerate(shards):
-        sent = []  # at most SHARD_BYTES in all, or one block
-        for r in model.where(F.col("block").isin(numbers)).select("block", "words", "counts", "mass", "bits").toLocalIterator():
-            sent.append((r[0], spark.sparkContext.broadcast(Block(*map(bytes, r[1:])))))
+        sent = [] if k else [(number, nothing) for number in empty]
+        # At most SHARD_BYTES in all, or one block.
+        for r in model.rows.where(F.col("block").isin(numbers)).select("block", "words", "counts", "mass", "bits").toLocalIterator():
+            sent.append((r[0], spark.sparkContext.broadcast(Block(*map(bytes, r[1:]), model.probes, model.absent))))
         if k < len(shards) - 1:
-            before = d if k else None
-            d = materialize(d.mapInArrow(passed(sent, k == 0, False), f"{ddl}, __text string, __c binary, __m binary, __q binary, __base double, __known long"), "llm-lm-pass")
-            for _, block in sent:  # workers drop them before the next shard comes
+            before_pass = d if k else None
+            d = materialize(d.mapInArrow(passed(sent, False), f"{ddl}, __text string, __base double, __score double, __known long"), "llm-lm-pass")
+            for _, block in sent[-len(numbers):]:  # workers drop them before the next shard comes
                 block.destroy()
-            if before is not None:
-                forget_files(before)
+            if before_pass is not None:
+                forget_files(before_pass)
         else:
-            d = d.mapInArrow(passed(sent, k == 0, True), f"{ddl}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+            d = d.mapInArrow(passed(sent, True), f"{ddl}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return d
 
 
