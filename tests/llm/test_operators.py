@@ -147,7 +147,7 @@ def test_language_model(spark, docs, odd, none):
         if zlib.crc32(str(i).encode()) % 10:
             pairs.update(zip(["\0", *t[:-1]], t))
     model = bloom_lm.build(docs.where(common.fold(10) != 0))
-    block = bloom_lm.Block(*map(bytes, model.rows.first()[1:5]), model.probes, model.absent)
+    (_, block), = bloom_lm.read_blocks(model, [0])
     seen = sorted(pairs)
     assert model.blocks == 1
     first, second = ([bloom_lm.END if w == "\0" else bloom_lm.token_hashes([w])[0][0] for w in x] for x in zip(*seen))
@@ -190,7 +190,7 @@ def test_language_model_adds_up_to_one(spark, docs, monkeypatch):
     monkeypatch.setattr(bloom_lm, "BLOCK_BYTES", 1 << 16)
     model = bloom_lm.build(docs)
     v, total = model.words, model.tokens + 0.1 * (model.words + 1)
-    held = {r.block: bloom_lm.Block(*map(bytes, r[1:5]), model.probes, model.absent) for r in model.rows.collect()}
+    held = dict(bloom_lm.read_blocks(model, list(range(model.blocks))))
     assert len(held) == model.blocks > 1 and sum(len(b.words) for b in held.values()) == v and 0 < len(model.hot) <= bloom_lm.HOT
     known = np.concatenate([b.words for b in held.values()])
     count, mass = (np.concatenate(x) for x in zip(*[b.count(b.words) for b in held.values()]))

@@ -139,6 +139,8 @@ def _gather(blocks: int, hot: np.ndarray):
             first, place = u, None
             if order == 2:
                 first, place = np.concatenate(held[0])[by], pair_blocks(u, np.concatenate(held[1])[by], hot, blocks)
+                by = np.argsort(first, kind="stable")  # equal neighbours are packed by the shuffle's compression
+                u, n, first, place = u[by], n[by], first[by], place[by]
             for k, u, c, f in _cut(blocks, _block(u, blocks) if place is None else place, u, n, first):
                 yield pa.record_batch([pa.array([k], pa.int32()), pa.array([order], pa.int32()), pa.array([u.tobytes()], pa.binary()), pa.array([c.tobytes()], pa.binary()),
                                        pa.array([f.tobytes() if order == 2 else None], pa.binary())], names=["block", "ord", "h", "c", "first"])
@@ -187,7 +189,7 @@ def _parts(blocks: int, probes: int):
             bits, chance = filter_bits(u, levels(c), probes)
             yield int(key[0]), 0, None, None, bits.tobytes(), 0, 0, chance
             found = dequantised(Block(b"", b"", b"", bits.tobytes(), probes).level(u))
-            u, _, found, n = _summed(first, found, np.ones(len(first), np.int64))
+            u, _, found, n = _summed(first, found, np.ones(len(first), np.uint32))
             for k, f, mass, m in _cut(blocks, _block(u, blocks), u, found, n):
                 yield k, 2, f.tobytes(), mass.tobytes(), m.tobytes(), 0, 0, 0.0
         return pd.DataFrame(list(rows()), columns=["block", "kind", "h", "a", "b", "n_tokens", "n_words", "chance"])
@@ -213,13 +215,13 @@ def _mass(n_words: int, chance: float, hot: np.ndarray):
     """The words of a block with counts, and the mass of every word as the one
     before; the frequent words and their counts once more."""
     def run(key, pdf):
-        words, rest, bits = (pdf[pdf["kind"] == k] for k in (1, 2, 0))
+        words, rest = pdf[pdf["kind"] == 1], pdf[pdf["kind"] == 2]
         h, c = _column(words, "h", np.uint64), _column(words, "a", np.int64)
-        u, _, mass, n = _summed(_column(rest, "h", np.uint64), _column(rest, "a", np.float64), _column(rest, "b", np.int64))
+        u, _, mass, n = _summed(_column(rest, "h", np.uint64), _column(rest, "a", np.float64), _column(rest, "b", np.uint32).astype(np.int64))
         total = np.zeros(len(h))
         total[np.searchsorted(h, u)] = mass + chance * (n_words - n)
         return pd.DataFrame({"block": [int(key[0])], "words": [h.tobytes()], "counts": [c.astype(np.uint32 if c.max(initial=0) < 1 << 32 else np.int64).tobytes()],
-                             "mass": [total.astype(np.float32).tobytes()], "bits": [b"".join(bits["b"])],
+                             "mass": [total.astype(np.float32).tobytes()],
                              "hot": [h[mine := _among(h, hot) >= 0].tobytes()], "n_hot": [c[mine].tobytes()]})
     return run
 
@@ -275,7 +277,8 @@ def _by_block(b: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
 
 class Model(NamedTuple):
     """A stored model: its blocks and what is known of all of them."""
-    rows: DataFrame         # block, words, counts, mass, bits
+    words_of: DataFrame     # block, words, counts, mass
+    bits_of: DataFrame      # block, bits; where they were built, as they need not move again
     blocks: int
     tokens: int
     words: int
@@ -309,19 +312,19 @@ def build(train: DataFrame) -> Model:
         _parts(blocks, probes), "block int, kind int, h binary, a binary, b binary, n_tokens long, n_words long, chance double"), "llm-lm-parts")
     total = lambda f, c: F.coalesce(f(c), F.lit(0))
     n, v, chance = parts.agg(total(F.sum, "n_tokens"), total(F.sum, "n_words"), total(F.avg, F.when(F.col("kind") == 0, F.col("chance")))).first()
-    rows = materialize(parts.groupBy("block").applyInPandas(
-        _mass(v, chance, hot), "block int, words binary, counts binary, mass binary, bits binary, hot binary, n_hot binary"), "llm-lm-blocks")
-    forget_files(parts)
+    rows = materialize(parts.where("kind > 0").groupBy("block").applyInPandas(
+        _mass(v, chance, hot), "block int, words binary, counts binary, mass binary, hot binary, n_hot binary"), "llm-lm-words")
     found = rows.where(F.octet_length("hot") > 0).select("hot", "n_hot").toPandas()  # at most HOT words
     h, c = _column(found, "hot", np.uint64), _column(found, "n_hot", np.int64)
     by = np.argsort(h)
-    return Model(rows, blocks, n, v, probes, chance * v, h[by], c[by])
+    return Model(rows, parts.where("kind = 0").select("block", F.col("b").alias("bits")), blocks, n, v, probes, chance * v, h[by], c[by])
 
 
-def _shards(model: DataFrame) -> list[list[int]]:
-    sizes = model.select("block", (F.octet_length("words") + F.octet_length("counts") + F.octet_length("mass") + F.octet_length("bits")).alias("n")).orderBy("block").collect()
+def _shards(model: Model) -> list[list[int]]:
+    size = lambda *c: sum((F.octet_length(x) for x in c[1:]), F.octet_length(c[0])).alias("n")
+    rows = model.words_of.select("block", size("words", "counts", "mass")).union(model.bits_of.select("block", size("bits")))
     out, total = [[]], 0  # a row per block of BLOCK_BYTES of text
-    for r in sizes:
+    for r in rows.groupBy("block").agg(F.sum("n").alias("n")).orderBy("block").collect():
         if out[-1] and total + r["n"] > SHARD_BYTES:
             out.append([])
             total = 0
@@ -330,6 +333,14 @@ def _shards(model: DataFrame) -> list[list[int]]:
     return out
 
 
+def read_blocks(model: Model, numbers: list[int]):
+    """(number, :class:`Block`) of the blocks asked for, one at a time but for their words."""
+    chosen = F.col("block").isin(numbers)
+    words = {r[0]: r[1:] for r in model.words_of.where(chosen).select("block", "words", "counts", "mass").toLocalIterator()}
+    for r in model.bits_of.where(chosen).toLocalIterator():
+        yield r[0], Block(*map(bytes, (*words.pop(r[0]), r[1])), model.probes, model.absent)
+
+
 def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of every row of ``docs`` with ``n_tokens, n_known,
     train_tokens, base_score, score`` (log10 probabilities; base: words alone).
@@ -341,7 +352,7 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
     columns = [c for c in columns if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]  # replaced
     spark = docs.sparkSession
     model = build(train)
-    shards = _shards(model.rows)
+    shards = _shards(model)
     schema = docs.select(*columns).schema
     ddl = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in schema)
     blocks, n, hot, hot_counts = model.blocks, model.tokens, model.hot, model.hot_counts
@@ -392,8 +403,8 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
     for k, numbers in enumerate(shards):
         sent = [] if k else [(number, nothing) for number in empty]
         # At most SHARD_BYTES in all, or one block.
-        for r in model.rows.where(F.col("block").isin(numbers)).select("block", "words", "counts", "mass", "bits").toLocalIterator():
-            sent.append((r[0], spark.sparkContext.broadcast(Block(*map(bytes, r[1:]), model.probes, model.absent))))
+        for number, block in read_blocks(model, numbers):
+            sent.append((number, spark.sparkContext.broadcast(block)))
         if k < len(shards) - 1:
             before_pass = d if k else None
             d = materialize(d.mapInArrow(passed(sent, False), f"{ddl}, __text string, __base double, __score double, __known long"), "llm-lm-pass")
