@@ -235,6 +235,20 @@ def test_voronoi_many_blocks_and_edges(spark, monkeypatch):
     assert voronoi_knn.top_k(voronoi_knn.quantised(e.limit(0)), 7, F.lit(True)).count() == 0
 
 
+def test_voronoi_small_clustered_table(spark):
+    assert [voronoi_knn.group_count(n) for n in (1, 5, 500, 16_385, 10**9)] == [1, 5, 8, 9, 1024]
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(6, 8)) * 20
+    x = np.concatenate([c + r.normal(size=(50, 8)) * 0.3 for c in centres])
+    e = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    q = np.floor(64 * x).astype(np.int64)
+    s = q @ q.T
+    np.fill_diagonal(s, -10**15)
+    got = voronoi_knn.top_k(voronoi_knn.quantised(e), 5, F.col("vec_id") % 10 == 0).collect()
+    assert {(o.query_id, o.rank, o.vec_id, o.score) for o in got} == {
+        (i, k + 1, int(j), int(s[i, j])) for i in range(0, len(x), 10) for k, j in enumerate(np.lexsort((np.arange(len(x)), -s[i]))[:5])}
+
+
 # 5 mixing
 
 def test_mix_budgets_and_edges(odd, none, docs):

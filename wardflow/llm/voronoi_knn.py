@@ -24,6 +24,7 @@ from wardflow.session import materialize
 PIVOTS = 1024         # bound on the pivots, so on the groups; 1024 x dim numbers are broadcast
 BLOCK_ROWS = 2048     # vectors in one block; about as many groups as blocks, up to the bound
 QUERY_ROWS = 256      # queries in one block
+LEAST = 8             # groups of a small table, so that the bounds are at work there too
 
 
 def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
@@ -46,6 +47,11 @@ def _nearest(m: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return g, np.sqrt(np.maximum(((m - pivots[g]) ** 2).sum(1), 0))
 
 
+def group_count(rows: int, bound: int = PIVOTS) -> int:
+    """Groups for ``rows`` vectors: one for every ``BLOCK_ROWS``, ``LEAST`` at least."""
+    return min(bound, rows, max(LEAST, math.ceil(rows / BLOCK_ROWS)))
+
+
 def top_k(vectors: DataFrame, k: int, is_query, pivots: int = PIVOTS) -> DataFrame:
     """``query_id, rank, vec_id, score`` of every query's k highest inner
     products with all other vectors, ties to the smaller id.
@@ -61,7 +67,7 @@ def top_k(vectors: DataFrame, k: int, is_query, pivots: int = PIVOTS) -> DataFra
     rows, dim = vectors.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     if not rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    pivots = min(pivots, math.ceil(rows / BLOCK_ROWS))
+    pivots = group_count(rows, pivots)
     vectors = vectors.withColumn("v", F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(dim) - F.size("v"))))
     # Equal vectors: the k + 1 smallest ids (one may be the query's own).
     # Ranked in id ranges first, so that a third of all rows sharing one
