@@ -101,7 +101,7 @@ def training_job(raw: DataFrame, output: str, model_type: str = "auto", k: int =
         chosen, model, params = found.best_type, found.best_model, found.best_params
     else:
         params = TR.lr_params(1.0, "l2", n_rows) if model_type == "logistic_regression" else {}
-        chosen, model = model_type, TR.build_pipeline(features, model_type, **params).fit(train)
+        chosen, model = model_type, TR.fit_model(train, features, model_type, **params)
     training = {"model_type": chosen, "n_rows": n_rows + test.count(), "n_features": len(features), "cv_folds": k if model_type == "auto" else 0,
                 "params": SE._text(params), "training_seconds": time.time() - began}
     scored = materialize(TR.score(model, test).select("admission_key", "label", F.col("label").cast("int").alias("y"), F.col("predicted").alias("pred"),
