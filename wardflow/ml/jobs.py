@@ -93,7 +93,7 @@ def training_job(raw: DataFrame, output: str, model_type: str = "auto", k: int =
     part = train_raw.withColumn("__test", F.lit(False)).unionByName(test_raw.withColumn("__test", F.lit(True)))
     matrix, features = select_final_features(preparation.features(part.drop("__test")))
     check_model_inputs(matrix, features, "label")
-    matrix = materialize(matrix.join(part.select("admission_key", "__test"), "admission_key"), "matrix")
+    matrix = materialize(matrix.join(part.select("admission_key", "__test").hint("merge"), "admission_key"), "matrix")
     train, test = (matrix.where(F.col("__test") == x).drop("__test") for x in (False, True))
     n_rows = train.count()
     if model_type == "auto":
