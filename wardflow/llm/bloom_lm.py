@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import encoded, fold, forget_files, mix64, slices, table, word_hashes
+from wardflow.llm.common import encoded, fold, forget_files, mix64, slices, table, trimmed, word_hashes
 from wardflow.session import materialize
 
 PROBES = 6             # probes of every level above 1
@@ -307,7 +307,7 @@ def build(train: DataFrame) -> Model:
     """The model of the texts in ``train`` (column text), its blocks stored in the shared folder."""
     size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, probes, hot = max(1, -(-size // BLOCK_BYTES)), first_probes(size), _frequent(train, size)
-    grams = train.select("text").mapInArrow(_gather(blocks, hot), "block int, ord int, h binary, c binary, first binary")
+    grams = train.select("text").mapInArrow(trimmed(_gather(blocks, hot)), "block int, ord int, h binary, c binary, first binary")
     parts = materialize(grams.groupBy("block").applyInPandas(
         _parts(blocks, probes), "block int, kind int, h binary, a binary, b binary, n_tokens long, n_words long, chance double"), "llm-lm-parts")
     total = lambda f, c: F.coalesce(f(c), F.lit(0))
@@ -407,13 +407,13 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
             sent.append((number, spark.sparkContext.broadcast(block)))
         if k < len(shards) - 1:
             before_pass = d if k else None
-            d = materialize(d.mapInArrow(passed(sent, False), f"{ddl}, __text string, __base double, __score double, __known long"), "llm-lm-pass")
+            d = materialize(d.mapInArrow(trimmed(passed(sent, False)), f"{ddl}, __text string, __base double, __score double, __known long"), "llm-lm-pass")
             for _, block in sent[-len(numbers):]:  # workers drop them before the next shard comes
                 block.destroy()
             if before_pass is not None:
                 forget_files(before_pass)
         else:
-            d = d.mapInArrow(passed(sent, True), f"{ddl}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+            d = d.mapInArrow(trimmed(passed(sent, True)), f"{ddl}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return d
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import encoded, mix64, slices, table, word_hashes
+from wardflow.llm.common import encoded, mix64, slices, table, trimmed, word_hashes
 from wardflow.llm.components import components
 from wardflow.session import materialize
 
@@ -40,6 +40,7 @@ BANDS = BUCKETS // ROWS
 MANTISSA = 8
 ESTIMATE_FROM = 48    # smaller sets go straight to their full sets
 
+SLICE_BYTES = 256 << 10   # text whose sets and registers are held at once
 BLOCK_MEMBERS = 256   # members of an open bucket compared at once
 
 _MULT = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -148,7 +149,7 @@ def _features(words: int):
     def run(batches):
         for batch in batches:
             ids = batch.column(0)
-            for i, j, texts in slices(batch.column(1)):
+            for i, j, texts in slices(batch.column(1), SLICE_BYTES):
                 sets = shingle_sets(encoded(texts), words)
                 full = [s for s in sets if len(s) > 2]  # smaller sets link only when equal
                 regs = iter(registers(full)) if full else iter(())
@@ -166,7 +167,7 @@ def _sets(words: int):
 
     def run(batches):
         for batch in batches:
-            for _, _, texts in slices(batch.column(0)):
+            for _, _, texts in slices(batch.column(0), SLICE_BYTES):
                 sets = shingle_sets(encoded(texts), words)
                 yield pa.record_batch([pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
                                        pa.array([s.tobytes() for s in sets], pa.binary()),
@@ -290,7 +291,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     empty row keeps its own id); ``kept`` is true where doc_id equals it, so
     rows repeating the kept id are all kept here. An empty table gives none."""
     f = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
-        _features(words), "doc_id long, text_hash long, set_key binary, n_shingles long, regs binary"), "llm-hmh")
+        trimmed(_features(words)), "doc_id long, text_hash long, set_key binary, n_shingles long, regs binary"), "llm-hmh")
     classes = materialize(f.where("n_shingles > 0").groupBy("set_key").agg(
         F.min("doc_id").alias("min_id"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs")), "llm-classes")
 
@@ -301,7 +302,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 yield pa.record_batch([pa.array(k.ravel()), batch.column(0).take(pa.array(np.repeat(np.arange(len(k)), k.shape[1])))],
                                       names=["key", "set_key"])
 
-    bands = classes.where("regs IS NOT NULL").select("set_key", "regs").mapInArrow(keys, "key long, set_key binary")
+    bands = classes.where("regs IS NOT NULL").select("set_key", "regs").mapInArrow(trimmed(keys), "key long, set_key binary")
     shared = materialize(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "llm-buckets")
     members = bands.join(shared, "key").join(classes.select("set_key", "n_shingles"), "set_key")
     # A size class is a little wider than the ratio at which two sets can still link.
@@ -312,17 +313,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     ids = members.select("set_key").distinct().join(classes.select("set_key", "min_id"), "set_key")
     ids = materialize(ids, "llm-candidates")
     texts = docs.select("doc_id", "text").join(ids.select(F.col("min_id").alias("doc_id")).distinct(), "doc_id").select("text")
-    named = texts.mapInArrow(_sets(words), "set_key binary, shingles binary, f binary")
+    named = texts.mapInArrow(trimmed(_sets(words)), "set_key binary, shingles binary, f binary")
     if ids.where("min_id IS NULL").limit(1).count():  # classes of which no row has an id
-        named = named.unionByName(docs.where("doc_id IS NULL").select("text").mapInArrow(_sets(words), "set_key binary, shingles binary, f binary"))
+        named = named.unionByName(docs.where("doc_id IS NULL").select("text").mapInArrow(trimmed(_sets(words)), "set_key binary, shingles binary, f binary"))
     sets = materialize(named.join(ids.select("set_key"), "set_key", "left_semi").groupBy("set_key").agg(F.first("shingles").alias("shingles"), F.first("f").alias("f")), "llm-sets")
 
     # Shingles that a single candidate has (the xor over one row is that row's key).
-    lone = (sets.select("set_key", "shingles").mapInArrow(_shingle_rows, "shingle long, hi long, lo long").groupBy("shingle")
+    lone = (sets.select("set_key", "shingles").mapInArrow(trimmed(_shingle_rows), "shingle long, hi long, lo long").groupBy("shingle")
             .agg(F.count(F.lit(1)).alias("n"), F.bit_xor("hi").alias("hi"), F.bit_xor("lo").alias("lo"))
             .where("n = 1").groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("lone")))
     known = classes.select("set_key", F.col("n_shingles").alias("n"), F.col("regs").alias("r")).join(sets.select("set_key", "f"), "set_key")
-    known = known.mapInArrow(_halves, "set_key binary, n long, r binary, f binary, hi long, lo long").join(lone, ["hi", "lo"], "left")
+    known = known.mapInArrow(trimmed(_halves), "set_key binary, n long, r binary, f binary, hi long, lo long").join(lone, ["hi", "lo"], "left")
     known = known.select("set_key", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("m"), "r", "f")
     known = materialize(known.where(f"{LINK[1]} * m >= {LINK[0]} * n"), "llm-known")
     members = members.join(known.select("set_key", "n", "m"), "set_key")
@@ -332,7 +333,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
         """Confirm candidate pairs on full sets and merge what they link."""
         nonlocal comps
         p = _with_sides(pairs, sets.select("set_key", F.col("shingles").alias("s"))).select("a", "b", "s_a", "s_b")
-        links = _with_sides(materialize(p.mapInArrow(_confirmed, "a binary, b binary"), "llm-links"), comps)
+        links = _with_sides(materialize(p.mapInArrow(trimmed(_confirmed), "a binary, b binary"), "llm-links"), comps)
         links = materialize(links.where("comp_a <> comp_b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct(), "llm-merges")
         if links.limit(1).count():
             c = components(links).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
@@ -355,7 +356,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
         met = met.where(f"{LINK[1]} * least(m, p_m) >= {LINK[0]} * (n + p_n - least(m, p_m))")
         met = materialize(met.groupBy(F.col("set_key").alias("a"), F.col("p").alias("b")).agg(F.max("top").alias("lvl")), "llm-met")
         met = _with_sides(met, side).select("a", "b", "lvl", "n_a", "n_b", "r_a", "r_b", "f_a", "f_b")
-        met = materialize(met.mapInArrow(_plausible, "a binary, b binary, lvl int"), "llm-plausible")
+        met = materialize(met.mapInArrow(trimmed(_plausible), "a binary, b binary, lvl int"), "llm-plausible")
         # First the highest pivot of each member; then what this leaves unconnected.
         best = materialize(met.groupBy("a").agg(F.max_by("b", F.struct("lvl", "b")).alias("b")), "llm-best")
         confirm(best)
@@ -370,9 +371,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
         one = blocks.withColumn("other", F.explode(F.sequence("part", F.col("parts") - 1)))
         two = blocks.select("key", F.col("part").alias("other"), F.col("rows").alias("rows_b"))
         met = one.join(two, ["key", "other"]).select("part", "other", F.col("rows").alias("rows_a"), "rows_b")
-        met = met.mapInArrow(_block_pairs, "a binary, b binary").distinct()
+        met = met.mapInArrow(trimmed(_block_pairs), "a binary, b binary").distinct()
         met = _with_sides(materialize(met, "llm-met"), side).select("a", "b", F.lit(0).alias("lvl"), "n_a", "n_b", "r_a", "r_b", "f_a", "f_b")
-        met = materialize(met.mapInArrow(_plausible, "a binary, b binary, lvl int").select("a", "b"), "llm-plausible")
+        met = materialize(met.mapInArrow(trimmed(_plausible), "a binary, b binary, lvl int").select("a", "b"), "llm-plausible")
         if met.limit(1).count():
             confirm(met)
 

@@ -92,7 +92,7 @@ def _ranks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every id its order-0 interval, as start and width: the counts are
     those of the lane's ids before the last refresh point. Steps x lanes."""
     lanes, n = x.shape
-    start, width = np.empty((n, lanes), np.int64), np.ones((n, lanes), np.int64)
+    start, width = np.empty((n, lanes), np.uint32), np.ones((n, lanes), np.uint32)
     points = _refresh_points(n)
     for t, end in zip(points, [*points[1:], n]):
         for i in range(lanes):
@@ -104,7 +104,7 @@ def _ranks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 run = np.zeros(t, np.int64)
                 run[new] = np.diff(np.r_[new, t])
                 lo = np.minimum(lo, t - 1)
-                width[t:end, i] += GAIN * run[lo] * (s[lo] == q)
+                width[t:end, i] = 1 + GAIN * run[lo] * (s[lo] == q)
     return start, width
 
 
@@ -169,7 +169,7 @@ def encode(ids: np.ndarray, alphabet: int) -> tuple[list[bytes], list[int]]:
     x_all = np.zeros(lanes * steps, np.int64)
     x_all[:n] = ids
     x_all = x_all.reshape(lanes, steps)
-    start0, width0 = (a.astype(np.uint64) for a in _ranks(x_all))
+    start0, width0 = _ranks(x_all)
     columns = np.ascontiguousarray(x_all.T)
     m = _Mixer(lanes)
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm import id_coder
-from wardflow.llm.common import slices, table, text_col
+from wardflow.llm.common import slices, table, text_col, trimmed
 from wardflow.session import ensure_checkpoint_dir
 
 END_ID = 0
@@ -132,7 +132,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str) -> None:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col().alias("text")).withColumn("h", F.xxhash64("text"))
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     d = d.repartitionByRange(max(1, -(-size // RANGE_BYTES)), "doc_id", "h").sortWithinPartitions("doc_id", "h")
-    d.select("doc_id", "text").mapInArrow(_frames(tokenizer), FRAME_DDL).write.parquet(path)
+    d.select("doc_id", "text").mapInArrow(trimmed(_frames(tokenizer)), FRAME_DDL).write.parquet(path)
 
 
 def read_ids(spark, path: str, tokenizer: str, digest: bool = False) -> DataFrame:
@@ -169,7 +169,7 @@ def read_ids(spark, path: str, tokenizer: str, digest: bool = False) -> DataFram
                                            pa.array(row["lengths"][a:b], pa.int64()),
                                            pa.array([value(ids[at[i]: at[i + 1]].tobytes()) for i in range(a, b)], kind)], schema=schema)
 
-    d = f.mapInArrow(run, "part int, seq int, doc_id long, at long, n_tokens long, " + f"{name} {ddl}")
+    d = f.mapInArrow(trimmed(run), "part int, seq int, doc_id long, at long, n_tokens long, " + f"{name} {ddl}")
     return (d.join(offsets, ["part", "seq"])
              .select("doc_id", (F.col("offset") + F.col("at")).alias("start"), "n_tokens", name))
 
