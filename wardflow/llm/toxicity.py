@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import fold, slices, table
+from wardflow.llm.common import fold, slices, table, trimmed
 from wardflow.session import materialize
 
 SAMPLE_ROWS = 16_000   # labelled rows used for fitting, chosen by id hash within each label
@@ -28,6 +27,7 @@ LEXICON = 400          # entries at most
 NEAR = 5               # words between a hit and a second-person word
 THRESHOLD = 0.3
 CACHE = 100_000
+SLICE_BYTES = 1 << 20  # text split into words at once
 # Second-person words (English, German, French, Spanish). Fixed values.
 SECOND_PERSON = {"you", "your", "yours", "yourself", "u", "ur", "du", "dich", "dir", "dein", "deine", "ihr", "euch", "tu",
                  "te", "toi", "ton", "ta", "tes", "vous", "votre", "tú", "ti", "usted", "ustedes", "vos", "vosotros"}
@@ -36,6 +36,10 @@ LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"
 _SIGNS = re.compile(r"\W*")
 _RUN = re.compile(r"([^\w\s])\1\1")
 _INNER = re.compile(r"[^\W\d_][^\w\s'’-]+[^\W\d_]|[^\W\d_]\d+[^\W\d_]|(\w)\1\1")
+_TRIPLE = re.compile(r"(\w)\1\1")
+_NO_LETTER = re.compile(r"[^\w]|[\d_]")
+_REPEATED = re.compile(r"(\w)\1+")
+_PLAIN = (False, 0.0, False, False, False, False, False, 0, 0, False)
 NAMES = ["hits", "weight", "hidden", "disguised", "second", "caps", "initials", "punctuation", "exclaims", "runs",
          "log_hits", "top", "near", "log_words", "distinct"]
 
@@ -78,37 +82,50 @@ class Features:
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
-        self.row: dict[str, int] = {}
+        self.begins = {x[:3] for x in lexicon}  # every entry has three characters at least
+        self.forget()
+
+    def forget(self) -> None:
+        self.row: dict[str, int] = {}     # a word's place in ``known``; words that are no hits share a place by value
+        self.shared: dict[tuple, int] = {}
         self.known = np.zeros((0, 10), np.float32)
 
     def _weight(self, w: str) -> float:
-        return max((self.lexicon[x] for x in _terms(w) if x in self.lexicon), default=0.0) if len(w) >= 3 else 0.0
+        return max((self.lexicon[x] for x in _terms(w) if x in self.lexicon), default=0.0) if w[:3] in self.begins and len(w) >= 3 else 0.0
 
     def _word(self, raw: str) -> tuple:
+        if raw.isalpha() and raw.islower() and raw[:3] not in self.begins and raw not in SECOND_PERSON and not _TRIPLE.search(raw):
+            return _PLAIN
         low = raw.lower()
-        core = _core(low) if low else ""
+        core = low if low[0].isalnum() and low[-1].isalnum() else _core(low)
         plain = self._weight(core)
-        inner = bool(_INNER.search(raw))
+        signs = 0 if raw.isalnum() else len(raw) - sum(map(str.isalnum, raw))
+        # Without signs and digits only a letter three times can make it disguised.
+        inner = bool((_TRIPLE if raw.isalpha() else _INNER).search(raw))
         hidden = 0.0
         if not plain and (inner or core != low):
-            undone = re.sub(r"[^\w]|[\d_]", "", low.translate(LEET))
-            hidden = max(self._weight(undone), self._weight(re.sub(r"(\w)\1+", r"\1", undone)))
-        letters = sum(c.isalpha() for c in raw)
+            undone = _NO_LETTER.sub("", low.translate(LEET))
+            hidden = self._weight(undone)
+            once = _REPEATED.sub(r"\1", undone)
+            if once != undone:
+                hidden = max(hidden, self._weight(once))
         w = plain or hidden
-        return (float(w > 0), w, float(hidden > 0), float(inner), float(core in SECOND_PERSON),
-                float(letters > 1 and raw.isupper()), float(raw[0].isupper()), float(sum(not c.isalnum() for c in raw)),
-                float(raw.count("!")), float(bool(_RUN.search(raw))))
+        return (w > 0, w, hidden > 0, inner, core in SECOND_PERSON, raw.isupper() and sum(map(str.isalpha, raw)) > 1, raw[0].isupper(), signs,
+                raw.count("!"), signs > 2 and bool(_RUN.search(raw)))
 
     def matrix(self, texts: list) -> np.ndarray:
         """One row per text (null as empty; all zero without words)."""
         split = [(t or "").split() for t in texts]
         if len(self.row) > CACHE:
-            self.row.clear()
-            self.known = self.known[:0]
-        new = list({w for s in split for w in s} - self.row.keys())
-        made = np.fromiter(chain.from_iterable(map(self._word, new)), np.float32, 10 * len(new)).reshape(-1, 10)
-        self.row.update(zip(new, range(len(self.row), len(self.row) + len(new))))
-        known = self.known = np.concatenate([self.known, made])
+            self.forget()
+        made, n = [], len(self.known)
+        for word in set().union(*split) - self.row.keys():
+            x = self._word(word)
+            at = n + len(made) if x[0] else self.shared.setdefault(x, n + len(made))
+            if at == n + len(made):
+                made.append(x)
+            self.row[word] = at
+        known = self.known = np.concatenate([self.known, np.array(made, np.float32).reshape(-1, 10)])
         get = self.row.__getitem__
         out = np.zeros((len(texts), len(NAMES)))
         for i, s in enumerate(split):
@@ -157,13 +174,13 @@ def with_features(docs: DataFrame, columns: list[str], lexicon: dict[str, float]
     def run(batches):
         f = Features(sent.value)
         for batch in batches:
-            for i, j, texts in slices(batch.column("__text")):
+            for i, j, texts in slices(batch.column("__text"), SLICE_BYTES):
                 x = pa.array(list(f.matrix(texts)), pa.list_(pa.float64()))
                 yield pa.record_batch([*[batch.column(c).slice(i, j - i) for c in columns], x], names=[*columns, "__features"])
 
     d = docs.select(*columns, F.col("text").alias("__text"))
     out = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in schema)
-    return d.mapInArrow(run, f"{out}, __features array<double>")
+    return d.mapInArrow(trimmed(run), f"{out}, __features array<double>")
 
 
 def _sample(labels: DataFrame, sample: int) -> DataFrame:
