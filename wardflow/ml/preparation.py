@@ -56,8 +56,10 @@ class Preparation:
         """Cleaned rows with all features. ``history=True`` looks up a patient's
         previous admission among the rows given; without it (single rows,
         streams) the previous admission is unknown, unless the rows carry
-        ``days_since_last_admission`` themselves."""
-        return engineer_all_features(self.clean(raw), FeatureOptions(history=history))[0]
+        ``days_since_last_admission`` themselves. The look-up reads the cleaned
+        rows several times, so they are stored for it."""
+        rows = self.clean(raw)
+        return engineer_all_features(materialize(rows, "cleaned") if history else rows, FeatureOptions(history=history))[0]
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/preparation")
