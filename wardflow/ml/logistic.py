@@ -62,8 +62,8 @@ class LogisticModel:
         w, b = self.plain()
         margin = F.lit(b)
         for c, v in zip(self.features, w):
-            margin = margin + F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) * F.lit(v)
-        out = df.withColumn("rawPrediction", margin)
+            margin = margin + F.col(f"`{c}`").cast("double") * F.lit(v)
+        out = df.withColumn("rawPrediction", F.coalesce(margin, F.lit(float("nan"))))  # one missing input leaves no sum
         return out.withColumns({"probability_1": 1 / (1 + F.exp(-F.col("rawPrediction"))), "prediction": (F.col("rawPrediction") > 0).cast("double")})
 
     def save(self, path: str) -> None:
@@ -79,10 +79,11 @@ def pack(df: DataFrame, features: Sequence[str], label: str = "label", tag: str
     """The stored rows as ``tag``, ``y`` and ``x``, the features as one binary value."""
     n = len(features)
     rows = df.select((F.col(f"`{tag}`") if tag else F.lit(0)).cast("int").alias("tag"), F.col(f"`{label}`").cast("double").alias("y"),
-                     *[F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(float("nan"))).alias(f"f{i}") for i, f in enumerate(features)])
+                     *[F.col(f"`{f}`").cast("double").alias(f"f{i}") for i, f in enumerate(features)])
 
     def run(batches):
         for b in batches:
+            # A missing value is read as NaN.
             x = np.column_stack([b.column(i + 2).to_numpy(zero_copy_only=False) for i in range(n)])
             at = pa.py_buffer(np.arange(len(x) + 1, dtype="int32") * (8 * n))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.Array.from_buffers(pa.binary(), len(x), [None, at, pa.py_buffer(x.tobytes())])],

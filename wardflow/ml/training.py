@@ -25,6 +25,7 @@ from wardflow.ml.logistic import Fit, LogisticModel, fit_logistic, pack
 from wardflow.ml.trees import PartitionedTrees, binned, fit_trees
 from wardflow.operators import evaluation as EV
 from wardflow.operators.selection import hash_parts
+from wardflow.session import is_stored, materialize
 
 MODEL_TYPES = ("logistic_regression", "decision_tree", "random_forest")
 # Search grids (C of the penalised logistic loss, penalty;
@@ -50,10 +51,10 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "admission_
     """M1: exact stratified split: the first round(f * n_class) rows of each
     class in the seeded hash order of the (unique) key form the test part; a
     threshold per class, no ranking. ``store=True`` writes the labelled rows once
-    (checkpoint folder) for the several passes of a fit."""
+    (checkpoint folder) for the several passes of a fit, unless ``df`` is stored
+    already: its rows are then filtered by their hash as they are read."""
     r = hash_parts(df, label, key, seed, lambda n: [math.floor(n * test_fraction + 0.5)], "_test")
-    if store:
-        from wardflow.session import materialize
+    if store and not is_stored(df):
         r = materialize(r, "split")
     return r.where(F.col("_test") > 0).drop("_test"), r.where(F.col("_test") == 0).drop("_test")
 
@@ -65,7 +66,6 @@ def with_folds(df: DataFrame, k: int = 5, label: str = "label", key: str = "admi
     times."""
     out = hash_parts(df, label, key, seed, lambda n: [math.floor(n * i / k + 0.5) for i in range(1, k)], fold_col)
     if store:
-        from wardflow.session import materialize
         out = materialize(out, "folds")
     return out
 

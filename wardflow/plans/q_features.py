@@ -27,8 +27,12 @@ def featured_pre(spark, sf):
                        "featured")
 
 
+def engineered(spark, sf):
+    return engineer_all_features(cleaned(spark, sf))[0]
+
+
 def featured(spark, sf):
-    return materialize(engineer_all_features(cleaned(spark, sf))[0], "featured")
+    return materialize(engineered(spark, sf), "featured")
 
 
 def derived(spark, sf, *columns):

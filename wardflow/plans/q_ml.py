@@ -16,7 +16,7 @@ from wardflow.operators import evaluation as EV
 from wardflow.operators.features import select_final_features
 from wardflow.plans.catalog import register
 from wardflow.plans.q_cleaning import RAW_SPEC
-from wardflow.plans.q_features import featured
+from wardflow.plans.q_features import engineered
 from wardflow.plans.catalog import out_sql
 from wardflow.plans.sql import with_ctes
 from wardflow.session import ensure_checkpoint_dir, materialize
@@ -39,7 +39,7 @@ def scratch(spark, label: str) -> str:
 
 def matrix(spark, sf):
     """Model table: key, numeric features, label (stored once)."""
-    df, feats = select_final_features(featured(spark, sf))
+    df, feats = select_final_features(engineered(spark, sf))
     return materialize(df, "matrix"), feats
 
 

@@ -103,7 +103,7 @@ def admissions(spark: SparkSession, sf_dir: str, columns: Iterable[str] = RAW_CO
 
 
 def _per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean quantity / 3 and the sorted set of code tokens of every order with lines."""
+    """Mean quantity / 3 and the set of code tokens, a bit each, of every order with lines."""
     lines = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
 
@@ -112,10 +112,14 @@ def _per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = F.pmod(F.col("l_partkey") + F.col("l_linenumber"), F.lit(len(CODE_TOKENS)))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), index.cast("int"))
     per = lines.groupBy("l_orderkey").agg((F.avg("l_quantity") / F.lit(3.0)).alias("_los"), F.bit_or(bit).alias("_bits"))
-    bits = F.coalesce(F.col("_bits"), F.lit(0).cast("long"))
+    return per.select("l_orderkey", "_los", F.coalesce(F.col("_bits"), F.lit(0).cast("long")).alias("_bits"))
+
+
+def _joined_codes(bits: Column, delimiter: Column) -> Column:
+    """The tokens of the bits, sorted and joined (null without bits); the rows are shuffled with the bits."""
     in_order = sorted((t, i) for i, t in enumerate(CODE_TOKENS))
-    codes = F.array_compact(F.array(*[F.when(bits.bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(t)) for t, i in in_order]))
-    return per.select("l_orderkey", "_los", codes.alias("_codes"))
+    tokens = [F.when(bits.bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(t)) for t, i in in_order]
+    return F.when(bits.isNotNull(), F.call_function("concat_ws", delimiter, *tokens))
 
 
 def _raw_columns() -> dict[str, Column]:
@@ -128,9 +132,8 @@ def _raw_columns() -> dict[str, Column]:
            .otherwise(F.lit(18) + F.pmod(cust * 37, F.lit(83)))).cast("double")
     codes = (F.when(F.pmod(key, F.lit(23)) == 9, F.lit(""))
              .when(F.pmod(key, F.lit(23)) == 10, F.lit(" ; "))
-             .when(F.pmod(key, F.lit(3)) == 0, F.array_join(F.col("_codes"), CODE_DELIMITERS[0]))
-             .when(F.pmod(key, F.lit(3)) == 1, F.array_join(F.col("_codes"), CODE_DELIMITERS[1]))
-             .otherwise(F.array_join(F.col("_codes"), CODE_DELIMITERS[2])))
+             .otherwise(_joined_codes(F.col("_bits"), F.when(F.pmod(key, F.lit(3)) == 0, CODE_DELIMITERS[0])
+                                      .when(F.pmod(key, F.lit(3)) == 1, CODE_DELIMITERS[1]).otherwise(CODE_DELIMITERS[2]))))
     emergency = (F.when(F.pmod(key, F.lit(31)) == 4, F.lit(None))
                  .when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(1))
                  .otherwise(F.lit(0))).cast("int")
