@@ -41,6 +41,8 @@ MU = 40.0                  # weight of the word probability
 ADD = 0.1
 END = np.uint64(0x51ED270B0A1F39C1)   # the end token
 _PAIR = np.uint64(0xA24BAED4963EE407)
+_MIDDLE = np.array([0, 1, 2] + [3 * 2.0 ** (q - 3) + 0.5 for q in range(3, 64)])
+DROPPED = 3            # probes after each of which absent pairs are dropped
 
 
 def token_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +76,7 @@ def levels(count: np.ndarray) -> np.ndarray:
 
 def dequantised(level: np.ndarray) -> np.ndarray:
     """Middle count of a level (0 for none)."""
-    return np.array([0, 1, 2] + [3 * 2.0 ** (q - 3) + 0.5 for q in range(3, 64)])[level]
+    return _MIDDLE[level]
 
 
 def _probes(h: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +87,10 @@ def _probes(h: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _place(x: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """A place below ``bits`` (under 2 ** 32) from the upper half of x."""
-    return (((x >> np.uint64(32)) * bits) >> np.uint64(32)).astype(np.int64)
+    p = x >> np.uint64(32)
+    p *= bits
+    p >>= np.uint64(32)
+    return p.view(np.int64)
 
 
 def first_probes(size: int) -> int:
@@ -94,6 +99,15 @@ def first_probes(size: int) -> int:
     return max(16, int(size // 256).bit_length())
 
 
+def _order(h: np.ndarray) -> np.ndarray:
+    """Places of hashes in order, equal ones by place. Numbers sort far faster than places,
+    so a place is put into the lowest bits; if these were needed, places are sorted."""
+    low = np.uint64((1 << max(1, len(h).bit_length())) - 1)
+    by = (np.sort((h & ~low) | np.arange(len(h), dtype=np.uint64)) & low).view(np.int64)
+    in_order = h[by]
+    return by if (in_order[1:] >= in_order[:-1]).all() else np.argsort(h, kind="stable")
+
+
 def _runs(h: np.ndarray) -> np.ndarray:
     """Where the runs of equal values of a sorted array begin."""
     return np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
@@ -132,14 +146,14 @@ def _gather(blocks: int, hot: np.ndarray):
 
         def send(order):
             h = np.concatenate(held[order])
-            by = np.argsort(h, kind="stable")
+            by = _order(h)
             at = _runs(h[by])
             n, by = np.diff(at, append=len(h)).astype(np.uint32), by[at]
             u = h[by]
             first, place = u, None
             if order == 2:
                 first, place = np.concatenate(held[0])[by], pair_blocks(u, np.concatenate(held[1])[by], hot, blocks)
-                by = np.argsort(first, kind="stable")  # equal neighbours are packed by the shuffle's compression
+                by = _order(first)  # equal neighbours are packed by the shuffle's compression
                 u, n, first, place = u[by], n[by], first[by], place[by]
             for k, u, c, f in _cut(blocks, _block(u, blocks) if place is None else place, u, n, first):
                 yield pa.record_batch([pa.array([k], pa.int32()), pa.array([order], pa.int32()), pa.array([u.tobytes()], pa.binary()), pa.array([c.tobytes()], pa.binary()),
@@ -169,7 +183,7 @@ def _column(pdf: pd.DataFrame, name: str, kind) -> np.ndarray:
 
 def _summed(h: np.ndarray, *values: np.ndarray) -> tuple:
     """Distinct hashes in order, the place of one of each, and sums."""
-    by = np.argsort(h, kind="stable")
+    by = _order(h)
     at = _runs(h[by])
     return h[by][at], by[at], *[np.add.reduceat(v[by], at) if len(at) else v for v in values]
 
@@ -253,17 +267,30 @@ class Block:
             todo, at = todo[on], at[on] + 1
         return out, mass
 
+    def _found(self, x: np.ndarray) -> np.ndarray:
+        """Bytes whose highest bit is the filter's at :func:`_place` of ``x``."""
+        p = x >> np.uint64(32)
+        p *= self.size
+        found = self.filter.take((p >> np.uint64(35)).view(np.int64), mode="wrap")  # always inside
+        p >>= np.uint64(32)
+        found <<= p.astype(np.uint8) & np.uint8(7)
+        return found
+
     def level(self, h: np.ndarray) -> np.ndarray:
         """Levels of pairs: probe (pair, 1), (pair, 2), .. until one is absent."""
         out, todo = np.zeros(len(h), np.uint8), np.arange(len(h))
         level = 1
         while len(todo) and level < 255:
             x, step = _probes(h[todo], level)
-            for _ in range(self.probes if level == 1 else PROBES):
-                p = _place(x, self.size)
-                on = np.flatnonzero((self.filter[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1)
-                todo, x, step = todo[on], x[on], step[on]
-                x = x + step
+            here = np.full(len(x), 255, np.uint8)
+            for k in range(self.probes if level == 1 else PROBES):
+                here &= self._found(x)
+                if k < DROPPED or k % 8 == 0:  # later most that are left are there, and stay in place
+                    on = np.flatnonzero(here & 128)
+                    if len(on) < len(x):
+                        todo, x, step, here = todo[on], x[on], step[on], here[on]
+                x += step
+            todo = todo[here >= 128]
             out[todo] = level
             level += 1
         return out
@@ -271,8 +298,9 @@ class Block:
 
 def _by_block(b: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """Places ordered by their block ``b``, and the bounds of each block."""
-    by = np.argsort(b, kind="stable")
-    return by, np.searchsorted(b[by], np.arange(blocks + 1))
+    if blocks <= 1 << 16:
+        b = b.astype(np.uint16)  # sorted by radix
+    return np.argsort(b, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(b, minlength=blocks))])
 
 
 class Model(NamedTuple):
