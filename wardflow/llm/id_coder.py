@@ -98,7 +98,7 @@ def _ranks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for i in range(lanes):
             s, q = np.sort(x[i, :t]), x[i, t:end]
             lo = np.searchsorted(s, q)
-            start[t:end, i] = q + GAIN * lo
+            start[t:end, i] = q + GAIN * lo  # lo is 64 bits wide
             if t:
                 new = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
                 run = np.zeros(t, np.int64)
@@ -115,7 +115,7 @@ class _Order0:
         lanes, self.seen = ids.shape
         if not self.seen:
             return
-        s = np.sort(ids, axis=1)
+        s = np.sort(ids, axis=1).astype(np.int64)
         j = np.arange(self.seen)
         total = alphabet + GAIN * self.seen
         kind = np.int32 if lanes * (total + 1) < 1 << 31 else np.int64
@@ -166,11 +166,12 @@ def encode(ids: np.ndarray, alphabet: int) -> tuple[list[bytes], list[int]]:
         return [], []
     size = _lengths(n)
     lanes, steps = len(size), int(size.max())
-    x_all = np.zeros(lanes * steps, np.int64)
+    x_all = np.zeros(lanes * steps, np.int32)
     x_all[:n] = ids
     x_all = x_all.reshape(lanes, steps)
     start0, width0 = _ranks(x_all)
     columns = np.ascontiguousarray(x_all.T)
+    del x_all
     m = _Mixer(lanes)
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     kind = np.uint16 if lanes < 1 << 16 else np.int64
@@ -179,7 +180,7 @@ def encode(ids: np.ndarray, alphabet: int) -> tuple[list[bytes], list[int]]:
     for t in range(steps):
         if t in refresh:
             total0 = np.uint64(alphabet + GAIN * t)
-        x = columns[t]
+        x = columns[t].astype(np.int64)
         m.predict()
         other = x != m.guess[0]
         order = other.astype(np.int64) + (other & (x != m.guess[1]))
@@ -226,7 +227,7 @@ def decode(payload: list[bytes], crcs: list[int], n: int, alphabet: int) -> np.n
     for _ in range(4):
         code = (code << _S16) | words[at]
         at = at + 1
-    columns = np.zeros((steps, lanes), np.int64)
+    columns = np.zeros((steps, lanes), np.int32)
     refresh = set(_refresh_points(steps))
     for t in range(steps):
         if t in refresh:

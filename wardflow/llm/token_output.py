@@ -12,6 +12,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm import id_coder
-from wardflow.llm.common import slices, table, text_col, trimmed
+from wardflow.llm.common import HASH_BYTES, slices, table, text_col, trimmed
 from wardflow.session import ensure_checkpoint_dir
 
 END_ID = 0
@@ -66,10 +67,10 @@ class PieceEncoder:
 
     def _add(self, new: set, to: dict, before: str) -> None:
         new = list(new)
-        for a in range(0, len(new), 20_000):
-            part = new[a: a + 20_000]
+        for a in range(0, len(new), 4000):  # the library's results take about 1 KB each
+            part = new[a: a + 4000]
             found = self.tokenizer.encode_batch_fast([x if x[:1] == "\n" else before + x for x in part], add_special_tokens=False)
-            to.update((x, np.array(e.ids, np.uint32).tobytes()) for x, e in zip(part, found))
+            to.update((x, array("I", e.ids).tobytes()) for x, e in zip(part, found))
 
     def ids(self, texts: list) -> list[np.ndarray]:
         split = [self._pieces(t or "") for t in texts]
@@ -101,15 +102,16 @@ def _frames(path: str):
 
         def frame():
             nonlocal seq
-            ids = np.concatenate(held)
+            ids, lengths = np.concatenate(held), [len(h) for h in held]
+            held.clear()
             payload, crcs = id_coder.encode(ids, enc.alphabet)
             row = pa.record_batch([pa.array([v], t) for v, t in zip(
-                (part, seq, len(ids), names, [len(h) for h in held], crcs, [len(p) for p in payload], b"".join(payload)), FRAME.types)], schema=FRAME)
+                (part, seq, len(ids), names, lengths, crcs, [len(p) for p in payload], b"".join(payload)), FRAME.types)], schema=FRAME)
             seq += 1
             return row
 
         for batch in batches:
-            for i, j, texts in slices(batch.column(1)):
+            for i, j, texts in slices(batch.column(1), HASH_BYTES):  # pieces take about 15 times their text
                 for d, x in zip(batch.column(0).slice(i, j - i).to_pylist(), enc.ids(texts)):
                     if held and count + len(x) + 1 > FRAME_IDS:
                         yield frame()
