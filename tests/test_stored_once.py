@@ -3,6 +3,7 @@
 from types import SimpleNamespace
 
 from conftest import SF_SMALL
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from wardflow.ml import jobs, scoring
 from wardflow.ml import training as TR
@@ -11,6 +12,8 @@ from wardflow.plans import q_ml
 from wardflow.session import materialize, stored_stages
 from wardflow.sources import binding
 
+write = DataFrameWriter.parquet
+
 
 def test_raw_rows_are_derived_once(spark, monkeypatch):
     calls, given, plain = [], [], q_ml.admissions
@@ -58,3 +61,11 @@ def test_codes_are_joined_after_the_rows_have_moved(spark):
     assert {r.k: r.c for r in got.collect()} == {0: "250.00;E11.9", 1: "", 2: None, 3: "  |401.9|HBP"}
     plan = binding.admissions(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "concat_ws" in plan.split("Window")[0]  # above the shuffle by patient
+
+
+def test_stored_stages_run_compiled_methods(spark, monkeypatch):
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, **k: seen.append(spark.conf.get(name)) or write(self, path, **k))
+    assert materialize(spark.range(3), "x").count() == 3
+    assert seen == ["8000"] and spark.conf.get(name) == before
