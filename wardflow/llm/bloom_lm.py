@@ -3,12 +3,13 @@
 Counts of word pairs are quantised on a log scale; a pair of level q is put
 into a Bloom filter as (pair, 1) .. (pair, q), so repeated membership probes
 find its level. The filter and the exact word counts are built in blocks by
-hash (one task each), and blocks are broadcast in shards of bounded size, so no
-broadcast grows with the corpus. A pair lies in the block of its second word, so
-each shard adds to every text's sums what it knows and nothing is kept by token
-between shards; with one shard that is a single pass over the texts. Pairs of
-frequent second words are spread over all blocks by their own hash, and the
-counts of these words (at most ``HOT``) go along.
+hash (one task each). A model of at most ``SHARD_BYTES`` is broadcast, and the
+texts are read once. A larger one stays where it is: the texts are dealt into
+chunks, each chunk sends its distinct words and pairs to their blocks, and the
+answers (a count, a mass or a level each) come back to the chunk, so the work
+grows with the texts, whatever the model's size. A pair lies in the block of its
+second word; pairs of frequent second words are spread over all blocks by their
+own hash, and the counts of these words (at most ``HOT``) go along.
 
 The probability of a word after another mixes the pair's dequantised count with
 the smoothed word probability (Dirichlet smoothing). It is divided by the mass of
@@ -25,17 +26,21 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.llm.common import encoded, fold, forget_files, mix64, slices, table, trimmed, word_hashes
-from wardflow.session import materialize
+from wardflow.session import materialize, shuffles_dropped
 
 PROBES = 6             # probes of every level above 1
 HOT = 2000             # a word of at least 1 / HOT of the sampled tokens is frequent, so there are at most HOT
 SAMPLE_BYTES = 4 << 20     # text sampled for frequent words, which only places pairs and changes no result
 BLOCK_BYTES = 6 << 20      # training text per block of n-grams
-SHARD_BYTES = 128 << 20    # bound on what is broadcast at a time
+SHARD_BYTES = 32 << 20     # largest model that is broadcast
+TEXT_BYTES = 4 << 20       # text of a chunk that asks a larger model at once (one text at least)
+ROUNDS = 2                 # parts of a larger model that are asked one after another, which halves the hashes on the disk
 FLUSH = 1_000_000          # n-grams gathered in a task before they are sorted and sent
 MU = 40.0                  # weight of the word probability
 ADD = 0.1
@@ -336,29 +341,25 @@ def build(train: DataFrame) -> Model:
     size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, probes, hot = max(1, -(-size // BLOCK_BYTES)), first_probes(size), _frequent(train, size)
     grams = train.select("text").mapInArrow(trimmed(_gather(blocks, hot)), "block int, ord int, h binary, c binary, first binary")
-    parts = materialize(grams.groupBy("block").applyInPandas(
-        _parts(blocks, probes), "block int, kind int, h binary, a binary, b binary, n_tokens long, n_words long, chance double"), "llm-lm-parts")
+    with shuffles_dropped(train.sparkSession):
+        parts = materialize(grams.groupBy("block").applyInPandas(
+            _parts(blocks, probes), "block int, kind int, h binary, a binary, b binary, n_tokens long, n_words long, chance double"), "llm-lm-parts")
     total = lambda f, c: F.coalesce(f(c), F.lit(0))
     n, v, chance = parts.agg(total(F.sum, "n_tokens"), total(F.sum, "n_words"), total(F.avg, F.when(F.col("kind") == 0, F.col("chance")))).first()
-    rows = materialize(parts.where("kind > 0").groupBy("block").applyInPandas(
-        _mass(v, chance, hot), "block int, words binary, counts binary, mass binary, hot binary, n_hot binary"), "llm-lm-words")
+    with shuffles_dropped(train.sparkSession):
+        rows = materialize(parts.where("kind > 0").groupBy("block").applyInPandas(
+            _mass(v, chance, hot), "block int, words binary, counts binary, mass binary, hot binary, n_hot binary"), "llm-lm-words")
     found = rows.where(F.octet_length("hot") > 0).select("hot", "n_hot").toPandas()  # at most HOT words
     h, c = _column(found, "hot", np.uint64), _column(found, "n_hot", np.int64)
     by = np.argsort(h)
     return Model(rows, parts.where("kind = 0").select("block", F.col("b").alias("bits")), blocks, n, v, probes, chance * v, h[by], c[by])
 
 
-def _shards(model: Model) -> list[list[int]]:
+def _size(model: Model) -> int:
+    """Bytes of the model's arrays."""
     size = lambda *c: sum((F.octet_length(x) for x in c[1:]), F.octet_length(c[0])).alias("n")
-    rows = model.words_of.select("block", size("words", "counts", "mass")).union(model.bits_of.select("block", size("bits")))
-    out, total = [[]], 0  # a row per block of BLOCK_BYTES of text
-    for r in rows.groupBy("block").agg(F.sum("n").alias("n")).orderBy("block").collect():
-        if out[-1] and total + r["n"] > SHARD_BYTES:
-            out.append([])
-            total = 0
-        out[-1].append(r["block"])
-        total += r["n"]
-    return out
+    rows = model.words_of.select(size("words", "counts", "mass")).union(model.bits_of.select(size("bits")))
+    return rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def read_blocks(model: Model, numbers: list[int]):
@@ -369,6 +370,16 @@ def read_blocks(model: Model, numbers: list[int]):
         yield r[0], Block(*map(bytes, (*words.pop(r[0]), r[1])), model.probes, model.absent)
 
 
+def _summed_up(bounds: np.ndarray, tokens: int, columns: list, names: list[str], base: np.ndarray, score: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
+    """Rows of scored texts: their columns, and the sums over their tokens."""
+    base, score, known = (np.add.reduceat(x, bounds[:-1]) for x in (base, score, known.astype(np.int64)))
+    return pa.record_batch([*columns, pa.array(np.diff(bounds)), pa.array(known), pa.array(np.full(len(known), tokens, np.int64)), pa.array(base), pa.array(score)],
+                           names=[*names, *SCORES])
+
+
+SCORES = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of every row of ``docs`` with ``n_tokens, n_known,
     train_tokens, base_score, score`` (log10 probabilities; base: words alone).
@@ -377,72 +388,173 @@ def score_texts(docs: DataFrame, train: DataFrame, columns: list[str]) -> DataFr
     word probability is 0.1 / 0.1 = 1 for the only type, so scores are 0.
     Repeated rows score alike; an empty table gives none. A very long text is read
     whole, as a run of its own, in one task."""
-    columns = [c for c in columns if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]  # replaced
-    spark = docs.sparkSession
+    columns = [c for c in columns if c not in SCORES]  # replaced
     model = build(train)
-    shards = _shards(model)
-    schema = docs.select(*columns).schema
-    ddl = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in schema)
-    blocks, n, hot, hot_counts = model.blocks, model.tokens, model.hot, model.hot_counts
-    base_total = n + ADD * (model.words + 1)
-    nothing = Block(b"", b"", b"", bytes(8), model.probes, model.absent)
-    empty = sorted(set(range(blocks)).difference(*shards))  # blocks that no n-gram fell into
-
-    def passed(sent, last: bool):
-        """Add to each text's sums what one shard knows: a token's base and mass by
-        its block, and the numerator by the pair's block."""
+    d = docs.select(*columns, F.col("text").alias("__text"))
+    ddl = ", ".join([*(f"`{c.name}` {c.dataType.simpleString()}" for c in docs.select(*columns).schema), "n_tokens long, n_known long, train_tokens long, base_score double, score double"])
+    return (_by_broadcast if _size(model) <= SHARD_BYTES else _by_shuffle)(d, model, columns, ddl)
+
+
+def _by_broadcast(d: DataFrame, model: Model, columns: list[str], ddl: str) -> DataFrame:
+    """Scores by a model that every worker holds."""
+    blocks, n, hot, hot_counts, base_total = model.blocks, model.tokens, model.hot, model.hot_counts, model.tokens + ADD * (model.words + 1)
+    nothing = Block(b"", b"", b"", bytes(8), model.probes, model.absent)  # for blocks that no n-gram fell into
+    sent: list = [nothing] * blocks
+    for number, block in read_blocks(model, list(range(blocks))):
+        sent[number] = d.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches):
+        for batch in batches:
+            for i, j, texts in slices(batch.column("__text")):
+                t, bounds = token_hashes(texts)
+                p = pair_hashes(t, bounds)
+                part = batch.slice(i, j - i)
+                frequent = _among(t, hot)
+                base, score, known = np.zeros(len(t)), np.zeros(len(t)), np.zeros(len(t), bool)
+                home = _block(t, blocks)
+                by, ends = _by_block(home, blocks)
+                by2, ends2 = _by_block(np.where(frequent >= 0, _block(p, blocks), home), blocks)
+                count = np.zeros(len(t), np.int64)
+                for number, block in enumerate(sent):
+                    block = getattr(block, "value", block)
+                    k = by[ends[number]: ends[number + 1]]
+                    count[k], mass = block.count(t[k])
+                    known[k], base[k] = count[k] > 0, np.log10((count[k] + ADD) / base_total)
+                    # Every token stands once before another: the end before the first.
+                    score[k] -= np.log10(mass.astype(np.float64) + MU)
+                    k = by2[ends2[number]: ends2[number + 1]]
+                    f = frequent[k]
+                    c = np.where(f >= 0, hot_counts[f], count[k]) if len(hot) else count[k]
+                    pair = np.zeros(len(k))
+                    pair[c > 0] = dequantised(block.level(p[k][c > 0]))
+                    score[k] += np.log10(pair + MU * (c + ADD) / base_total)
+                yield _summed_up(bounds, n, [part.column(x) for x in columns], columns, base, score, known)
+
+    return d.mapInArrow(trimmed(run), ddl)
+
+
+def _chunks(limit: int):
+    """Rows with the number of their chunk, a run of rows of about ``limit`` bytes of text, and their place in the task."""
+    def run(batches):
+        at = row = 0
+        first = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            size = pc.fill_null(pc.binary_length(batch.column("__text")), 0).to_numpy().astype(np.int64) + 1
+            begin = at + np.cumsum(size) - size
+            rows = np.arange(row, row + len(size))
+            at, row = at + int(size.sum()), row + len(size)
+            yield pa.record_batch([*batch.columns, pa.array(first + begin // limit), pa.array(rows)], names=[*batch.schema.names, "__chunk", "__row"])
+    return run
+
+
+def _numbered(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes in order, the place of one of each, and the number of its hash for every place."""
+    by = _order(h)
+    at = _runs(h[by])
+    number = np.empty(len(h), np.int64)
+    number[by] = np.repeat(np.arange(len(at)), np.diff(at, append=len(h)))
+    return h[by[at]], by[at], number
+
+
+def _asked(h: np.ndarray, block: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes by their blocks, the bounds of the blocks, and the place of every hash among them."""
+    u, one, number = _numbered(h)
+    by, ends = _by_block(block[one], blocks)
+    place = np.empty(len(u), np.int64)
+    place[by] = np.arange(len(u))
+    return u[by], ends, place[number]
+
+
+def _pieces(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The values between neighbouring ``ends`` as bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _joined(table: pa.Table | pa.RecordBatch, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+
+def _by_shuffle(d: DataFrame, model: Model, columns: list[str], ddl: str) -> DataFrame:
+    """Scores by a model that stays in its blocks: distinct words and pairs of every chunk of text
+    meet them there, in ``ROUNDS`` that take turns on the disk, and the answers meet the chunk again."""
+    blocks, n, hot, probes, absent, base_total = model.blocks, model.tokens, model.hot, model.probes, model.absent, model.tokens + ADD * (model.words + 1)
+    schema = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in d.schema)
+    # Stored, as the rows of a chunk must be the same when it asks and when it is scored.
+    texts = materialize(d.mapInArrow(trimmed(_chunks(TEXT_BYTES)), f"{schema}, __chunk long, __row long"), "llm-lm-texts")
+
+    def hashed(texts):
+        t, bounds = token_hashes(texts)
+        p = pair_hashes(t, bounds)
+        return bounds, ((t, _block(t, blocks)), (p, pair_blocks(p, t, hot, blocks)))
+
+    def ask(turn):
+        def asked(chunk, row, texts):
+            _, both = hashed(texts)
+            (words, ends, _), (pairs, ends2, _) = (_asked(h[mine := block % ROUNDS == turn], block[mine], blocks) for h, block in both)
+            out = pa.record_batch([pa.array(np.full(blocks, chunk)), pa.array(np.full(blocks, row)), pa.array(np.arange(blocks, dtype=np.int32)), _pieces(words, ends), _pieces(pairs, ends2)],
+                                  names=["chunk", "row", "block", "words", "pairs"])
+            return out.filter(pa.array((ends[1:] > ends[:-1]) | (ends2[1:] > ends2[:-1])))
+
         def run(batches):
+            """A chunk may lie in two tasks; what each reads of it asks by itself, under the place of its first row."""
+            at, held = None, []
             for batch in batches:
-                for i, j, texts in slices(batch.column("__text")):
-                    t, bounds = token_hashes(texts)
-                    p = pair_hashes(t, bounds)
-                    part = batch.slice(i, j - i)
-                    frequent = _among(t, hot)
-                    base, score, known = np.zeros(len(t)), np.zeros(len(t)), np.zeros(len(t), bool)
-                    home = _block(t, blocks)
-                    by, ends = _by_block(home, blocks)
-                    by2, ends2 = _by_block(np.where(frequent >= 0, _block(p, blocks), home), blocks)
-                    count = np.zeros(len(t), np.int64)
-                    for number, block in sent:
-                        block = getattr(block, "value", block)
-                        k = by[ends[number]: ends[number + 1]]
-                        count[k], mass = block.count(t[k])
-                        known[k], base[k] = count[k] > 0, np.log10((count[k] + ADD) / base_total)
-                        # Every token stands once before another: the end before the first.
-                        score[k] -= np.log10(mass.astype(np.float64) + MU)
-                        k = by2[ends2[number]: ends2[number + 1]]
-                        f = frequent[k]
-                        c = np.where(f >= 0, hot_counts[f], count[k]) if len(hot) else count[k]
-                        pair = np.zeros(len(k))
-                        pair[c > 0] = dequantised(block.level(p[k][c > 0]))
-                        score[k] += np.log10(pair + MU * (c + ADD) / base_total)
-                    sums = [np.add.reduceat(x, bounds[:-1]) for x in (base, score, known.astype(np.int64))]
-                    if "__base" in batch.schema.names:
-                        sums = [x + part.column(name).to_numpy() for x, name in zip(sums, ("__base", "__score", "__known"))]
-                    kept = [part.column(x) for x in columns]
-                    if last:
-                        yield pa.record_batch([*kept, pa.array(np.diff(bounds)), pa.array(sums[2]), pa.array(np.full(j - i, n, np.int64)), pa.array(sums[0]), pa.array(sums[1])],
-                                              names=[*columns, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-                    else:
-                        yield pa.record_batch([*kept, part.column("__text"), *map(pa.array, sums)], names=[*columns, "__text", "__base", "__score", "__known"])
+                chunk, row = (batch.column(c).to_numpy() for c in ("__chunk", "__row"))
+                cuts = [0, *(np.flatnonzero((chunk[1:] != chunk[:-1]) | (row[1:] != row[:-1] + 1)) + 1).tolist(), len(chunk)]
+                for i, j in zip(cuts, cuts[1:]):
+                    if at is not None and (chunk[i], row[i]) != (at[0], at[1] + len(held)):
+                        yield asked(*at, held)
+                        at = None
+                    if at is None:
+                        at, held = (chunk[i], row[i]), []
+                    held += batch.column("__text").slice(i, j - i).to_pylist()
+            if at is not None:
+                yield asked(*at, held)
         return run
 
-    d = docs.select(*columns, F.col("text").alias("__text"))
-    for k, numbers in enumerate(shards):
-        sent = [] if k else [(number, nothing) for number in empty]
-        # At most SHARD_BYTES in all, or one block.
-        for number, block in read_blocks(model, numbers):
-            sent.append((number, spark.sparkContext.broadcast(block)))
-        if k < len(shards) - 1:
-            before_pass = d if k else None
-            d = materialize(d.mapInArrow(trimmed(passed(sent, False)), f"{ddl}, __text string, __base double, __score double, __known long"), "llm-lm-pass")
-            for _, block in sent[-len(numbers):]:  # workers drop them before the next shard comes
-                block.destroy()
-            if before_pass is not None:
-                forget_files(before_pass)
-        else:
-            d = d.mapInArrow(trimmed(passed(sent, True)), f"{ddl}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return d
+    def answer(key, asked, known):
+        read = {c: b"".join(x for x in known.column(c).to_pylist() if x) for c in ("words", "counts", "mass", "bits")}
+        block = Block(read["words"], read["counts"], read["mass"], read["bits"] or bytes(8), probes, absent)
+        ends = [np.concatenate([[0], np.cumsum(pc.binary_length(asked.column(c)).to_numpy() // 8)]) for c in ("words", "pairs")]
+        counts, mass = block.count(_joined(asked, "words", np.uint64))
+        return pa.table([*(asked.column(c) for c in ("chunk", "row", "block")), _pieces(counts, ends[0]), _pieces(mass, ends[0]), _pieces(block.level(_joined(asked, "pairs", np.uint64)), ends[1])],
+                        names=["chunk", "row", "block", "counts", "mass", "levels"])
+
+    def score(key, chunk, answers):
+        chunk = chunk.take(pc.sort_indices(chunk, [("__row", "ascending")])).combine_chunks()
+        answers = answers.take(pc.sort_indices(answers, [("block", "ascending")]))
+        turn, first, row = answers.column("block").to_numpy() % ROUNDS, answers.column("row").to_numpy(), chunk.column("__row").to_numpy()
+        bounds, ((t, home), (p, place)) = hashed(chunk.column("__text").to_pylist())
+        count, mass, level = np.zeros(len(t), np.int64), np.zeros(len(t), np.float32), np.zeros(len(t), np.uint8)
+        for k in range(ROUNDS):
+            parts = np.unique(first[turn == k])
+            ends = bounds[np.append(np.searchsorted(row, parts), len(row))]
+            for part, i, j in zip(parts, ends, ends[1:]):
+                mine = answers.filter(pa.array((turn == k) & (first == part)))
+                for h, block, found in ((t, home, {"counts": count, "mass": mass}), (p, place, {"levels": level})):
+                    at = i + np.flatnonzero(block[i:j] % ROUNDS == k)
+                    u, _, number = _asked(h[at], block[at], blocks)
+                    for name, out in found.items():
+                        got = _joined(mine, name, out.dtype)
+                        if len(got) != len(u):
+                            raise ValueError("What a chunk asked differs from what it is told")
+                        out[at] = got[number]
+        smooth = (count + ADD) / base_total
+        score = np.log10(np.where(count > 0, dequantised(level), 0) + MU * smooth) - np.log10(mass.astype(np.float64) + MU)
+        return pa.Table.from_batches([_summed_up(bounds, n, [chunk.column(x).combine_chunks() for x in columns], columns, np.log10(smooth), score, count > 0)])
+
+    nothing, answers = F.lit(None).cast("binary"), None
+    known = model.words_of.select("block", "words", "counts", "mass", nothing.alias("bits")).union(
+        model.bits_of.select("block", nothing, nothing, nothing, "bits"))
+    for turn in range(ROUNDS):
+        asked = texts.select("__text", "__chunk", "__row").mapInArrow(trimmed(ask(turn)), "chunk long, row long, block int, words binary, pairs binary")
+        met = asked.groupBy("block").cogroup(known.where(F.col("block") % ROUNDS == turn).groupBy("block"))
+        with shuffles_dropped(d.sparkSession):
+            told = materialize(met.applyInArrow(answer, "chunk long, row long, block int, counts binary, mass binary, levels binary"), "llm-lm-told")
+        answers = told if answers is None else answers.unionByName(told)
+    for stored in (model.words_of, model.bits_of):  # all is answered
+        forget_files(stored)
+    return texts.groupBy("__chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, ddl)
 
 
 def op3_bloom_lm(spark, sf_dir: str) -> DataFrame:
