@@ -48,3 +48,18 @@ def test_fold_scores_as_of_single_fits(spark, monkeypatch, group_rows):
             F.col("label").cast("int").alias("y"), F.posexplode("__p").alias("depth", "p"))
         want = {x.depth: x.score for x in SE.score_groups(long, ["depth"]).collect()}
         assert scores == pytest.approx([want[i] for i in range(len(depths))], abs=1e-12)
+
+
+def test_a_forest_counts_only_the_features_that_nodes_drew(monkeypatch):
+    r = np.random.default_rng(6)
+    y = (r.random(2000) < 0.4).astype(int)
+    x = np.concatenate([r.integers(0, 2, (2000, 14)), r.integers(0, 32, (2000, 6))], 1).astype("uint8")
+    x[:, 0] |= y.astype("uint8")
+    w = r.poisson(1, 2000).astype("float64")
+    calls = []
+    monkeypatch.setattr(T.np, "bincount", lambda *a, count=np.bincount, **k: calls.append(1) or count(*a, **k))
+    spec = {"leaf": 1, "impurity": "gini", "depth": 9, "bins": [2] * 14 + [32] * 6, "subset": 5, "seed": 1}
+    t = T.grow(x, y, w, 0, spec, 3)
+    assert len(calls) <= 5 * 9  # before: two for every feature that some node of the level drew
+    at = T.walk(t, x)
+    assert np.array_equal(np.bincount(at, w * y, len(t["pos"])), np.where(t["feature"] < 0, t["pos"], 0))
